@@ -19,23 +19,29 @@ FACT_COLUMNS = ["category_group_id", "resolution_id", "incident_date", "incident
                 "report_time", "intersection_id", "police_district_id", "incident_id"]
 
 
-def _lookups(dims: dict[str, DataFrame], current_only: bool = True) -> dict[str, DataFrame]:
+def _lookups(dims: dict[str, DataFrame], current_only: bool = True,
+             sizes: dict[str, int] | None = None) -> dict[str, DataFrame]:
+    """Key -> id lookups, broadcast when their (known or counted) size is small."""
+    sizes = sizes or {}
     inter = dims["dim_intersection"]
     if current_only:
         inter = inter.filter(F.col("current_flag") == 1)
+
+    def bc(name, df):
+        return checked_broadcast(df, sizes.get(name))
     return {
-        "res": checked_broadcast(dims["dim_resolution"].select("resolution", "resolution_id")),
-        "date": checked_broadcast(dims["dim_date"].select("full_date", "date_id")),
-        "time": checked_broadcast(dims["dim_time"].select("full_time", "time_id")),
-        "inter": checked_broadcast(inter.select("cnn", "intersection_id")),
-        "pd": checked_broadcast(dims["dim_police_district"].select("police_district", "police_district_id")),
+        "res": bc("dim_resolution", dims["dim_resolution"].select("resolution", "resolution_id")),
+        "date": bc("dim_date", dims["dim_date"].select("full_date", "date_id")),
+        "time": bc("dim_time", dims["dim_time"].select("full_time", "time_id")),
+        "inter": bc("dim_intersection", inter.select("cnn", "intersection_id")),
+        "pd": bc("dim_police_district", dims["dim_police_district"].select("police_district", "police_district_id")),
     }
 
 
 def resolve_dimension_keys(stg_fact: DataFrame, dims: dict[str, DataFrame],
-                           current_only: bool = True) -> DataFrame:
+                           current_only: bool = True, sizes: dict[str, int] | None = None) -> DataFrame:
     """Staged rows with the seven dimension keys (inner joins, Q15)."""
-    lk = _lookups(dims, current_only)
+    lk = _lookups(dims, current_only, sizes)
     f = stg_fact.alias("f")
     d1, d2 = lk["date"].alias("d1"), lk["date"].alias("d2")
     t1, t2 = lk["time"].alias("t1"), lk["time"].alias("t2")
@@ -62,27 +68,30 @@ def incident_groups_full(stg_fact: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def incident_groups_incremental(stg_fact: DataFrame, dim_category: DataFrame,
-                                bridge: DataFrame) -> DataFrame:
-    """Group id of each staged incident from its current-category-id signature."""
+                                bridge: DataFrame, n_groups: int | None = None) -> DataFrame:
+    """Group id of each staged incident from its current-category-id signature.
+
+    ``n_groups`` (rows of the group dimension) bounds the signature lookup.
+    """
     sig = incoming_signatures(stg_fact, dim_category)
-    g = checked_broadcast(bridge_signatures(bridge))
+    g = checked_broadcast(bridge_signatures(bridge), n_groups)
     return sig.join(g, "category_id_group").select("incident_id", "category_group_id")
 
 
 def build_fact(stg_fact: DataFrame, dims: dict[str, DataFrame], incident_groups: DataFrame,
-               current_only: bool = True) -> DataFrame:
+               current_only: bool = True, sizes: dict[str, int] | None = None) -> DataFrame:
     """Distinct fact rows of the batch."""
-    keyed = resolve_dimension_keys(stg_fact, dims, current_only).distinct()
+    keyed = resolve_dimension_keys(stg_fact, dims, current_only, sizes).distinct()
     return keyed.join(incident_groups, "incident_id").select(*FACT_COLUMNS)
 
 
 def fact_unmatched(stg_fact: DataFrame, dims: dict[str, DataFrame],
-                   incident_groups: DataFrame) -> DataFrame:
+                   incident_groups: DataFrame, sizes: dict[str, int] | None = None) -> DataFrame:
     """Staged rows whose key does not resolve, per dimension (ours; Q15).
 
     One pass: left joins to every lookup, then conditional counts.
     """
-    lk = _lookups(dims)
+    lk = _lookups(dims, True, sizes)
     f = stg_fact.alias("f")
     checks = {
         "resolution": (lk["res"].alias("r"), F.col("f.stg_resolution") == F.col("r.resolution"), "r.resolution_id"),

@@ -67,11 +67,13 @@ def with_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
     return df.withColumns({k: v for k, v in defaults.items() if k not in df.columns})
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def checked_broadcast(df: DataFrame, n_rows: int | None = None,
+                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """K3: broadcast hint only when the row count is proven small.
 
-    Beyond the bound the frame is returned as is and the planner keeps a
-    shuffle (sort-merge) join.
+    ``n_rows`` is a known upper bound of the rows (e.g. counted when the
+    table was written); otherwise the rows are counted.  Beyond the bound
+    the frame is returned as is and the planner keeps a shuffle join.
     """
-    n = df.count()
+    n = df.count() if n_rows is None else n_rows
     return F.broadcast(df) if n <= max_rows else df

@@ -16,7 +16,7 @@ from starloom.operators.clean import clean_incidents
 from starloom.operators.fact import build_fact, incident_groups_full
 from starloom.operators.staging import stage_all
 from starloom.schemas import PROD_SCHEMAS, STG_SCHEMAS
-from starloom.sources.tables import Warehouse
+from starloom.sources.tables import Manifest, Warehouse
 from starloom.sources.zones import read_zone, write_zone
 
 
@@ -27,11 +27,23 @@ class Zones:
     stg: Warehouse
     prod: Warehouse
 
+    manifest: Manifest
+
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> "Zones":
         root = root.rstrip("/")
-        return cls(root, Warehouse(spark, f"{root}/stg", STG_SCHEMAS),
-                   Warehouse(spark, f"{root}/prod", PROD_SCHEMAS))
+        m = Manifest(spark, root)
+        return cls(root, Warehouse(spark, f"{root}/stg", STG_SCHEMAS, m, "stg"),
+                   Warehouse(spark, f"{root}/prod", PROD_SCHEMAS, m, "prod"), m)
+
+    def commit(self) -> None:
+        self.manifest.commit()
+
+    def at(self, load_id: str) -> "Zones":
+        """The warehouse as it was right after ``load_id`` (read-only use)."""
+        m = self.manifest.upto(load_id)
+        return Zones(self.root, Warehouse(self.stg.spark, self.stg.root, self.stg.schemas, m, "stg"),
+                     Warehouse(self.prod.spark, self.prod.root, self.prod.schemas, m, "prod"), m)
 
 
 def land_cleansed(spark: SparkSession, raw: DataFrame, zones: Zones, load_id: str,
@@ -67,6 +79,7 @@ def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: st
     prod.replace("dim_category_group", B.group_dim_full(prod.read("br_category_group")), load_id)      # B4
 
     fact = build_fact(stg["fact_incident"], prod.tables(),      # G1
-                      incident_groups_full(stg["fact_incident"], groups))
+                      incident_groups_full(stg["fact_incident"], groups), sizes=prod.sizes())
     prod.replace("fact_incident", fact, load_id)
+    zones.commit()
     return zones

@@ -40,11 +40,12 @@ def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str,
                 B.group_dim_insert_new(prod.read("dim_category_group"), prod.read("br_category_group")), load_id)
 
     groups = incident_groups_incremental(stg["fact_incident"], prod.read("dim_category"),
-                                         prod.read("br_category_group"))
-    fact = build_fact(stg["fact_incident"], prod.tables(), groups)                      # G2
+                                         prod.read("br_category_group"), prod.row_count("dim_category_group"))
+    fact = build_fact(stg["fact_incident"], prod.tables(), groups, sizes=prod.sizes())  # G2
     if fact_mode == "replace":
         kept = prod.read("fact_incident").join(fact.select("incident_id").distinct(), "incident_id", "left_anti")
         prod.replace("fact_incident", kept.unionByName(fact), load_id)
     else:
         prod.append("fact_incident", fact, load_id)
+    zones.commit()
     return zones

@@ -20,6 +20,10 @@ SQL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Wide projections followed by many null checks (the 14-column
+    # cleaning over a joined source) make constraint inference explode at
+    # planning time; the inferred IS NOT NULL filters are not needed here.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
@@ -27,6 +31,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app: str = "starloom", extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in {**SQL_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)

@@ -9,19 +9,22 @@ being read, so every table lives in version folders under a shared root:
   own partition (dynamic partition overwrite), so it is idempotent;
 * versioned dimensions and ``replace`` loads write a whole new version
   ``v=<n+1>``;
-* a manifest row (appended last, by a Spark job) makes a version current,
-  so a failed load leaves the previous version in place.
+* the manifest rows of a load (appended in one file when the load ends)
+  make its versions and partitions visible, so a failed load leaves the
+  previous state in place.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-MANIFEST_SCHEMA = T.StructType([T.StructField("table", T.StringType()), T.StructField("version", T.IntegerType()),
-                              T.StructField("load_id", T.StringType()), T.StructField("kind", T.StringType())])
+MANIFEST_SCHEMA = T.StructType([
+    T.StructField("zone", T.StringType()), T.StructField("table", T.StringType()),
+    T.StructField("version", T.IntegerType()), T.StructField("load_id", T.StringType()),
+    T.StructField("kind", T.StringType()), T.StructField("n_rows", T.LongType())])
 
 
 def reset_database(spark: SparkSession, name: str) -> None:
@@ -56,32 +59,78 @@ def conform(df: DataFrame, schema: T.StructType, col_list: list[str] | None = No
     return df.select(*out)
 
 
-class Warehouse:
-    """Path-per-table store with versions and a commit manifest."""
+class Manifest:
+    """Commit log of a warehouse root: one row per (zone, table, version, load).
+
+    Rows of a load are appended as one JSON file at the end of the load
+    (``commit``), so a load that fails midway stays invisible.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType]):
-        self.spark, self.root, self.schemas = spark, root.rstrip("/"), schemas
-        self._manifest: list[tuple[str, int, str, str]] = []
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.path = spark, f"{root.rstrip('/')}/_manifest"
+        self.committed: list[tuple] = []
+        self.pending: list[tuple] = []
         try:
-            rows = spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/_manifest").collect()
-            self._manifest = [(r.table, r.version, r.load_id, r.kind) for r in rows]
+            rows = spark.read.schema(MANIFEST_SCHEMA).json(self.path).collect()
+            self.committed = [tuple(r) for r in rows]
         except AnalysisException:
             pass
 
+    def rows(self, zone: str, table: str, committed_only: bool = False) -> list[tuple]:
+        src = self.committed if committed_only else self.committed + self.pending
+        return [r for r in src if r[0] == zone and r[1] == table]
+
+    def add(self, row: tuple) -> None:
+        self.pending.append(row)
+
+    def upto(self, load_id: str) -> "Manifest":
+        """A read-only view of the state right after ``load_id`` committed."""
+        last = max(i for i, r in enumerate(self.committed) if r[3] == load_id)
+        view = Manifest.__new__(Manifest)
+        view.spark, view.path = self.spark, self.path
+        view.committed, view.pending = self.committed[:last + 1], []
+        return view
+
+    def commit(self) -> None:
+        if self.pending:
+            (self.spark.createDataFrame(self.pending, MANIFEST_SCHEMA).coalesce(1)
+             .write.mode("append").json(self.path))
+            self.committed += self.pending
+            self.pending = []
+
+
+class Warehouse:
+    """Path-per-table store of one zone, with versions and load partitions.
+
+    A table reads version ``v=<n>`` restricted to the loads recorded for it,
+    so partitions of an uncommitted or failed load are never seen.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType],
+                 manifest: Manifest | None = None, zone: str = "default"):
+        self.spark, self.root, self.schemas, self.zone = spark, root.rstrip("/"), schemas, zone
+        self.manifest = manifest or Manifest(spark, root)
+
     # -- state ---------------------------------------------------------------
     def version(self, table: str) -> int:
-        vs = [v for t, v, _, _ in self._manifest if t == table]
+        vs = [r[2] for r in self.manifest.rows(self.zone, table)]
         return max(vs) if vs else 0
 
+    def loads(self, table: str) -> list[tuple]:
+        v = self.version(table)
+        return [r for r in self.manifest.rows(self.zone, table) if r[2] == v]
+
     def has_load(self, table: str, load_id: str) -> bool:
         v = self.version(table)
-        return any(t == table and ver == v and lid == load_id for t, ver, lid, _ in self._manifest)
+        return any(r[2] == v and r[3] == load_id
+                   for r in self.manifest.rows(self.zone, table, committed_only=True))
 
-    def _commit(self, table: str, version: int, load_id: str, kind: str) -> None:
-        row = (table, version, load_id, kind)
-        (self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1)
-         .write.mode("append").json(f"{self.root}/_manifest"))
-        self._manifest.append(row)
+    def row_count(self, table: str) -> int:
+        """Rows of the current version, from counts observed at write time."""
+        latest: dict[str, int] = {}
+        for r in self.loads(table):
+            latest[r[3]] = r[5]
+        return sum(latest.values())
 
     def path(self, table: str, version: int | None = None) -> str:
         return f"{self.root}/{table}/v={self.version(table) if version is None else version}"
@@ -91,28 +140,43 @@ class Warehouse:
         schema = self.schemas[table]
         if self.version(table) == 0:
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.parquet(self.path(table))
+        loads = sorted({r[3] for r in self.loads(table)})
+        df = self.spark.read.parquet(self.path(table)).filter(F.col("load_id").isin(loads))
         return df.select(*[f.name for f in schema.fields])
 
+    def read_load(self, table: str, load_id: str) -> DataFrame:
+        """Only the rows one load added to the current version."""
+        return (self.spark.read.parquet(self.path(table)).filter(F.col("load_id") == load_id)
+                .select(*[f.name for f in self.schemas[table].fields]))
+
     def tables(self) -> dict[str, DataFrame]:
         return {t: self.read(t) for t in self.schemas}
 
+    def sizes(self) -> dict[str, int]:
+        return {t: self.row_count(t) for t in self.schemas}
+
     # -- writes ----------------------------------------------------------------
+    def _write(self, table: str, df: DataFrame, load_id: str, version: int, dynamic: bool) -> int:
+        obs = Observation()
+        out = (conform(df, self.schemas[table]).withColumn("load_id", F.lit(load_id))
+               .observe(obs, F.count(F.lit(1)).alias("n")))
+        w = out.write.mode("overwrite").partitionBy("load_id")
+        if dynamic:
+            w = w.option("partitionOverwriteMode", "dynamic")
+        w.parquet(self.path(table, version))
+        return int(obs.get["n"])
+
     def append(self, table: str, df: DataFrame, load_id: str) -> None:
         """Add a load's rows (rerunning the same ``load_id`` replaces them)."""
         v = max(self.version(table), 1)
-        (conform(df, self.schemas[table]).withColumn("load_id", F.lit(load_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("load_id").parquet(self.path(table, v)))
-        if not self.has_load(table, load_id) or self.version(table) == 0:
-            self._commit(table, v, load_id, "append")
+        n = self._write(table, df, load_id, v, dynamic=True)
+        self.manifest.add((self.zone, table, v, load_id, "append", n))
 
     def replace(self, table: str, df: DataFrame, load_id: str) -> None:
         """A full new version of the table (truncate + load)."""
         v = self.version(table) + 1
-        (conform(df, self.schemas[table]).withColumn("load_id", F.lit(load_id))
-         .write.mode("overwrite").partitionBy("load_id").parquet(self.path(table, v)))
-        self._commit(table, v, load_id, "replace")
+        n = self._write(table, df, load_id, v, dynamic=False)
+        self.manifest.add((self.zone, table, v, load_id, "replace", n))
 
 
 def load_table(wh: Warehouse, table: str, df: DataFrame, load_type: str = "append",
