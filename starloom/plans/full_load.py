@@ -17,7 +17,7 @@ from starloom.operators.fact import build_fact, incident_groups_full
 from starloom.operators.staging import stage_all
 from starloom.schemas import PROD_SCHEMAS, STG_SCHEMAS
 from starloom.sources.tables import Manifest, Warehouse
-from starloom.sources.zones import read_zone, write_zone
+from starloom.sources.zones import ensure_parallelism, read_zone, write_zone
 
 
 @dataclass
@@ -50,7 +50,7 @@ def land_cleansed(spark: SparkSession, raw: DataFrame, zones: Zones, load_id: st
                   valid_date: str | None = None) -> DataFrame:
     """C1-C7, written to ``cleansed/load_id=<id>`` and read back."""
     path = f"{zones.root}/cleansed/load_id={load_id}"
-    write_zone(clean_incidents(raw, valid_date), path)
+    write_zone(ensure_parallelism(clean_incidents(raw, valid_date)), path)
     return read_zone(spark, path)
 
 

@@ -58,7 +58,7 @@ def _clean(spark, sf) -> DataFrame:
     """Cleansed incidents of all raw rows, written once and read back."""
     def build():
         path = scratch_path(spark, "cleansed")
-        Z.write_zone(C.clean_incidents(_raw(spark, sf)), path)
+        Z.write_zone(Z.ensure_parallelism(C.clean_incidents(_raw(spark, sf))), path)
         return path
     return spark.read.parquet(_memo(("clean", id(spark), sf), build))
 

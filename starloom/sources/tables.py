@@ -141,12 +141,17 @@ class Warehouse:
         if self.version(table) == 0:
             return self.spark.createDataFrame([], schema)
         loads = sorted({r[3] for r in self.loads(table)})
-        df = self.spark.read.parquet(self.path(table)).filter(F.col("load_id").isin(loads))
+        df = self._scan(table).filter(F.col("load_id").isin(loads))
         return df.select(*[f.name for f in schema.fields])
 
+    def _scan(self, table: str) -> DataFrame:
+        """The current version with the declared schema (no footer inference)."""
+        schema = T.StructType(self.schemas[table].fields + [T.StructField("load_id", T.StringType())])
+        return self.spark.read.schema(schema).parquet(self.path(table))
+
     def read_load(self, table: str, load_id: str) -> DataFrame:
         """Only the rows one load added to the current version."""
-        return (self.spark.read.parquet(self.path(table)).filter(F.col("load_id") == load_id)
+        return (self._scan(table).filter(F.col("load_id") == load_id)
                 .select(*[f.name for f in self.schemas[table].fields]))
 
     def tables(self) -> dict[str, DataFrame]:

@@ -43,6 +43,16 @@ def write_zone(df: DataFrame, path: str, partition_by: list[str] | None = None)
     w.parquet(path)
 
 
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a frame that arrives in fewer partitions than the cluster has
+    cores (one unsplittable file, say) before an expensive write.
+
+    A no-op for real inputs, which come in many splits; no shuffle then.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """JSON lines."""
     df.write.mode("overwrite").json(path)
