@@ -100,6 +100,22 @@ def reject_reason(raw: DataFrame, valid_date: str | None = None) -> Column:
     return reason
 
 
+REJECT_REASONS = ["malformed", "null_value", "excluded_district", "supplement", "before_valid_date"]
+
+
+def clean_observed(raw: DataFrame, observation, valid_date: str | None = None) -> DataFrame:
+    """``clean_incidents`` that also counts every outcome into ``observation``.
+
+    The counts are collected by the job that writes the cleansed rows, so
+    the audit costs no second pass over the raw batch.
+    """
+    tagged = raw.withColumn("_reject", reject_reason(raw, valid_date))
+    metrics = [F.count_if(F.col("_reject").isNull()).alias("kept")]
+    metrics += [F.count_if(F.col("_reject") == r).alias(r) for r in REJECT_REASONS]
+    kept = tagged.observe(observation, *metrics).filter(F.col("_reject").isNull()).drop("_reject")
+    return clean_incidents(kept, valid_date)
+
+
 def load_audit(raw: DataFrame, valid_date: str | None = None) -> DataFrame:
     """Rows per outcome of one ingest (``kept`` or the reject reason)."""
     return (raw.select(F.coalesce(reject_reason(raw, valid_date), F.lit("kept")).alias("outcome"))

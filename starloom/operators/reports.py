@@ -50,3 +50,14 @@ def report_daily(wh: dict[str, DataFrame], day: str | None = None) -> DataFrame:
          .join(checked_broadcast(_categories(wh)), "category_group_id"))
     return (f.groupBy("full_date", "hour", "daytime_indicator", "category", "police_district")
             .agg(F.count_distinct("incident_id").alias("n_incidents")))
+
+
+def report_year_rollup(wh: dict[str, DataFrame]) -> DataFrame:
+    """R1 with subtotals: incidents per (year, month, district), per (year,
+    month), per year and overall (NULL marks a rolled-up level)."""
+    dates = wh["dim_date"].select(F.col("date_id").alias("incident_date"), "year", "month")
+    f = (wh["fact_incident"].select("incident_date", "police_district_id", "incident_id")
+         .join(checked_broadcast(dates), "incident_date")
+         .join(checked_broadcast(wh["dim_police_district"]), "police_district_id"))
+    return (f.rollup("year", "month", "police_district")
+            .agg(F.count_distinct("incident_id").alias("n_incidents")))

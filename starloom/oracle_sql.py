@@ -12,6 +12,7 @@ from __future__ import annotations
 VALID_DATE = "1996-01-01"
 SINCE = "1998-01-01"
 AS_OF_B2 = "2000-01-01"
+AS_OF_B3 = "2000-01-02"
 SPLIT = "2000-01-01"
 ROW_CAP = 1000
 VERSION_DATE = "1999-12-31"
@@ -216,7 +217,8 @@ def full_ctes(p: str) -> list[tuple[str, str]]:
     ]
 
 
-def _scd_next(old: str, stg: str, key: str, attrs: list[str], overwrite: list[str], id_col: str) -> list[tuple[str, str]]:
+def _scd_next(old: str, stg: str, key: str, attrs: list[str], overwrite: list[str], id_col: str,
+              as_of: str = AS_OF_B2) -> list[tuple[str, str]]:
     """CTEs ``{old}_cls`` (classified staging) and ``{old}_next`` (D8 result)."""
     cols = ", ".join(attrs)
     cls = (f"SELECT s.*, CASE WHEN c.{key} IS NULL THEN 1 ELSE 0 END AS new_row, "
@@ -227,7 +229,7 @@ def _scd_next(old: str, stg: str, key: str, attrs: list[str], overwrite: list[st
         if a in overwrite:
             upd_cols.append(f"CASE WHEN k.new_row = 0 AND k.change_row = 0 THEN k.{a} ELSE d.{a} END AS {a}")
         elif a == "exp_date":
-            upd_cols.append(f"CASE WHEN coalesce(k.change_row, 0) = 1 THEN DATE '{AS_OF_B2}' ELSE d.exp_date END AS exp_date")
+            upd_cols.append(f"CASE WHEN coalesce(k.change_row, 0) = 1 THEN DATE '{as_of}' ELSE d.exp_date END AS exp_date")
         elif a == "current_flag":
             upd_cols.append("CASE WHEN coalesce(k.change_row, 0) = 1 THEN 0 ELSE d.current_flag END AS current_flag")
         else:
@@ -235,7 +237,7 @@ def _scd_next(old: str, stg: str, key: str, attrs: list[str], overwrite: list[st
     upd = (f"SELECT {', '.join(upd_cols)} FROM {old} d LEFT JOIN {old}_cls k ON d.{key} = k.{key} "
            f"WHERE d.current_flag = 1")
     new = (f"SELECT (SELECT coalesce(max({id_col}), 0) FROM {old}) + row_number() OVER (ORDER BY {key}) AS {id_col}, "
-           f"{cols}, track_hash, DATE '{AS_OF_B2}' AS eff_date, DATE '2999-12-31' AS exp_date, 1 AS current_flag "
+           f"{cols}, track_hash, DATE '{as_of}' AS eff_date, DATE '2999-12-31' AS exp_date, 1 AS current_flag "
            f"FROM {old}_cls WHERE new_row = 1 OR change_row = 1")
     hist = f"SELECT {id_col}, {cols}, track_hash, eff_date, exp_date, current_flag FROM {old} WHERE current_flag <> 1"
     return [(f"{old}_cls", cls), (f"{old}_upd", upd), (f"{old}_new", new),
@@ -321,6 +323,11 @@ def all_ctes() -> list[tuple[str, str]]:
     ctes += stage_ctes("b1", "b1_clean") + stage_ctes("b2", "b2_clean") + stage_ctes("u2", "u2_clean")
     ctes += full_ctes("a") + full_ctes("c") + full_ctes("b1")
     ctes += incr_ctes("b1", "b2")
+    ctes += [("u2_sint_c", _collapsed_int("u2")), ("u2_scat_c", _collapsed_cat("u2"))]
+    ctes += _scd_next("b2_dim_int", "u2_sint_c", "cnn", ["cnn", "intersection", "latitude", "longitude"],
+                      ["latitude", "longitude"], "intersection_id", AS_OF_B3)
+    ctes += _scd_next("b2_dim_cat", "u2_scat_c", "category_code",
+                      ["category_code", "category", "subcategory", "description"], ["description"], "category_id", AS_OF_B3)
     return ctes
 
 
@@ -515,5 +522,11 @@ GROUP BY 1, 2, 3, 4, 5""",
         "pipeline_full": _natural_fact("a"),
         "pipeline_incremental": _natural_fact("b2"),
         "pipeline_full_collapse": "SELECT * FROM c_fact",
+        "scd_apply_revert": "SELECT * FROM b2_dim_int_next",
+        "scd_apply_revert_category": "SELECT * FROM b2_dim_cat_next",
+        "new_keys_only": "SELECT stg_category_code AS category_code FROM b2_scat WHERE stg_category_code NOT IN (SELECT category_code FROM b1_dim_cat)",
+        "report_year_rollup": f"""SELECT d.year, d.month, pd.police_district, count(DISTINCT f.incident_id) AS n_incidents
+FROM a_fact f JOIN a_dim_date d ON f.incident_date = d.date_id JOIN a_dim_pd pd ON f.police_district_id = pd.police_district_id
+GROUP BY ROLLUP (d.year, d.month, pd.police_district)""",
     }
     return {k: _q(v) for k, v in q.items()}

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from starloom.operators import bridge as B
 from starloom.operators import dims as D
-from starloom.operators.clean import clean_incidents
+from starloom.operators.clean import clean_observed
 from starloom.operators.fact import build_fact, incident_groups_full
 from starloom.operators.staging import stage_all
 from starloom.schemas import PROD_SCHEMAS, STG_SCHEMAS
@@ -48,9 +48,16 @@ class Zones:
 
 def land_cleansed(spark: SparkSession, raw: DataFrame, zones: Zones, load_id: str,
                   valid_date: str | None = None) -> DataFrame:
-    """C1-C7, written to ``cleansed/load_id=<id>`` and read back."""
+    """C1-C7, written to ``cleansed/load_id=<id>`` and read back; the ingest
+    audit (S10: rows per outcome) is observed by the same job and appended
+    to ``audit/``."""
     path = f"{zones.root}/cleansed/load_id={load_id}"
-    write_zone(ensure_parallelism(clean_incidents(raw, valid_date)), path)
+    obs = Observation(f"audit-{load_id}")
+    write_zone(ensure_parallelism(clean_observed(raw, obs, valid_date)), path)
+    counts = obs.get
+    rows = [(load_id, k, int(v)) for k, v in counts.items()]
+    (spark.createDataFrame(rows, "load_id string, outcome string, n_rows bigint").coalesce(1)
+     .write.mode("append").parquet(f"{zones.root}/audit"))
     return read_zone(spark, path)
 
 

@@ -23,7 +23,7 @@ from starloom.operators import staging as P
 from starloom.operators.fact import (build_fact, fact_unmatched, incident_groups_full,
                                      incident_groups_incremental, resolve_dimension_keys)
 from starloom.operators.keys import assign_ids, checked_broadcast, max_id
-from starloom.operators.reports import report_daily, report_year
+from starloom.operators.reports import report_daily, report_year, report_year_rollup
 from starloom.plans.full_load import Zones, run_full_load
 from starloom.plans.incremental import run_incremental
 from starloom.schemas import PROD_DEFAULTS, PROD_SCHEMAS, STG_SCHEMAS
@@ -438,6 +438,29 @@ def q_scd_apply_category(spark, sf):
     return _incr(spark, sf).prod.read("dim_category")
 
 
+def _revert(spark, sf) -> Zones:
+    """A third load that reverts batch two's changes (A -> B -> A history)."""
+    def build():
+        z = _incr(spark, sf)
+        return run_incremental(spark, batch_two(_raw(spark, sf), changed=False), z.root, as_of=AS_OF_B3,
+                               load_id="b3")
+    return _memo(("revert", id(spark), sf), build)
+
+
+def q_scd_apply_revert(spark, sf):
+    return _revert(spark, sf).prod.read("dim_intersection")
+
+
+def q_scd_apply_revert_category(spark, sf):
+    return _revert(spark, sf).prod.read("dim_category")
+
+
+def q_new_keys_only(spark, sf):
+    """Staged category codes of batch two unseen in the dimension."""
+    stg = _stg2(spark, sf)["dim_category"].select(F.col("stg_category_code").alias("category_code"))
+    return stg.join(_b1(spark, sf).prod.read("dim_category").select("category_code"), "category_code", "left_anti")
+
+
 def q_scd_as_of(spark, sf):
     return S.scd_as_of(_incr(spark, sf).prod.read("dim_category"), D.SCD_SPECS["dim_category"], VERSION_DATE)
 
@@ -496,6 +519,10 @@ def q_report_year(spark, sf):
     return report_year(_full(spark, sf).prod.tables())
 
 
+def q_report_year_rollup(spark, sf):
+    return report_year_rollup(_full(spark, sf).prod.tables())
+
+
 def q_report_daily(spark, sf):
     return report_daily(_full(spark, sf).prod.tables())
 
@@ -567,6 +594,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd_classify": q_scd_classify, "scd2_expire": q_scd2_expire,
     "scd2_insert_versions": q_scd2_insert_versions, "scd1_overwrite": q_scd1_overwrite,
     "scd_apply": q_scd_apply, "scd_apply_category": q_scd_apply_category, "scd_as_of": q_scd_as_of,
+    "scd_apply_revert": q_scd_apply_revert, "scd_apply_revert_category": q_scd_apply_revert_category,
+    "new_keys_only": q_new_keys_only,
     # bridge, fact, reports, pipelines
     "group_signature": q_group_signature, "group_ids_full": q_group_ids_full,
     "bridge_full_load": q_bridge_full_load, "group_dim_full": q_group_dim_full,
@@ -574,6 +603,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bridge_insert_new": q_bridge_insert_new, "group_dim_insert_new": q_group_dim_insert_new,
     "fact_full_load": q_fact_full_load, "fact_incremental": q_fact_incremental,
     "fact_unmatched": q_fact_unmatched, "report_year": q_report_year, "report_daily": q_report_daily,
+    "report_year_rollup": q_report_year_rollup,
     "pipeline_full": q_pipeline_full, "pipeline_incremental": q_pipeline_incremental,
     "pipeline_full_collapse": q_pipeline_full_collapse,
 }
