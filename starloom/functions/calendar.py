@@ -80,12 +80,16 @@ def us_federal_holidays(dates: DataFrame, col: str) -> DataFrame:
 
 # --- F1-F15 -----------------------------------------------------------------
 
+# Date keys and labels come from the calendar fields of the local
+# (timestamp_ntz / date) value, so they never depend on the session time
+# zone (no daylight-saving gaps).
+
 def date_id(t: Column) -> Column:
-    return F.date_format(t, "yyyyMMdd").cast("int")
+    return (F.year(t) * 10000 + F.month(t) * 100 + F.dayofmonth(t)).cast("int")
 
 
 def full_date(t: Column) -> Column:
-    return F.date_format(t, "yyyy-MM-dd")
+    return F.to_date(t).cast("string")
 
 
 def quarter_label(t: Column) -> Column:
@@ -118,7 +122,9 @@ def date_attributes(t: Column, prefix: str = "") -> list[Column]:
 
 
 def full_time(t: Column) -> Column:
-    return F.date_format(t, "HH:mm")
+    """``HH:mm``."""
+    return F.concat(F.lpad(F.hour(t).cast("string"), 2, "0"), F.lit(":"),
+                    F.lpad(F.minute(t).cast("string"), 2, "0"))
 
 
 def daytime_indicator(hour: Column) -> Column:

@@ -16,6 +16,7 @@ from starloom.operators.clean import clean_observed
 from starloom.operators.fact import build_fact, incident_groups_full
 from starloom.operators.staging import stage_all
 from starloom.schemas import PROD_SCHEMAS, STG_SCHEMAS
+from starloom.plans.steps import step
 from starloom.sources.tables import Manifest, Warehouse
 from starloom.sources.zones import ensure_parallelism, read_zone, write_zone
 
@@ -71,22 +72,30 @@ def load_staging(clean: DataFrame, zones: Zones, load_id: str) -> dict[str, Data
 def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: str | None = None,
                   load_id: str = "full") -> Zones:
     zones = Zones.open(spark, root)
-    clean = land_cleansed(spark, raw, zones, load_id, valid_date)
-    stg = load_staging(clean, zones, load_id)
+    with step("clean"):
+        clean = land_cleansed(spark, raw, zones, load_id, valid_date)
+    with step("staging"):
+        stg = load_staging(clean, zones, load_id)
     prod = zones.prod
 
-    for name, spec in D.DIM_SPECS.items():                      # D1
-        prod.replace(name, D.full_load_dim(stg[name], spec), load_id)
-    for name, spec in D.SCD_SPECS.items():                      # D2
-        prod.replace(name, D.scd_init(stg[name], spec), load_id)
-
-    groups = B.number_groups(B.group_signature(                 # B1, B2
-        stg["fact_incident"], "stg_incident_id", "stg_category_code"))
-    prod.replace("br_category_group", B.bridge_full_load(groups, prod.read("dim_category")), load_id)  # B3
-    prod.replace("dim_category_group", B.group_dim_full(prod.read("br_category_group")), load_id)      # B4
-
-    fact = build_fact(stg["fact_incident"], prod.tables(),      # G1
-                      incident_groups_full(stg["fact_incident"], groups), sizes=prod.sizes())
-    prod.replace("fact_incident", fact, load_id)
-    zones.commit()
+    with step("dims"):
+        for name, spec in D.DIM_SPECS.items():                  # D1
+            prod.replace(name, D.full_load_dim(stg[name], spec), load_id)
+    with step("scd_init"):
+        for name, spec in D.SCD_SPECS.items():                  # D2
+            prod.replace(name, D.scd_init(stg[name], spec), load_id)
+
+    with step("groups"):
+        groups = B.number_groups(B.group_signature(             # B1, B2
+            stg["fact_incident"], "stg_incident_id", "stg_category_code"))
+    with step("bridge"):
+        prod.replace("br_category_group", B.bridge_full_load(groups, prod.read("dim_category")), load_id)  # B3
+        prod.replace("dim_category_group", B.group_dim_full(prod.read("br_category_group")), load_id)      # B4
+
+    with step("fact"):
+        fact = build_fact(stg["fact_incident"], prod.tables(),  # G1
+                          incident_groups_full(stg["fact_incident"], groups), sizes=prod.sizes())
+        prod.replace("fact_incident", fact, load_id)
+    with step("commit"):
+        zones.commit()
     return zones

@@ -9,6 +9,7 @@ from starloom.operators import dims as D
 from starloom.operators.fact import build_fact, incident_groups_incremental
 from starloom.operators.scd import scd_apply
 from starloom.plans.full_load import Zones, land_cleansed, load_staging
+from starloom.plans.steps import step
 from starloom.sources.zones import change_window
 
 
@@ -25,27 +26,34 @@ def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str,
         return zones
     if since:
         raw = change_window(raw, since)
-    clean = land_cleansed(spark, raw, zones, load_id)
-    stg = load_staging(clean, zones, load_id)
+    with step("clean"):
+        clean = land_cleansed(spark, raw, zones, load_id)
+    with step("staging"):
+        stg = load_staging(clean, zones, load_id)
     prod = zones.prod
 
-    for name, spec in D.DIM_SPECS.items():                      # D3
-        prod.append(name, D.insert_new(prod.read(name), stg[name], spec), load_id)
-    for name, spec in D.SCD_SPECS.items():                      # D4-D8
-        prod.replace(name, scd_apply(prod.read(name), stg[name], spec, as_of), load_id)
-
-    incoming = B.incoming_signatures(stg["fact_incident"], prod.read("dim_category"))   # B6
-    prod.append("br_category_group", B.bridge_insert_new(prod.read("br_category_group"), incoming), load_id)
-    prod.append("dim_category_group",                            # B8
-                B.group_dim_insert_new(prod.read("dim_category_group"), prod.read("br_category_group")), load_id)
-
-    groups = incident_groups_incremental(stg["fact_incident"], prod.read("dim_category"),
-                                         prod.read("br_category_group"), prod.row_count("dim_category_group"))
-    fact = build_fact(stg["fact_incident"], prod.tables(), groups, sizes=prod.sizes())  # G2
-    if fact_mode == "replace":
-        kept = prod.read("fact_incident").join(fact.select("incident_id").distinct(), "incident_id", "left_anti")
-        prod.replace("fact_incident", kept.unionByName(fact), load_id)
-    else:
-        prod.append("fact_incident", fact, load_id)
-    zones.commit()
+    with step("dims"):
+        for name, spec in D.DIM_SPECS.items():                  # D3
+            prod.append(name, D.insert_new(prod.read(name), stg[name], spec), load_id)
+    with step("scd_apply"):
+        for name, spec in D.SCD_SPECS.items():                  # D4-D8
+            prod.replace(name, scd_apply(prod.read(name), stg[name], spec, as_of), load_id)
+
+    with step("bridge"):
+        incoming = B.incoming_signatures(stg["fact_incident"], prod.read("dim_category"))   # B6
+        prod.append("br_category_group", B.bridge_insert_new(prod.read("br_category_group"), incoming), load_id)
+        prod.append("dim_category_group",                        # B8
+                    B.group_dim_insert_new(prod.read("dim_category_group"), prod.read("br_category_group")), load_id)
+
+    with step("fact"):
+        groups = incident_groups_incremental(stg["fact_incident"], prod.read("dim_category"),
+                                             prod.read("br_category_group"), prod.row_count("dim_category_group"))
+        fact = build_fact(stg["fact_incident"], prod.tables(), groups, sizes=prod.sizes())  # G2
+        if fact_mode == "replace":
+            kept = prod.read("fact_incident").join(fact.select("incident_id").distinct(), "incident_id", "left_anti")
+            prod.replace("fact_incident", kept.unionByName(fact), load_id)
+        else:
+            prod.append("fact_incident", fact, load_id)
+    with step("commit"):
+        zones.commit()
     return zones
