@@ -49,21 +49,21 @@ def main() -> None:
     # untimed load of the smallest fixture, as a long-running driver would be.
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm):
-        run_full_load(spark, raw_incidents(spark, warm), scratch_path(spark, "warm-up"))
+        run_full_load(spark, raw_incidents(spark, warm), scratch_path(spark, "warm-up"), fresh=True)
     raw = raw_incidents(spark, sf_dir)
     q: dict[str, float] = {}
 
-    q["e1_full_load"], full = timed(lambda: run_full_load(spark, raw, scratch_path(spark, "wh-full")))
+    q["e1_full_load"], full = timed(lambda: run_full_load(spark, raw, scratch_path(spark, "wh-full"), fresh=True))
 
     root = scratch_path(spark, "wh-incr")
-    run_full_load(spark, batch_one(raw), root, load_id="b1")
+    run_full_load(spark, batch_one(raw), root, load_id="b1", fresh=True)
     q["e2_incremental"], incr = timed(
         lambda: run_incremental(spark, batch_two(raw), root, as_of="2000-01-01", load_id="b2"))
 
     # Operator timings on the state before batch two, results written to scratch.
     b1 = incr.at("b1")
     stg2 = incr.stg.tables()
-    out = Zones.open(spark, scratch_path(spark, "wh-ops"))
+    out = Zones.open(spark, scratch_path(spark, "wh-ops"), fresh=True)
 
     def scd():
         for name, spec in D.SCD_SPECS.items():

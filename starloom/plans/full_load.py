@@ -31,9 +31,9 @@ class Zones:
     manifest: Manifest
 
     @classmethod
-    def open(cls, spark: SparkSession, root: str) -> "Zones":
+    def open(cls, spark: SparkSession, root: str, fresh: bool = False) -> "Zones":
         root = root.rstrip("/")
-        m = Manifest(spark, root)
+        m = Manifest(spark, root, fresh)
         return cls(root, Warehouse(spark, f"{root}/stg", STG_SCHEMAS, m, "stg"),
                    Warehouse(spark, f"{root}/prod", PROD_SCHEMAS, m, "prod"), m)
 
@@ -70,8 +70,9 @@ def load_staging(clean: DataFrame, zones: Zones, load_id: str) -> dict[str, Data
 
 
 def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: str | None = None,
-                  load_id: str = "full") -> Zones:
-    zones = Zones.open(spark, root)
+                  load_id: str = "full", fresh: bool = False) -> Zones:
+    """E1 into ``root`` (``fresh=True`` when the root is known to be new)."""
+    zones = Zones.open(spark, root, fresh)
     with step("clean"):
         clean = land_cleansed(spark, raw, zones, load_id, valid_date)
     with step("staging"):

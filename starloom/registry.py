@@ -20,8 +20,7 @@ from starloom.operators import clean as C
 from starloom.operators import dims as D
 from starloom.operators import scd as S
 from starloom.operators import staging as P
-from starloom.operators.fact import (build_fact, fact_unmatched, incident_groups_full,
-                                     incident_groups_incremental, resolve_dimension_keys)
+from starloom.operators.fact import fact_unmatched, incident_groups_incremental, resolve_dimension_keys
 from starloom.operators.keys import assign_ids, checked_broadcast, max_id
 from starloom.operators.reports import report_daily, report_year, report_year_rollup
 from starloom.plans.full_load import Zones, run_full_load
@@ -30,7 +29,7 @@ from starloom.schemas import PROD_DEFAULTS, PROD_SCHEMAS, STG_SCHEMAS
 from starloom.session import configure, scratch_path
 from starloom.sources import zones as Z
 from starloom.sources.adapter import batch_one, batch_two, raw_incidents
-from starloom.sources.tables import Manifest, Warehouse, conform, load_table
+from starloom.sources.tables import Warehouse, conform, load_table
 
 # Fixed parameters of the registered queries.
 VALID_DATE = "1996-01-01"        # C6 / full extract start
@@ -66,7 +65,7 @@ def _clean(spark, sf) -> DataFrame:
 def _full(spark, sf) -> Zones:
     """E1 over all raw rows."""
     return _memo(("full", id(spark), sf),
-                 lambda: run_full_load(spark, _raw(spark, sf), scratch_path(spark, "wh-full")))
+                 lambda: run_full_load(spark, _raw(spark, sf), scratch_path(spark, "wh-full"), fresh=True))
 
 
 def _incr(spark, sf) -> Zones:
@@ -74,7 +73,7 @@ def _incr(spark, sf) -> Zones:
     def build():
         root = scratch_path(spark, "wh-incr")
         raw = _raw(spark, sf)
-        run_full_load(spark, batch_one(raw), root, load_id="b1")
+        run_full_load(spark, batch_one(raw), root, load_id="b1", fresh=True)
         return run_incremental(spark, batch_two(raw), root, as_of=AS_OF_B2, load_id="b2")
     return _memo(("incr", id(spark), sf), build)
 
@@ -147,7 +146,7 @@ def q_load_audit(spark, sf):
 
 
 def q_truncate_load(spark, sf):
-    wh = Warehouse(spark, scratch_path(spark, "stg"), STG_SCHEMAS)
+    wh = Warehouse(spark, scratch_path(spark, "stg"), STG_SCHEMAS, fresh=True)
     fact = P.stage_fact_incident(_clean(spark, sf))
     load_table(wh, "fact_incident", fact, "truncate", "l1")
     load_table(wh, "fact_incident", fact, "truncate", "l2")
@@ -156,7 +155,7 @@ def q_truncate_load(spark, sf):
 
 
 def q_append_load(spark, sf):
-    wh = Warehouse(spark, scratch_path(spark, "stg"), STG_SCHEMAS)
+    wh = Warehouse(spark, scratch_path(spark, "stg"), STG_SCHEMAS, fresh=True)
     raw = _raw(spark, sf)
     load_table(wh, "fact_incident", P.stage_fact_incident(C.clean_incidents(batch_one(raw))), "truncate", "b1")
     load_table(wh, "fact_incident", P.stage_fact_incident(C.clean_incidents(batch_two(raw, False))), "append", "b2")
@@ -165,7 +164,7 @@ def q_append_load(spark, sf):
 
 
 def q_column_list_load(spark, sf):
-    wh = Warehouse(spark, scratch_path(spark, "stg"), STG_SCHEMAS)
+    wh = Warehouse(spark, scratch_path(spark, "stg"), STG_SCHEMAS, fresh=True)
     load_table(wh, "fact_incident", P.stage_fact_incident(_clean(spark, sf)), "truncate", "l1",
                col_list=["stg_incident_id", "stg_category_code", "stg_cnn"])
     wh.manifest.commit()
@@ -557,7 +556,8 @@ def q_pipeline_incremental(spark, sf):
 
 def q_pipeline_full_collapse(spark, sf):
     z = _memo(("collapse", id(spark), sf),
-              lambda: run_full_load(spark, raw_incidents(spark, sf, collapse=True), scratch_path(spark, "wh-col")))
+              lambda: run_full_load(spark, raw_incidents(spark, sf, collapse=True), scratch_path(spark, "wh-col"),
+                                    fresh=True))
     return z.prod.read("fact_incident")
 
 

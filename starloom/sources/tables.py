@@ -66,14 +66,17 @@ class Manifest:
     (``commit``), so a load that fails midway stays invisible.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, fresh: bool = False):
+        """``fresh=True``: the root is known to be new, nothing to read."""
         self.spark, self.path = spark, f"{root.rstrip('/')}/_manifest"
         self.committed: list[tuple] = []
         self.pending: list[tuple] = []
+        if fresh:
+            return
         try:
             rows = spark.read.schema(MANIFEST_SCHEMA).json(self.path).collect()
             self.committed = [tuple(r) for r in rows]
-        except AnalysisException:
+        except AnalysisException:   # no load committed yet
             pass
 
     def rows(self, zone: str, table: str, committed_only: bool = False) -> list[tuple]:
@@ -107,9 +110,9 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType],
-                 manifest: Manifest | None = None, zone: str = "default"):
+                 manifest: Manifest | None = None, zone: str = "default", fresh: bool = False):
         self.spark, self.root, self.schemas, self.zone = spark, root.rstrip("/"), schemas, zone
-        self.manifest = manifest or Manifest(spark, root)
+        self.manifest = manifest or Manifest(spark, root, fresh)
 
     # -- state ---------------------------------------------------------------
     def version(self, table: str) -> int:
