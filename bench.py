@@ -72,7 +72,8 @@ def main() -> None:
 
     def bridge():
         incoming = B.incoming_signatures(stg2["fact_incident"], incr.prod.read("dim_category"))
-        out.prod.replace("br_category_group", B.bridge_insert_new(b1.prod.read("br_category_group"), incoming), "op")
+        out.prod.replace("br_category_group", B.bridge_insert_new(b1.prod.read("br_category_group"), incoming,
+                                                                  b1.idx.read("group_signature")), "op")
     q["bridge_insert_new"], _ = timed(bridge)
 
     def fact():

@@ -74,19 +74,34 @@ def incoming_signatures(stg_fact: DataFrame, dim_category: DataFrame) -> DataFra
                            "incident_id", "category_id", "category_id_group")
 
 
-def bridge_insert_new(bridge: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Bridge rows of signatures not yet present (Q2), ids after the max (Q3).
+def new_groups(signatures: DataFrame, incoming: DataFrame, start=None) -> DataFrame:
+    """Signatures not yet known (Q2), numbered after the current maximum (Q3).
 
-    Returns only the rows to append.
+    ``signatures``: (category_group_id, category_id_group) of every existing
+    group.  Returns (category_group_id, category_id_group) of the new ones.
     """
-    existing = bridge_signatures(bridge).select("category_id_group")
-    new = incoming.select("category_id_group").distinct().join(existing, "category_id_group", "left_anti")
-    numbered = number_groups(new, "category_group_id", "category_id_group",
-                             start=max_id(bridge, "category_group_id"))
+    new = incoming.select("category_id_group").distinct().join(
+        signatures.select("category_id_group"), "category_id_group", "left_anti")
+    start = max_id(signatures, "category_group_id") if start is None else start
+    return number_groups(new, "category_group_id", "category_id_group", start=start)
+
+
+def bridge_rows(numbered: DataFrame) -> DataFrame:
+    """Bridge rows (one per member occurrence) of numbered signatures."""
     rows = explode_signature(numbered, "category_group_id", "category_id_group", "category_id")
     return rows.select("category_group_id", F.col("category_id").cast("bigint"))
 
 
+def bridge_insert_new(bridge: DataFrame, incoming: DataFrame, signatures: DataFrame | None = None) -> DataFrame:
+    """Bridge rows of signatures not yet present (Q2), ids after the max (Q3).
+
+    Returns only the rows to append.  Pass the stored ``signatures`` of the
+    existing groups to avoid re-aggregating the whole bridge.
+    """
+    sigs = signatures if signatures is not None else bridge_signatures(bridge)
+    return bridge_rows(new_groups(sigs, incoming, max_id(bridge, "category_group_id")))
+
+
 def group_dim_insert_new(group_dim: DataFrame, bridge: DataFrame) -> DataFrame:
     """Group ids of the bridge not yet in the group dimension (Q4)."""
     return group_dim_full(bridge).join(group_dim, "category_group_id", "left_anti")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.bridge import bridge_signatures, group_signature, incoming_signatures
+from starloom.operators.bridge import group_signature, incoming_signatures
 from starloom.operators.keys import checked_broadcast
 
 FACT_COLUMNS = ["category_group_id", "resolution_id", "incident_date", "incident_time", "report_date",
@@ -68,13 +68,15 @@ def incident_groups_full(stg_fact: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def incident_groups_incremental(stg_fact: DataFrame, dim_category: DataFrame,
-                                bridge: DataFrame, n_groups: int | None = None) -> DataFrame:
+                                signatures: DataFrame, n_groups: int | None = None) -> DataFrame:
     """Group id of each staged incident from its current-category-id signature.
 
-    ``n_groups`` (rows of the group dimension) bounds the signature lookup.
+    ``signatures``: (category_group_id, category_id_group) of every group
+    (``bridge_signatures(bridge)`` or the stored signature index);
+    ``n_groups`` bounds its size for the broadcast check.
     """
     sig = incoming_signatures(stg_fact, dim_category)
-    g = checked_broadcast(bridge_signatures(bridge), n_groups)
+    g = checked_broadcast(signatures.select("category_group_id", "category_id_group"), n_groups)
     return sig.join(g, "category_id_group").select("incident_id", "category_group_id")
 
 

@@ -15,7 +15,7 @@ from starloom.operators import dims as D
 from starloom.operators.clean import clean_observed
 from starloom.operators.fact import build_fact, incident_groups_full
 from starloom.operators.staging import stage_all
-from starloom.schemas import PROD_SCHEMAS, STG_SCHEMAS
+from starloom.schemas import INDEX_SCHEMAS, PROD_SCHEMAS, STG_SCHEMAS
 from starloom.plans.steps import step
 from starloom.sources.tables import Manifest, Warehouse
 from starloom.sources.zones import ensure_parallelism, read_zone, write_zone
@@ -23,28 +23,29 @@ from starloom.sources.zones import ensure_parallelism, read_zone, write_zone
 
 @dataclass
 class Zones:
-    """The stores of one warehouse root."""
+    """The stores of one warehouse root (one shared commit manifest)."""
     root: str
     stg: Warehouse
     prod: Warehouse
-
+    idx: Warehouse
     manifest: Manifest
 
     @classmethod
     def open(cls, spark: SparkSession, root: str, fresh: bool = False) -> "Zones":
-        root = root.rstrip("/")
-        m = Manifest(spark, root, fresh)
+        return cls._with(spark, root.rstrip("/"), Manifest(spark, root.rstrip("/"), fresh))
+
+    @classmethod
+    def _with(cls, spark: SparkSession, root: str, m: Manifest) -> "Zones":
         return cls(root, Warehouse(spark, f"{root}/stg", STG_SCHEMAS, m, "stg"),
-                   Warehouse(spark, f"{root}/prod", PROD_SCHEMAS, m, "prod"), m)
+                   Warehouse(spark, f"{root}/prod", PROD_SCHEMAS, m, "prod"),
+                   Warehouse(spark, f"{root}/idx", INDEX_SCHEMAS, m, "idx"), m)
 
     def commit(self) -> None:
         self.manifest.commit()
 
     def at(self, load_id: str) -> "Zones":
         """The warehouse as it was right after ``load_id`` (read-only use)."""
-        m = self.manifest.upto(load_id)
-        return Zones(self.root, Warehouse(self.stg.spark, self.stg.root, self.stg.schemas, m, "stg"),
-                     Warehouse(self.prod.spark, self.prod.root, self.prod.schemas, m, "prod"), m)
+        return Zones._with(self.stg.spark, self.root, self.manifest.upto(load_id))
 
 
 def land_cleansed(spark: SparkSession, raw: DataFrame, zones: Zones, load_id: str,
@@ -92,6 +93,7 @@ def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: st
     with step("bridge"):
         prod.replace("br_category_group", B.bridge_full_load(groups, prod.read("dim_category")), load_id)  # B3
         prod.replace("dim_category_group", B.group_dim_full(prod.read("br_category_group")), load_id)      # B4
+        zones.idx.replace("group_signature", B.bridge_signatures(prod.read("br_category_group")), load_id)  # B5
 
     with step("fact"):
         fact = build_fact(stg["fact_incident"], prod.tables(),  # G1

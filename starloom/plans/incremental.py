@@ -41,13 +41,16 @@ def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str,
 
     with step("bridge"):
         incoming = B.incoming_signatures(stg["fact_incident"], prod.read("dim_category"))   # B6
-        prod.append("br_category_group", B.bridge_insert_new(prod.read("br_category_group"), incoming), load_id)
-        prod.append("dim_category_group",                        # B8
-                    B.group_dim_insert_new(prod.read("dim_category_group"), prod.read("br_category_group")), load_id)
+        numbered = B.new_groups(zones.idx.read("group_signature"), incoming)              # B7 (Q2, Q3)
+        prod.append("br_category_group", B.bridge_rows(numbered), load_id)
+        # The new group ids are exactly the ones numbered here (Q4), so
+        # the group dimension needs no pass over the bridge.
+        prod.append("dim_category_group", numbered.select("category_group_id"), load_id)
+        zones.idx.append("group_signature", numbered, load_id)
 
     with step("fact"):
         groups = incident_groups_incremental(stg["fact_incident"], prod.read("dim_category"),
-                                             prod.read("br_category_group"), prod.row_count("dim_category_group"))
+                                             zones.idx.read("group_signature"), prod.row_count("dim_category_group"))
         fact = build_fact(stg["fact_incident"], prod.tables(), groups, sizes=prod.sizes())  # G2
         if fact_mode == "replace":
             kept = prod.read("fact_incident").join(fact.select("incident_id").distinct(), "incident_id", "left_anti")

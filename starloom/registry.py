@@ -510,7 +510,8 @@ def q_fact_incremental(spark, sf):
 def q_fact_unmatched(spark, sf):
     b1 = _b1(spark, sf)
     stg = _stg2(spark, sf)["fact_incident"]
-    groups = incident_groups_incremental(stg, b1.prod.read("dim_category"), b1.prod.read("br_category_group"))
+    groups = incident_groups_incremental(stg, b1.prod.read("dim_category"),
+                                         B.bridge_signatures(b1.prod.read("br_category_group")))
     return fact_unmatched(stg, b1.prod.tables(), groups, b1.prod.sizes())
 
 

@@ -57,6 +57,13 @@ PROD_SCHEMAS: dict[str, T.StructType] = {
         "incident_id bigint"),
 }
 
+# Internal lookup kept next to the warehouse: the category-id signature of
+# every group, appended when a group is created, so incremental loads never
+# re-aggregate the whole bridge.
+INDEX_SCHEMAS: dict[str, T.StructType] = {
+    "group_signature": _schema("category_group_id bigint, category_id_group string"),
+}
+
 # Column defaults of the versioned dimensions (K2).
 FULL_LOAD_EFF_DATE = "1970-01-01"
 OPEN_END_DATE = "2999-12-31"

@@ -17,6 +17,11 @@ def test_full_equals_full_plus_incremental_without_changes(spark, scratch):
     a, b = natural_fact(full.prod.tables()), natural_fact(inc.prod.tables())
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # the stored signature index equals the bridge's signatures, one group per signature
+    from starloom.operators.bridge import bridge_signatures
+    idx, derived = inc.idx.read("group_signature"), bridge_signatures(inc.prod.read("br_category_group"))
+    assert idx.exceptAll(derived).count() == 0 and derived.exceptAll(idx).count() == 0
+    assert idx.select("category_id_group").distinct().count() == idx.count()
     # every fact key resolves
     f = inc.prod.read("fact_incident")
     assert f.join(inc.prod.read("dim_category_group"), "category_group_id", "left_anti").count() == 0
