@@ -1,13 +1,15 @@
 """Dimension loads D1-D3 and the SCD specs.
 
-Natural-key dimensions are bounded by the domain (minutes of a day, days,
-districts, codes), so their ids come from the single-partition window path
-of ``assign_ids``.
+Natural-key dimensions are usually bounded by the domain (minutes of a day,
+days, districts, codes), so their ids come from the single-partition window
+path of ``assign_ids``; the pipelines switch to its distributed path when
+the staged member count (observed at write time) exceeds
+``keys.WINDOW_MAX_ROWS``.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +39,6 @@ class ScdSpec:
     eff_col: str = "eff_date"
     exp_col: str = "exp_date"
     flag_col: str = "current_flag"
-    other: list[str] = field(default_factory=list)
 
     @property
     def attrs(self) -> list[str]:
@@ -76,16 +77,19 @@ def _with_id_first(df: DataFrame, id_col: str | None, cols: list[str]) -> DataFr
     return df.select(*([id_col] if id_col else []), *cols)
 
 
-def full_load_dim(stg: DataFrame, spec: DimSpec) -> DataFrame:
-    """Staging rows into an empty dimension; ids in natural-key order."""
+def full_load_dim(stg: DataFrame, spec: DimSpec, distributed: bool = False) -> DataFrame:
+    """Staging rows into an empty dimension; ids in natural-key order.
+
+    ``distributed``: number with the distributed path (large member sets).
+    """
     df = _rename(stg, spec.columns)
     cols = list(spec.columns.values())
     if spec.id_col:
-        df = assign_ids(df, spec.id_col, spec.key)
+        df = assign_ids(df, spec.id_col, spec.key, distributed=distributed)
     return _with_id_first(df, spec.id_col, cols)
 
 
-def insert_new(dim: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
+def insert_new(dim: DataFrame, stg: DataFrame, spec: DimSpec, distributed: bool = False) -> DataFrame:
     """D3: the staging members whose natural key is unseen, ids after the max.
 
     Returns only the rows to insert (J3 anti join, K1 with start = max id).
@@ -94,7 +98,7 @@ def insert_new(dim: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
     new = df.join(dim.select(spec.key), spec.key, "left_anti")
     cols = list(spec.columns.values())
     if spec.id_col:
-        new = assign_ids(new, spec.id_col, spec.key, start=max_id(dim, spec.id_col))
+        new = assign_ids(new, spec.id_col, spec.key, start=max_id(dim, spec.id_col), distributed=distributed)
     return _with_id_first(new, spec.id_col, cols)
 
 
@@ -112,10 +116,10 @@ def staged_versions(stg: DataFrame, spec: ScdSpec) -> DataFrame:
     return df.withColumn(spec.hash_col, fnv1a64_chain(spec.tracked))
 
 
-def scd_init(stg: DataFrame, spec: ScdSpec) -> DataFrame:
+def scd_init(stg: DataFrame, spec: ScdSpec, distributed: bool = False) -> DataFrame:
     """First load of a versioned dimension (K1 + K2 + F16/F17)."""
     df = staged_versions(stg, spec)
-    df = assign_ids(df, spec.id_col, spec.key)
+    df = assign_ids(df, spec.id_col, spec.key, distributed=distributed)
     return df.select(
         spec.id_col, *spec.attrs, spec.hash_col,
         F.lit(FULL_LOAD_EFF_DATE).cast("date").alias(spec.eff_col),

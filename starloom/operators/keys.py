@@ -9,9 +9,18 @@ from pyspark.sql import functions as F
 # its row count is at most this; otherwise the join stays a shuffle join.
 BROADCAST_MAX_ROWS = 2_000_000
 
+# Above this many rows a set is numbered with the distributed path of
+# ``assign_ids`` instead of a single-partition window.
+WINDOW_MAX_ROWS = 1_000_000
+
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 
 
+def needs_distributed(n_rows: int | None) -> bool:
+    """Number a set of (at most) ``n_rows`` rows with the distributed path?"""
+    return n_rows is None or n_rows > WINDOW_MAX_ROWS
+
+
 def _order_cols(order_by) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in ([order_by] if isinstance(order_by, (str, Column)) else order_by)]
 

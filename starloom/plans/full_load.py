@@ -14,6 +14,7 @@ from starloom.operators import bridge as B
 from starloom.operators import dims as D
 from starloom.operators.clean import clean_observed
 from starloom.operators.fact import build_fact, incident_groups_full
+from starloom.operators.keys import needs_distributed
 from starloom.operators.staging import stage_all
 from starloom.schemas import INDEX_SCHEMAS, PROD_SCHEMAS, STG_SCHEMAS
 from starloom.plans.steps import step
@@ -82,10 +83,12 @@ def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: st
 
     with step("dims"):
         for name, spec in D.DIM_SPECS.items():                  # D1
-            prod.replace(name, D.full_load_dim(stg[name], spec), load_id)
+            big = needs_distributed(zones.stg.row_count(name))
+            prod.replace(name, D.full_load_dim(stg[name], spec, big), load_id)
     with step("scd_init"):
         for name, spec in D.SCD_SPECS.items():                  # D2
-            prod.replace(name, D.scd_init(stg[name], spec), load_id)
+            big = needs_distributed(zones.stg.row_count(name))
+            prod.replace(name, D.scd_init(stg[name], spec, big), load_id)
 
     with step("groups"):
         groups = B.number_groups(B.group_signature(             # B1, B2

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom.operators import bridge as B
 from starloom.operators import dims as D
 from starloom.operators.fact import build_fact, incident_groups_incremental
+from starloom.operators.keys import needs_distributed
 from starloom.operators.scd import scd_apply
 from starloom.plans.full_load import Zones, land_cleansed, load_staging
 from starloom.plans.steps import step
@@ -34,10 +35,12 @@ def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str,
 
     with step("dims"):
         for name, spec in D.DIM_SPECS.items():                  # D3
-            prod.append(name, D.insert_new(prod.read(name), stg[name], spec), load_id)
+            big = needs_distributed(zones.stg.row_count(name))
+            prod.append(name, D.insert_new(prod.read(name), stg[name], spec, big), load_id)
     with step("scd_apply"):
         for name, spec in D.SCD_SPECS.items():                  # D4-D8
-            prod.replace(name, scd_apply(prod.read(name), stg[name], spec, as_of), load_id)
+            big = needs_distributed(zones.stg.row_count(name))
+            prod.replace(name, scd_apply(prod.read(name), stg[name], spec, as_of, big), load_id)
 
     with step("bridge"):
         incoming = B.incoming_signatures(stg["fact_incident"], prod.read("dim_category"))   # B6

@@ -68,3 +68,15 @@ def test_insert_new_continues_ids(spark):
     dim = materialize(spark, dim)
     new = D.insert_new(dim, spark.createDataFrame([("Open",), ("Arrest",), ("Zeta",)], "stg_resolution string"), spec)
     assert sorted((r.resolution_id, r.resolution) for r in new.collect()) == [(3, "Arrest"), (4, "Zeta")]
+
+
+def test_distributed_numbering_gives_the_same_dimension(spark):
+    rows = [(i, f"I{i % 7}", float(i), float(-i)) for i in range(50, 0, -1)]
+    a = sorted(map(tuple, D.scd_init(stg(spark, rows), SPEC).collect()))
+    b = sorted(map(tuple, D.scd_init(stg(spark, rows), SPEC, distributed=True).collect()))
+    assert a == b
+    v1 = materialize(spark, D.scd_init(stg(spark, rows), SPEC))
+    nxt = [(i, f"J{i % 5}", float(i), float(-i)) for i in range(40, 60)]
+    x = sorted(map(tuple, scd_apply(v1, stg(spark, nxt), SPEC, "2022-01-01").collect()))
+    y = sorted(map(tuple, scd_apply(v1, stg(spark, nxt), SPEC, "2022-01-01", distributed=True).collect()))
+    assert x == y
