@@ -13,6 +13,7 @@ VALID_DATE = "1996-01-01"
 SINCE = "1998-01-01"
 AS_OF_B2 = "2000-01-01"
 AS_OF_B3 = "2000-01-02"
+STREAM_AS_OF_1 = "1999-12-31"
 SPLIT = "2000-01-01"
 ROW_CAP = 1000
 VERSION_DATE = "1999-12-31"
@@ -214,6 +215,7 @@ def full_ctes(p: str) -> list[tuple[str, str]]:
         (f"{p}_igroups", f"SELECT s.stg_incident_id AS incident_id, g.group_id AS category_group_id "
                          f"FROM {p}_isig s JOIN {p}_groups g ON s.signature = g.signature"),
         (f"{p}_fact", _fact(p, f"{p}_sfact", p, f"{p}_igroups", "AND i.current_flag = 1")),
+        (f"{p}_brsig", _signature(f"{p}_br", "category_group_id", "category_id", "category_id_group")),
     ]
 
 
@@ -244,8 +246,8 @@ def _scd_next(old: str, stg: str, key: str, attrs: list[str], overwrite: list[st
             (f"{old}_next", f"{hist} UNION ALL SELECT * FROM {old}_upd UNION ALL SELECT * FROM {old}_new")]
 
 
-def incr_ctes(p1: str, p2: str) -> list[tuple[str, str]]:
-    """Batch ``p2`` loaded on top of the full load ``p1``; results in ``{p2}_*``."""
+def incr_ctes(p1: str, p2: str, as_of: str = AS_OF_B2) -> list[tuple[str, str]]:
+    """Batch ``p2`` loaded on top of the warehouse ``p1``; results in ``{p2}_*``."""
     out = [
         (f"{p2}_new_date", f"SELECT stg_date_id AS date_id, stg_full_date AS full_date, stg_year AS year, stg_month AS month, "
                            f"stg_month_name AS month_name, stg_day_of_month AS day_of_month, stg_day_of_week AS day_of_week, "
@@ -267,16 +269,15 @@ def incr_ctes(p1: str, p2: str) -> list[tuple[str, str]]:
         (f"{p2}_scat_c", _collapsed_cat(p2)),
     ]
     out += _scd_next(f"{p1}_dim_int", f"{p2}_sint_c", "cnn", ["cnn", "intersection", "latitude", "longitude"],
-                     ["latitude", "longitude"], "intersection_id")
+                     ["latitude", "longitude"], "intersection_id", as_of)
     out += _scd_next(f"{p1}_dim_cat", f"{p2}_scat_c", "category_code",
-                     ["category_code", "category", "subcategory", "description"], ["description"], "category_id")
+                     ["category_code", "category", "subcategory", "description"], ["description"], "category_id", as_of)
     out += [
         (f"{p2}_dim_int", f"SELECT * FROM {p1}_dim_int_next"),
         (f"{p2}_dim_cat", f"SELECT * FROM {p1}_dim_cat_next"),
         (f"{p2}_icat", f"SELECT f.stg_incident_id AS incident_id, c.category_id FROM {p2}_sfact f "
                        f"JOIN {p2}_dim_cat c ON f.stg_category_code = c.category_code AND c.current_flag = 1"),
         (f"{p2}_incoming", _signature(f"{p2}_icat", "incident_id", "category_id", "category_id_group")),
-        (f"{p1}_brsig", _signature(f"{p1}_br", "category_group_id", "category_id", "category_id_group")),
         (f"{p2}_newsig", f"SELECT (SELECT coalesce(max(category_group_id), 0) FROM {p1}_br) + row_number() OVER (ORDER BY category_id_group) "
                          f"AS category_group_id, category_id_group FROM (SELECT DISTINCT category_id_group FROM {p2}_incoming "
                          f"WHERE category_id_group NOT IN (SELECT category_id_group FROM {p1}_brsig))"),
@@ -323,6 +324,13 @@ def all_ctes() -> list[tuple[str, str]]:
     ctes += stage_ctes("b1", "b1_clean") + stage_ctes("b2", "b2_clean") + stage_ctes("u2", "u2_clean")
     ctes += full_ctes("a") + full_ctes("c") + full_ctes("b1")
     ctes += incr_ctes("b1", "b2")
+    # streaming (S14): batch one, then batch two, both as incremental loads
+    # into an empty warehouse
+    ctes += [(f"e0_{t}", f"SELECT * FROM b1_{t} WHERE false")
+             for t in ("dim_date", "dim_time", "dim_res", "dim_pd", "dim_int", "dim_cat", "br", "gdim", "fact",
+                       "brsig")]
+    ctes += stage_ctes("s1", "b1_clean") + stage_ctes("s2", "b2_clean")
+    ctes += incr_ctes("e0", "s1", STREAM_AS_OF_1) + incr_ctes("s1", "s2", AS_OF_B2)
     ctes += [("u2_sint_c", _collapsed_int("u2")), ("u2_scat_c", _collapsed_cat("u2"))]
     ctes += _scd_next("b2_dim_int", "u2_sint_c", "cnn", ["cnn", "intersection", "latitude", "longitude"],
                       ["latitude", "longitude"], "intersection_id", AS_OF_B3)
@@ -522,6 +530,7 @@ GROUP BY 1, 2, 3, 4, 5""",
         "pipeline_full": _natural_fact("a"),
         "pipeline_incremental": _natural_fact("b2"),
         "pipeline_full_collapse": "SELECT * FROM c_fact",
+        "micro_batch": "SELECT * FROM s2_fact",
         "scd_apply_revert": "SELECT * FROM b2_dim_int_next",
         "scd_apply_revert_category": "SELECT * FROM b2_dim_cat_next",
         "new_keys_only": "SELECT stg_category_code AS category_code FROM b2_scat WHERE stg_category_code NOT IN (SELECT category_code FROM b1_dim_cat)",
