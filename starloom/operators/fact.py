@@ -59,23 +59,29 @@ def resolve_dimension_keys(stg_fact: DataFrame, dims: dict[str, DataFrame],
         F.col("p.police_district_id"), F.col("f.stg_incident_id").alias("incident_id"))
 
 
-def incident_groups_full(stg_fact: DataFrame, groups: DataFrame) -> DataFrame:
-    """Group id of each staged incident from its code signature (full load)."""
-    sig = group_signature(stg_fact, "stg_incident_id", "stg_category_code")
+def incident_groups_full(stg_fact: DataFrame, groups: DataFrame,
+                         signatures: DataFrame | None = None) -> DataFrame:
+    """Group id of each staged incident from its code signature (full load).
+
+    ``signatures``: the (stg_incident_id, signature) rows if already built.
+    """
+    sig = signatures if signatures is not None else group_signature(stg_fact, "stg_incident_id", "stg_category_code")
     g = checked_broadcast(groups.select(F.col("signature"), F.col("group_id").alias("category_group_id")))
     return (sig.join(g, "signature")
             .select(F.col("stg_incident_id").alias("incident_id"), "category_group_id"))
 
 
 def incident_groups_incremental(stg_fact: DataFrame, dim_category: DataFrame,
-                                signatures: DataFrame, n_groups: int | None = None) -> DataFrame:
+                                signatures: DataFrame, n_groups: int | None = None,
+                                incoming: DataFrame | None = None) -> DataFrame:
     """Group id of each staged incident from its current-category-id signature.
 
     ``signatures``: (category_group_id, category_id_group) of every group
     (``bridge_signatures(bridge)`` or the stored signature index);
-    ``n_groups`` bounds its size for the broadcast check.
+    ``n_groups`` bounds its size for the broadcast check; ``incoming``: the
+    batch's (incident_id, category_id_group) rows if already built.
     """
-    sig = incoming_signatures(stg_fact, dim_category)
+    sig = incoming if incoming is not None else incoming_signatures(stg_fact, dim_category)
     g = checked_broadcast(signatures.select("category_group_id", "category_id_group"), n_groups)
     return sig.join(g, "category_id_group").select("incident_id", "category_group_id")
 

@@ -17,7 +17,7 @@ from starloom.operators.fact import build_fact, incident_groups_full
 from starloom.operators.keys import needs_distributed
 from starloom.operators.staging import stage_all
 from starloom.schemas import INDEX_SCHEMAS, PROD_SCHEMAS, STG_SCHEMAS
-from starloom.plans.steps import step
+from starloom.plans.steps import run_concurrently, step
 from starloom.sources.tables import Manifest, Warehouse
 from starloom.sources.zones import ensure_parallelism, read_zone, write_zone
 
@@ -66,8 +66,8 @@ def land_cleansed(spark: SparkSession, raw: DataFrame, zones: Zones, load_id: st
 
 def load_staging(clean: DataFrame, zones: Zones, load_id: str) -> dict[str, DataFrame]:
     """P1-P7 truncate-loaded into the staging store."""
-    for name, df in stage_all(clean).items():
-        zones.stg.replace(name, df, load_id)
+    staged = stage_all(clean)
+    run_concurrently([lambda n=n, df=df: zones.stg.replace(n, df, load_id) for n, df in staged.items()])
     return zones.stg.tables()
 
 
@@ -81,26 +81,33 @@ def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: st
         stg = load_staging(clean, zones, load_id)
     prod = zones.prod
 
+    def dim(name, spec):                                        # D1
+        big = needs_distributed(zones.stg.row_count(name))
+        prod.replace(name, D.full_load_dim(stg[name], spec, big), load_id)
+
+    def scd(name, spec):                                        # D2
+        big = needs_distributed(zones.stg.row_count(name))
+        prod.replace(name, D.scd_init(stg[name], spec, big), load_id)
+
     with step("dims"):
-        for name, spec in D.DIM_SPECS.items():                  # D1
-            big = needs_distributed(zones.stg.row_count(name))
-            prod.replace(name, D.full_load_dim(stg[name], spec, big), load_id)
-    with step("scd_init"):
-        for name, spec in D.SCD_SPECS.items():                  # D2
-            big = needs_distributed(zones.stg.row_count(name))
-            prod.replace(name, D.scd_init(stg[name], spec, big), load_id)
-
-    with step("groups"):
-        groups = B.number_groups(B.group_signature(             # B1, B2
-            stg["fact_incident"], "stg_incident_id", "stg_category_code"))
+        run_concurrently([lambda n=n, s=s: dim(n, s) for n, s in D.DIM_SPECS.items()]
+                         + [lambda n=n, s=s: scd(n, s) for n, s in D.SCD_SPECS.items()])
+
+    with step("groups"):                                        # B1, B2
+        # incident signatures are built once (checkpointed) and reused for
+        # the numbering and the fact lookup
+        isig = B.group_signature(stg["fact_incident"], "stg_incident_id", "stg_category_code").checkpoint()
+        groups = B.number_groups(isig)
     with step("bridge"):
         prod.replace("br_category_group", B.bridge_full_load(groups, prod.read("dim_category")), load_id)  # B3
-        prod.replace("dim_category_group", B.group_dim_full(prod.read("br_category_group")), load_id)      # B4
-        zones.idx.replace("group_signature", B.bridge_signatures(prod.read("br_category_group")), load_id)  # B5
+        bridge = prod.read("br_category_group")
+        run_concurrently([
+            lambda: prod.replace("dim_category_group", B.group_dim_full(bridge), load_id),                # B4
+            lambda: zones.idx.replace("group_signature", B.bridge_signatures(bridge), load_id)])          # B5
 
     with step("fact"):
         fact = build_fact(stg["fact_incident"], prod.tables(),  # G1
-                          incident_groups_full(stg["fact_incident"], groups), sizes=prod.sizes())
+                          incident_groups_full(stg["fact_incident"], groups, isig), sizes=prod.sizes())
         prod.replace("fact_incident", fact, load_id)
     with step("commit"):
         zones.commit()

@@ -10,7 +10,7 @@ from starloom.operators.fact import build_fact, incident_groups_incremental
 from starloom.operators.keys import needs_distributed
 from starloom.operators.scd import scd_apply
 from starloom.plans.full_load import Zones, land_cleansed, load_staging
-from starloom.plans.steps import step
+from starloom.plans.steps import run_concurrently, step
 from starloom.sources.zones import change_window
 
 
@@ -33,27 +33,32 @@ def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str,
         stg = load_staging(clean, zones, load_id)
     prod = zones.prod
 
+    def dim(name, spec):                                        # D3
+        big = needs_distributed(zones.stg.row_count(name))
+        prod.append(name, D.insert_new(prod.read(name), stg[name], spec, big), load_id)
+
+    def scd(name, spec):                                        # D4-D8
+        big = needs_distributed(zones.stg.row_count(name))
+        prod.replace(name, scd_apply(prod.read(name), stg[name], spec, as_of, big), load_id)
+
     with step("dims"):
-        for name, spec in D.DIM_SPECS.items():                  # D3
-            big = needs_distributed(zones.stg.row_count(name))
-            prod.append(name, D.insert_new(prod.read(name), stg[name], spec, big), load_id)
-    with step("scd_apply"):
-        for name, spec in D.SCD_SPECS.items():                  # D4-D8
-            big = needs_distributed(zones.stg.row_count(name))
-            prod.replace(name, scd_apply(prod.read(name), stg[name], spec, as_of, big), load_id)
+        run_concurrently([lambda n=n, s=s: dim(n, s) for n, s in D.DIM_SPECS.items()]
+                         + [lambda n=n, s=s: scd(n, s) for n, s in D.SCD_SPECS.items()])
 
     with step("bridge"):
-        incoming = B.incoming_signatures(stg["fact_incident"], prod.read("dim_category"))   # B6
-        numbered = B.new_groups(zones.idx.read("group_signature"), incoming)              # B7 (Q2, Q3)
-        prod.append("br_category_group", B.bridge_rows(numbered), load_id)
+        incoming = B.incoming_signatures(stg["fact_incident"], prod.read("dim_category")).checkpoint()   # B6
+        numbered = B.new_groups(zones.idx.read("group_signature"), incoming)                             # B7
         # The new group ids are exactly the ones numbered here (Q4), so
         # the group dimension needs no pass over the bridge.
-        prod.append("dim_category_group", numbered.select("category_group_id"), load_id)
-        zones.idx.append("group_signature", numbered, load_id)
+        run_concurrently([
+            lambda: prod.append("br_category_group", B.bridge_rows(numbered), load_id),
+            lambda: prod.append("dim_category_group", numbered.select("category_group_id"), load_id),
+            lambda: zones.idx.append("group_signature", numbered, load_id)])
 
     with step("fact"):
         groups = incident_groups_incremental(stg["fact_incident"], prod.read("dim_category"),
-                                             zones.idx.read("group_signature"), prod.row_count("dim_category_group"))
+                                             zones.idx.read("group_signature"), prod.row_count("dim_category_group"),
+                                             incoming)
         fact = build_fact(stg["fact_incident"], prod.tables(), groups, sizes=prod.sizes())  # G2
         if fact_mode == "replace":
             kept = prod.read("fact_incident").join(fact.select("incident_id").distinct(), "incident_id", "left_anti")

@@ -17,3 +17,17 @@ def step(name: str):
     t = time.time()
     yield
     print(f"[starloom] {name}: {time.time() - t:.2f}s", file=sys.stderr, flush=True)
+
+
+def run_concurrently(tasks: list, max_workers: int = 8) -> list:
+    """Run independent Spark actions (table writes) as concurrent jobs.
+
+    Each callable submits its own job from a driver thread; the scheduler
+    interleaves their tasks, so small writes overlap their fixed latency
+    instead of queueing.  Exceptions propagate.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    if len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
+        return [f.result() for f in [pool.submit(t) for t in tasks]]

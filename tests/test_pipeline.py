@@ -72,3 +72,23 @@ def test_streaming_micro_batches(spark, scratch):
     assert n > 0
     run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of="1998-01-01")  # nothing new
     assert Zones.open(spark, root).prod.read("fact_incident").count() == n
+
+
+def test_empty_batch_and_replace_mode(spark, scratch):
+    raw = raw_incidents(spark, SF001)
+    root = scratch("modes")
+    z = run_full_load(spark, raw, root)
+    before = {t: z.prod.read(t).count() for t in z.prod.schemas}
+    z = run_incremental(spark, raw.limit(0), root, as_of="2001-01-01", load_id="empty")
+    assert {t: z.prod.read(t).count() for t in z.prod.schemas} == before
+
+    # re-send some incidents with a new resolution: append keeps both, replace keeps the new rows only
+    resent = raw.filter(F.col("incident_id") % 5 == 0).withColumn("resolution", F.lit("Reopened"))
+    ids = {r.incident_id for r in z.prod.read("fact_incident").filter(F.col("incident_id") % 5 == 0)
+           .select("incident_id").distinct().collect()}
+    z = run_incremental(spark, resent, root, as_of="2001-01-02", load_id="resend", fact_mode="replace")
+    f = z.prod.read("fact_incident").join(z.prod.read("dim_resolution"), "resolution_id")
+    resent_rows = f.filter(F.col("incident_id").isin(list(ids)))
+    assert resent_rows.count() > 0
+    assert {r.resolution for r in resent_rows.select("resolution").distinct().collect()} == {"Reopened"}
+    assert f.count() == before["fact_incident"]
