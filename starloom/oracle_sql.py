@@ -538,4 +538,39 @@ GROUP BY 1, 2, 3, 4, 5""",
 FROM a_fact f JOIN a_dim_date d ON f.incident_date = d.date_id JOIN a_dim_pd pd ON f.police_district_id = pd.police_district_id
 GROUP BY ROLLUP (d.year, d.month, pd.police_district)""",
     }
+    ts = f"(SELECT DISTINCT ts FROM {ts_all})"
+    scalar = {
+        "date_id": "CAST(strftime(ts, '%Y%m%d') AS INT)",
+        "full_date": "strftime(ts, '%Y-%m-%d')",
+        "year": "CAST(year(ts) AS INT)",
+        "month": "CAST(month(ts) AS INT)",
+        "day_of_month": "CAST(day(ts) AS INT)",
+        "month_name": "monthname(ts)",
+        "day_of_week": "CAST(isodow(ts) - 1 AS INT)",
+        "day_name": "dayname(ts)",
+        "quarter_label": "CAST(year(ts) AS VARCHAR) || 'Q' || CAST(quarter(ts) AS VARCHAR)",
+        "holiday_indicator": "CASE WHEN CAST(ts AS DATE) IN (SELECT hd FROM hol) THEN 'Holiday' ELSE 'Non-Holiday' END",
+        "weekday_indicator": "CASE WHEN isodow(ts) - 1 > 4 THEN 'Weekend' ELSE 'Weekday' END",
+        "full_time": "strftime(ts, '%H:%M')",
+        "hour": "CAST(hour(ts) AS INT)",
+        "minute": "CAST(minute(ts) AS INT)",
+        "daytime_indicator": "CASE WHEN hour(ts) BETWEEN 6 AND 18 THEN 'Day' ELSE 'Night' END",
+        "is_in_set": "CAST(ts AS DATE) IN (SELECT hd FROM hol)",
+    }
+    for k, expr in scalar.items():
+        q[k] = f"SELECT ts, {expr} AS v FROM {ts}"
+    q.update({
+        "split_to_array": ("SELECT group_id, CAST(len(string_split(signature, ',')) AS INT) AS n_parts, "
+                           "string_split(signature, ',')[1] AS first_part FROM a_groups"),
+        "cast_int": ("SELECT group_id, part, CAST(part AS INT) AS code FROM "
+                     "(SELECT group_id, unnest(string_split(signature, ',')) AS part FROM a_groups)"),
+        "cast_date": "SELECT category_code, eff_date, exp_date FROM a_dim_cat",
+        "current_date": "SELECT cnn, exp_date FROM b2_dim_int WHERE current_flag = 0",
+        "contains": "SELECT incident_id, report_type_description, contains(report_type_description, 'Supplement') AS v FROM raw",
+        "int_add": "SELECT * FROM b2_newsig",
+        "reorder_columns": "SELECT * FROM a_sfact",
+        "is_null_filter": "SELECT DISTINCT stg_cnn AS cnn FROM b2_sint WHERE stg_cnn NOT IN (SELECT cnn FROM b1_dim_int)",
+        "sort_in_aggregate": _signature("a_clean", "incident_id", "incident_code", "codes"),
+        "reset_schema": q["staging_tables"],
+    })
     return {k: _q(v) for k, v in q.items()}

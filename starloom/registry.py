@@ -608,3 +608,109 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline_full": q_pipeline_full, "pipeline_incremental": q_pipeline_incremental,
     "pipeline_full_collapse": q_pipeline_full_collapse,
 }
+
+
+# --- single built-ins of the inventory (regression keys) ---------------------
+
+def _timestamps(spark, sf) -> DataFrame:
+    return P._all_timestamps(_clean(spark, sf)).distinct()
+
+
+def _fn(expr_of_ts):
+    def q(spark, sf):
+        return _timestamps(spark, sf).select("ts", expr_of_ts(F.col("ts")).alias("v"))
+    return q
+
+
+SCALAR_QUERIES = {
+    "date_id": _fn(cal.date_id),
+    "full_date": _fn(cal.full_date),
+    "year": _fn(F.year),
+    "month": _fn(F.month),
+    "day_of_month": _fn(F.dayofmonth),
+    "month_name": _fn(lambda t: F.date_format(t, "MMMM")),
+    "day_of_week": _fn(F.weekday),
+    "day_name": _fn(lambda t: F.date_format(t, "EEEE")),
+    "quarter_label": _fn(cal.quarter_label),
+    "holiday_indicator": _fn(cal.holiday_indicator),
+    "weekday_indicator": _fn(cal.weekday_indicator),
+    "full_time": _fn(cal.full_time),
+    "hour": _fn(F.hour),
+    "minute": _fn(F.minute),
+    "daytime_indicator": _fn(lambda t: cal.daytime_indicator(F.hour(t))),
+    "is_in_set": _fn(lambda t: cal.is_us_federal_holiday(F.to_date(t))),
+}
+
+
+def q_split_to_array(spark, sf):
+    g = B.number_groups(q_group_signature(spark, sf))
+    parts = F.split("signature", ",")
+    return g.select("group_id", F.size(parts).alias("n_parts"), F.element_at(parts, 1).alias("first_part"))
+
+
+def q_cast_int(spark, sf):
+    g = B.number_groups(q_group_signature(spark, sf))
+    return g.select("group_id", F.explode(F.split("signature", ",")).alias("part")).select(
+        "group_id", "part", F.col("part").cast("int").alias("code"))
+
+
+def q_cast_date(spark, sf):
+    return _full(spark, sf).prod.read("dim_category").select("category_code", "eff_date", "exp_date")
+
+
+def q_current_date(spark, sf):
+    """``as_of`` closes changed versions (no wall clock)."""
+    return (_incr(spark, sf).prod.read("dim_intersection").filter("current_flag = 0")
+            .select("cnn", "exp_date"))
+
+
+def q_contains(spark, sf):
+    return _raw(spark, sf).select("incident_id", "report_type_description",
+                                  F.col("report_type_description").contains(C.EXCLUDED_REPORT_TEXT).alias("v"))
+
+
+def q_int_add(spark, sf):
+    """new group ids = max existing id + position."""
+    return _incr(spark, sf).idx.read_load("group_signature", "b2")
+
+
+def q_reorder_columns(spark, sf):
+    f = P.stage_fact_incident(_clean(spark, sf))
+    return f.select(*reversed(f.columns))
+
+
+def q_is_null_filter(spark, sf):
+    """C11: staged intersections of batch two without a dimension row."""
+    s = _stg2(spark, sf)["dim_intersection"].select(F.col("stg_cnn").alias("cnn")).distinct()
+    return s.join(_b1(spark, sf).prod.read("dim_intersection").select("cnn"), "cnn", "left_anti")
+
+
+def q_sort_in_aggregate(spark, sf):
+    """O1: ordering inside the aggregate only (per-incident ordered code list)."""
+    return B.group_signature(_clean(spark, sf), "incident_id", "incident_code", "codes")
+
+
+def q_reset_schema(spark, sf):
+    """T1-T3 on the catalog: reset a schema, create typed tables under the
+    shared folder, load the staging datasets, count through the catalog."""
+    from starloom.sources.tables import create_tables, reset_database
+    loc = scratch_path(spark, "catalog")
+    db = "starloom_stg_" + loc.rsplit("-", 1)[-1]
+    reset_database(spark, db, f"{loc}/db")
+    create_tables(spark, db, STG_SCHEMAS, f"{loc}/tables")
+    staged = P.stage_all(_clean(spark, sf))
+    out = None
+    for t, df in staged.items():
+        conform(df, STG_SCHEMAS[t]).write.insertInto(f"{db}.{t}")
+        c = spark.table(f"{db}.{t}").agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+QUERIES.update(SCALAR_QUERIES)
+QUERIES.update({
+    "split_to_array": q_split_to_array, "cast_int": q_cast_int, "cast_date": q_cast_date,
+    "current_date": q_current_date, "contains": q_contains, "int_add": q_int_add,
+    "reorder_columns": q_reorder_columns, "is_null_filter": q_is_null_filter,
+    "sort_in_aggregate": q_sort_in_aggregate, "reset_schema": q_reset_schema,
+})

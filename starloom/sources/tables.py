@@ -27,19 +27,23 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("n_rows", T.LongType())])
 
 
-def reset_database(spark: SparkSession, name: str) -> None:
-    """Drop a catalog schema with all its tables and recreate it.
+def reset_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Drop a catalog schema with all its tables and recreate it
+    (optionally at ``location`` on shared storage).
 
     Destructive; only on explicit call.
     """
     spark.sql(f"DROP SCHEMA IF EXISTS `{name}` CASCADE")
-    spark.sql(f"CREATE SCHEMA `{name}`")
+    spark.sql(f"CREATE SCHEMA `{name}`" + (f" LOCATION '{location}'" if location else ""))
 
 
-def create_tables(spark: SparkSession, database: str, schemas: dict[str, T.StructType]) -> None:
-    """Typed, empty Parquet catalog tables."""
+def create_tables(spark: SparkSession, database: str, schemas: dict[str, T.StructType],
+                  location: str | None = None) -> None:
+    """Typed, empty Parquet catalog tables (external under
+    ``location/<table>`` when given)."""
     for name, schema in schemas.items():
-        spark.catalog.createTable(f"{database}.{name}", schema=schema, source="parquet")
+        kw = {"path": f"{location.rstrip('/')}/{name}"} if location else {}
+        spark.catalog.createTable(f"{database}.{name}", schema=schema, source="parquet", **kw)
 
 
 def conform(df: DataFrame, schema: T.StructType, col_list: list[str] | None = None,
