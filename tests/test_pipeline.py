@@ -92,3 +92,6 @@ def test_empty_batch_and_replace_mode(spark, scratch):
     assert resent_rows.count() > 0
     assert {r.resolution for r in resent_rows.select("resolution").distinct().collect()} == {"Reopened"}
     assert f.count() == before["fact_incident"]
+    # a retry of the earlier load id stays a no-op after the replace started a new fact version
+    again = run_incremental(spark, resent, root, as_of="2001-01-02", load_id="empty")
+    assert again.prod.read("fact_incident").count() == before["fact_incident"]
