@@ -52,15 +52,14 @@ class Zones:
 def land_cleansed(spark: SparkSession, raw: DataFrame, zones: Zones, load_id: str,
                   valid_date: str | None = None) -> DataFrame:
     """C1-C7, written to ``cleansed/load_id=<id>`` and read back; the ingest
-    audit (S10: rows per outcome) is observed by the same job and appended
-    to ``audit/``."""
+    audit (S10: rows per outcome) is observed by the same job and written
+    to ``audit/load_id=<id>``."""
     path = f"{zones.root}/cleansed/load_id={load_id}"
     obs = Observation(f"audit-{load_id}")
     write_zone(ensure_parallelism(clean_observed(raw, obs, valid_date)), path)
-    counts = obs.get
-    rows = [(load_id, k, int(v)) for k, v in counts.items()]
-    (spark.createDataFrame(rows, "load_id string, outcome string, n_rows bigint").coalesce(1)
-     .write.mode("append").parquet(f"{zones.root}/audit"))
+    rows = [(k, int(v)) for k, v in obs.get.items()]
+    (spark.createDataFrame(rows, "outcome string, n_rows bigint").coalesce(1)   # a retry replaces its rows
+     .write.mode("overwrite").parquet(f"{zones.root}/audit/load_id={load_id}"))
     return read_zone(spark, path)
 
 
