@@ -172,15 +172,17 @@ def q_column_list_load(spark, sf):
 
 
 def q_micro_batch(spark, sf):
+    """Two daily landings, each picked up by one availableNow run of the
+    streaming load (one micro-batch per run; batch id = load id)."""
     from starloom.streaming.micro_batch import run_micro_batches
     raw = _raw(spark, sf)
-    landing = scratch_path(spark, "landing")
-    Z.write_json(Z.as_raw_strings(batch_one(raw)).coalesce(1), f"{landing}/day=1")
-    Z.write_json(Z.as_raw_strings(batch_two(raw)).coalesce(1), f"{landing}/day=2")
-    root = scratch_path(spark, "wh-stream")
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "wh-stream")
+    ckpt = scratch_path(spark, "stream-ckpt")
     dates = {0: "1999-12-31", 1: AS_OF_B2}
-    run_micro_batches(spark, f"{landing}/*/*.json", root, scratch_path(spark, "stream-ckpt"),
-                      as_of=lambda b: dates.get(b, AS_OF_B2))
+    for day, batch in ((1, batch_one(raw)), (2, batch_two(raw))):
+        Z.write_json(Z.as_raw_strings(batch), f"{landing}/day={day}")
+        run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of=lambda b: dates.get(b, AS_OF_B2),
+                          files_per_batch=None)
     return Zones.open(spark, root).prod.read("fact_incident")
 
 

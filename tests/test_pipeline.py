@@ -61,17 +61,19 @@ def test_streaming_micro_batches(spark, scratch):
     from starloom.sources import zones as Z
     from starloom.streaming.micro_batch import run_micro_batches
     raw = raw_incidents(spark, SF001)
-    landing = scratch("landing")
-    Z.write_json(Z.as_raw_strings(raw.filter(F.col("incident_datetime") < F.to_timestamp_ntz(F.lit("1998-01-01"))))
-                 .coalesce(1), f"{landing}/d=1")
-    Z.write_json(Z.as_raw_strings(batch_two(raw, changed=False)).coalesce(1), f"{landing}/d=2")
-    root, ckpt = scratch("wh"), scratch("ckpt")
-    run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of="1998-01-01")
+    landing, root, ckpt = scratch("landing"), scratch("wh"), scratch("ckpt")
+    Z.write_json(Z.as_raw_strings(raw.filter(F.col("incident_datetime") < F.to_timestamp_ntz(F.lit("1998-01-01")))),
+                 f"{landing}/d=1")
+    run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of="1998-01-01", files_per_batch=None)
+    n1 = Zones.open(spark, root).prod.read("fact_incident").count()
+    Z.write_json(Z.as_raw_strings(batch_two(raw, changed=False)), f"{landing}/d=2")
+    run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of="1998-01-01", files_per_batch=None)
     z = Zones.open(spark, root)
     n = z.prod.read("fact_incident").count()
-    assert n > 0
-    run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of="1998-01-01")  # nothing new
-    assert Zones.open(spark, root).prod.read("fact_incident").count() == n
+    assert 0 < n1 < n
+    assert {r[3] for r in z.manifest.committed if r[1] == "fact_incident"} == {"stream-0", "stream-1"}
+    run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of="1998-01-01", files_per_batch=None)
+    assert Zones.open(spark, root).prod.read("fact_incident").count() == n        # nothing new
 
 
 def test_empty_batch_and_replace_mode(spark, scratch):
