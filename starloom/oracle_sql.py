@@ -294,8 +294,11 @@ def incr_ctes(p1: str, p2: str, as_of: str = AS_OF_B2) -> list[tuple[str, str]]:
     return out
 
 
+B1_PRED = f"incident_datetime < TIMESTAMP '{SPLIT}' AND NOT (incident_code > 20) AND NOT (cnn >= 90)"
+
+
 def _b2_raw(changed: bool) -> str:
-    base = f"SELECT * FROM raw WHERE incident_datetime >= TIMESTAMP '{SPLIT}'"
+    base = f"SELECT * FROM raw WHERE NOT coalesce({B1_PRED}, false)"
     if not changed:
         return base
     return f"""SELECT * REPLACE (
@@ -311,7 +314,7 @@ def all_ctes() -> list[tuple[str, str]]:
         ("hol", f"SELECT DISTINCT hd FROM (SELECT unnest([{', '.join(holidays_of('y'))}]) AS hd FROM {years}) WHERE hd IS NOT NULL"),
         ("raw", raw_select()),
         ("raw_col", raw_select(collapse=True)),
-        ("raw_b1", f"SELECT * FROM raw WHERE incident_datetime < TIMESTAMP '{SPLIT}' AND NOT (incident_code > 20) AND NOT (cnn >= 90)"),
+        ("raw_b1", f"SELECT * FROM raw WHERE {B1_PRED}"),
         ("raw_b2", _b2_raw(True)),
         ("raw_b2u", _b2_raw(False)),
         ("a_clean", clean_select("raw")),

@@ -75,19 +75,25 @@ def raw_incidents(spark: SparkSession, sf_dir: str, collapse: bool = False) -> D
     )
 
 
+def _in_batch_one():
+    return ((F.col("incident_datetime") < F.to_timestamp_ntz(F.lit(SPLIT_DATE)))
+            & ~(F.col("incident_code") > 20) & ~(F.col("cnn") >= 90))
+
+
 def batch_one(raw: DataFrame) -> DataFrame:
     """Full-load batch: incidents before the split date, new keys held back."""
-    return raw.filter((F.col("incident_datetime") < F.to_timestamp_ntz(F.lit(SPLIT_DATE)))
-                      & ~(F.col("incident_code") > 20) & ~(F.col("cnn") >= 90))
+    return raw.filter(_in_batch_one())
 
 
 def batch_two(raw: DataFrame, changed: bool = True) -> DataFrame:
-    """Incremental batch from the split date on, with injected dimension changes.
+    """Incremental batch: every row not in batch one (from the split date on,
+    plus the held-back rows, which arrive late as new keys), with injected
+    dimension changes.  Batches one and two together hold every raw row.
 
     ``changed=False`` gives the same rows with the original values (the
     A→B→A revert batch).
     """
-    b = raw.filter(F.col("incident_datetime") >= F.to_timestamp_ntz(F.lit(SPLIT_DATE)))
+    b = raw.filter(~F.coalesce(_in_batch_one(), F.lit(False)))
     if not changed:
         return b
     code, cnn = F.col("incident_code"), F.col("cnn")
