@@ -77,7 +77,7 @@ def _with_id_first(df: DataFrame, id_col: str | None, cols: list[str]) -> DataFr
     return df.select(*([id_col] if id_col else []), *cols)
 
 
-def full_load_dim(stg: DataFrame, spec: DimSpec, distributed: bool = False) -> DataFrame:
+def full_load_dim(stg: DataFrame, spec: DimSpec, distributed: bool | None = None) -> DataFrame:
     """Staging rows into an empty dimension; ids in natural-key order.
 
     ``distributed``: number with the distributed path (large member sets).
@@ -89,7 +89,7 @@ def full_load_dim(stg: DataFrame, spec: DimSpec, distributed: bool = False) -> D
     return _with_id_first(df, spec.id_col, cols)
 
 
-def insert_new(dim: DataFrame, stg: DataFrame, spec: DimSpec, distributed: bool = False) -> DataFrame:
+def insert_new(dim: DataFrame, stg: DataFrame, spec: DimSpec, distributed: bool | None = None) -> DataFrame:
     """D3: the staging members whose natural key is unseen, ids after the max.
 
     Returns only the rows to insert (J3 anti join, K1 with start = max id).
@@ -116,7 +116,7 @@ def staged_versions(stg: DataFrame, spec: ScdSpec) -> DataFrame:
     return df.withColumn(spec.hash_col, fnv1a64_chain(spec.tracked))
 
 
-def scd_init(stg: DataFrame, spec: ScdSpec, distributed: bool = False) -> DataFrame:
+def scd_init(stg: DataFrame, spec: ScdSpec, distributed: bool | None = None) -> DataFrame:
     """First load of a versioned dimension (K1 + K2 + F16/F17)."""
     df = staged_versions(stg, spec)
     df = assign_ids(df, spec.id_col, spec.key, distributed=distributed)

@@ -31,12 +31,13 @@ def max_id(df: DataFrame, id_col: str) -> Column:
 
 
 def assign_ids(df: DataFrame, id_col: str, order_by, start: Column | int = 0,
-               distributed: bool = False) -> DataFrame:
+               distributed: bool | None = None) -> DataFrame:
     """Add ``id_col`` = start + 1, 2, ... in ``order_by`` order.
 
     ``distributed=False``: a global ``row_number`` window.  It runs in one
     partition, so use it only for sets with a natural bound (dimension
-    members: minutes, dates, districts...).
+    members: minutes, dates, districts...).  ``None`` (default): count the
+    rows and take the window only up to ``WINDOW_MAX_ROWS``.
 
     ``distributed=True``: for sets that grow with the data (group
     signatures).  Rows are range-partitioned and sorted, each row gets its
@@ -48,6 +49,8 @@ def assign_ids(df: DataFrame, id_col: str, order_by, start: Column | int = 0,
     """
     start_col = start if isinstance(start, Column) else F.lit(start)
     order = _order_cols(order_by)
+    if distributed is None:                 # size unknown to the caller: count
+        distributed = needs_distributed(df.count())
     if not distributed:
         w = Window.orderBy(*order)
         return df.withColumn(id_col, (start_col + F.row_number().over(w)).cast("bigint"))

@@ -66,7 +66,7 @@ def scd2_expire(dim: DataFrame, stg: DataFrame, spec: ScdSpec, as_of) -> DataFra
 
 
 def scd2_insert_versions(dim: DataFrame, stg: DataFrame, spec: ScdSpec, as_of,
-                         classified: DataFrame | None = None, distributed: bool = False) -> DataFrame:
+                         classified: DataFrame | None = None, distributed: bool | None = None) -> DataFrame:
     """New open versions for new or changed keys, ids after the max."""
     cls = classified if classified is not None else scd_classify(dim, stg, spec)
     new = cls.filter((F.col("new_row") == 1) | (F.col("change_row") == 1))
@@ -84,7 +84,7 @@ def scd1_overwrite(dim: DataFrame, stg: DataFrame, spec: ScdSpec) -> DataFrame:
     return cur.join(cls.select(spec.key, *spec.overwrite), spec.key).select(*dim.columns)
 
 
-def scd_apply(dim: DataFrame, stg: DataFrame, spec: ScdSpec, as_of, distributed: bool = False) -> DataFrame:
+def scd_apply(dim: DataFrame, stg: DataFrame, spec: ScdSpec, as_of, distributed: bool | None = None) -> DataFrame:
     """The next version of the whole dimension.
 
     history (closed rows) ∪ current rows after D5/D7 ∪ D6 new versions.

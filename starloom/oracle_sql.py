@@ -479,7 +479,7 @@ FROM a_sfact f JOIN a_dim_res r ON f.stg_resolution = r.resolution
 JOIN a_dim_date d1 ON f.stg_incident_date = d1.full_date JOIN a_dim_time t1 ON f.stg_incident_time = t1.full_time
 JOIN a_dim_date d2 ON f.stg_report_date = d2.full_date JOIN a_dim_time t2 ON f.stg_report_time = t2.full_time
 JOIN a_dim_int i ON f.stg_cnn = i.cnn AND i.current_flag = 1 JOIN a_dim_pd pd ON f.stg_police_district = pd.police_district""",
-        "anti_join": "SELECT * FROM b2_new_date",
+        "anti_join": "SELECT * FROM b2_sfact WHERE stg_incident_id NOT IN (SELECT incident_id FROM b1_fact)",
         "left_join_flags": "SELECT * FROM b1_dim_int_cls",
         "conditional_join": "SELECT * FROM b2_icat",
         "cross_join_scalar": "SELECT stg_full_time, (SELECT coalesce(max(time_id), 0) FROM b1_dim_time) + stg_minute AS shifted_id FROM b2_stime",
@@ -499,7 +499,7 @@ JOIN a_dim_int i ON f.stg_cnn = i.cnn AND i.current_flag = 1 JOIN a_dim_pd pd ON
         "dim_full_load_district": "SELECT * FROM a_dim_pd",
         "scd_full_load": "SELECT * FROM a_dim_cat",
         "scd_full_load_intersection": "SELECT * FROM a_dim_int",
-        "dim_insert_new": "SELECT * FROM b2_new_time",
+        "dim_insert_new": "SELECT * FROM s1_new_time",
         "scd_classify": "SELECT * FROM b1_dim_cat_cls",
         "scd2_expire": (f"SELECT intersection_id, cnn, intersection, latitude, longitude, track_hash, eff_date, "
                         f"DATE '{AS_OF_B2}' AS exp_date, 0 AS current_flag FROM b1_dim_int WHERE current_flag = 1 "

@@ -318,8 +318,9 @@ def q_star_join(spark, sf):
 
 
 def q_anti_join(spark, sf):
-    spec = D.DIM_SPECS["dim_date"]
-    return D.insert_new(_b1(spark, sf).prod.read("dim_date"), _stg2(spark, sf)["dim_date"], spec)
+    """Staged rows of batch two whose incident is not in the fact yet."""
+    f = _b1(spark, sf).prod.read("fact_incident").select(F.col("incident_id").alias("stg_incident_id")).distinct()
+    return _stg2(spark, sf)["fact_incident"].join(f, "stg_incident_id", "left_anti")
 
 
 def q_left_join_flags(spark, sf):
@@ -407,8 +408,11 @@ def q_scd_full_load_intersection(spark, sf):
 
 
 def q_dim_insert_new(spark, sf):
-    spec = D.DIM_SPECS["dim_time"]
-    return D.insert_new(_b1(spark, sf).prod.read("dim_time"), _stg2(spark, sf)["dim_time"], spec)
+    """D3 on the first load into an empty warehouse (the streaming path):
+    every staged minute of batch one is new, ids from 1."""
+    b1 = _b1(spark, sf)
+    empty = spark.createDataFrame([], PROD_SCHEMAS["dim_time"])
+    return D.insert_new(empty, b1.stg.read("dim_time"), D.DIM_SPECS["dim_time"])
 
 
 def _scd_args(spark, sf, name):
