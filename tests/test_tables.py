@@ -41,3 +41,25 @@ def test_pipeline_writes_audit_rows(spark, scratch):
     audit = {r.outcome: r.n_rows for r in spark.read.parquet(f"{z.root}/audit").collect()}
     assert sum(audit.values()) == raw.count()
     assert audit["kept"] == z.stg.read("fact_incident").count()
+
+
+def test_scans_push_filters_and_prune(spark, scratch):
+    from pyspark.sql import functions as F
+    from starloom.operators.clean import filter_from_date
+    from starloom.sources.adapter import raw_incidents
+    from starloom.sources.zones import read_zone, write_zone
+    path = scratch("zone")
+    write_zone(raw_incidents(spark, SF001).select("incident_id", "incident_datetime", "resolution", "cnn"), path)
+    q = filter_from_date(read_zone(spark, path), "1997-01-01").select("incident_id")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan and "GreaterThanOrEqual(incident_datetime,1997-01-01" in plan
+    assert "ReadSchema: struct<incident_id:bigint,incident_datetime:timestamp_ntz>" in plan
+
+    wh = Warehouse(spark, scratch("wh"), STG_SCHEMAS, fresh=True)
+    df = spark.createDataFrame([("Open",)], "stg_resolution string")
+    load_table(wh, "dim_resolution", df, "truncate", "l1")
+    load_table(wh, "dim_resolution", df, "append", "l2")
+    wh.manifest.commit()
+    plan = wh.read_load("dim_resolution", "l2")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(load_id" in plan and "= l2)" in plan
+    assert wh.read_load("dim_resolution", "l2").count() == 1 and F is not None
