@@ -1,0 +1 @@
+"""starloom.functions."""

@@ -1,0 +1 @@
+"""starloom.operators."""

@@ -1,0 +1 @@
+"""starloom.sources."""
