@@ -84,7 +84,7 @@ def main() -> None:
                                     sizes=full.prod.sizes()), "op")
     q["fact_full_load"], _ = timed(fact)
 
-    q["report_year"], _ = timed(lambda: report_year(full.prod.tables()).collect())
+    q["report_year"], _ = timed(lambda: report_year(full.prod.tables(), sizes=full.prod.sizes()).collect())
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "pipeline_e1_plus_e2", "value": round(q["e1_full_load"] + q["e2_incremental"], 3),

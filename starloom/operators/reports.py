@@ -12,14 +12,23 @@ from pyspark.sql import functions as F
 from starloom.operators.keys import checked_broadcast
 
 
-def _categories(wh: dict[str, DataFrame]) -> DataFrame:
-    """group id -> category name, through the bridge (one row per member)."""
-    cats = checked_broadcast(wh["dim_category"].select("category_id", "category"))
-    return (wh["br_category_group"].select("category_group_id", "category_id")
-            .join(cats, "category_id").select("category_group_id", "category").distinct())
+def _bc(df: DataFrame, sizes: dict[str, int] | None, name: str) -> DataFrame:
+    """Size-checked broadcast; ``sizes`` (rows per table, known from the
+    writes) spares the count."""
+    return checked_broadcast(df, (sizes or {}).get(name))
 
 
-def report_year(wh: dict[str, DataFrame], year: int | None = None) -> DataFrame:
+def _categories(wh: dict[str, DataFrame], sizes: dict[str, int] | None = None) -> DataFrame:
+    """group id -> category name, through the bridge (one row per member);
+    at most as many rows as the bridge."""
+    cats = _bc(wh["dim_category"].select("category_id", "category"), sizes, "dim_category")
+    cat_groups = (wh["br_category_group"].select("category_group_id", "category_id")
+                  .join(cats, "category_id").select("category_group_id", "category").distinct())
+    return _bc(cat_groups, sizes, "br_category_group")
+
+
+def report_year(wh: dict[str, DataFrame], year: int | None = None,
+                sizes: dict[str, int] | None = None) -> DataFrame:
     """Incidents by year, month, category, district and resolution.
 
     ``year`` narrows the report to one year (the dashboard's selector);
@@ -29,35 +38,36 @@ def report_year(wh: dict[str, DataFrame], year: int | None = None) -> DataFrame:
     if year is not None:
         dates = dates.filter(F.col("year") == year)
     f = (wh["fact_incident"]
-         .join(checked_broadcast(dates), "incident_date")
-         .join(checked_broadcast(wh["dim_police_district"]), "police_district_id")
-         .join(checked_broadcast(wh["dim_resolution"]), "resolution_id")
-         .join(checked_broadcast(_categories(wh)), "category_group_id"))
+         .join(_bc(dates, sizes, "dim_date"), "incident_date")
+         .join(_bc(wh["dim_police_district"], sizes, "dim_police_district"), "police_district_id")
+         .join(_bc(wh["dim_resolution"], sizes, "dim_resolution"), "resolution_id")
+         .join(_categories(wh, sizes), "category_group_id"))
     return (f.groupBy("year", "month", "category", "police_district", "resolution")
             .agg(F.count_distinct("incident_id").alias("n_incidents")))
 
 
-def report_daily(wh: dict[str, DataFrame], day: str | None = None) -> DataFrame:
+def report_daily(wh: dict[str, DataFrame], day: str | None = None,
+                 sizes: dict[str, int] | None = None) -> DataFrame:
     """R2: incidents per day by hour, Day/Night, category and district."""
     dates = wh["dim_date"].select(F.col("date_id").alias("incident_date"), "full_date")
     if day is not None:
         dates = dates.filter(F.col("full_date") == day)
     times = wh["dim_time"].select(F.col("time_id").alias("incident_time"), "hour", "daytime_indicator")
     f = (wh["fact_incident"]
-         .join(checked_broadcast(dates), "incident_date")
-         .join(checked_broadcast(times), "incident_time")
-         .join(checked_broadcast(wh["dim_police_district"]), "police_district_id")
-         .join(checked_broadcast(_categories(wh)), "category_group_id"))
+         .join(_bc(dates, sizes, "dim_date"), "incident_date")
+         .join(_bc(times, sizes, "dim_time"), "incident_time")
+         .join(_bc(wh["dim_police_district"], sizes, "dim_police_district"), "police_district_id")
+         .join(_categories(wh, sizes), "category_group_id"))
     return (f.groupBy("full_date", "hour", "daytime_indicator", "category", "police_district")
             .agg(F.count_distinct("incident_id").alias("n_incidents")))
 
 
-def report_year_rollup(wh: dict[str, DataFrame]) -> DataFrame:
+def report_year_rollup(wh: dict[str, DataFrame], sizes: dict[str, int] | None = None) -> DataFrame:
     """R1 with subtotals: incidents per (year, month, district), per (year,
     month), per year and overall (NULL marks a rolled-up level)."""
     dates = wh["dim_date"].select(F.col("date_id").alias("incident_date"), "year", "month")
     f = (wh["fact_incident"].select("incident_date", "police_district_id", "incident_id")
-         .join(checked_broadcast(dates), "incident_date")
-         .join(checked_broadcast(wh["dim_police_district"]), "police_district_id"))
+         .join(_bc(dates, sizes, "dim_date"), "incident_date")
+         .join(_bc(wh["dim_police_district"], sizes, "dim_police_district"), "police_district_id"))
     return (f.rollup("year", "month", "police_district")
             .agg(F.count_distinct("incident_id").alias("n_incidents")))

@@ -522,15 +522,18 @@ def q_fact_unmatched(spark, sf):
 
 
 def q_report_year(spark, sf):
-    return report_year(_full(spark, sf).prod.tables())
+    z = _full(spark, sf)
+    return report_year(z.prod.tables(), sizes=z.prod.sizes())
 
 
 def q_report_year_rollup(spark, sf):
-    return report_year_rollup(_full(spark, sf).prod.tables())
+    z = _full(spark, sf)
+    return report_year_rollup(z.prod.tables(), sizes=z.prod.sizes())
 
 
 def q_report_daily(spark, sf):
-    return report_daily(_full(spark, sf).prod.tables())
+    z = _full(spark, sf)
+    return report_daily(z.prod.tables(), sizes=z.prod.sizes())
 
 
 def natural_fact(prod: dict[str, DataFrame]) -> DataFrame:
