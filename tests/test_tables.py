@@ -63,3 +63,14 @@ def test_scans_push_filters_and_prune(spark, scratch):
     plan = wh.read_load("dim_resolution", "l2")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [(load_id" in plan and "= l2)" in plan
     assert wh.read_load("dim_resolution", "l2").count() == 1 and F is not None
+
+
+def test_dated_layout_rerun_replaces_only_its_days(spark, scratch):
+    from starloom.sources.zones import read_zone, write_dated
+    root = scratch("dated")
+    df = spark.createDataFrame([("2022-01-01", i) for i in range(5)] + [("2022-01-02", i) for i in range(3)],
+                               "ds string, v int")
+    write_dated(df, root)
+    write_dated(spark.createDataFrame([("2022-01-01", 99)], "ds string, v int"), root)
+    got = {(str(r.ds), r.n) for r in read_zone(spark, root).groupBy("ds").count().withColumnRenamed("count", "n").collect()}
+    assert got == {("2022-01-01", 1), ("2022-01-02", 3)}
