@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from starloom.operators import bridge as B
 from starloom.operators import dims as D
 from starloom.operators.clean import clean_observed
-from starloom.operators.fact import build_fact, incident_groups_full
+from starloom.operators.fact import build_fact, fact_unmatched, incident_groups_full
 from starloom.operators.keys import needs_distributed
 from starloom.operators.staging import stage_all
 from starloom.schemas import INDEX_SCHEMAS, PROD_SCHEMAS, STG_SCHEMAS
@@ -70,6 +70,13 @@ def load_staging(clean: DataFrame, zones: Zones, load_id: str) -> dict[str, Data
     return zones.stg.tables()
 
 
+def write_unmatched(zones: Zones, stg_fact: DataFrame, incident_groups: DataFrame, load_id: str) -> None:
+    """G3 (Q15): staged rows the fact's inner joins drop, per dimension,
+    stored under ``audit_unmatched/load_id=<id>`` (a retry replaces them)."""
+    counts = fact_unmatched(stg_fact, zones.prod.tables(), incident_groups, zones.prod.sizes())
+    counts.coalesce(1).write.mode("overwrite").parquet(f"{zones.root}/audit_unmatched/load_id={load_id}")
+
+
 def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: str | None = None,
                   load_id: str = "full", fresh: bool = False) -> Zones:
     """E1 into ``root`` (``fresh=True`` when the root is known to be new)."""
@@ -105,9 +112,10 @@ def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: st
             lambda: zones.idx.replace("group_signature", B.bridge_signatures(bridge), load_id)])          # B5
 
     with step("fact"):
-        fact = build_fact(stg["fact_incident"], prod.tables(),  # G1
-                          incident_groups_full(stg["fact_incident"], groups, isig), sizes=prod.sizes())
-        prod.replace("fact_incident", fact, load_id)
+        igroups = incident_groups_full(stg["fact_incident"], groups, isig)
+        fact = build_fact(stg["fact_incident"], prod.tables(), igroups, sizes=prod.sizes())   # G1
+        run_concurrently([lambda: prod.replace("fact_incident", fact, load_id),
+                          lambda: write_unmatched(zones, stg["fact_incident"], igroups, load_id)])   # G3
     with step("commit"):
         zones.commit()
     return zones

@@ -9,7 +9,7 @@ from starloom.operators import dims as D
 from starloom.operators.fact import build_fact, incident_groups_incremental
 from starloom.operators.keys import needs_distributed
 from starloom.operators.scd import scd_apply
-from starloom.plans.full_load import Zones, land_cleansed, load_staging
+from starloom.plans.full_load import Zones, land_cleansed, load_staging, write_unmatched
 from starloom.plans.steps import run_concurrently, step
 from starloom.sources.zones import change_window
 
@@ -60,11 +60,15 @@ def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str,
                                              zones.idx.read("group_signature"), prod.row_count("dim_category_group"),
                                              incoming)
         fact = build_fact(stg["fact_incident"], prod.tables(), groups, sizes=prod.sizes())  # G2
-        if fact_mode == "replace":
-            kept = prod.read("fact_incident").join(fact.select("incident_id").distinct(), "incident_id", "left_anti")
-            prod.replace("fact_incident", kept.unionByName(fact), load_id)
-        else:
-            prod.append("fact_incident", fact, load_id)
+
+        def load_fact():
+            if fact_mode == "replace":
+                kept = prod.read("fact_incident").join(fact.select("incident_id").distinct(), "incident_id",
+                                                       "left_anti")
+                prod.replace("fact_incident", kept.unionByName(fact), load_id)
+            else:
+                prod.append("fact_incident", fact, load_id)
+        run_concurrently([load_fact, lambda: write_unmatched(zones, stg["fact_incident"], groups, load_id)])  # G3
     with step("commit"):
         zones.commit()
     return zones

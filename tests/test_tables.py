@@ -41,6 +41,8 @@ def test_pipeline_writes_audit_rows(spark, scratch):
     audit = {r.outcome: r.n_rows for r in spark.read.parquet(f"{z.root}/audit").collect()}
     assert sum(audit.values()) == raw.count()
     assert audit["kept"] == z.stg.read("fact_incident").count()
+    unmatched = {r.dimension: r.n_unmatched for r in spark.read.parquet(f"{z.root}/audit_unmatched").collect()}
+    assert len(unmatched) == 8 and set(unmatched.values()) == {0}   # a full load resolves every key
 
 
 def test_scans_push_filters_and_prune(spark, scratch):
