@@ -78,8 +78,12 @@ def write_unmatched(zones: Zones, stg_fact: DataFrame, incident_groups: DataFram
 
 
 def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: str | None = None,
-                  load_id: str = "full", fresh: bool = False) -> Zones:
-    """E1 into ``root`` (``fresh=True`` when the root is known to be new)."""
+                  load_id: str = "full", fresh: bool = False, audit_unmatched: bool = False) -> Zones:
+    """E1 into ``root`` (``fresh=True`` when the root is known to be new).
+
+    ``audit_unmatched`` also stores the G3 counts; opt-in, as it is one more
+    pass (and a shuffle on the incident) over the staged fact.
+    """
     zones = Zones.open(spark, root, fresh)
     with step("clean"):
         clean = land_cleansed(spark, raw, zones, load_id, valid_date)
@@ -114,8 +118,9 @@ def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: st
     with step("fact"):
         igroups = incident_groups_full(stg["fact_incident"], groups, isig)
         fact = build_fact(stg["fact_incident"], prod.tables(), igroups, sizes=prod.sizes())   # G1
-        run_concurrently([lambda: prod.replace("fact_incident", fact, load_id),
-                          lambda: write_unmatched(zones, stg["fact_incident"], igroups, load_id)])   # G3
+        run_concurrently([lambda: prod.replace("fact_incident", fact, load_id)]
+                         + ([lambda: write_unmatched(zones, stg["fact_incident"], igroups, load_id)]   # G3
+                            if audit_unmatched else []))
     with step("commit"):
         zones.commit()
     return zones

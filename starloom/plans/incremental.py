@@ -15,12 +15,14 @@ from starloom.sources.zones import change_window
 
 
 def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str, load_id: str,
-                    since: str | None = None, fact_mode: str = "append") -> Zones:
+                    since: str | None = None, fact_mode: str = "append",
+                    audit_unmatched: bool = False) -> Zones:
     """S6 -> C -> P -> D3/D8 -> B6-B8 -> G2.
 
     ``fact_mode="append"`` keeps earlier rows of re-sent incidents (the
     reference behaviour, Q11); ``"replace"`` first drops earlier rows of the
-    incoming incident ids.
+    incoming incident ids.  ``audit_unmatched``: also store the G3 counts
+    (opt-in, one more pass over the staged fact).
     """
     zones = Zones.open(spark, root)
     if zones.prod.has_load("fact_incident", load_id):           # a retried batch is a no-op
@@ -68,7 +70,8 @@ def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str,
                 prod.replace("fact_incident", kept.unionByName(fact), load_id)
             else:
                 prod.append("fact_incident", fact, load_id)
-        run_concurrently([load_fact, lambda: write_unmatched(zones, stg["fact_incident"], groups, load_id)])  # G3
+        run_concurrently([load_fact] + ([lambda: write_unmatched(zones, stg["fact_incident"], groups, load_id)]
+                                        if audit_unmatched else []))                                 # G3
     with step("commit"):
         zones.commit()
     return zones

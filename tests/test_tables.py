@@ -37,7 +37,7 @@ def test_pipeline_writes_audit_rows(spark, scratch):
     from starloom.plans.full_load import run_full_load
     from starloom.sources.adapter import raw_incidents
     raw = raw_incidents(spark, SF001)
-    z = run_full_load(spark, raw, scratch("audit"))
+    z = run_full_load(spark, raw, scratch("audit"), audit_unmatched=True)
     audit = {r.outcome: r.n_rows for r in spark.read.parquet(f"{z.root}/audit").collect()}
     assert sum(audit.values()) == raw.count()
     assert audit["kept"] == z.stg.read("fact_incident").count()
