@@ -2,29 +2,56 @@
 versioned snapshots.
 
 Parquet tables refuse UPDATE/MERGE and cannot overwrite themselves while
-being read, so every table lives in version folders under a shared root:
-
-* insert-only tables (most dims, bridge, fact) get one partition per load,
-  ``<root>/<table>/v=<n>/load_id=<id>``; a retried load rewrites only its
-  own partition (dynamic partition overwrite), so it is idempotent;
-* versioned dimensions and ``replace`` loads write a whole new version
-  ``v=<n+1>``;
-* the manifest rows of a load (appended in one file when the load ends)
-  make its versions and partitions visible, so a failed load leaves the
-  previous state in place.
+being read, so a table is a list of folders that its commit log names:
+
+* every write goes to a folder of its own, ``<root>/<table>/<load>-<unique>``,
+  never written again, so nothing a failed attempt left behind can be read;
+* ``append`` adds a folder to the table's current version, ``replace``
+  (versioned dimensions, truncate loads) starts a new version with one;
+* the log rows of a load carry a commit number and are appended in one file
+  when the load ends; they make its folders visible, so a failed load leaves
+  the previous state in place and the order of commits never depends on file
+  names.
+
+A *full load* starts a new epoch.  A load id is known if it was committed in
+the current epoch: a batch that is sent again is a no-op, but a batch that
+comes after a reload of the warehouse is loaded.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
+from dataclasses import astuple, dataclass, replace
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+
+from starloom.operators.keys import row_bytes
 
 MANIFEST_SCHEMA = T.StructType([
+    T.StructField("seq", T.LongType()), T.StructField("pos", T.IntegerType()), T.StructField("epoch", T.IntegerType()),
     T.StructField("zone", T.StringType()), T.StructField("table", T.StringType()),
     T.StructField("version", T.IntegerType()), T.StructField("load_id", T.StringType()),
-    T.StructField("kind", T.StringType()), T.StructField("n_rows", T.LongType())])
+    T.StructField("kind", T.StringType()), T.StructField("n_rows", T.LongType()), T.StructField("n_bytes", T.LongType()),
+    T.StructField("path", T.StringType())])
+
+
+@dataclass(frozen=True)
+class LogRow:
+    """One write of a load: commit number, place in the commit, epoch, and the folder it made."""
+    seq: int | None
+    pos: int
+    epoch: int
+    zone: str
+    table: str
+    version: int
+    load_id: str
+    kind: str
+    n_rows: int
+    n_bytes: int
+    path: str
 
 
 def reset_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -63,54 +90,80 @@ def conform(df: DataFrame, schema: T.StructType, col_list: list[str] | None = No
     return df.select(*out)
 
 
+def _folder(spark: SparkSession, path: str):
+    """The file system and path of an existing folder, else None."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return (fs, folder) if fs.exists(folder) else None
+
+
 class Manifest:
-    """Commit log of a warehouse root: one row per (zone, table, version, load).
+    """Commit log of a warehouse root, one row per write.
 
     Rows of a load are appended as one JSON file at the end of the load
-    (``commit``), so a load that fails midway stays invisible.
+    (``commit``), so a load that fails midway stays invisible.  One writer
+    per root at a time.
     """
 
     def __init__(self, spark: SparkSession, root: str, fresh: bool = False):
         """``fresh=True``: the root is known to be new, nothing to read."""
         self.spark, self.path = spark, f"{root.rstrip('/')}/_manifest"
-        self.committed: list[tuple] = []
-        self.pending: list[tuple] = []
-        if fresh:
+        self.committed: list[LogRow] = []
+        self.pending: list[LogRow] = []
+        self._next_epoch = 0
+        if fresh or not _folder(spark, self.path):      # only a missing log means an empty warehouse
             return
-        try:
-            rows = spark.read.schema(MANIFEST_SCHEMA).json(self.path).collect()
-            self.committed = [tuple(r) for r in rows]
-        except AnalysisException:   # no load committed yet
-            pass
+        # A damaged line fails the load (FAILFAST).
+        rows = spark.read.schema(MANIFEST_SCHEMA).option("mode", "FAILFAST").json(self.path).collect()
+        self.committed = sorted((LogRow(*r) for r in rows), key=lambda r: (r.seq, r.pos))
+
+    @property
+    def epoch(self) -> int:
+        """The epoch of the next write."""
+        return self._next_epoch or max((r.epoch for r in self.committed), default=1)
+
+    def start_epoch(self) -> None:
+        """The pending load replaces the warehouse as a whole: load ids committed before it count no more."""
+        self._next_epoch = max((r.epoch for r in self.committed), default=0) + 1
 
-    def rows(self, zone: str, table: str, committed_only: bool = False) -> list[tuple]:
-        src = self.committed if committed_only else self.committed + self.pending
-        return [r for r in src if r[0] == zone and r[1] == table]
+    def rows(self, zone: str, table: str) -> list[LogRow]:
+        return [r for r in self.committed + self.pending if r.zone == zone and r.table == table]
 
-    def add(self, row: tuple) -> None:
-        self.pending.append(row)
+    def has_load(self, zone: str, table: str, load_id: str) -> bool:
+        return any(r.load_id == load_id and r.epoch == self.epoch
+                   for r in self.committed if r.zone == zone and r.table == table)
+
+    def add(self, zone: str, table: str, version: int, load_id: str, kind: str, n_rows: int, n_bytes: int, path: str) -> None:
+        self.pending.append(LogRow(None, len(self.pending), self.epoch, zone, table, version, load_id, kind, n_rows,
+                                   n_bytes, path))
+
+    def view(self, committed: list[LogRow]) -> "Manifest":
+        out = Manifest.__new__(Manifest)
+        out.spark, out.path, out._next_epoch = self.spark, self.path, 0
+        out.committed, out.pending = committed, []
+        return out
 
     def upto(self, load_id: str) -> "Manifest":
-        """A read-only view of the state right after ``load_id`` committed."""
-        last = max(i for i, r in enumerate(self.committed) if r[3] == load_id)
-        view = Manifest.__new__(Manifest)
-        view.spark, view.path = self.spark, self.path
-        view.committed, view.pending = self.committed[:last + 1], []
-        return view
+        """A read-only view of the state right after the last commit of ``load_id``."""
+        last = max(r.seq for r in self.committed if r.load_id == load_id)
+        return self.view([r for r in self.committed if r.seq <= last])
 
     def commit(self) -> None:
-        if self.pending:
-            (self.spark.createDataFrame(self.pending, MANIFEST_SCHEMA).coalesce(1)
-             .write.mode("append").json(self.path))
-            self.committed += self.pending
-            self.pending = []
+        if not self.pending:
+            return
+        seq = max((r.seq for r in self.committed), default=0) + 1
+        rows = [replace(r, seq=seq) for r in self.pending]
+        (self.spark.createDataFrame([astuple(r) for r in rows], MANIFEST_SCHEMA).coalesce(1)
+         .write.mode("append").json(self.path))
+        self.committed += rows
+        self.pending, self._next_epoch = [], 0
 
 
 class Warehouse:
-    """Path-per-table store of one zone, with versions and load partitions.
+    """Path-per-write store of one zone, with versions and loads.
 
-    A table reads version ``v=<n>`` restricted to the loads recorded for it,
-    so partitions of an uncommitted or failed load are never seen.
+    A table reads the folders that the log names for its current version,
+    so files of an uncommitted or failed load are never seen.
     """
 
     def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType],
@@ -120,74 +173,109 @@ class Warehouse:
 
     # -- state ---------------------------------------------------------------
     def version(self, table: str) -> int:
-        vs = [r[2] for r in self.manifest.rows(self.zone, table)]
-        return max(vs) if vs else 0
+        rows = self.manifest.rows(self.zone, table)
+        return rows[-1].version if rows else 0
 
-    def loads(self, table: str) -> list[tuple]:
+    def loads(self, table: str) -> list[LogRow]:
+        """The writes that make up the current version; a load written again counts once, as last written."""
         v = self.version(table)
-        return [r for r in self.manifest.rows(self.zone, table) if r[2] == v]
+        return list({r.load_id: r for r in self.manifest.rows(self.zone, table) if r.version == v}.values())
 
     def has_load(self, table: str, load_id: str) -> bool:
-        """``load_id`` was committed to the table (in any version)."""
-        return any(r[3] == load_id for r in self.manifest.rows(self.zone, table, committed_only=True))
+        """``load_id`` was committed to the table since the last full load."""
+        return self.manifest.has_load(self.zone, table, load_id)
 
     def row_count(self, table: str) -> int:
         """Rows of the current version, from counts observed at write time."""
-        latest: dict[str, int] = {}
-        for r in self.loads(table):
-            latest[r[3]] = r[5]
-        return sum(latest.values())
+        return sum(r.n_rows for r in self.loads(table))
 
-    def path(self, table: str, version: int | None = None) -> str:
-        return f"{self.root}/{table}/v={self.version(table) if version is None else version}"
+    def byte_size(self, table: str) -> int:
+        return sum(r.n_bytes for r in self.loads(table))
 
     # -- reads -----------------------------------------------------------------
-    def read(self, table: str) -> DataFrame:
+    def _read(self, table: str, rows: list[LogRow]) -> DataFrame:
         schema = self.schemas[table]
-        if self.version(table) == 0:
+        if not rows:
             return self.spark.createDataFrame([], schema)
-        loads = sorted({r[3] for r in self.loads(table)})
-        df = self._scan(table).filter(F.col("load_id").isin(loads))
-        return df.select(*[f.name for f in schema.fields])
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{r.path}" for r in rows])
 
-    def _scan(self, table: str) -> DataFrame:
-        """The current version with the declared schema (no footer inference)."""
-        schema = T.StructType(self.schemas[table].fields + [T.StructField("load_id", T.StringType())])
-        return self.spark.read.schema(schema).parquet(self.path(table))
+    def read(self, table: str) -> DataFrame:
+        return self._read(table, self.loads(table))
 
     def read_load(self, table: str, load_id: str) -> DataFrame:
         """Only the rows one load added to the current version."""
-        return (self._scan(table).filter(F.col("load_id") == load_id)
-                .select(*[f.name for f in self.schemas[table].fields]))
+        return self._read(table, [r for r in self.loads(table) if r.load_id == load_id])
 
     def tables(self) -> dict[str, DataFrame]:
         return {t: self.read(t) for t in self.schemas}
 
     def sizes(self) -> dict[str, int]:
-        return {t: self.row_count(t) for t in self.schemas}
+        """Bytes per table (uncompressed, as measured by the writes): what broadcast checks go by."""
+        return {t: self.byte_size(t) for t in self.schemas}
 
     # -- writes ----------------------------------------------------------------
-    def _write(self, table: str, df: DataFrame, load_id: str, version: int, dynamic: bool) -> int:
+    def _write(self, table: str, df: DataFrame, load_id: str, version: int, kind: str) -> None:
         obs = Observation()
-        out = (conform(df, self.schemas[table]).withColumn("load_id", F.lit(load_id))
-               .observe(obs, F.count(F.lit(1)).alias("n")))
-        w = out.write.mode("overwrite").partitionBy("load_id")
-        if dynamic:
-            w = w.option("partitionOverwriteMode", "dynamic")
-        w.parquet(self.path(table, version))
-        return int(obs.get["n"])
+        path = f"{table}/load-{re.sub('[^A-Za-z0-9_.]', '_', load_id)}-{uuid.uuid4().hex[:12]}"
+        out = conform(df, self.schemas[table])
+        (out.observe(obs, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(out)), F.lit(0)).alias("b"))
+         .write.mode("errorifexists").parquet(f"{self.root}/{path}"))
+        self.manifest.add(self.zone, table, version, load_id, kind, int(obs.get["n"]), int(obs.get["b"]), path)
 
     def append(self, table: str, df: DataFrame, load_id: str) -> None:
         """Add a load's rows (rerunning the same ``load_id`` replaces them)."""
-        v = max(self.version(table), 1)
-        n = self._write(table, df, load_id, v, dynamic=True)
-        self.manifest.add((self.zone, table, v, load_id, "append", n))
+        self._write(table, df, load_id, max(self.version(table), 1), "append")
 
     def replace(self, table: str, df: DataFrame, load_id: str) -> None:
         """A full new version of the table (truncate + load)."""
-        v = self.version(table) + 1
-        n = self._write(table, df, load_id, v, dynamic=False)
-        self.manifest.add((self.zone, table, v, load_id, "replace", n))
+        self._write(table, df, load_id, self.version(table) + 1, "replace")
+
+    def replace_keys(self, table: str, df: DataFrame, key: str, load_id: str) -> None:
+        """A new version in which the rows of ``df`` take the place of all earlier rows with their keys.
+
+        Only folders that hold one of the keys are written again; the others
+        stay part of the table as they are.
+        """
+        before, version = self.loads(table), self.version(table) + 1
+        self._write(table, df, load_id, version, "replace")
+        new = self.manifest.pending.pop()
+        keys = self._read(table, [new]).select(key).distinct()
+        touched: set[str] = set()
+        if before:
+            old = self._read(table, before).select(key, F.input_file_name().alias("file"))
+            files = old.join(keys, key, "left_semi").select(F.element_at(F.split("file", "/"), -2).alias("folder")).distinct()
+            touched = {r["folder"] for r in files.collect()}       # at most one row per load
+        for r in before:
+            if r.path.rsplit("/", 1)[-1] in touched:
+                self._write(table, self._read(table, [r]).join(keys, key, "left_anti"), r.load_id, version, "rewrite")
+            else:
+                self.manifest.add(self.zone, table, version, r.load_id, "keep", r.n_rows, r.n_bytes, r.path)
+        self.manifest.add(self.zone, table, version, load_id, "replace", new.n_rows, new.n_bytes, new.path)
+
+
+def retain(warehouses: list[Warehouse], keep_commits: int) -> list[str]:
+    """Delete the folders that none of the last ``keep_commits`` states of
+    the warehouses reads: old versions and what failed loads left behind.
+
+    Destructive and only on explicit call, while no load is running; history
+    views of dropped commits stop working.  Returns the deleted folders.
+    """
+    deleted = []
+    for wh in warehouses:
+        m = wh.manifest
+        seqs = sorted({r.seq for r in m.committed})[-keep_commits:]
+        keep: set[str] = set()
+        for seq in seqs:
+            state = Warehouse(wh.spark, wh.root, wh.schemas, m.view([r for r in m.committed if r.seq <= seq]), wh.zone)
+            keep |= {r.path for t in wh.schemas for r in state.loads(t)}
+        for table in wh.schemas:
+            found = _folder(wh.spark, f"{wh.root}/{table}")
+            for status in found[0].listStatus(found[1]) if found else []:
+                name = f"{table}/{status.getPath().getName()}"
+                if name not in keep:
+                    found[0].delete(status.getPath(), True)
+                    deleted.append(f"{wh.root}/{name}")
+    return deleted
 
 
 def load_table(wh: Warehouse, table: str, df: DataFrame, load_type: str = "append",

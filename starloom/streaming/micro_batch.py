@@ -2,9 +2,11 @@
 
 New raw files landing in a folder are picked up with
 ``trigger(availableNow=True)``; each micro-batch runs the incremental
-pipeline (E2) through ``foreachBatch``.  The batch id becomes the load id,
-and a load id already committed to the warehouse is skipped, so a batch
-replayed after a failure is a no-op.
+pipeline (E2) through ``foreachBatch``.  The load id is the streaming
+query's id (kept in its checkpoint) and the batch id, and a load id already
+committed to the warehouse is skipped: a batch replayed after a failure is a
+no-op, while a new checkpoint, which counts batches from 0 again, is a new
+query whose batches are all loaded.
 """
 
 from __future__ import annotations
@@ -21,26 +23,39 @@ RAW_STREAM_COLUMNS = RAW_COLUMNS + ["created_at", "updated_at"]
 
 
 def raw_stream(spark: SparkSession, landing: str, multi_line: bool = False,
-               files_per_batch: int | None = 1) -> DataFrame:
+               files_per_batch: int | None = None, bytes_per_batch: str | None = None) -> DataFrame:
+    """The landing as a stream; a batch takes every new file unless a limit is given."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in RAW_STREAM_COLUMNS])
     r = spark.readStream.schema(schema).option("multiLine", multi_line)
     if files_per_batch:
         r = r.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        r = r.option("maxBytesPerTrigger", bytes_per_batch)
     return r.json(landing)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the streaming query that owns ``checkpoint`` (Spark writes it to ``metadata`` at the start)."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def run_micro_batches(spark: SparkSession, landing: str, root: str, checkpoint: str,
-                      as_of=None, multi_line: bool = False, files_per_batch: int | None = 1) -> None:
+                      as_of=None, multi_line: bool = False, files_per_batch: int | None = None,
+                      bytes_per_batch: str | None = None) -> None:
     """Process every file present in ``landing`` and stop.
 
-    ``as_of`` is a date or a callable of the batch id; by default the
-    processing date.
+    ``as_of`` is a date or a callable of the batch id; by default the date on
+    which the run starts.  A batch that is replayed after midnight must be
+    given its own date to be versioned alike.
     """
+    today = _dt.date.today().isoformat()
+
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        d = as_of(batch_id) if callable(as_of) else (as_of or _dt.date.today().isoformat())
-        run_incremental(batch.sparkSession, batch, root, as_of=str(d), load_id=f"stream-{batch_id}")
+        d = as_of(batch_id) if callable(as_of) else (as_of or today)
+        load_id = f"stream-{query_id(spark, checkpoint)}-{batch_id}"
+        run_incremental(batch.sparkSession, batch, root, as_of=str(d), load_id=load_id)
 
-    q = (raw_stream(spark, landing, multi_line, files_per_batch).writeStream
+    q = (raw_stream(spark, landing, multi_line, files_per_batch, bytes_per_batch).writeStream
          .foreachBatch(apply_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
