@@ -43,8 +43,13 @@ def fnv1a64(c: Column | str, seed: Column | int | None = None) -> Column:
 
 
 def fnv1a64_chain(cols: list[Column | str]) -> Column:
-    """``hash(c1, hash(c2, ... hash(cn)))``, the tracked-columns hash."""
-    h = None
+    """``hash(c1, hash(c2, ... hash(cn)))``, the tracked-columns hash.
+
+    A NULL column passes on the hash behind it with all bits turned, so NULL
+    is a value like any other (and not the empty string).
+    """
+    h = F.lit(FNV64_OFFSET)
     for c in reversed(cols):
-        h = fnv1a64(c, h)
+        c = F.col(c) if isinstance(c, str) else c
+        h = F.when(c.isNull(), F.bitwise_not(h)).otherwise(fnv1a64(c, h))
     return h

@@ -1,10 +1,12 @@
 """Many-to-many category bridge: signatures, group ids, bridge rows.
 
-A group's identity is its *signature*: the comma-joined, numerically
-ordered list of its members, duplicates kept (Q12).  Signatures are built
-from per-(group, member) counts, so a group holds at most one entry per
-distinct member before the string is formed: map-side partial aggregation
-collapses a hot incident to a few rows before any shuffle.
+A group's identity is its *signature*: the comma-joined, numerically ordered
+list of its distinct members, each with its number of occurrences where that
+is more than one (``9,10*2``), so duplicates count (Q12).  Signatures are built
+from per-(group, member) counts: map-side partial aggregation collapses a hot
+incident to a few rows before any shuffle, and its signature is bounded by
+its distinct members, however many rows it has.  Duplicates are expanded in
+the bridge's rows only.
 """
 
 from __future__ import annotations
@@ -17,10 +19,15 @@ from starloom.operators.keys import assign_ids, max_id
 
 def group_signature(df: DataFrame, by: str, member: str, out: str = "signature") -> DataFrame:
     """One row per ``by`` with its ordered member list."""
-    counted = df.groupBy(by, member).agg(F.count(F.lit(1)).alias("_n"))
+    return _signature_of(df.groupBy(by, member).agg(F.count(F.lit(1)).alias("_n")), by, member, out)
+
+
+def _signature_of(counted: DataFrame, by: str, member: str, out: str) -> DataFrame:
+    """Signatures from (group, member, occurrences ``_n``) rows."""
     per_group = counted.groupBy(by).agg(
         F.array_sort(F.collect_list(F.struct(F.col(member).alias("m"), F.col("_n").alias("n")))).alias("_ms"))
-    parts = F.flatten(F.transform("_ms", lambda x: F.array_repeat(x["m"].cast("string"), x["n"].cast("int"))))
+    parts = F.transform("_ms", lambda x: F.when(x["n"] == 1, x["m"].cast("string")).otherwise(
+        F.concat(x["m"].cast("string"), F.lit("*"), x["n"].cast("string"))))
     return per_group.select(by, F.array_join(parts, ",").alias(out))
 
 
@@ -32,14 +39,17 @@ def number_groups(signatures: DataFrame, id_col: str = "group_id", sig: str = "s
     path of ``assign_ids``.
     """
     distinct = signatures.select(sig).distinct()
-    return assign_ids(distinct, id_col, sig, start=start, distributed=True).select(id_col, sig)
+    return assign_ids(distinct, id_col, sig, start=start).select(id_col, sig)
 
 
 def explode_signature(groups: DataFrame, id_col: str, sig: str = "signature",
                       out: str = "member") -> DataFrame:
     """One row per member occurrence of each group."""
-    return (groups.select(id_col, F.explode_outer(F.split(sig, ",")).alias(out))
-            .withColumn(out, F.col(out).cast("int")))
+    parts = groups.select(id_col, F.explode_outer(F.split(sig, ",")).alias("_part"))
+    member, times = F.split_part("_part", F.lit("*"), F.lit(1)), F.split_part("_part", F.lit("*"), F.lit(2))
+    counted = parts.select(id_col, member.cast("bigint").alias(out),
+                           F.coalesce(F.nullif(times, F.lit("")).cast("bigint"), F.lit(1)).alias("_n"))
+    return counted.select(id_col, out, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_k")).drop("_k")
 
 
 def bridge_full_load(groups: DataFrame, dim_category: DataFrame, id_col: str = "group_id",
@@ -50,6 +60,19 @@ def bridge_full_load(groups: DataFrame, dim_category: DataFrame, id_col: str = "
             .select(F.col(id_col).alias("category_group_id"), "category_id"))
 
 
+def category_signatures(groups: DataFrame, dim_category: DataFrame, id_col: str = "group_id",
+                        sig: str = "signature") -> DataFrame:
+    """B5 from the numbered code signatures, without the bridge: signature of
+    category ids per group."""
+    counted = groups.select(F.col(id_col).alias("category_group_id"), F.explode(F.split(sig, ",")).alias("_part"))
+    code = F.split_part("_part", F.lit("*"), F.lit(1)).cast("bigint")
+    times = F.coalesce(F.nullif(F.split_part("_part", F.lit("*"), F.lit(2)), F.lit("")).cast("bigint"), F.lit(1))
+    ids = counted.select("category_group_id", code.alias("category_code"), times.alias("_n")).join(
+        dim_category.select("category_code", "category_id"), "category_code")
+    return _signature_of(ids.select("category_group_id", "category_id", "_n"), "category_group_id", "category_id",
+                         "category_id_group")
+
+
 def group_dim_full(bridge: DataFrame) -> DataFrame:
     """B4."""
     return bridge.select("category_group_id").distinct()
@@ -89,7 +112,7 @@ def new_groups(signatures: DataFrame, incoming: DataFrame, start=None) -> DataFr
 def bridge_rows(numbered: DataFrame) -> DataFrame:
     """Bridge rows (one per member occurrence) of numbered signatures."""
     rows = explode_signature(numbered, "category_group_id", "category_id_group", "category_id")
-    return rows.select("category_group_id", F.col("category_id").cast("bigint"))
+    return rows.select("category_group_id", "category_id")
 
 
 def bridge_insert_new(bridge: DataFrame, incoming: DataFrame, signatures: DataFrame | None = None) -> DataFrame:

@@ -35,9 +35,23 @@ def project_columns(df: DataFrame, cols: list[str] = RAW_COLUMNS) -> DataFrame:
     return df.select(*cols)
 
 
+def cast_value(c: str, kind: str) -> Column:
+    """The value of a raw column in its type; NULL if malformed.
+
+    Whole numbers may come written as decimals (``20065.0``): what does not
+    cast directly is taken if it is a whole double that a double holds exactly.
+    """
+    value = F.col(c).try_cast(kind)
+    if kind not in ("int", "bigint"):
+        return value
+    number = F.col(c).try_cast("double")
+    whole = (number == F.floor(number)) & (F.abs(number) <= float(1 << 53))
+    return F.coalesce(value, F.when(whole, number.try_cast(kind)))
+
+
 def cast_types(df: DataFrame, types: dict[str, str] = CAST_TYPES) -> DataFrame:
     """Typed columns; malformed values become NULL."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items() if c in df.columns})
+    return df.withColumns({c: cast_value(c, t) for c, t in types.items() if c in df.columns})
 
 
 def drop_any_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -86,7 +100,7 @@ def reject_reason(raw: DataFrame, valid_date: str | None = None) -> Column:
     """
     malformed = F.lit(False)
     for c, t in CAST_TYPES.items():
-        malformed = malformed | (F.col(c).isNotNull() & F.col(c).try_cast(t).isNull())
+        malformed = malformed | (F.col(c).isNotNull() & cast_value(c, t).isNull())
     any_null = F.lit(False)
     for c in RAW_COLUMNS:
         any_null = any_null | F.col(c).isNull()

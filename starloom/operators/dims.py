@@ -1,17 +1,15 @@
 """Dimension loads D1-D3 and the SCD specs.
 
-Natural-key dimensions are usually bounded by the domain (minutes of a day,
-days, districts, codes), so their ids come from the single-partition window
-path of ``assign_ids``; the pipelines switch to its distributed path when
-the staged member count (observed at write time) exceeds
-``keys.WINDOW_MAX_ROWS``.
+Dimensions that the domain bounds whatever the data's size (minutes of a day,
+districts, resolutions; ``DimSpec.bounded``) are numbered by a window; all
+others by the distributed path of ``assign_ids``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.hashing import fnv1a64_chain
@@ -25,6 +23,7 @@ class DimSpec:
     columns: dict[str, str]
     key: str                       # warehouse natural-key column
     id_col: str | None = None      # surrogate id column, None for natural ids
+    bounded: bool = False          # a fixed set of members, whatever the data's size
 
 
 @dataclass(frozen=True)
@@ -50,10 +49,11 @@ DIM_SPECS: dict[str, DimSpec] = {
         "date_id", "full_date", "year", "month", "month_name", "day_of_month", "day_of_week",
         "day_name", "quarter", "holiday_indicator", "weekday_indicator")}, key="date_id"),
     "dim_time": DimSpec({"stg_full_time": "full_time", "stg_hour": "hour", "stg_minute": "minute",
-                         "stg_daytime_indicator": "daytime_indicator"}, key="full_time", id_col="time_id"),
-    "dim_resolution": DimSpec({"stg_resolution": "resolution"}, key="resolution", id_col="resolution_id"),
+                         "stg_daytime_indicator": "daytime_indicator"}, key="full_time", id_col="time_id", bounded=True),
+    "dim_resolution": DimSpec({"stg_resolution": "resolution"}, key="resolution", id_col="resolution_id",
+                              bounded=True),
     "dim_police_district": DimSpec({"stg_police_district": "police_district"}, key="police_district",
-                                   id_col="police_district_id"),
+                                   id_col="police_district_id", bounded=True),
 }
 
 SCD_SPECS: dict[str, ScdSpec] = {
@@ -77,19 +77,16 @@ def _with_id_first(df: DataFrame, id_col: str | None, cols: list[str]) -> DataFr
     return df.select(*([id_col] if id_col else []), *cols)
 
 
-def full_load_dim(stg: DataFrame, spec: DimSpec, distributed: bool | None = None) -> DataFrame:
-    """Staging rows into an empty dimension; ids in natural-key order.
-
-    ``distributed``: number with the distributed path (large member sets).
-    """
+def full_load_dim(stg: DataFrame, spec: DimSpec) -> DataFrame:
+    """Staging rows into an empty dimension; ids in natural-key order."""
     df = _rename(stg, spec.columns)
     cols = list(spec.columns.values())
     if spec.id_col:
-        df = assign_ids(df, spec.id_col, spec.key, distributed=distributed)
+        df = assign_ids(df, spec.id_col, spec.key, bounded=spec.bounded)
     return _with_id_first(df, spec.id_col, cols)
 
 
-def insert_new(dim: DataFrame, stg: DataFrame, spec: DimSpec, distributed: bool | None = None) -> DataFrame:
+def insert_new(dim: DataFrame, stg: DataFrame, spec: DimSpec) -> DataFrame:
     """D3: the staging members whose natural key is unseen, ids after the max.
 
     Returns only the rows to insert (J3 anti join, K1 with start = max id).
@@ -98,14 +95,19 @@ def insert_new(dim: DataFrame, stg: DataFrame, spec: DimSpec, distributed: bool
     new = df.join(dim.select(spec.key), spec.key, "left_anti")
     cols = list(spec.columns.values())
     if spec.id_col:
-        new = assign_ids(new, spec.id_col, spec.key, start=max_id(dim, spec.id_col), distributed=distributed)
+        new = assign_ids(new, spec.id_col, spec.key, start=max_id(dim, spec.id_col), bounded=spec.bounded)
     return _with_id_first(new, spec.id_col, cols)
 
 
 def collapse_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Q10: one deterministic row per key (smallest remaining attributes)."""
-    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """Q10: one deterministic row per key (smallest remaining attributes, NULL first).
+
+    A minimum over a struct, so it is combined map-side and a hot key is one
+    row per task.
+    """
+    rest = [c for c in df.columns if c != key and c not in order]
+    least = df.groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("_least"))
+    return least.select(*[F.col(c) if c == key else F.col(f"_least.{c}").alias(c) for c in df.columns])
 
 
 def staged_versions(stg: DataFrame, spec: ScdSpec) -> DataFrame:
@@ -116,10 +118,10 @@ def staged_versions(stg: DataFrame, spec: ScdSpec) -> DataFrame:
     return df.withColumn(spec.hash_col, fnv1a64_chain(spec.tracked))
 
 
-def scd_init(stg: DataFrame, spec: ScdSpec, distributed: bool | None = None) -> DataFrame:
+def scd_init(stg: DataFrame, spec: ScdSpec) -> DataFrame:
     """First load of a versioned dimension (K1 + K2 + F16/F17)."""
     df = staged_versions(stg, spec)
-    df = assign_ids(df, spec.id_col, spec.key, distributed=distributed)
+    df = assign_ids(df, spec.id_col, spec.key)
     return df.select(
         spec.id_col, *spec.attrs, spec.hash_col,
         F.lit(FULL_LOAD_EFF_DATE).cast("date").alias(spec.eff_col),

@@ -9,7 +9,7 @@ of the incident, so the DISTINCT over all nine columns equals this one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starloom.operators.bridge import group_signature, incoming_signatures
@@ -39,19 +39,21 @@ def _lookups(dims: dict[str, DataFrame], current_only: bool = True,
 
 
 def resolve_dimension_keys(stg_fact: DataFrame, dims: dict[str, DataFrame],
-                           current_only: bool = True, sizes: dict[str, int] | None = None) -> DataFrame:
-    """Staged rows with the seven dimension keys (inner joins, Q15)."""
+                           current_only: bool = True, sizes: dict[str, int] | None = None,
+                           how: str = "inner") -> DataFrame:
+    """Staged rows with the seven dimension keys (inner joins, Q15;
+    ``how="left"`` keeps rows that do not resolve, with NULL ids)."""
     lk = _lookups(dims, current_only, sizes)
     f = stg_fact.alias("f")
     d1, d2 = lk["date"].alias("d1"), lk["date"].alias("d2")
     t1, t2 = lk["time"].alias("t1"), lk["time"].alias("t2")
-    j = (f.join(lk["res"].alias("r"), F.col("f.stg_resolution") == F.col("r.resolution"))
-         .join(d1, F.col("f.stg_incident_date") == F.col("d1.full_date"))
-         .join(t1, F.col("f.stg_incident_time") == F.col("t1.full_time"))
-         .join(d2, F.col("f.stg_report_date") == F.col("d2.full_date"))
-         .join(t2, F.col("f.stg_report_time") == F.col("t2.full_time"))
-         .join(lk["inter"].alias("i"), F.col("f.stg_cnn") == F.col("i.cnn"))
-         .join(lk["pd"].alias("p"), F.col("f.stg_police_district") == F.col("p.police_district")))
+    j = (f.join(lk["res"].alias("r"), F.col("f.stg_resolution") == F.col("r.resolution"), how)
+         .join(d1, F.col("f.stg_incident_date") == F.col("d1.full_date"), how)
+         .join(t1, F.col("f.stg_incident_time") == F.col("t1.full_time"), how)
+         .join(d2, F.col("f.stg_report_date") == F.col("d2.full_date"), how)
+         .join(t2, F.col("f.stg_report_time") == F.col("t2.full_time"), how)
+         .join(lk["inter"].alias("i"), F.col("f.stg_cnn") == F.col("i.cnn"), how)
+         .join(lk["pd"].alias("p"), F.col("f.stg_police_district") == F.col("p.police_district"), how))
     return j.select(
         F.col("r.resolution_id"), F.col("d1.date_id").alias("incident_date"),
         F.col("t1.time_id").alias("incident_time"), F.col("d2.date_id").alias("report_date"),
@@ -72,25 +74,47 @@ def incident_groups_full(stg_fact: DataFrame, groups: DataFrame,
 
 
 def incident_groups_incremental(stg_fact: DataFrame, dim_category: DataFrame,
-                                signatures: DataFrame, n_groups: int | None = None,
+                                signatures: DataFrame, n_bytes: int | None = None,
                                 incoming: DataFrame | None = None) -> DataFrame:
     """Group id of each staged incident from its current-category-id signature.
 
     ``signatures``: (category_group_id, category_id_group) of every group
     (``bridge_signatures(bridge)`` or the stored signature index);
-    ``n_groups`` bounds its size for the broadcast check; ``incoming``: the
+    ``n_bytes`` is its measured size, for the broadcast check; ``incoming``: the
     batch's (incident_id, category_id_group) rows if already built.
     """
     sig = incoming if incoming is not None else incoming_signatures(stg_fact, dim_category)
-    g = checked_broadcast(signatures.select("category_group_id", "category_id_group"), n_groups)
+    g = checked_broadcast(signatures.select("category_group_id", "category_id_group"), n_bytes)
     return sig.join(g, "category_id_group").select("incident_id", "category_group_id")
 
 
+KEY_COLUMNS = {"resolution": "resolution_id", "incident_date": "incident_date", "incident_time": "incident_time",
+               "report_date": "report_date", "report_time": "report_time", "intersection": "intersection_id",
+               "police_district": "police_district_id", "category_group": "category_group_id"}
+
+
 def build_fact(stg_fact: DataFrame, dims: dict[str, DataFrame], incident_groups: DataFrame,
-               current_only: bool = True, sizes: dict[str, int] | None = None) -> DataFrame:
-    """Distinct fact rows of the batch."""
-    keyed = resolve_dimension_keys(stg_fact, dims, current_only, sizes).distinct()
-    return keyed.join(incident_groups, "incident_id").select(*FACT_COLUMNS)
+               current_only: bool = True, sizes: dict[str, int] | None = None,
+               unmatched: Observation | None = None) -> DataFrame:
+    """Distinct fact rows of the batch.
+
+    With ``unmatched`` the same plan also counts, per dimension, the staged
+    rows whose key does not resolve (G3): the lookups are left joins, the
+    distinct keeps how many staged rows a row stands for, and the counts are
+    observed just before unresolved rows are dropped.
+    """
+    how = "inner" if unmatched is None else "left"
+    keyed = resolve_dimension_keys(stg_fact, dims, current_only, sizes, how)
+    if unmatched is None:
+        return keyed.distinct().join(incident_groups, "incident_id").select(*FACT_COLUMNS)
+    counted = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("_n"))
+    joined = counted.join(incident_groups, "incident_id", "left")
+    lost = [F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("_n")).otherwise(0)), F.lit(0)).alias(d)
+            for d, c in KEY_COLUMNS.items()]
+    found = F.lit(True)
+    for c in KEY_COLUMNS.values():
+        found = found & F.col(c).isNotNull()
+    return joined.observe(unmatched, *lost).filter(found).select(*FACT_COLUMNS)
 
 
 def fact_unmatched(stg_fact: DataFrame, dims: dict[str, DataFrame],

@@ -6,19 +6,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Broadcast bound for dimension joins: a dimension is replicated only when
-# its row count is at most this; otherwise the join stays a shuffle join.
-BROADCAST_MAX_ROWS = 2_000_000
-
-# Above this many rows a set is numbered with the distributed path of
-# ``assign_ids`` instead of a single-partition window.
-WINDOW_MAX_ROWS = 1_000_000
+# its measured bytes are at most this; otherwise the planner decides.
+BROADCAST_MAX_BYTES = 64 << 20
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 
 
-def needs_distributed(n_rows: int | None) -> bool:
-    """Number a set of (at most) ``n_rows`` rows with the distributed path?"""
-    return n_rows is None or n_rows > WINDOW_MAX_ROWS
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: strings by their content, other values 8 bytes."""
+    size = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        size = size + (F.coalesce(F.octet_length(f.name), F.lit(0)) + 8 if f.dataType.typeName() == "string" else F.lit(8))
+    return size.cast("bigint")
 
 
 def _order_cols(order_by) -> list[Column]:
@@ -31,27 +30,22 @@ def max_id(df: DataFrame, id_col: str) -> Column:
 
 
 def assign_ids(df: DataFrame, id_col: str, order_by, start: Column | int = 0,
-               distributed: bool | None = None) -> DataFrame:
+               bounded: bool = False) -> DataFrame:
     """Add ``id_col`` = start + 1, 2, ... in ``order_by`` order.
 
-    ``distributed=False``: a global ``row_number`` window.  It runs in one
-    partition, so use it only for sets with a natural bound (dimension
-    members: minutes, dates, districts...).  ``None`` (default): count the
-    rows and take the window only up to ``WINDOW_MAX_ROWS``.
-
-    ``distributed=True``: for sets that grow with the data (group
-    signatures).  Rows are range-partitioned and sorted, each row gets its
-    in-partition position from ``monotonically_increasing_id``, the result is
-    checkpointed to the shared checkpoint folder so positions are stable
-    under task retries, and per-partition offsets (one row per partition,
-    a bounded table) are broadcast back.  Same ids as the window when the
-    order is total.
+    Rows are range-partitioned and sorted, each row gets its in-partition
+    position from ``monotonically_increasing_id``, the result is checkpointed
+    to the shared checkpoint folder so positions are stable under task
+    retries, and per-partition offsets (one row per partition, a bounded
+    table) are broadcast back.
+
+    ``bounded=True``: a global ``row_number`` window, in one partition; only
+    for sets that the domain bounds whatever the data's size (minutes of the
+    day, districts, resolutions).  Same ids when the order is total.
     """
     start_col = start if isinstance(start, Column) else F.lit(start)
     order = _order_cols(order_by)
-    if distributed is None:                 # size unknown to the caller: count
-        distributed = needs_distributed(df.count())
-    if not distributed:
+    if bounded:
         w = Window.orderBy(*order)
         return df.withColumn(id_col, (start_col + F.row_number().over(w)).cast("bigint"))
 
@@ -79,13 +73,14 @@ def with_defaults(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:
     return df.withColumns({k: v for k, v in defaults.items() if k not in df.columns})
 
 
-def checked_broadcast(df: DataFrame, n_rows: int | None = None,
-                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """K3: broadcast hint only when the row count is proven small.
+def checked_broadcast(df: DataFrame, n_bytes: int | None = None,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """K3: broadcast hint only when the bytes are proven small.
 
-    ``n_rows`` is a known upper bound of the rows (e.g. counted when the
-    table was written); otherwise the rows are counted.  Beyond the bound
-    the frame is returned as is and the planner keeps a shuffle join.
+    ``n_bytes`` is a known upper bound (measured when the table was
+    written); otherwise the rows are measured.  Beyond the bound the frame is
+    returned as is and the planner keeps a shuffle join.
     """
-    n = df.count() if n_rows is None else n_rows
-    return F.broadcast(df) if n <= max_rows else df
+    if n_bytes is None:
+        n_bytes = df.agg(F.sum(row_bytes(df))).first()[0] or 0
+    return F.broadcast(df) if n_bytes <= max_bytes else df

@@ -29,12 +29,12 @@ def current_rows(dim: DataFrame, spec: ScdSpec) -> DataFrame:
 def scd_classify(dim: DataFrame, stg: DataFrame, spec: ScdSpec) -> DataFrame:
     """Staged rows (one per key) labelled ``new_row`` / ``change_row``."""
     s = staged_versions(stg, spec)
-    cur = current_rows(dim, spec).select(spec.key, F.col(spec.hash_col).alias("_cur_hash"))
+    cur = current_rows(dim, spec).select(spec.key, F.col(spec.hash_col).alias("_cur_hash"), F.lit(True).alias("_known"))
     c = s.join(cur, spec.key, "left")
-    return (c.withColumn("new_row", F.when(F.col("_cur_hash").isNull(), 1).otherwise(0))
-             .withColumn("change_row", F.when(F.col("_cur_hash").isNotNull()
-                                              & (F.col("_cur_hash") != F.col(spec.hash_col)), 1).otherwise(0))
-             .drop("_cur_hash"))
+    same = F.col("_cur_hash").eqNullSafe(F.col(spec.hash_col))
+    return (c.withColumn("new_row", F.when(F.col("_known").isNull(), 1).otherwise(0))
+             .withColumn("change_row", F.when(F.col("_known") & ~same, 1).otherwise(0))
+             .drop("_cur_hash", "_known"))
 
 
 def _apply_to_current(dim: DataFrame, classified: DataFrame, spec: ScdSpec, as_of: Column) -> DataFrame:
@@ -66,11 +66,11 @@ def scd2_expire(dim: DataFrame, stg: DataFrame, spec: ScdSpec, as_of) -> DataFra
 
 
 def scd2_insert_versions(dim: DataFrame, stg: DataFrame, spec: ScdSpec, as_of,
-                         classified: DataFrame | None = None, distributed: bool | None = None) -> DataFrame:
+                         classified: DataFrame | None = None) -> DataFrame:
     """New open versions for new or changed keys, ids after the max."""
     cls = classified if classified is not None else scd_classify(dim, stg, spec)
     new = cls.filter((F.col("new_row") == 1) | (F.col("change_row") == 1))
-    new = assign_ids(new, spec.id_col, spec.key, start=max_id(dim, spec.id_col), distributed=distributed)
+    new = assign_ids(new, spec.id_col, spec.key, start=max_id(dim, spec.id_col))
     return new.select(
         spec.id_col, *spec.attrs, spec.hash_col,
         _date(as_of).alias(spec.eff_col), F.lit(OPEN_END_DATE).cast("date").alias(spec.exp_col),
@@ -84,19 +84,18 @@ def scd1_overwrite(dim: DataFrame, stg: DataFrame, spec: ScdSpec) -> DataFrame:
     return cur.join(cls.select(spec.key, *spec.overwrite), spec.key).select(*dim.columns)
 
 
-def scd_apply(dim: DataFrame, stg: DataFrame, spec: ScdSpec, as_of, distributed: bool | None = None) -> DataFrame:
+def scd_apply(dim: DataFrame, stg: DataFrame, spec: ScdSpec, as_of) -> DataFrame:
     """The next version of the whole dimension.
 
     history (closed rows) ∪ current rows after D5/D7 ∪ D6 new versions.
     Keys absent from staging are left open; a rerun with the same staging
-    rows changes nothing.  ``distributed`` numbers new versions with the
-    distributed path (when the staged set is large).
+    rows changes nothing.
     """
     as_of_c = _date(as_of)
     classified = scd_classify(dim, stg, spec)
     hist = dim.filter(F.col(spec.flag_col) != 1)
     cur = _apply_to_current(dim, classified, spec, as_of_c)
-    new = scd2_insert_versions(dim, stg, spec, as_of_c, classified, distributed)
+    new = scd2_insert_versions(dim, stg, spec, as_of_c, classified)
     return hist.unionByName(cur).unionByName(new)
 
 

@@ -9,17 +9,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.operators import bridge as B
 from starloom.operators import dims as D
 from starloom.operators.clean import clean_observed
-from starloom.operators.fact import build_fact, fact_unmatched, incident_groups_full
-from starloom.operators.keys import needs_distributed
+from starloom.operators.fact import build_fact, incident_groups_full
 from starloom.operators.staging import stage_all
 from starloom.schemas import INDEX_SCHEMAS, PROD_SCHEMAS, STG_SCHEMAS
 from starloom.plans.steps import run_concurrently, step
-from starloom.sources.tables import Manifest, Warehouse
-from starloom.sources.zones import ensure_parallelism, read_zone, write_zone
+from starloom.sources.tables import Manifest, Warehouse, retain
+from starloom.sources.zones import full_extract, read_zone, size_gate, write_zone
 
 
 @dataclass
@@ -48,6 +48,10 @@ class Zones:
         """The warehouse as it was right after ``load_id`` (read-only use)."""
         return Zones._with(self.stg.spark, self.root, self.manifest.upto(load_id))
 
+    def retain(self, keep_commits: int = 7) -> list[str]:
+        """Delete table folders that none of the last ``keep_commits`` commits reads (explicit call only)."""
+        return retain([self.stg, self.prod, self.idx], keep_commits)
+
 
 def land_cleansed(spark: SparkSession, raw: DataFrame, zones: Zones, load_id: str,
                   valid_date: str | None = None) -> DataFrame:
@@ -56,7 +60,7 @@ def land_cleansed(spark: SparkSession, raw: DataFrame, zones: Zones, load_id: st
     to ``audit/load_id=<id>``."""
     path = f"{zones.root}/cleansed/load_id={load_id}"
     obs = Observation(f"audit-{load_id}")
-    write_zone(ensure_parallelism(clean_observed(raw, obs, valid_date)), path)
+    write_zone(clean_observed(raw, obs, valid_date), path)
     rows = [(k, int(v)) for k, v in obs.get.items()]
     (spark.createDataFrame(rows, "outcome string, n_rows bigint").coalesce(1)   # a retry replaces its rows
      .write.mode("overwrite").parquet(f"{zones.root}/audit/load_id={load_id}"))
@@ -70,21 +74,26 @@ def load_staging(clean: DataFrame, zones: Zones, load_id: str) -> dict[str, Data
     return zones.stg.tables()
 
 
-def write_unmatched(zones: Zones, stg_fact: DataFrame, incident_groups: DataFrame, load_id: str) -> None:
-    """G3 (Q15): staged rows the fact's inner joins drop, per dimension,
-    stored under ``audit_unmatched/load_id=<id>`` (a retry replaces them)."""
-    counts = fact_unmatched(stg_fact, zones.prod.tables(), incident_groups, zones.prod.sizes())
-    counts.coalesce(1).write.mode("overwrite").parquet(f"{zones.root}/audit_unmatched/load_id={load_id}")
+def write_unmatched(zones: Zones, counts: Observation, load_id: str) -> None:
+    """G3 (Q15): staged rows the fact drops, per dimension, observed by the
+    job that wrote the fact; under ``audit_unmatched/load_id=<id>`` (a retry
+    replaces them)."""
+    rows = [(k, int(v)) for k, v in counts.get.items()]
+    (zones.prod.spark.createDataFrame(rows, "dimension string, n_unmatched bigint").coalesce(1)
+     .write.mode("overwrite").parquet(f"{zones.root}/audit_unmatched/load_id={load_id}"))
 
 
 def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: str | None = None,
-                  load_id: str = "full", fresh: bool = False, audit_unmatched: bool = False) -> Zones:
+                  load_id: str = "full", fresh: bool = False, from_date: str | None = None,
+                  max_bytes: int | None = None, max_rows: int | None = None) -> Zones:
     """E1 into ``root`` (``fresh=True`` when the root is known to be new).
 
-    ``audit_unmatched`` also stores the G3 counts; opt-in, as it is one more
-    pass (and a shuffle on the incident) over the staged fact.
+    Ingest: rows created or changed from ``from_date`` on (S7), the size gate
+    where a limit is given (S9), then cleaning, from ``valid_date`` on (C6).
     """
     zones = Zones.open(spark, root, fresh)
+    zones.manifest.start_epoch()
+    raw = size_gate(full_extract(raw, from_date), max_bytes, max_rows)
     with step("clean"):
         clean = land_cleansed(spark, raw, zones, load_id, valid_date)
     with step("staging"):
@@ -92,12 +101,10 @@ def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: st
     prod = zones.prod
 
     def dim(name, spec):                                        # D1
-        big = needs_distributed(zones.stg.row_count(name))
-        prod.replace(name, D.full_load_dim(stg[name], spec, big), load_id)
+        prod.replace(name, D.full_load_dim(stg[name], spec), load_id)
 
     def scd(name, spec):                                        # D2
-        big = needs_distributed(zones.stg.row_count(name))
-        prod.replace(name, D.scd_init(stg[name], spec, big), load_id)
+        prod.replace(name, D.scd_init(stg[name], spec), load_id)
 
     with step("dims"):
         run_concurrently([lambda n=n, s=s: dim(n, s) for n, s in D.DIM_SPECS.items()]
@@ -109,18 +116,19 @@ def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: st
         isig = B.group_signature(stg["fact_incident"], "stg_incident_id", "stg_category_code").checkpoint()
         groups = B.number_groups(isig)
     with step("bridge"):
-        prod.replace("br_category_group", B.bridge_full_load(groups, prod.read("dim_category")), load_id)  # B3
-        bridge = prod.read("br_category_group")
+        # B4 and B5 follow from the numbered groups; neither reads the bridge.
+        codes = prod.read("dim_category")
         run_concurrently([
-            lambda: prod.replace("dim_category_group", B.group_dim_full(bridge), load_id),                # B4
-            lambda: zones.idx.replace("group_signature", B.bridge_signatures(bridge), load_id)])          # B5
+            lambda: prod.replace("br_category_group", B.bridge_full_load(groups, codes), load_id),             # B3
+            lambda: prod.replace("dim_category_group", groups.select(F.col("group_id").alias("category_group_id")), load_id),  # B4
+            lambda: zones.idx.replace("group_signature", B.category_signatures(groups, codes), load_id)])      # B5
 
     with step("fact"):
         igroups = incident_groups_full(stg["fact_incident"], groups, isig)
-        fact = build_fact(stg["fact_incident"], prod.tables(), igroups, sizes=prod.sizes())   # G1
-        run_concurrently([lambda: prod.replace("fact_incident", fact, load_id)]
-                         + ([lambda: write_unmatched(zones, stg["fact_incident"], igroups, load_id)]   # G3
-                            if audit_unmatched else []))
+        unmatched = Observation(f"unmatched-{load_id}")
+        prod.replace("fact_incident", build_fact(stg["fact_incident"], prod.tables(), igroups, sizes=prod.sizes(),
+                                                 unmatched=unmatched), load_id)                                # G1
+        write_unmatched(zones, unmatched, load_id)                                                             # G3
     with step("commit"):
         zones.commit()
     return zones

@@ -2,33 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from starloom.operators import bridge as B
 from starloom.operators import dims as D
 from starloom.operators.fact import build_fact, incident_groups_incremental
-from starloom.operators.keys import needs_distributed
 from starloom.operators.scd import scd_apply
 from starloom.plans.full_load import Zones, land_cleansed, load_staging, write_unmatched
 from starloom.plans.steps import run_concurrently, step
-from starloom.sources.zones import change_window
+from starloom.sources.zones import change_window, size_gate
 
 
 def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str, load_id: str,
                     since: str | None = None, fact_mode: str = "append",
-                    audit_unmatched: bool = False) -> Zones:
-    """S6 -> C -> P -> D3/D8 -> B6-B8 -> G2.
+                    max_bytes: int | None = None, max_rows: int | None = None) -> Zones:
+    """S6 -> S9 -> C -> P -> D3/D8 -> B6-B8 -> G2.
 
     ``fact_mode="append"`` keeps earlier rows of re-sent incidents (the
-    reference behaviour, Q11); ``"replace"`` first drops earlier rows of the
-    incoming incident ids.  ``audit_unmatched``: also store the G3 counts
-    (opt-in, one more pass over the staged fact).
+    reference behaviour, Q11); ``"replace"`` drops earlier rows of the
+    incoming incident ids, writing only the loads again that hold some.
     """
     zones = Zones.open(spark, root)
     if zones.prod.has_load("fact_incident", load_id):           # a retried batch is a no-op
         return zones
     if since:
         raw = change_window(raw, since)
+    raw = size_gate(raw, max_bytes, max_rows)
     with step("clean"):
         clean = land_cleansed(spark, raw, zones, load_id)
     with step("staging"):
@@ -36,12 +35,10 @@ def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str,
     prod = zones.prod
 
     def dim(name, spec):                                        # D3
-        big = needs_distributed(zones.stg.row_count(name))
-        prod.append(name, D.insert_new(prod.read(name), stg[name], spec, big), load_id)
+        prod.append(name, D.insert_new(prod.read(name), stg[name], spec), load_id)
 
     def scd(name, spec):                                        # D4-D8
-        big = needs_distributed(zones.stg.row_count(name))
-        prod.replace(name, scd_apply(prod.read(name), stg[name], spec, as_of, big), load_id)
+        prod.replace(name, scd_apply(prod.read(name), stg[name], spec, as_of), load_id)
 
     with step("dims"):
         run_concurrently([lambda n=n, s=s: dim(n, s) for n, s in D.DIM_SPECS.items()]
@@ -59,19 +56,15 @@ def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str,
 
     with step("fact"):
         groups = incident_groups_incremental(stg["fact_incident"], prod.read("dim_category"),
-                                             zones.idx.read("group_signature"), prod.row_count("dim_category_group"),
+                                             zones.idx.read("group_signature"), zones.idx.byte_size("group_signature"),
                                              incoming)
-        fact = build_fact(stg["fact_incident"], prod.tables(), groups, sizes=prod.sizes())  # G2
-
-        def load_fact():
-            if fact_mode == "replace":
-                kept = prod.read("fact_incident").join(fact.select("incident_id").distinct(), "incident_id",
-                                                       "left_anti")
-                prod.replace("fact_incident", kept.unionByName(fact), load_id)
-            else:
-                prod.append("fact_incident", fact, load_id)
-        run_concurrently([load_fact] + ([lambda: write_unmatched(zones, stg["fact_incident"], groups, load_id)]
-                                        if audit_unmatched else []))                                 # G3
+        unmatched = Observation(f"unmatched-{load_id}")
+        fact = build_fact(stg["fact_incident"], prod.tables(), groups, sizes=prod.sizes(), unmatched=unmatched)  # G2
+        if fact_mode == "replace":
+            prod.replace_keys("fact_incident", fact, "incident_id", load_id)
+        else:
+            prod.append("fact_incident", fact, load_id)
+        write_unmatched(zones, unmatched, load_id)                                                               # G3
     with step("commit"):
         zones.commit()
     return zones

@@ -27,7 +27,13 @@ def run_concurrently(tasks: list, max_workers: int = 8) -> list:
     instead of queueing.  Exceptions propagate.
     """
     from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+    from pyspark.sql import SparkSession
     if len(tasks) <= 1:
         return [t() for t in tasks]
     with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
-        return [f.result() for f in [pool.submit(t) for t in tasks]]
+        # Job groups and other local properties of this thread hold for the tasks, too.
+        session = SparkSession.getActiveSession()
+        keep = inheritable_thread_target(session) if session else inheritable_thread_target
+        return [f.result() for f in [pool.submit(keep(t)) for t in tasks]]

@@ -25,6 +25,16 @@ def _plus_minutes(ts: Column, minutes: Column) -> Column:
     return F.timestamp_add("MINUTE", minutes.cast("int"), ts)
 
 
+def untidy(raw: DataFrame) -> DataFrame:
+    """The raw records as text, with one id column written in several ways:
+    as a decimal, plainly, malformed and missing (by incident id)."""
+    from starloom.sources.zones import as_raw_strings
+    way = F.col("incident_id") % 4
+    cnn = (F.when(way == 0, F.concat(F.col("cnn").cast("string"), F.lit(".0"))).when(way == 1, F.col("cnn").cast("string"))
+           .when(way == 2, F.concat(F.col("cnn").cast("string"), F.lit("x"))))
+    return as_raw_strings(raw.withColumn("cnn", cnn))
+
+
 def raw_incidents(spark: SparkSession, sf_dir: str, collapse: bool = False) -> DataFrame:
     """The 14 raw incident columns plus ``created_at`` / ``updated_at``.
 

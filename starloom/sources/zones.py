@@ -11,9 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: the historic extract cap of the ingest (S8); off by default.
-DEFAULT_ROW_CAP = 1_000_000
-
 
 class SizeGateError(RuntimeError):
     """A batch is larger than the configured limit."""
@@ -36,28 +33,29 @@ def read_zone(spark: SparkSession, path: str) -> DataFrame:
 
 def write_zone(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """S3: replace a Parquet dataset (only the written partitions when
-    ``partition_by`` is set and partition overwrite is dynamic)."""
+    ``partition_by`` is set)."""
     w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.parquet(path)
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a frame that arrives in fewer partitions than the cluster has
-    cores (one unsplittable file, say) before an expensive write.
-
-    A no-op for real inputs, which come in many splits; no shuffle then.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 def write_json(df: DataFrame, path: str) -> None:
     """JSON lines."""
     df.write.mode("overwrite").json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 50_000) -> None:
+    """JSON files that each hold one array of records, as an API delivers its
+    pages; about ``rows_per_file`` records each (such a file is read by one task)."""
+    n = max(1, -(-df.count() // rows_per_file))
+    page = F.pmod(F.xxhash64(*df.columns), F.lit(n))
+    record = F.to_json(F.struct(*df.columns))
+    arrays = df.groupBy(page.alias("page")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(record), ","), F.lit("]"))
+                                                .alias("value"))
+    arrays.select("value").repartition(n).write.mode("overwrite").text(path)
+
+
 def as_raw_strings(df: DataFrame) -> DataFrame:
     """Every column as a string, as an API delivers it (timestamps ISO-8601)."""
     cols = []
@@ -69,16 +67,20 @@ def as_raw_strings(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_dated(df: DataFrame, root: str, ds_col: str = "ds", salt_buckets: int = 4) -> None:
+def write_dated(df: DataFrame, root: str, ds_col: str = "ds", rows_per_task: int = 1_000_000) -> None:
     """Dated layout ``root/ds=YYYY-MM-DD``; a rerun replaces only its days.
 
     Rows are range-partitioned on (day, salt) first, so each task writes a
-    few whole days (few files per day, instead of one per task and day),
-    while the salt still splits a hot day over ``salt_buckets`` tasks.
+    few whole days (few files per day, instead of one per task and day); a
+    day has one salt per ``rows_per_task`` of its rows, so a hot day spreads
+    over as many tasks as it needs.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salt_buckets))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    clustered = df.repartitionByRange(n, F.col(ds_col), salt)
+    days = df.groupBy(F.col(ds_col).alias("_day")).agg(
+        F.ceil(F.count(F.lit(1)) / rows_per_task).cast("bigint").alias("_salts"))
+    salted = df.join(days, F.col(ds_col).eqNullSafe(F.col("_day")))
+    salt = F.pmod(F.xxhash64(*df.columns), F.col("_salts"))
+    clustered = salted.repartitionByRange(n, F.col(ds_col), salt).select(*df.columns)
     (clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(ds_col).parquet(root))
 
@@ -103,19 +105,23 @@ def row_cap(df: DataFrame, n: int | None, order_by: list[str]) -> DataFrame:
 
 
 def batch_stats(df: DataFrame) -> DataFrame:
-    """Rows and UTF-8 payload bytes of the string columns of a batch."""
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    size = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in strings), F.lit(0).cast("bigint"))
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(size).cast("bigint").alias("n_bytes"))
+    """Rows and payload bytes of a batch: every column's value as text, in UTF-8."""
+    size = F.lit(0).cast("bigint")
+    for c in df.columns:
+        size = size + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("bigint")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("n_bytes"))
 
 
-def size_gate(df: DataFrame, max_bytes: int | None = 5_000_000_000, max_rows: int | None = None) -> DataFrame:
-    """Raise ``SizeGateError`` when the batch exceeds a limit (Q16).
+def size_gate(df: DataFrame, max_bytes: int | None = None, max_rows: int | None = None) -> DataFrame:
+    """Raise ``SizeGateError`` when the batch exceeds a given limit (Q16).
 
-    One aggregate job measures the payload itself, not a Python object.
+    One aggregate job measures the payload itself, not a Python object;
+    without a limit nothing is measured.
     """
+    if max_bytes is None and max_rows is None:
+        return df
     row = batch_stats(df).first()
-    n_rows, n_bytes = row["n_rows"], row["n_bytes"] or 0
+    n_rows, n_bytes = row["n_rows"], row["n_bytes"]
     if (max_rows is not None and n_rows > max_rows) or (max_bytes is not None and n_bytes > max_bytes):
         raise SizeGateError(f"batch of {n_rows} rows / {n_bytes} bytes exceeds the limit")
     return df
