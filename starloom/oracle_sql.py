@@ -8,6 +8,8 @@ query.  Tables ``lineitem orders part supplier`` are the driver's views.
 
 from __future__ import annotations
 
+from starloom.schemas import PROD_SCHEMAS, STG_SCHEMAS
+
 # Fixed values (same as the Spark side): see registry.py and adapter.py.
 VALID_DATE = "1996-01-01"
 SINCE = "1998-01-01"
@@ -168,8 +170,27 @@ FROM (SELECT *, row_number() OVER (PARTITION BY stg_category_code ORDER BY stg_c
 
 
 def _signature(src: str, by: str, member: str, out: str) -> str:
-    return (f"SELECT {by}, string_agg(CAST({member} AS VARCHAR), ',' ORDER BY {member}) AS {out} "
-            f"FROM {src} GROUP BY {by}")
+    return (f"SELECT {by}, string_agg(CASE WHEN n > 1 THEN {member} || '*' || n ELSE CAST({member} AS VARCHAR) END, ',' "
+            f"ORDER BY {member}) AS {out} FROM (SELECT {by}, {member}, count(*) AS n FROM {src} GROUP BY {by}, {member}) GROUP BY {by}")
+
+
+def _members(src: str, group: str, sig: str, out: str) -> str:
+    """A row per member occurrence of each group's signature."""
+    return (f"SELECT {group}, CAST(split_part(part, '*', 1) AS BIGINT) AS {out} FROM (SELECT {group}, part, "
+            f"unnest(range(coalesce(try_cast(nullif(split_part(part, '*', 2), '') AS BIGINT), 1))) FROM "
+            f"(SELECT {group}, unnest(string_split({sig}, ',')) AS part FROM {src}))")
+
+
+def _contents(tables: dict[str, str], columns: dict[str, list[tuple[str, str]]]) -> str:
+    """Rows and, per column, filled and different values, least and most (as text; not of doubles)."""
+    out = []
+    for t, c in tables.items():
+        for name, kind in columns[t]:
+            ends = ("NULL::VARCHAR AS least, NULL::VARCHAR AS most" if kind == "double"
+                    else f"min(CAST({name} AS VARCHAR)) AS least, max(CAST({name} AS VARCHAR)) AS most")
+            out.append(f"SELECT '{t}' AS table_name, count(*) AS n_rows, '{name}' AS column_name, count({name}) AS n_filled, "
+                       f"count(DISTINCT {name}) AS n_different, {ends} FROM {c}")
+    return " UNION ALL ".join(out)
 
 
 def _fact(p: str, sfact: str, dims: str, igroups: str, inter_filter: str = "") -> str:
@@ -209,7 +230,7 @@ def full_ctes(p: str) -> list[tuple[str, str]]:
         (f"{p}_groups", f"SELECT row_number() OVER (ORDER BY signature) AS group_id, signature "
                         f"FROM (SELECT DISTINCT signature FROM {p}_isig)"),
         (f"{p}_br", f"SELECT g.group_id AS category_group_id, c.category_id FROM "
-                    f"(SELECT group_id, CAST(unnest(string_split(signature, ',')) AS INT) AS category_code FROM {p}_groups) g "
+                    f"({_members(f'{p}_groups', 'group_id', 'signature', 'category_code')}) g "
                     f"JOIN {p}_dim_cat c ON g.category_code = c.category_code"),
         (f"{p}_gdim", f"SELECT DISTINCT category_group_id FROM {p}_br"),
         (f"{p}_igroups", f"SELECT s.stg_incident_id AS incident_id, g.group_id AS category_group_id "
@@ -281,7 +302,7 @@ def incr_ctes(p1: str, p2: str, as_of: str = AS_OF_B2) -> list[tuple[str, str]]:
         (f"{p2}_newsig", f"SELECT (SELECT coalesce(max(category_group_id), 0) FROM {p1}_br) + row_number() OVER (ORDER BY category_id_group) "
                          f"AS category_group_id, category_id_group FROM (SELECT DISTINCT category_id_group FROM {p2}_incoming "
                          f"WHERE category_id_group NOT IN (SELECT category_id_group FROM {p1}_brsig))"),
-        (f"{p2}_new_br", f"SELECT category_group_id, CAST(unnest(string_split(category_id_group, ',')) AS BIGINT) AS category_id FROM {p2}_newsig"),
+        (f"{p2}_new_br", _members(f"{p2}_newsig", "category_group_id", "category_id_group", "category_id")),
         (f"{p2}_br", f"SELECT * FROM {p1}_br UNION ALL SELECT * FROM {p2}_new_br"),
         (f"{p2}_new_gdim", f"SELECT DISTINCT category_group_id FROM {p2}_br WHERE category_group_id NOT IN (SELECT category_group_id FROM {p1}_gdim)"),
         (f"{p2}_gdim", f"SELECT * FROM {p1}_gdim UNION ALL SELECT * FROM {p2}_new_gdim"),
@@ -314,6 +335,10 @@ def all_ctes() -> list[tuple[str, str]]:
         ("hol", f"SELECT DISTINCT hd FROM (SELECT unnest([{', '.join(holidays_of('y'))}]) AS hd FROM {years}) WHERE hd IS NOT NULL"),
         ("raw", raw_select()),
         ("raw_col", raw_select(collapse=True)),
+        ("raw_untidy", "SELECT * REPLACE (CASE WHEN incident_id % 4 IN (0, 1) THEN cnn END AS cnn), cnn AS cnn_written FROM raw"),
+        ("d_clean", clean_select("raw_untidy")),
+        ("f_clean", f"SELECT * FROM ({clean_select(f"(SELECT * FROM raw WHERE created_at >= TIMESTAMP '{VALID_DATE}' OR updated_at >= TIMESTAMP '{VALID_DATE}')")}) "
+                    f"WHERE incident_datetime >= TIMESTAMP '{VALID_DATE}'"),
         ("raw_b1", f"SELECT * FROM raw WHERE {B1_PRED}"),
         ("raw_b2", _b2_raw(True)),
         ("raw_b2u", _b2_raw(False)),
@@ -326,6 +351,10 @@ def all_ctes() -> list[tuple[str, str]]:
     ctes += stage_ctes("a", "a_clean") + stage_ctes("c", "c_clean")
     ctes += stage_ctes("b1", "b1_clean") + stage_ctes("b2", "b2_clean") + stage_ctes("u2", "u2_clean")
     ctes += full_ctes("a") + full_ctes("c") + full_ctes("b1")
+    ctes += stage_ctes("f", "f_clean") + full_ctes("f")
+    # batch two limited to what changed since SINCE, on a warehouse of batch one
+    ctes += [("i2_clean", clean_select(f"(SELECT * FROM raw_b2 WHERE created_at >= TIMESTAMP '{SINCE}' OR updated_at >= TIMESTAMP '{SINCE}')"))]
+    ctes += stage_ctes("i1", "b1_clean") + full_ctes("i1") + stage_ctes("i2", "i2_clean") + incr_ctes("i1", "i2")
     ctes += incr_ctes("b1", "b2")
     # streaming (S14): batch one, then batch two, both as incremental loads
     # into an empty warehouse
@@ -350,8 +379,8 @@ def _q(body: str) -> str:
     return f"{with_clause()}\n{body}"
 
 
-def _counts(tables: dict[str, str]) -> str:
-    return " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {c}" for t, c in tables.items())
+def _columns(schemas) -> dict[str, list[tuple[str, str]]]:
+    return {t: [(f.name, f.dataType.typeName()) for f in s.fields] for t, s in schemas.items()}
 
 
 def _natural_fact(p: str) -> str:
@@ -406,15 +435,16 @@ def queries() -> dict[str, str]:
     raw14 = f"SELECT {RAW14} FROM raw"
     strings = ["report_type_description", "incident_category", "incident_subcategory", "incident_description",
                "resolution", "police_district", "intersection"]
-    nbytes = " + ".join(f"coalesce(strlen({c}), 0)" for c in strings)
+    nbytes = " + ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)), 0)" for c in [*strings, "incident_id", "incident_code", "cnn"])
     sfact_cols = ("stg_incident_date, stg_incident_time, stg_report_date, stg_report_time, stg_incident_id, "
                   "stg_category_code, stg_resolution, stg_police_district, stg_cnn")
     audit = f"""SELECT outcome, count(*) AS n_rows FROM (SELECT CASE
+  WHEN incident_id % 4 = 2 AND cnn_written IS NOT NULL THEN 'malformed'
   WHEN {' OR '.join(f'{c.strip()} IS NULL' for c in RAW14.split(','))} THEN 'null_value'
   WHEN police_district = 'Out of SF' THEN 'excluded_district'
   WHEN contains(report_type_description, 'Supplement') THEN 'supplement'
   WHEN incident_datetime < TIMESTAMP '{VALID_DATE}' THEN 'before_valid_date'
-  ELSE 'kept' END AS outcome FROM raw) GROUP BY outcome"""
+  ELSE 'kept' END AS outcome FROM raw_untidy) GROUP BY outcome"""
     ts_all = "(SELECT incident_datetime AS ts FROM a_clean UNION ALL SELECT report_datetime FROM a_clean)"
     q = {
         "json_scan": raw14,
@@ -425,7 +455,7 @@ def queries() -> dict[str, str]:
         "change_window": f"SELECT * FROM raw WHERE created_at >= TIMESTAMP '{SINCE}' OR updated_at >= TIMESTAMP '{SINCE}'",
         "full_extract": f"SELECT * FROM raw WHERE created_at >= TIMESTAMP '{VALID_DATE}' OR updated_at >= TIMESTAMP '{VALID_DATE}'",
         "row_cap": f"SELECT * FROM a_clean ORDER BY {CLEAN13} LIMIT {ROW_CAP}",
-        "size_gate": f"SELECT count(*) AS n_rows, CAST(sum({nbytes}) AS BIGINT) AS n_bytes FROM raw",
+        "size_gate": f"SELECT count(*) AS n_rows, CAST(sum({nbytes}) AS BIGINT) AS n_bytes, true AS stopped_below FROM raw",
         "load_audit": audit,
         "truncate_load": "SELECT * FROM a_sfact",
         "append_load": "SELECT * FROM b1_sfact UNION ALL SELECT * FROM u2_sfact",
@@ -433,13 +463,13 @@ def queries() -> dict[str, str]:
                              "NULL::VARCHAR AS stg_report_date, NULL::VARCHAR AS stg_report_time, stg_incident_id, "
                              "stg_category_code, NULL::VARCHAR AS stg_resolution, NULL::VARCHAR AS stg_police_district, "
                              "stg_cnn FROM a_sfact"),
-        "staging_tables": _counts({t: f"a_{c}" for t, c in [
+        "staging_tables": _contents({t: f"a_{c}" for t, c in [
             ("dim_date", "sdate"), ("dim_time", "stime"), ("dim_resolution", "sres"), ("dim_police_district", "spd"),
-            ("dim_intersection", "sint"), ("dim_category", "scat"), ("fact_incident", "sfact")]}),
-        "prod_tables": _counts({t: f"a_{c}" for t, c in [
+            ("dim_intersection", "sint"), ("dim_category", "scat"), ("fact_incident", "sfact")]}, _columns(STG_SCHEMAS)),
+        "prod_tables": _contents({t: f"a_{c}" for t, c in [
             ("dim_date", "dim_date"), ("dim_time", "dim_time"), ("dim_resolution", "dim_res"),
             ("dim_police_district", "dim_pd"), ("dim_intersection", "dim_int"), ("dim_category", "dim_cat"),
-            ("br_category_group", "br"), ("dim_category_group", "gdim"), ("fact_incident", "fact")]}),
+            ("br_category_group", "br"), ("dim_category_group", "gdim"), ("fact_incident", "fact")]}, _columns(PROD_SCHEMAS)),
         "surrogate_key": "SELECT incident_id, row_number() OVER (ORDER BY incident_id) AS incident_key FROM (SELECT DISTINCT incident_id FROM a_clean)",
         "column_defaults": ("SELECT NULL::BIGINT AS category_id, stg_category_code AS category_code, stg_category AS category, "
                             "stg_subcategory AS subcategory, stg_description AS description, NULL::BIGINT AS track_hash, "
@@ -452,8 +482,8 @@ def queries() -> dict[str, str]:
         "filter_not_contains": f"{raw14} WHERE NOT contains(report_type_description, 'Supplement')",
         "drop_columns": f"SELECT {CLEAN13} FROM raw",
         "filter_from_date": f"SELECT * FROM a_clean WHERE incident_datetime >= TIMESTAMP '{VALID_DATE}'",
-        "cast_types": raw14,
-        "clean_incidents": f"SELECT * FROM a_clean WHERE incident_datetime >= TIMESTAMP '{VALID_DATE}'",
+        "cast_types": f"SELECT {RAW14} FROM raw_untidy",
+        "clean_incidents": f"SELECT * FROM d_clean WHERE incident_datetime >= TIMESTAMP '{VALID_DATE}'",
         "rename_columns": ("SELECT incident_id, cnn AS stg_cnn, intersection AS stg_intersection, latitude AS stg_latitude, "
                            "longitude AS stg_longitude FROM a_clean"),
         "case_when": ("SELECT incident_id, report_datetime, CASE WHEN isodow(incident_datetime) - 1 > 4 THEN 'Weekend' "
@@ -483,7 +513,7 @@ JOIN a_dim_int i ON f.stg_cnn = i.cnn AND i.current_flag = 1 JOIN a_dim_pd pd ON
         "left_join_flags": "SELECT * FROM b1_dim_int_cls",
         "conditional_join": "SELECT * FROM b2_icat",
         "cross_join_scalar": "SELECT stg_full_time, (SELECT coalesce(max(time_id), 0) FROM b1_dim_time) + stg_minute AS shifted_id FROM b2_stime",
-        "lateral_unnest": "SELECT group_id, CAST(unnest(string_split(signature, ',')) AS INT) AS category_code FROM a_groups",
+        "lateral_unnest": _members("a_groups", "group_id", "signature", "category_code"),
         "join_update": "SELECT * FROM b1_dim_cat_upd",
         "ordered_listagg": _signature("a_br", "category_group_id", "category_id", "category_id_group"),
         "distinct_rows": "SELECT DISTINCT resolution, police_district, incident_category FROM a_clean",
@@ -499,7 +529,9 @@ JOIN a_dim_int i ON f.stg_cnn = i.cnn AND i.current_flag = 1 JOIN a_dim_pd pd ON
         "dim_full_load_district": "SELECT * FROM a_dim_pd",
         "scd_full_load": "SELECT * FROM a_dim_cat",
         "scd_full_load_intersection": "SELECT * FROM a_dim_int",
-        "dim_insert_new": "SELECT * FROM s1_new_time",
+        "dim_insert_new": ("SELECT (SELECT 100 + count(*) FILTER (stg_hour % 2 = 0) FROM a_stime) + row_number() OVER "
+                           "(ORDER BY stg_full_time) AS time_id, stg_full_time AS full_time, stg_hour AS hour, "
+                           "stg_minute AS minute, stg_daytime_indicator AS daytime_indicator FROM a_stime WHERE stg_hour % 2 = 1"),
         "scd_classify": "SELECT * FROM b1_dim_cat_cls",
         "scd2_expire": (f"SELECT intersection_id, cnn, intersection, latitude, longitude, track_hash, eff_date, "
                         f"DATE '{AS_OF_B2}' AS exp_date, 0 AS current_flag FROM b1_dim_int WHERE current_flag = 1 "
@@ -530,8 +562,8 @@ GROUP BY 1, 2, 3, 4, 5""",
 FROM a_fact f JOIN a_dim_date d ON f.incident_date = d.date_id JOIN a_dim_time t ON f.incident_time = t.time_id
 JOIN a_dim_pd pd ON f.police_district_id = pd.police_district_id JOIN {_categories('a')} c ON f.category_group_id = c.category_group_id
 GROUP BY 1, 2, 3, 4, 5""",
-        "pipeline_full": _natural_fact("a"),
-        "pipeline_incremental": _natural_fact("b2"),
+        "pipeline_full": _natural_fact("f"),
+        "pipeline_incremental": _natural_fact("i2"),
         "pipeline_full_collapse": "SELECT * FROM c_fact",
         "micro_batch": "SELECT * FROM s2_fact",
         "scd_apply_revert": "SELECT * FROM b2_dim_int_next",
@@ -565,7 +597,7 @@ GROUP BY ROLLUP (d.year, d.month, pd.police_district)""",
     q.update({
         "split_to_array": ("SELECT group_id, CAST(len(string_split(signature, ',')) AS INT) AS n_parts, "
                            "string_split(signature, ',')[1] AS first_part FROM a_groups"),
-        "cast_int": ("SELECT group_id, part, CAST(part AS INT) AS code FROM "
+        "cast_int": ("SELECT group_id, part, CAST(split_part(part, '*', 1) AS INT) AS code FROM "
                      "(SELECT group_id, unnest(string_split(signature, ',')) AS part FROM a_groups)"),
         "cast_date": "SELECT category_code, eff_date, exp_date FROM a_dim_cat",
         "current_date": "SELECT cnn, exp_date FROM b2_dim_int WHERE current_flag = 0",

@@ -28,7 +28,7 @@ from starloom.plans.incremental import run_incremental
 from starloom.schemas import PROD_DEFAULTS, PROD_SCHEMAS, STG_SCHEMAS
 from starloom.session import configure, scratch_path
 from starloom.sources import zones as Z
-from starloom.sources.adapter import batch_one, batch_two, raw_incidents
+from starloom.sources.adapter import batch_one, batch_two, raw_incidents, untidy
 from starloom.sources.tables import Warehouse, conform, load_table
 
 # Fixed parameters of the registered queries.
@@ -57,7 +57,7 @@ def _clean(spark, sf) -> DataFrame:
     """Cleansed incidents of all raw rows, written once and read back."""
     def build():
         path = scratch_path(spark, "cleansed")
-        Z.write_zone(Z.ensure_parallelism(C.clean_incidents(_raw(spark, sf))), path)
+        Z.write_zone(C.clean_incidents(_raw(spark, sf)), path)
         return path
     return spark.read.parquet(_memo(("clean", id(spark), sf), build))
 
@@ -89,11 +89,22 @@ def _stg2(spark, sf) -> dict[str, DataFrame]:
 
 # --- sources / sinks ---------------------------------------------------------
 
-def q_json_scan(spark, sf):
+INGEST_COLUMNS = C.RAW_COLUMNS + ["created_at", "updated_at"]
+
+
+def _landed(spark, raw: DataFrame) -> DataFrame:
+    """Raw records as an API delivers them: files that each hold a JSON array, every value text."""
     path = scratch_path(spark, "raw-json")
-    Z.write_json(Z.as_raw_strings(_raw(spark, sf)), path)
-    raw = Z.read_raw(spark, path, C.RAW_COLUMNS + ["created_at", "updated_at"], multi_line=False)
-    return C.cast_types(C.project_columns(raw))
+    Z.write_json_arrays(Z.as_raw_strings(raw), path)
+    return Z.read_raw(spark, path, INGEST_COLUMNS)
+
+
+def q_json_scan(spark, sf):
+    """S1 in both forms: rows of batch one come as arrays, the others as lines."""
+    raw, path = _raw(spark, sf), scratch_path(spark, "raw-json-lines")
+    Z.write_json(Z.as_raw_strings(batch_two(raw, changed=False)), path)
+    both = _landed(spark, batch_one(raw)).unionByName(Z.read_raw(spark, path, INGEST_COLUMNS, multi_line=False))
+    return C.cast_types(C.project_columns(both))
 
 
 def q_parquet_scan(spark, sf):
@@ -137,12 +148,20 @@ def q_row_cap(spark, sf):
 
 
 def q_size_gate(spark, sf):
-    raw = Z.size_gate(_raw(spark, sf))
-    return Z.batch_stats(raw.drop("created_at", "updated_at"))
+    """Without a limit a batch passes; then its measure, which as a limit lets it pass and one byte less not."""
+    raw = Z.size_gate(C.project_columns(_raw(spark, sf)).drop("incident_datetime", "report_datetime", "latitude", "longitude"))
+    n = Z.batch_stats(raw).first()["n_bytes"]
+    passed = Z.batch_stats(Z.size_gate(raw, max_bytes=n))
+    try:
+        Z.size_gate(raw, max_bytes=n - 1)
+        stopped = n == 0
+    except Z.SizeGateError:
+        stopped = True
+    return passed.withColumn("stopped_below", F.lit(stopped))
 
 
 def q_load_audit(spark, sf):
-    return C.load_audit(_raw(spark, sf), VALID_DATE)
+    return C.load_audit(untidy(_raw(spark, sf)), VALID_DATE)
 
 
 def q_truncate_load(spark, sf):
@@ -173,7 +192,7 @@ def q_column_list_load(spark, sf):
 
 def q_micro_batch(spark, sf):
     """Two daily landings, each picked up by one availableNow run of the
-    streaming load (one micro-batch per run; batch id = load id)."""
+    streaming load (one micro-batch per run)."""
     from starloom.streaming.micro_batch import run_micro_batches
     raw = _raw(spark, sf)
     landing, root = scratch_path(spark, "landing"), scratch_path(spark, "wh-stream")
@@ -181,35 +200,42 @@ def q_micro_batch(spark, sf):
     dates = {0: "1999-12-31", 1: AS_OF_B2}
     for day, batch in ((1, batch_one(raw)), (2, batch_two(raw))):
         Z.write_json(Z.as_raw_strings(batch), f"{landing}/day={day}")
-        run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of=lambda b: dates.get(b, AS_OF_B2),
-                          files_per_batch=None)
+        run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of=lambda b: dates.get(b, AS_OF_B2))
     return Zones.open(spark, root).prod.read("fact_incident")
 
 
 # --- table definition / keys -------------------------------------------------
 
-def q_staging_tables(spark, sf):
-    z = _full(spark, sf)
-    counts = [z.stg.read(t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
-              for t in STG_SCHEMAS]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
+def _contents(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, column, rows, filled, different, least, most): the content of tables column by column."""
+    out = None
+    for t, df in tables.items():
+        cols = df.columns
+        aggs = [F.count(F.lit(1)).alias("n_rows")]
+        for i, c in enumerate(cols):
+            text = F.col(c).cast("double").cast("string") if dict(df.dtypes)[c] == "double" else F.col(c).cast("string")
+            aggs.append(F.struct(F.lit(c).alias("column_name"), F.count(c).alias("n_filled"), F.count_distinct(c).alias("n_different"),
+                                 (F.lit(None).cast("string") if dict(df.dtypes)[c] == "double" else F.min(text)).alias("least"),
+                                 (F.lit(None).cast("string") if dict(df.dtypes)[c] == "double" else F.max(text)).alias("most")).alias(f"c{i}"))
+        one = df.agg(*aggs).select(F.lit(t).alias("table_name"), "n_rows", F.explode(F.array(*[f"c{i}" for i in range(len(cols))])).alias("c"))
+        one = one.select("table_name", "n_rows", "c.*")
+        out = one if out is None else out.unionByName(one)
     return out
 
 
+def q_staging_tables(spark, sf):
+    """Rows, and per column its filled and different values, of every staging table."""
+    return _contents({t: _full(spark, sf).stg.read(t) for t in STG_SCHEMAS})
+
+
 def q_prod_tables(spark, sf):
-    z = _full(spark, sf)
-    out = None
-    for t in PROD_SCHEMAS:
-        c = z.prod.read(t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
-        out = c if out is None else out.unionByName(c)
-    return out
+    """The same of every warehouse table."""
+    return _contents({t: _full(spark, sf).prod.read(t) for t in PROD_SCHEMAS})
 
 
 def q_surrogate_key(spark, sf):
     ids = _clean(spark, sf).select("incident_id").distinct()
-    return assign_ids(ids, "incident_key", "incident_id", distributed=True)
+    return assign_ids(ids, "incident_key", "incident_id")
 
 
 def q_column_defaults(spark, sf):
@@ -220,7 +246,7 @@ def q_column_defaults(spark, sf):
 
 def q_replicated_dims(spark, sf):
     z = _full(spark, sf)
-    pd = checked_broadcast(z.prod.read("dim_police_district"), z.prod.row_count("dim_police_district"))
+    pd = checked_broadcast(z.prod.read("dim_police_district"), z.prod.byte_size("dim_police_district"))
     f = z.stg.read("fact_incident")
     return (f.join(pd, f.stg_police_district == pd.police_district)
             .select("stg_incident_id", "stg_category_code", "stg_report_time", "police_district_id"))
@@ -253,11 +279,11 @@ def q_filter_from_date(spark, sf):
 
 
 def q_cast_types(spark, sf):
-    return C.cast_types(Z.as_raw_strings(C.project_columns(_raw(spark, sf))))
+    return C.cast_types(C.project_columns(untidy(_raw(spark, sf))))
 
 
 def q_clean_incidents(spark, sf):
-    return C.clean_incidents(_raw(spark, sf), VALID_DATE)
+    return C.clean_incidents(untidy(_raw(spark, sf)), VALID_DATE)
 
 
 def q_rename_columns(spark, sf):
@@ -408,11 +434,13 @@ def q_scd_full_load_intersection(spark, sf):
 
 
 def q_dim_insert_new(spark, sf):
-    """D3 on the first load into an empty warehouse (the streaming path):
-    every staged minute of batch one is new, ids from 1."""
-    b1 = _b1(spark, sf)
-    empty = spark.createDataFrame([], PROD_SCHEMAS["dim_time"])
-    return D.insert_new(empty, b1.stg.read("dim_time"), D.DIM_SPECS["dim_time"])
+    """D3 on a dimension that holds some of the staged minutes (those of even
+    hours, numbered in falling order): only the others come, after the largest id."""
+    staged = P.stage_dim_time(_clean(spark, sf))
+    spec = D.DIM_SPECS["dim_time"]
+    known = D._rename(staged.filter("stg_hour % 2 = 0"), spec.columns)
+    known = assign_ids(known, "time_id", F.col("full_time").desc(), start=100, bounded=True)
+    return D.insert_new(known, staged, spec)
 
 
 def _scd_args(spark, sf, name):
@@ -556,12 +584,27 @@ def natural_fact(prod: dict[str, DataFrame]) -> DataFrame:
                     "report_day", "report_hhmm", "cnn", "police_district"))
 
 
+# Limit of the size gate in the composed pipelines: far above any day's batch; a larger one must stop.
+GATE_BYTES = 1 << 50
+
+
 def q_pipeline_full(spark, sf):
-    return natural_fact(_full(spark, sf).prod.tables())
+    """E1 with its ingest: JSON arrays, rows changed since the start (S7), the
+    size gate (S9), cleaning from the same date on (C6), then the warehouse."""
+    z = _memo(("ingest", id(spark), sf),
+              lambda: run_full_load(spark, _landed(spark, _raw(spark, sf)), scratch_path(spark, "wh-ingest"), fresh=True,
+                                    valid_date=VALID_DATE, from_date=VALID_DATE, max_bytes=GATE_BYTES))
+    return natural_fact(z.prod.tables())
 
 
 def q_pipeline_incremental(spark, sf):
-    return natural_fact(_incr(spark, sf).prod.tables())
+    """E1 on batch one, then E2 on what of batch two was created or changed since."""
+    def build():
+        root, raw = scratch_path(spark, "wh-since"), _raw(spark, sf)
+        run_full_load(spark, batch_one(raw), root, load_id="b1", fresh=True)
+        return run_incremental(spark, _landed(spark, batch_two(raw)), root, as_of=AS_OF_B2, load_id="b2", since=SINCE,
+                               max_bytes=GATE_BYTES)
+    return natural_fact(_memo(("since", id(spark), sf), build).prod.tables())
 
 
 def q_pipeline_full_collapse(spark, sf):
@@ -660,7 +703,7 @@ def q_split_to_array(spark, sf):
 def q_cast_int(spark, sf):
     g = B.number_groups(q_group_signature(spark, sf))
     return g.select("group_id", F.explode(F.split("signature", ",")).alias("part")).select(
-        "group_id", "part", F.col("part").cast("int").alias("code"))
+        "group_id", "part", F.split_part("part", F.lit("*"), F.lit(1)).cast("int").alias("code"))
 
 
 def q_cast_date(spark, sf):
@@ -708,12 +751,9 @@ def q_reset_schema(spark, sf):
     reset_database(spark, db, f"{loc}/db")
     create_tables(spark, db, STG_SCHEMAS, f"{loc}/tables")
     staged = P.stage_all(_clean(spark, sf))
-    out = None
     for t, df in staged.items():
         conform(df, STG_SCHEMAS[t]).write.insertInto(f"{db}.{t}")
-        c = spark.table(f"{db}.{t}").agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
-        out = c if out is None else out.unionByName(c)
-    return out
+    return _contents({t: spark.table(f"{db}.{t}") for t in staged})
 
 
 QUERIES.update(SCALAR_QUERIES)
