@@ -7,24 +7,39 @@ from starloom.operators.keys import assign_ids, checked_broadcast
 def test_distributed_ids_equal_window_ids(spark):
     df = spark.range(0, 5000, numPartitions=7).select(
         F.concat(F.lit("g"), F.lpad((F.col("id") * 7919 % 5000).cast("string"), 6, "0")).alias("k"))
-    a = {r.k: r.i for r in assign_ids(df, "i", "k", start=10).collect()}
-    b = {r.k: r.i for r in assign_ids(df, "i", "k", start=10, distributed=True).collect()}
+    a = {r.k: r.i for r in assign_ids(df, "i", "k", start=10, bounded=True).collect()}
+    b = {r.k: r.i for r in assign_ids(df, "i", "k", start=10).collect()}
     assert a == b and sorted(a.values()) == list(range(11, 5011))
 
 
 def test_checked_broadcast_respects_bound(spark):
-    df = spark.range(10)
-    plan_small = spark.range(100).join(checked_broadcast(df, max_rows=10), "id")._jdf.queryExecution().toString()
+    df = spark.range(10).withColumn("s", F.lit("x" * 100))          # 10 rows of 8 and 108 bytes
+    plan_small = spark.range(100).join(checked_broadcast(df, max_bytes=1160), "id")._jdf.queryExecution().toString()
     assert "broadcast" in plan_small.lower()
-    assert checked_broadcast(df, max_rows=5) is df
+    assert checked_broadcast(df, max_bytes=1159) is df
+    assert checked_broadcast(df, n_bytes=1 << 40) is df
 
 
 def test_signature_keeps_duplicates_in_numeric_order(spark):
     df = spark.createDataFrame([(1, 10), (1, 9), (1, 10), (2, 2), (3, 9), (3, 10), (3, 10)], "inc int, code int")
     got = {r.inc: r.signature for r in B.group_signature(df, "inc", "code").collect()}
-    assert got == {1: "9,10,10", 2: "2", 3: "9,10,10"}
-    groups = {r.signature: r.group_id for r in B.number_groups(B.group_signature(df, "inc", "code")).collect()}
-    assert groups == {"2": 1, "9,10,10": 2}
+    assert got == {1: "9,10*2", 2: "2", 3: "9,10*2"}
+    numbered = B.number_groups(B.group_signature(df, "inc", "code"))
+    assert {r.signature: r.group_id for r in numbered.collect()} == {"2": 1, "9,10*2": 2}
+    members = sorted(map(tuple, B.explode_signature(numbered, "group_id").collect()))
+    assert members == [(1, 2), (2, 9), (2, 10), (2, 10)]             # duplicates come back in the rows
+
+
+def test_members_beyond_32_bits_and_signatures_without_the_bridge(spark):
+    big = 3_000_000_000
+    df = spark.createDataFrame([(1, big), (1, big), (1, 7), (2, 7)], "inc bigint, code bigint")
+    groups = B.number_groups(B.group_signature(df, "inc", "code"))
+    dim = spark.createDataFrame([(big, big + 1), (7, 8)], "category_code bigint, category_id bigint")
+    bridge = B.bridge_full_load(groups, dim)
+    assert sorted(r.category_id for r in bridge.collect()) == [8, 8, big + 1, big + 1]
+    assert sorted(map(tuple, B.category_signatures(groups, dim).collect())) == sorted(map(tuple, B.bridge_signatures(bridge).collect()))
+    again = B.bridge_insert_new(bridge, spark.createDataFrame([(9, f"8,{big + 1}*3")], "incident_id bigint, category_id_group string"))
+    assert sorted(r.category_id for r in again.collect()) == [8] + [big + 1] * 3
 
 
 def test_bridge_insert_new_and_group_dim(spark):

@@ -1,16 +1,12 @@
-"""Registered queries against their DuckDB oracle at sf0.001 (a fast subset;
-``python tests/oracle_compare.py`` runs all of them at sf0.01)."""
+"""All registered queries against their DuckDB oracle at sf0.001
+(``python tests/oracle_compare.py`` runs them at sf0.01)."""
 import pytest
 from conftest import SF001
 from oracle_compare import compare
 
-SUBSET = ["json_scan", "load_audit", "stage_dim_date", "stage_dim_time", "us_federal_holidays", "hash64_chain",
-          "group_ids_full", "bridge_full_load", "fact_full_load", "scd_apply", "scd_apply_category",
-          "bridge_insert_new", "fact_incremental", "fact_unmatched", "report_year", "pipeline_incremental",
-          "pipeline_full_collapse", "surrogate_key"]
+from starloom import registry
 
-
-@pytest.mark.parametrize("name", SUBSET)
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, name):
     res = compare(spark, SF001, [name])[name]
     assert res["match"], res
@@ -18,4 +14,4 @@ def test_query_matches_oracle(spark, name):
 
 def test_every_query_has_an_oracle_or_is_declared():
     import __spark_entry__ as E
-    assert set(E.queries()) - set(E.oracle_sql()) == E.NO_ORACLE
+    assert set(registry.QUERIES) - set(E.oracle_sql()) == E.NO_ORACLE

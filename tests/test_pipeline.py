@@ -53,7 +53,11 @@ def test_fact_plan_broadcasts_dims_without_cartesian(spark, scratch):
     groups = B.number_groups(B.group_signature(stg, "stg_incident_id", "stg_category_code"))
     fact = build_fact(stg, z.prod.tables(), incident_groups_full(stg, groups), sizes=z.prod.sizes())
     plan = fact._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") >= 7 or "BroadcastHashJoin" in plan
+    # seven lookups, the group ids onto the signatures, and the offsets of the group numbering
+    assert plan.count("BroadcastHashJoin") == 9
+    # the fact: its distinct and its join on the incident; the signatures: by (incident, code) and by
+    # incident; the numbering: one row per partition
+    assert plan.count("Exchange hashpartitioning(") == 5
     assert "Cartesian" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
@@ -64,16 +68,51 @@ def test_streaming_micro_batches(spark, scratch):
     landing, root, ckpt = scratch("landing"), scratch("wh"), scratch("ckpt")
     Z.write_json(Z.as_raw_strings(raw.filter(F.col("incident_datetime") < F.to_timestamp_ntz(F.lit("1998-01-01")))),
                  f"{landing}/d=1")
-    run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of="1998-01-01", files_per_batch=None)
+    run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of="1998-01-01")
     n1 = Zones.open(spark, root).prod.read("fact_incident").count()
     Z.write_json(Z.as_raw_strings(batch_two(raw, changed=False)), f"{landing}/d=2")
-    run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of="1998-01-01", files_per_batch=None)
+    run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of="1998-01-01")
     z = Zones.open(spark, root)
     n = z.prod.read("fact_incident").count()
     assert 0 < n1 < n
-    assert {r[3] for r in z.manifest.committed if r[1] == "fact_incident"} == {"stream-0", "stream-1"}
-    run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of="1998-01-01", files_per_batch=None)
+    loads = {r.load_id for r in z.manifest.committed if r.table == "fact_incident"}
+    assert len(loads) == 2 and {x.rsplit("-", 1)[1] for x in loads} == {"0", "1"}
+    run_micro_batches(spark, f"{landing}/*/*.json", root, ckpt, as_of="1998-01-01")
     assert Zones.open(spark, root).prod.read("fact_incident").count() == n        # nothing new
+    # a second landing with a checkpoint of its own counts batches from 0 again, and is loaded all the same
+    other = scratch("landing")
+    Z.write_json(Z.as_raw_strings(raw.filter(F.col("incident_id") % 50 == 0)), f"{other}/d=1")
+    run_micro_batches(spark, f"{other}/*/*.json", root, scratch("ckpt"), as_of="1998-01-02")
+    assert Zones.open(spark, root).prod.read("fact_incident").count() > n
+
+
+def test_batch_after_a_reload_is_loaded(spark, scratch):
+    raw = raw_incidents(spark, SF001)
+    split = F.col("incident_datetime") < F.to_timestamp_ntz(F.lit("1998-01-01"))
+    root = scratch("reload")
+    run_full_load(spark, raw.filter(split), root)
+    n1 = run_incremental(spark, raw.filter(~split), root, as_of="1998-01-01", load_id="d1").prod.row_count("fact_incident")
+    n0 = run_full_load(spark, raw.filter(split), root).prod.row_count("fact_incident")
+    again = run_incremental(spark, raw.filter(~split), root, as_of="1998-01-01", load_id="d1")
+    assert n0 < n1 == again.prod.row_count("fact_incident") == Zones.open(spark, root).prod.read("fact_incident").count()
+    once_more = run_incremental(spark, raw.filter(~split), root, as_of="1998-01-02", load_id="d1")
+    assert once_more.prod.row_count("fact_incident") == n1           # a repeated batch of this epoch is not
+
+
+def test_unmatched_rows_are_counted_by_the_load_itself(spark, scratch):
+    from starloom.operators.fact import build_fact
+    from pyspark.sql import Observation
+    z = run_full_load(spark, raw_incidents(spark, SF001), scratch("unmatched"))
+    stg = z.stg.read("fact_incident")
+    lost = stg.limit(3).withColumns({"stg_resolution": F.lit("Nowhere"), "stg_cnn": F.lit(-1), "stg_incident_id": F.lit(-5).cast("bigint")})
+    groups = z.prod.read("fact_incident").select("incident_id", "category_group_id").distinct()
+    obs = Observation("t")
+    fact = build_fact(stg.unionByName(lost), z.prod.tables(), groups, sizes=z.prod.sizes(), unmatched=obs)
+    assert fact.count() == z.prod.row_count("fact_incident")
+    got = obs.get
+    assert (got["resolution"], got["intersection"], got["category_group"], got["police_district"]) == (3, 3, 3, 0)
+    stored = {r.dimension: r.n_unmatched for r in spark.read.parquet(f"{z.root}/audit_unmatched").collect()}
+    assert len(stored) == 8 and set(stored.values()) == {0}
 
 
 def test_empty_batch_and_replace_mode(spark, scratch):
@@ -94,6 +133,9 @@ def test_empty_batch_and_replace_mode(spark, scratch):
     assert resent_rows.count() > 0
     assert {r.resolution for r in resent_rows.select("resolution").distinct().collect()} == {"Reopened"}
     assert f.count() == before["fact_incident"]
+    # only folders that held re-sent incidents were written again: a load without any stays as it is
+    kinds = [r.kind for r in z.prod.loads("fact_incident")]
+    assert sorted(kinds) == ["keep", "replace", "rewrite"]
     # a retry of the earlier load id stays a no-op after the replace started a new fact version
     again = run_incremental(spark, resent, root, as_of="2001-01-02", load_id="empty")
     assert again.prod.read("fact_incident").count() == before["fact_incident"]

@@ -70,13 +70,27 @@ def test_insert_new_continues_ids(spark):
     assert sorted((r.resolution_id, r.resolution) for r in new.collect()) == [(3, "Arrest"), (4, "Zeta")]
 
 
-def test_distributed_numbering_gives_the_same_dimension(spark):
+def test_numbering_follows_the_key_and_continues(spark):
     rows = [(i, f"I{i % 7}", float(i), float(-i)) for i in range(50, 0, -1)]
     a = sorted(map(tuple, D.scd_init(stg(spark, rows), SPEC).collect()))
-    b = sorted(map(tuple, D.scd_init(stg(spark, rows), SPEC, distributed=True).collect()))
-    assert a == b
+    assert [r[1] for r in a] == sorted(r[0] for r in rows)            # ids in key order
     v1 = materialize(spark, D.scd_init(stg(spark, rows), SPEC))
     nxt = [(i, f"J{i % 5}", float(i), float(-i)) for i in range(40, 60)]
     x = sorted(map(tuple, scd_apply(v1, stg(spark, nxt), SPEC, "2022-01-01").collect()))
-    y = sorted(map(tuple, scd_apply(v1, stg(spark, nxt), SPEC, "2022-01-01", distributed=True).collect()))
-    assert x == y
+    assert [r[0] for r in x if r[0] > 50] == list(range(51, 51 + len([r for r in x if r[0] > 50])))
+
+
+def test_null_tracked_value_is_no_change_on_rerun(spark):
+    rows = [(1, None, 1.0, 1.0), (2, "A", 1.0, 1.0)]
+    v1 = materialize(spark, D.scd_init(stg(spark, rows), SPEC))
+    same = materialize(spark, scd_apply(v1, stg(spark, rows), SPEC, "2022-01-01"))
+    assert sorted(map(tuple, same.collect()), key=str) == sorted(map(tuple, v1.collect()), key=str)
+    changed = scd_apply(same, stg(spark, [(1, "", 1.0, 1.0), (2, None, 1.0, 1.0)]), SPEC, "2022-01-02").collect()
+    assert len(changed) == 4 and sum(r.current_flag for r in changed) == 2      # NULL, "" and "A" are three values
+
+
+def test_collapse_takes_the_least_row_null_first_in_one_aggregate(spark):
+    df = spark.createDataFrame([(1, "b", 2.0, 1.0), (1, None, 9.0, 3.0), (2, "b", 2.0, 1.0), (2, "b", 1.0, 7.0)], STG)
+    got = D.collapse_per_key(df, df.columns[0], df.columns[1:])
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, None, 9.0, 3.0), (2, "b", 1.0, 7.0)]
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
