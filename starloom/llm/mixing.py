@@ -50,11 +50,11 @@ def _let(value: Column, body) -> Column:
 
 
 def hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Column:
-    """The inverse of the distribution function, at ``u``, of the number of good ones among ``draws``
-    drawn from ``total``.
+    """The number of good ones among ``draws`` drawn from ``total``, by inversion at a uniform ``u``.
 
-    Outcomes are enumerated from the mode outwards with probabilities relative to the mode's (by their
-    ratios), up to 12 standard deviations on either side, beyond which nothing is left in double precision.
+    Outcomes are enumerated from the mode upwards, then from the mode downwards, with probabilities
+    relative to the mode's (by their ratios), up to 12 standard deviations on either side, beyond which
+    nothing is left in double precision; the first whose running sum passes ``u`` of the whole is drawn.
     """
     def of(v):
         n, k, d, x = (v[c] for c in ("n", "k", "d", "u"))
@@ -120,8 +120,9 @@ def splitting_tree(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
     """(shard, place, quota) from one row with an array column ``quotas``: 2**levels shards, each with its
     exact number of blocks of each source (place: index into the array)."""
     nodes = quotas.select(F.lit(1).cast("long").alias("node"), "quotas")
+    split = _split(F.col("node"), F.col("quotas"), seed).alias("h")
     for level in range(levels):
-        halves = nodes.select("node", _split(F.col("node"), F.col("quotas"), seed).alias("h"))
+        halves = nodes.select("node", split)
         nodes = halves.select("node", F.posexplode(F.array("h.left", "h.right")).alias("side", "quotas")).select(
             (F.col("node") * 2 + F.col("side")).alias("node"), "quotas")
         nodes = stored(nodes.repartition(max(1, 1 << level >> 4), "node") if level >= 5 else nodes, f"mix-tree-{level}")
@@ -212,14 +213,19 @@ class Mix:
                 .when(F.col("before") < F.col("rest"), "part").otherwise("none"))
         blocks = stored(blocks.select("place", "block", "words", "passes", (F.col("rest") - F.col("before")).alias("wanted"),
                                       last.alias("last")), "mix-blocks")
-        # At most one block of a source is cut: of its rows in hash order, each that still fits is taken.
+        # At most one block of a source is cut: of its rows in hash order, each that still fits is taken, and
+        # then the smallest of the others if that comes nearer.
         cut = small(stored(blocks.filter("last = 'part'").select("place", "block", "wanted"), "mix-cut-blocks"))
         inside = sized.join(cut, ["place", "block"]).filter("size > 0").groupBy("place", "block").agg(
             F.array_sort(F.collect_list(F.struct("order", "size"))).alias("rows"), F.first("wanted").alias("wanted"))
         begin = F.struct(F.col("wanted").cast("double").alias("left"), F.array().cast("array<bigint>").alias("picked"))
         picked = F.aggregate("rows", begin, lambda acc, r: F.when(r["size"] <= acc["left"], F.struct(
             (acc["left"] - r["size"]).alias("left"), F.concat(acc["picked"], F.array(r["order"])).alias("picked"))).otherwise(acc))
-        cuts = inside.select("place", "block", picked["picked"].alias("cut")).filter(F.size("cut") > 0)
+        fitted = inside.select("place", "block", "rows", picked.alias("fit"))
+        other = F.filter("rows", lambda r: (r["size"] < 2 * F.col("fit.left")) & ~F.array_contains(F.col("fit.picked"), r["order"]))
+        nearer = F.array_min(F.transform(other, lambda r: F.struct(r["size"], r["order"])))["order"]
+        cuts = fitted.select("place", "block", F.when(nearer.isNull(), F.col("fit.picked")).otherwise(
+            F.concat(F.col("fit.picked"), F.array(nearer))).alias("cut")).filter(F.size("cut") > 0)
         drawn = blocks.join(cuts, ["place", "block"], "left")
         n = F.col("passes") + F.when((F.col("last") == "whole") | F.col("cut").isNotNull(), 1).otherwise(0)
         epochs = F.explode(F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.array().cast("array<bigint>")))
