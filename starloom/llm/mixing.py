@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, small, stored
+from .common import WORD, free_name, small, stored
 
 BLOCK_WORDS = 1 << 16
 SHARD_WORDS = 1 << 24
@@ -260,22 +260,24 @@ class Mix:
         placed = self._in_source(rows, ["place", "n_blocks"]).withColumn("block", self._block())
         return placed.join(self.drawn, ["place", "block"]).filter(F.col("cut").isNull() | F.array_contains("cut", F.col("order")))
 
+    def _mixed(self, columns: list[str]) -> DataFrame:
+        """The mix with its columns as c0, c1, ... (so that no name can clash), epoch, shard and place."""
+        rows = self.df.select(F.col(self.source_col).alias("source"), self._order().alias("order"),
+                              *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
+        return self._taken(rows).select(*[f"c{i}" for i in range(len(columns))], "epoch", "shard",
+                                        _bits(F.lit(self.seed + 5), "order", "epoch").alias("place"))
+
     def rows(self, columns: list[str] | None = None) -> DataFrame:
         """The mix: a row for each time a row of ``df`` is taken, with ``mix_epoch``, ``mix_shard`` and
-        ``mix_order`` (its place in the shard)."""
+        ``mix_order`` (its place in the shard); underscores are put before these where ``df`` has the name."""
         columns = self.df.columns if columns is None else columns
-        back = {f"c{i}": c for i, c in enumerate(columns)}
-        rows = self.df.select(F.col(self.source_col).alias("source"), self._order().alias("order"),
-                              *[F.col(c).alias(k) for k, c in back.items()])
-        taken = self._taken(rows)
-        return taken.select(*back, F.col("epoch").alias("mix_epoch"), F.col("shard").alias("mix_shard"),
-                            _bits(F.lit(self.seed + 5), "order", "epoch").alias("mix_order")
-                            ).toDF(*columns, "mix_epoch", "mix_shard", "mix_order")
+        return self._mixed(columns).toDF(*columns, *[free_name(self.df, n) for n in ("mix_epoch", "mix_shard", "mix_order")])
 
     def shuffled(self, columns: list[str] | None = None) -> DataFrame:
-        """``rows`` with the original columns only, each shard whole in one task and shuffled in it."""
+        """The mix with the original columns only, each shard whole in one task and shuffled in it."""
         columns = self.df.columns if columns is None else columns
-        return self.rows(columns).repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_order").select(*columns)
+        dealt = self._mixed(columns).repartition("shard").sortWithinPartitions("shard", "place")
+        return dealt.drop("epoch", "shard", "place").toDF(*columns)
 
     def taken(self) -> DataFrame:
         """(id, size, source_size, target, taken) of every row of ``df``; taken counts the mix's rows."""

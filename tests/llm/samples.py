@@ -16,7 +16,8 @@ def odd(spark):
     df = spark.createDataFrame(ODD, "doc_id bigint, text string").repartition(3)
     return df.withColumns({"lang": F.lit("en"), "source": F.when(F.col("doc_id") < 6, "s1").when(F.col("doc_id") < 9, "s2"),
                            "n_chars": F.length("text"), "Kept": F.lit("clash"), "fp": F.lit(1.5),
-                           "keep_id": F.lit(None).cast("string"), "id": F.lit("x"), "score": F.array(F.lit(1))})
+                           "keep_id": F.lit(None).cast("string"), "id": F.lit("x"), "score": F.array(F.lit(1)),
+                           "mix_shard": F.lit(0), "order": F.lit("z"), "epoch": F.lit(None).cast("int")})
 
 
 def empty(spark):
