@@ -62,7 +62,7 @@ m AS (SELECT doc_id, len(w)::BIGINT AS n_words, len(array_to_string(w, ''))::BIG
       FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
 j AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR 100 * n_symbols > 50 * n_words OR (n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines)
+       NOT (base_failed OR 100 * n_symbols > 20 * n_words OR (n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines)
             OR (n_words >= 20 AND (word_chars < 2 * n_words OR word_chars > 25 * n_words))
             OR (n_letters >= 50 AND 100 * n_upper > 60 * n_letters)) AS kept
 FROM j

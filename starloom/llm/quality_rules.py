@@ -26,7 +26,7 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_r
 RULES: dict[str, tuple[int, Column | str]] = {
     "few_words": (0, "n_words < 20"),
     "repeat_words": (1, "100 * n_repeat_words > 30 * n_words"),
-    "symbols": (2, "100 * n_symbols > 50 * n_words"),
+    "symbols": (2, "100 * n_symbols > 20 * n_words"),
     "dup_lines": (3, "n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines"),
     "short_words": (4, "n_words >= 20 AND word_chars < 2 * n_words"),
     "long_words": (5, "n_words >= 20 AND word_chars > 25 * n_words"),
