@@ -3,8 +3,8 @@
 The key of a text is its 64-bit hash.  A directory of hash prefixes starts with one bucket; as long as
 a bucket is overfull (its distinct texts hold more than ``bucket_chars`` characters) the directory
 doubles: the bucket splits on one more bit of the key.  A bucket that copies of few keys overfill
-cannot be split by key; it gets overflow pages, dealt by a hash of the id, so a text that holds a third
-of all rows is spread as well.  Owner tasks take whole (bucket, page) ranges: each chains the entries of
+cannot be split by key; beyond ``PAGE_BUCKETS`` times a bucket's characters it gets overflow pages, dealt by
+a hash of the id, so a text that holds a third of all rows is spread as well.  Owner tasks take whole (bucket, page) ranges: each chains the entries of
 a key and compares their bytes.  The index entries are written to the shared folder; entries of buckets
 with several pages are then joined across pages, again by bytes, from one representative per page.
 
@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 
 from .common import free_name, on_workers, small, stored
 
-BUCKET_CHARS = 24 << 20     # distinct characters of a bucket, and characters of a page
+BUCKET_CHARS = 16 << 20     # characters of the different texts in a bucket
+PAGE_BUCKETS = 4            # a page holds the characters of so many buckets, copies included
 MAX_DEPTH = 18              # the directory has at most 2**18 entries
 _DECISIONS = ("xd_key", "xd_bucket", "xd_page", "xd_pages", "xd_depth", "xd_rep", "xd_rep_id", "xd_rep_row",
               "xd_size", "xd_first")
@@ -50,7 +51,7 @@ def directory(keyed: DataFrame, bucket_chars: int, max_depth: int) -> DataFrame:
         marked = stored(marked.withColumn("full", full), f"exact-directory-{depth}")
         done = marked.filter(~F.col("full")).select(
             "xd_prefix", "xd_bucket", F.lit(depth).alias("xd_depth"),
-            F.greatest(F.lit(1), F.ceil(F.col("ba") / bucket_chars)).cast("long").alias("xd_pages"))
+            F.greatest(F.lit(1), F.ceil(F.col("ba") / (PAGE_BUCKETS * bucket_chars))).cast("long").alias("xd_pages"))
         closed = done if closed is None else closed.unionByName(done)
         open_ = marked.filter("full").select("xd_prefix", "c", "all", "n")
         if open_.isEmpty():
