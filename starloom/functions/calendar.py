@@ -19,8 +19,6 @@ NTH_WEEKDAY_HOLIDAYS = [(1, "MON", 3, 1986), (2, "MON", 3, None), (9, "MON", 1,
 # last weekday of a month (month, weekday): Memorial Day.
 LAST_WEEKDAY_HOLIDAYS = [(5, "MON")]
 
-OPEN_END_DATE = "2999-12-31"
-
 
 def observed(d: Column) -> Column:
     """Saturday moves to Friday, Sunday to Monday."""

@@ -19,10 +19,6 @@ SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Wide projections followed by many null checks (the 14-column
-    # cleaning over a joined source) make constraint inference explode at
-    # planning time; the inferred IS NOT NULL filters are not needed here.
-    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
