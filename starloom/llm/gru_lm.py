@@ -40,7 +40,7 @@ MODEL_WORDS = CLASSES * PER_CLASS - TAILS - 1       # and the end token
 HIDDEN, EMBED = 16, 16
 SPAN, LANES = 32, 48
 SAMPLE_SHARE, SAMPLE_LEAST, TASK_TOKENS, ROUNDS = 0.02, 1_500_000, 500_000, 2
-SCORE_SPAN, SCORE_LANES = 64, 256
+SCORE_SPAN, SCORE_LANES, SCORE_BYTES = 64, 256, 6 << 20
 END = np.uint64(1)                                  # the end token's place among word hashes
 
 
@@ -59,6 +59,13 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return hashes, tails, first + np.arange(n + 1)
 
 
+def hashed_batch(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``hashed_words`` of many texts, in slices, so that the bytes' hashing arrays stay small."""
+    parts = [hashed_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in slices(offsets)]
+    sizes = np.concatenate([np.diff(x[2]) for x in parts])
+    return (np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts]), np.concatenate(([0], np.cumsum(sizes))))
+
+
 def _count_batches(batches):
     for b in batches:
         data, offsets = buffers(b.column(0))
@@ -393,8 +400,8 @@ def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         part, row = TaskContext.get().partitionId() << 33, 0
         for b in batches:
             data, offsets = buffers(b.column(1))
-            for i, j in slices(offsets, 8 << 20):
-                h, t, first = hashed_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            for i, j in slices(offsets, SCORE_BYTES):
+                h, t, first = hashed_batch(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 at, token = words.look_up(h, t)
                 n = j - i
                 doc = np.repeat(np.arange(n), np.diff(first))
