@@ -329,9 +329,8 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     token[frequent] = np.arange(1, len(frequent) + 1)
     token[hashes == END] = 0
     # Tail groups: all words that are not tokens of their own.
-    least_token = [int(x) for x in hashes[frequent].view(np.int64)] + [int(END)]
-    own = counts.sparkSession.createDataFrame(pa.table({"word": pa.array(least_token, pa.int64())}))
-    groups = counts.join(F.broadcast(own), "word", "left_anti").groupBy("tail").agg(     # MODEL_WORDS + 1 rows
+    own = counts.sparkSession.createDataFrame(pa.table({"word": pa.array(hashes[token >= 0].view(np.int64), pa.int64())}))
+    groups = counts.join(F.broadcast(own), "word", "left_anti").groupBy("tail").agg(     # MODEL_WORDS + 1 rows at most
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect()
     tail_n, tail_k = np.zeros(TAILS), np.zeros(TAILS)
     for r in groups:
