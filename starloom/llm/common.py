@@ -19,14 +19,20 @@ from starloom.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one vectorised pass handles at once (a longer text is handled alone, whole).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+#: Rows of an Arrow batch: texts are long, and a task holds two batches on either side.
+BATCH_ROWS = 2000
 #: A side is broadcast only when its measured size stays below this.
 BROADCAST_BYTES = 32 << 20
 
 
 def on_workers(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it (a cluster that installs
-    or ships the package needs nothing; the path is then simply one more entry)."""
+    or ships the package needs nothing; the path is then simply one more entry), and hand them texts in
+    small Arrow batches unless the session asks for smaller ones."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     path = env.get("PYTHONPATH", "")
@@ -138,22 +144,21 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0xD6E8FEB86659FD93
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: list[np.ndarray] = []      # of this worker, for up to CHUNK_BYTES + 1 positions
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the odd base modulo 2**64 and of its inverse, for at least ``n`` positions."""
-    size = 1 << max(16, int(n).bit_length())
-    if size not in _POWERS:
-        made = []
-        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            made.append(np.multiply.accumulate(p))
-        if size > 4 * CHUNK_BYTES:
-            return made[0], made[1]
-        _POWERS[size] = (made[0], made[1])
-    return _POWERS[size]
+    if _POWERS and n <= len(_POWERS[0]):
+        return _POWERS[0], _POWERS[1]
+    made = []
+    for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+        p = np.full(max(n, CHUNK_BYTES + 2), b, np.uint64)
+        p[0] = 1
+        made.append(np.multiply.accumulate(p))
+    if n <= CHUNK_BYTES + 2:
+        _POWERS[:] = made
+    return made[0], made[1]
 
 
 def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

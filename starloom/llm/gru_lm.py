@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from .common import (LOWER, buffers, byte_values, crc_bucket, mix64, on_workers, range_hash, slices, spans, stored)
 
 HEAD = 1 << 18
+COUNT_WORDS = 2_000_000         # entries that a counting task gathers before it merges and sends them on
 CLASSES, PER_CLASS = 64, 64
 TAILS = 256
 MODEL_WORDS = CLASSES * PER_CLASS - TAILS - 1       # and the end token
@@ -67,23 +68,29 @@ def hashed_batch(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _count_batches(batches):
-    for b in batches:
-        data, offsets = buffers(b.column(0))
-        parts = []
-        for i, j in slices(offsets):
-            h, t, _ = hashed_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            u, at, c = np.unique(h, return_index=True, return_counts=True)
-            parts.append((u, t[at], c))
-        if not parts:
-            continue
+    def merged(parts):
         h, t, c = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(h, kind="stable")
         h, t, c = h[order], t[order], c[order]
         new = np.ones(len(h), bool)
         new[1:] = h[1:] != h[:-1]
         at = np.flatnonzero(new)
-        yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array(t[at]), pa.array(np.add.reduceat(c, at))],
-                                         names=["word", "tail", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array(t[at]), pa.array(np.add.reduceat(c, at))],
+                                          names=["word", "tail", "n"])
+
+    parts, held = [], 0
+    for b in batches:
+        data, offsets = buffers(b.column(0))
+        for i, j in slices(offsets):
+            h, t, _ = hashed_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            u, at, c = np.unique(h, return_index=True, return_counts=True)
+            parts.append((u, t[at], c))
+            held += len(u)
+            if held > COUNT_WORDS:
+                yield merged(parts)
+                parts, held = [], 0
+    if parts:
+        yield merged(parts)
 
 
 def count_words(texts: DataFrame) -> DataFrame:

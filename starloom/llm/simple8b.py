@@ -29,7 +29,7 @@ from .common import on_workers
 from .tokens import VOCABULARY, encoder
 
 BLOCK_IDS = 1 << 16
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 #: Fixed values of the format: ids per word for selectors 1 to 14; a selector's width is 60 // count.
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 ESCAPE = 15
