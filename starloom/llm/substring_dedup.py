@@ -124,7 +124,9 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = df.schema[id_col].dataType.simpleString()
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     seen = stored(docs.mapInArrow(_anchor_batches, f"id {kind}, anchor long"), "debruijn-anchors")
-    often = seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("anchor")
+    # Sets of keys are stored before they are joined: both sides of the join are then shuffles of their own,
+    # and a hot anchor's rows can be split over tasks.
+    often = stored(seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("anchor"), "debruijn-often")
     mine = seen.join(often, "anchor", "left_semi").groupBy(F.col("id").alias("want_id")).agg(F.collect_set("anchor").alias("want"))
     found = (docs.withColumn("th", F.hash("text")).join(mine, F.col("id").eqNullSafe(F.col("want_id")))
              .select("id", "text", "th", "want"))
@@ -133,8 +135,9 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kinds = stored(path.groupBy("anchor", "path").agg(F.count(F.lit(1)).cast("int").alias("times")), "debruijn-kinds")
     whole = path.select("id", "th", "anchor", "path", "lo", "n").join(
         kinds.filter("times > 1").select("anchor", "path"), ["anchor", "path"], "left_semi")
-    branching = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.max("times").alias("m")).filter("k > 1").select("anchor")
-    at_branch = kinds.join(branching, "anchor", "left_semi")
+    branching = stored(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("anchor"),
+                       "debruijn-branching")
+    at_branch = stored(kinds.join(branching, "anchor", "left_semi"), "debruijn-branches")
     names = ["id", "th", "anchor", "path", "lo", "n", "edges"]
     once = path.join(at_branch.filter("times = 1"), ["anchor", "path"]).select(*names, "times")
     # Of paths that occur often one source is enough: their edges are settled, they only answer for others.
@@ -144,7 +147,8 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                      F.lit(-1).alias("lo"), "n", "edges", "times"))
     edges = stored(once.unionByName(often).mapInArrow(
         _edge_batches, f"id {kind}, th int, anchor long, edge long, lo int, times int"), "debruijn-edges")
-    shared = edges.groupBy("anchor", "edge").agg(F.sum("times").alias("k")).filter("k > 1").select("anchor", "edge")
+    shared = stored(edges.groupBy("anchor", "edge").agg(F.sum("times").alias("k")).filter("k > 1").select("anchor", "edge"),
+                    "debruijn-shared")
     single = edges.filter("times = 1").join(shared, ["anchor", "edge"], "left_semi")
     return whole.select("id", "th", "lo", "n").unionByName(single.select("id", "th", "lo", F.lit(1).alias("n")))
 
