@@ -8,11 +8,13 @@ meets; the others are encoded once per batch slice.  ``tests/llm`` holds this ag
 from __future__ import annotations
 
 import os
+from itertools import repeat
 
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
 CACHE = 400_000
+GROUP = 256
 
 
 class WordEncoder:
@@ -30,18 +32,32 @@ class WordEncoder:
         self.start = np.zeros(1 << 14, np.int64)        # of word k's ids in flat; start[k + 1] is their end
         self.known = 0
 
+    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words and each word's number of ids.
+
+        Many words are encoded as one text; where a token starts tells its word.
+        """
+        ids, sizes = [], np.zeros(len(words), np.int64)
+        texts = [w.decode("utf-8", "replace") for w in words]
+        groups = [texts[i:i + GROUP] for i in range(0, len(texts), GROUP)]
+        for k, (group, made) in enumerate(zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False))):
+            start = np.cumsum([0] + [len(x) + 1 for x in group[:-1]])
+            place = np.fromiter((x[0] for x in made.offsets), np.int64, len(made.ids))
+            owner = np.searchsorted(start, place, side="right") - 1
+            sizes[k * GROUP:k * GROUP + len(group)] = np.bincount(owner, minlength=len(group))
+            ids.append(np.array(made.ids, np.uint32))
+        return np.concatenate(ids), sizes
+
     def _learn(self, words: list[bytes]) -> dict[bytes, int]:
         """Append words to the tables; those beyond the cache are only valid until the next call."""
-        made = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        ids = [x.ids for x in made]
-        sizes = np.array([len(x) for x in ids], np.int64)
+        ids, sizes = self._encode(words)
         at = self.start[self.known]
         need, rows = int(at + sizes.sum()), self.known + len(words) + 1
         if need > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros(need, np.uint32)))
         if rows > len(self.start):
             self.start = np.concatenate((self.start, np.zeros(rows, np.int64)))
-        self.flat[at:need] = np.fromiter((i for x in ids for i in x), np.uint32, need - at)
+        self.flat[at:need] = ids
         self.start[self.known + 1:rows] = at + np.cumsum(sizes)
         rank = range(self.known, self.known + len(words))
         keep = max(0, min(len(words), self.cache - self.known))
@@ -57,8 +73,7 @@ class WordEncoder:
             if t:
                 words += t.split()                      # ASCII white space only
             ends.append(len(words))
-        get = self.index.get
-        row = np.array([get(w, -1) for w in words], np.int64)
+        row = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         miss = np.flatnonzero(row < 0)
         if len(miss):
             new = dict.fromkeys([words[i] for i in miss])
