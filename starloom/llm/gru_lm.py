@@ -6,10 +6,11 @@ and ``TAILS`` groups that share the last two bytes' hash and hold all other word
 the group's probability times its smoothed share of the group's count, so every text has a probability.
 Output is a softmax over ``CLASSES`` classes times one within the class.
 
-Training: truncated backpropagation (windows of ``SPAN`` tokens, state carried over) with Adam on a hash
-sample of ``SAMPLE_SHARE`` of the training tokens (``SAMPLE_LEAST`` at least, so small corpora are used
-whole); tasks of about ``TASK_TOKENS`` tokens train in parallel from common weights, which are averaged
-by an aggregate after each of ``ROUNDS`` rounds.  Scoring carries the state across windows from a
+Training: truncated backpropagation (windows of ``SPAN`` tokens, state carried over) with Adam on all
+training documents.  Their token ids are stored, dealt to tasks by hash; tasks of about ``TASK_TOKENS``
+tokens (beyond ``TASKS`` tasks, more tokens each) train in parallel from common weights, one slice of
+``SLICE_TOKENS`` after another.  Each of ``ROUNDS`` rounds passes over every training document, then an
+aggregate averages the weights and Adam's moments.  Scoring carries the state across windows from a
 document's first token to its end; documents run side by side in lanes.
 
 Counts of the ``HEAD`` most frequent words at most are broadcast; all other tokens find their counts by a
@@ -27,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,8 @@ TAILS = 256
 MODEL_WORDS = CLASSES * PER_CLASS - TAILS - 1       # and the end token
 HIDDEN, EMBED = 16, 16
 SPAN, LANES = 32, 48
-SAMPLE_SHARE, SAMPLE_LEAST, TASK_TOKENS, ROUNDS = 0.02, 1_500_000, 500_000, 2
+TASK_TOKENS, TASKS, ROUNDS = 500_000, 64, 2
+SLICE_TOKENS = 1_000_000        # tokens that a training task holds at once
 SCORE_SPAN, SCORE_LANES, SCORE_BYTES = 64, 256, 6 << 20
 END = np.uint64(1)                                  # the end token's place among word hashes
 
@@ -160,17 +162,23 @@ def log_probability(w: dict[str, np.ndarray], states: np.ndarray, tokens: np.nda
         grad["cls_bias"] += p.sum(axis=0)
         back = p @ w["cls"].T
     order = np.argsort(cls, kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in np.flatnonzero(np.diff(cuts)).tolist():
-        rows = order[cuts[c]:cuts[c + 1]]
-        h = states[rows]
-        own, p = _softmax_at(h @ w["out"][c] + w["out_bias"][c], word[rows])
-        got[rows] += own
-        if grad is not None:
-            p[np.arange(len(rows)), word[rows]] -= 1
-            grad["out"][c] += h.T @ p
-            grad["out_bias"][c] += p.sum(axis=0)
-            back[rows] += p @ w["out"][c].T
+    cls, word, h = cls[order], word[order], states[order]
+    cuts = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+    some = [(c, slice(i, j)) for c, (i, j) in enumerate(zip(cuts, cuts[1:])) if i < j]
+    logits = w["out_bias"][cls]
+    for c, rows in some:
+        logits[rows] += h[rows] @ w["out"][c]
+    own, p = _softmax_at(logits, word)
+    got[order] += own
+    if grad is not None:
+        p[np.arange(len(cls)), word] -= 1
+        more = np.empty_like(h)
+        for c, rows in some:
+            grad["out"][c] += h[rows].T @ p[rows]
+            np.matmul(p[rows], w["out"][c].T, out=more[rows])
+        if some:
+            grad["out_bias"][[c for c, _ in some]] += np.add.reduceat(p, [rows.start for _, rows in some], axis=0)
+        back[order] += more
     return got, back
 
 
@@ -232,13 +240,32 @@ def score_texts(flat: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> np.
     return out
 
 
-def train(flat: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, rate: float = 0.01) -> np.ndarray:
-    """One pass of truncated backpropagation with Adam over the texts; the new weights."""
+@dataclass
+class Adam:
+    """Adam's moments and number of steps, carried over slices and rounds."""
+    m: np.ndarray
+    v: np.ndarray
+    step: int = 0
+
+
+def add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """``out[at] += rows``, with repeats."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    out[at[first]] += np.add.reduceat(rows[order], first, axis=0)
+
+
+def train(flat: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, rate: float = 0.01, adam: Adam | None = None,
+          part: tuple[float, float] = (0.0, 1.0)) -> np.ndarray:
+    """One pass of truncated backpropagation with Adam over the texts; the new weights.  ``adam`` is
+    carried on in place; ``part`` is the part of the whole training, for the falling rate."""
     flat = flat.copy()
     w = unpack(flat)
     g_flat = np.zeros_like(flat)
     g = unpack(g_flat)
-    m, v, step = np.zeros_like(flat), np.zeros_like(flat), 0
+    adam = adam or Adam(np.zeros_like(flat), np.zeros_like(flat))
+    m, v, a, b = adam.m, adam.v, np.empty_like(flat), np.empty_like(flat)
     seq, start, length, fresh, _ = _laid_out(tokens, bounds, LANES)
     h = np.zeros((len(start), HIDDEN), np.float32)
     two = 2 * HIDDEN
@@ -249,48 +276,60 @@ def train(flat: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, rate: float
         place = start[:live] + t0 + np.arange(steps)[:, None]
         valid = np.arange(t0, t0 + steps)[:, None] < length[:live]
         place = np.where(valid, place, 0)
-        tok, new = seq[place], fresh[place] & valid
+        tok, old = seq[place], ~(fresh[place] & valid)[:, :, None]
         g_flat[:] = 0
-        hh, kept = h[:live], []
-        states = np.empty((steps, live, HIDDEN), np.float32)
+        emb = w["embed"][tok.ravel()]
+        x = (emb @ w["inp"] + w["bias"]).reshape(steps, live, -1)
+        hh = h[:live]
+        states, zrs, ns, rns = (np.empty((steps, live, k), np.float32) for k in (HIDDEN, two, HIDDEN, HIDDEN))
         for t in range(steps):
-            hh = hh * ~new[t][:, None]
+            hh = hh * old[t]
             states[t] = hh
-            emb = w["embed"][tok[t]]
-            x, r = emb @ w["inp"] + w["bias"], hh @ w["rec"]
-            zr = _sigmoid(x[:, :two] + r[:, :two])
-            n = np.tanh(x[:, two:] + zr[:, HIDDEN:] * r[:, two:])
-            kept.append((emb, hh, zr, n, r[:, two:]))
+            r = hh @ w["rec"]
+            zr = _sigmoid(x[t, :, :two] + r[:, :two])
+            n = np.tanh(x[t, :, two:] + zr[:, HIDDEN:] * r[:, two:])
+            zrs[t], ns[t], rns[t] = zr, n, r[:, two:]
             hh = n + zr[:, :HIDDEN] * (hh - n)
         h = hh
         _, back = log_probability(w, states[valid], tok[valid], g)
         d_states = np.zeros_like(states)
         d_states[valid] = back
         carry = np.zeros((live, HIDDEN), np.float32)
+        # What of the backward steps doesn't depend on the carried gradient, for the window at once.
+        z, r = zrs[:, :, :HIDDEN], zrs[:, :, HIDDEN:]
+        to_n = (1 - z) * (1 - ns * ns)
+        to_z = (states - ns) * z * (1 - z)
+        to_r = rns * r * (1 - r)
+        drec = np.empty((steps, live, 3 * HIDDEN), np.float32)
+        dn = np.empty_like(states)
+        rec_t = np.ascontiguousarray(w["rec"].T)
         for t in range(steps - 1, -1, -1):
-            emb, prev, zr, n, rn = kept[t]
-            z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-            dn = carry * (1 - z) * (1 - n * n)
-            dz = carry * (prev - n) * z * (1 - z)
-            dr = dn * rn * r * (1 - r)
-            dx = np.concatenate((dz, dr, dn), axis=1)
-            drec = np.concatenate((dz, dr, dn * r), axis=1)
-            g["inp"] += emb.T @ dx
-            g["bias"] += dx.sum(axis=0)
-            g["rec"] += prev.T @ drec
-            np.add.at(g["embed"], tok[t], dx @ w["inp"].T)
-            carry = carry * z + drec @ w["rec"].T + d_states[t]
-            carry *= ~new[t][:, None]
-        count = max(1, int(valid.sum()))
-        g_flat /= count
-        norm = float(np.sqrt((g_flat * g_flat).sum()))
+            d = np.multiply(carry, to_n[t], out=dn[t])
+            at = drec[t]
+            np.multiply(carry, to_z[t], out=at[:, :HIDDEN])
+            np.multiply(d, to_r[t], out=at[:, HIDDEN:two])
+            np.multiply(d, r[t], out=at[:, two:])
+            carry = (carry * z[t] + at @ rec_t + d_states[t]) * old[t]
+        drec = drec.reshape(-1, 3 * HIDDEN)
+        dx = drec.copy()
+        dx[:, two:] = dn.reshape(-1, HIDDEN)
+        g["inp"] += emb.T @ dx
+        g["bias"] += dx.sum(axis=0)
+        g["rec"] += states.reshape(-1, HIDDEN).T @ drec
+        add_rows(g["embed"], tok.ravel(), dx @ w["inp"].T)
+        g_flat /= max(1, int(valid.sum()))
+        norm = float(np.sqrt(np.dot(g_flat, g_flat)))
         if norm > 1:
             g_flat /= norm
-        step += 1
-        m += 0.1 * (g_flat - m)
-        v += 0.01 * (g_flat * g_flat - v)
-        now = rate * max(0.05, 1 - t0 / max(total, 1))
-        flat -= (now * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
+        adam.step += 1
+        m *= 0.9
+        m += np.multiply(g_flat, 0.1, out=a)
+        v *= 0.99
+        v += np.multiply(np.multiply(g_flat, g_flat, out=a), 0.01, out=a)
+        now = rate * max(0.05, 1 - part[0] - (part[1] - part[0]) * t0 / max(total, 1))
+        np.sqrt(np.multiply(v, 1 / (1 - 0.99 ** adam.step), out=a), out=a)
+        a += 1e-8
+        flat -= np.divide(np.multiply(m, now / (1 - 0.9 ** adam.step), out=b), a, out=b)
     return flat
 
 
@@ -349,39 +388,78 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     return Vocabulary(hashes[by], c[by], token[by], tail_n + tail_k + 1, int(n), int(v)), weight
 
 
+def token_ids(texts: DataFrame, words: Broadcast[Vocabulary]) -> DataFrame:
+    """(order, tokens) of every row of ``texts`` (columns order, text): the network's tokens."""
+    def run(batches):
+        for b in batches:
+            data, offsets = buffers(b.column(1))
+            for i, j in slices(offsets):
+                h, t, first = hashed_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                tokens = pa.array(words.value.look_up(h, t)[1].astype(np.int16))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), tokens)],
+                                                 names=["order", "tokens"])
+
+    return texts.mapInArrow(run, "order long, tokens array<short>")
+
+
+def token_slices(batches, most: int = SLICE_TOKENS):
+    """(tokens, bounds) of consecutive rows, about ``most`` tokens at once (a longer row alone)."""
+    held, sizes, n = [], [], 0
+    for b in batches:
+        col = b.column(0)
+        size = np.diff(col.offsets.to_numpy())
+        flat, ends = col.flatten().to_numpy(), np.cumsum(size)
+        i = 0
+        while i < len(size):
+            done = int(ends[i - 1]) if i else 0
+            j = max(int(np.searchsorted(ends, done + most - n, side="right")), i if held else i + 1)
+            if j > i:
+                held.append(flat[done:ends[j - 1]])
+                sizes.append(size[i:j])
+                n += int(ends[j - 1]) - done
+            if j < len(size):
+                yield np.concatenate(held).astype(np.int64), np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+                held, sizes, n = [], [], 0
+            i = j
+    if held:
+        yield np.concatenate(held).astype(np.int64), np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+
+
 def fit(texts: DataFrame, words: Vocabulary, weight: np.ndarray) -> np.ndarray:
-    """Weights of the network, trained on a sample of ``texts`` (columns order, text)."""
+    """Weights of the network, trained on all ``texts`` (columns order, text) in each round."""
     flat = start_weights(weight)
     if not words.n:
         return flat
-    rate = min(1.0, max(SAMPLE_SHARE, SAMPLE_LEAST / words.n))
-    tasks = max(2, round(words.n * rate / TASK_TOKENS))
-    share = F.pmod(F.col("order"), F.lit(1 << 20)) < int(rate * (1 << 20))
-    sample = stored(texts.filter(share).repartition(tasks, "order").sortWithinPartitions("order").select("text"), "gru-sample")
     spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(words)
-    for _ in range(ROUNDS):
-        now = spark.sparkContext.broadcast(flat)
+    tasks = min(TASKS, max(2, round(words.n / TASK_TOKENS)))
+    ids = token_ids(texts, spark.sparkContext.broadcast(words))
+    dealt = stored(ids.repartition(tasks, "order").sortWithinPartitions("order").select("tokens"), "gru-tokens")
+    share = words.n / tasks                         # expected tokens of a task
+    adam = Adam(np.zeros_like(flat), np.zeros_like(flat))
+    for k in range(ROUNDS):
+        now = spark.sparkContext.broadcast((flat, adam, k))
 
         def run(batches, now=now):
-            tokens, sizes = [], []
-            for b in batches:
-                data, offsets = buffers(b.column(0))
-                for i, j in slices(offsets):
-                    h, t, first = hashed_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                    tokens.append(shared.value.look_up(h, t)[1].astype(np.int32))
-                    sizes.append(np.diff(first))
-            if not tokens:
-                return
-            tok, size = np.concatenate(tokens), np.concatenate(sizes)
-            new = train(now.value, tok, np.concatenate(([0], np.cumsum(size))))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(new), dtype=np.int32)), pa.array(new.astype(np.float64) * len(tok)),
-                                              pa.array(np.full(len(new), float(len(tok))))], names=["i", "x", "n"])
-
-        mean = sample.mapInArrow(run, "i int, x double, n double").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x"))
-        got = mean.toArrow()                        # N_WEIGHTS rows
-        flat = flat.copy()
-        flat[got.column("i").to_numpy()] = got.column("x").to_numpy().astype(np.float32)
+            flat, adam, k = now.value
+            adam = Adam(adam.m.copy(), adam.v.copy(), adam.step)
+            n = 0
+            for tokens, bounds in token_slices(batches):
+                part = tuple((k + min(1.0, x / share)) / ROUNDS for x in (n, n + len(tokens)))
+                flat = train(flat, tokens, bounds, adam=adam, part=part)
+                n += len(tokens)
+            if n:
+                size = len(flat)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(size, dtype=np.int32)), *[pa.array(x.astype(np.float64) * n) for x in (flat, adam.m, adam.v)],
+                     pa.array(np.full(size, float(n))), pa.array(np.full(size, adam.step, np.int32))], names=["i", "x", "m", "v", "n", "step"])
+
+        got = dealt.mapInArrow(run, "i int, x double, m double, v double, n double, step int").groupBy("i").agg(
+            *[(F.sum(c) / F.sum("n")).alias(c) for c in ("x", "m", "v")], F.max("step").alias("step")).toArrow()    # N_WEIGHTS rows
+        at = got.column("i").to_numpy()
+        flat, m, v = (np.zeros(N_WEIGHTS, np.float32) for _ in range(3))
+        for own, c in ((flat, "x"), (m, "m"), (v, "v")):
+            own[at] = got.column(c).to_numpy().astype(np.float32)
+        adam = Adam(m, v, int(got.column("step").to_numpy().max()))
     return flat
 
 

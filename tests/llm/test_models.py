@@ -118,6 +118,25 @@ def test_language_model_beats_the_unigram_model_on_held_out_texts(spark):
     assert sum(r.score for r in rows) > 0.97 * sum(r.base_score for r in rows)
 
 
+def test_every_training_document_reaches_the_network(spark):
+    n = 2000                                            # 2.4 million tokens; each text has a word of its own
+    texts = spark.range(n, numPartitions=8).select(
+        F.xxhash64("id").alias("order"), F.concat(F.repeat(F.concat(F.lit("own"), "id", F.lit(" the ")), 600)).alias("text"))
+    words, weight = gru_lm.vocabulary(gru_lm.count_words(texts.select("text")))
+    changed = (gru_lm.unpack(gru_lm.fit(texts, words, weight))["embed"] != gru_lm.unpack(gru_lm.start_weights(weight))["embed"]).any(axis=1)
+    assert changed[1:n + 2].all() and words.n == n * 1201
+
+
+def test_token_slices_hold_every_token_once():
+    import pyarrow as pa
+    rows = [list(range(k)) for k in (5, 1, 30, 1, 1, 7, 2)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.int16()))], names=["tokens"]) for x in (rows[:4], [], rows[4:])]
+    for most in (1, 8, 10, 1000):
+        got = list(gru_lm.token_slices(batches, most))
+        assert [t[a:b].tolist() for t, o in got for a, b in zip(o, o[1:])] == rows
+        assert all(len(t) <= most or len(o) == 2 for t, o in got)
+
+
 def test_rules(spark):
     rows = samples.prose(80) + samples.ODD + [(900, samples.long_text()), (901, "x y " * 300), (902, "é# ü|\n\n|é# ü|\né# ü|")]
     book = quality_rules.ledger(samples.frame(spark, rows))
