@@ -33,7 +33,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest doc_id stays."""
+    """Of linked documents the one with the smallest doc_id stays (of equal ids by the text's digest)."""
     return keep_one(docs)
 
 

@@ -12,8 +12,9 @@ Distinct fingerprints only go through the index, so any number of exact copies c
 key, fingerprints are compared by neighbour look-up when they are many, and only the links of a spanning
 forest leave the task.  Nothing is capped.
 
-Defined results: null or word-less texts have fingerprint zero and are linked like any other; rows with
-the same id are one node; a null id never names a component unless all ids in it are null.
+Defined results: null or word-less texts have fingerprint zero and are linked like any other; components
+go by fingerprint, so rows with the same id and different texts can lie in different ones; a null id never
+names a component unless all ids in it are null.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, on_workers, slices, stored
+from .common import buffers, free_name, on_workers, slices, stored
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))        # first bit and width of each segment
@@ -257,19 +258,22 @@ def components(links: DataFrame) -> DataFrame:
         seen = state
 
 
+def rooted(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (a stored table, one row per fingerprint ``fp``) with the ``root`` of each one's component."""
+    met = nodes.select("fp").mapInArrow(_emit_keys, "key long, fp long")
+    n = max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    links = (met.repartition(n, "key").sortWithinPartitions("key")
+             .mapInArrow(_link_batches, "a long, b long"))
+    root = components(links)
+    return nodes.join(root, nodes.fp == root.node, "left").select(*nodes.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, k: int = SHINGLE,
                     seed: int = SEED) -> DataFrame:
     """(id, fp long, component_id): documents whose fingerprints are linked, directly or through
     others, by ``MAX_BITS`` differing bits or fewer; the component is named by its smallest id."""
     docs = stored(with_fingerprint(df, text_col, "fp", k, seed, [id_col]).toDF("id", "fp"), "golay-documents")
-    nodes = stored(docs.groupBy("fp").agg(F.min("id").alias("low")), "golay-nodes")
-    met = nodes.select("fp").mapInArrow(_emit_keys, "key long, fp long")
-    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    links = (met.repartition(n, "key").sortWithinPartitions("key")
-             .mapInArrow(_link_batches, "a long, b long"))
-    root = components(links)
-    named = nodes.join(root, nodes.fp == root.node, "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root"))
+    named = rooted(stored(docs.groupBy("fp").agg(F.min("id").alias("low")), "golay-nodes"))
     label = named.groupBy("root").agg(F.min("low").alias("component_id"))
     by_fp = named.join(label, "root").select("fp", "component_id")
     return docs.join(by_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
@@ -280,9 +284,17 @@ def hex_fingerprint(fp):
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df``, one per component: that with the smallest id (of rows with the same id, one)."""
-    groups = near_duplicates(df, id_col, text_col)
-    winners = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).select(F.col("component_id").alias("w"))
-    # A null id can win only where every id of the component is null; then one such row stays.
-    joined = df.join(winners, df[id_col].eqNullSafe(winners.w), "left_semi")
-    return joined.dropDuplicates([id_col])
+    """The rows of ``df``, one per component: that with the smallest id (nulls last), of rows with the
+    same id that with the smallest SHA-256 of its text, of rows equal in both any one."""
+    digest = F.sha2(text_col, 256)
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), digest.alias("digest"))
+    docs = with_fingerprint(docs, "text", "fp", columns=["id", "digest"])
+    low = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")).alias("low")
+    nodes = stored(docs.groupBy("fp").agg(low), "golay-nodes")
+    winners = rooted(nodes).groupBy("root").agg(F.min("low").alias("low")).select(
+        F.col("low.id").alias("w_id"), F.col("low.digest").alias("w_digest"))
+    own = free_name(df, "digest")
+    marked = df.withColumn(own, digest)
+    # A text has one fingerprint and so one component: id and text name the winning row.
+    kept = marked.join(winners, marked[id_col].eqNullSafe(winners.w_id) & marked[own].eqNullSafe(winners.w_digest), "left_semi")
+    return kept.dropDuplicates([id_col, own]).drop(own)

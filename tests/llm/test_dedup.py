@@ -133,6 +133,14 @@ def test_one_document_of_each_group_stays(spark):
     assert G.keep_one(samples.empty(spark)).count() == 0
 
 
+def test_one_row_of_each_component_stays_whatever_its_id(spark):
+    texts = [samples.long_text(300, seed) for seed in range(20, 27)]
+    rows = [(None, t) for t in texts[:5]] + [(1, texts[5]), (2, texts[5]), (2, texts[6]), (None, texts[5]), (None, texts[0])]
+    for parts in (1, 4):
+        kept = G.keep_one(samples.frame(spark, rows, parts)).collect()
+        assert sorted(map(tuple, kept), key=str) == sorted([*rows[:6], (2, texts[6])], key=str)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2 ** 64 - 1), max_size=9), max_size=12))
 def test_majority_counts_bits(groups):
