@@ -1,7 +1,7 @@
 """DuckDB SQL for the operators that SQL can express, written apart from the Spark code.
 
-Not expressible: op1 (random draws), op2 and op5 (trained models), op6 and op9 (a tokenizer), op10 (XXH64
-with a seed); these are tested against brute force, round trips and held-out accuracy in ``tests/llm``.
+Not expressible: op1 (random draws), op2, op5 and op13 (trained models), op6 and op9 (a tokenizer), op10 (XXH64
+with a seed), op11 (CRC-32, and every period of every text); these are tested against brute force, round trips and held-out accuracy in ``tests/llm``.
 """
 
 #: Words of a text, as a list.
@@ -68,4 +68,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM j
 """
 
-SQL = {"op3_exact_dedup": OP3, "op4_substring_dedup": OP4, "op7_line_dedup": OP7, "op8_rule_ledger": OP8}
+OP12 = rf"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+      FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad, len(w) < 200 AS a,
+             100 * len(list_distinct(w)) < 50 * len(w) AS b,
+             100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * len(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+             coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e
+      FROM t LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END)
+             || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+             count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM d GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (SELECT p.f || q.f || r.f || s.f || u.f AS filter_order FROM x p, x q, x r, x s, x u
+           WHERE len(list_distinct([p.f, q.f, r.f, s.f, u.f])) = 5),
+steps AS (SELECT filter_order, step, filter_order[step] AS f, filter_order[1:step - 1] AS earlier
+          FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+j AS (SELECT part, filter_order, step, f, n, good, bad, contains(fails, f) AS failed, fails = f AS alone,
+             translate(fails, earlier, '') <> fails AS gone FROM m, steps),
+r AS (SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (NOT gone AND NOT failed), 0)::BIGINT AS kept,
+             coalesce(sum(n) FILTER (NOT gone AND failed), 0)::BIGINT AS removed,
+             coalesce(sum(n) FILTER (gone AND failed), 0)::BIGINT AS redundant,
+             coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails,
+             coalesce(sum(good) FILTER (NOT gone AND failed), 0)::BIGINT AS good_lost,
+             coalesce(sum(bad) FILTER (NOT gone AND failed), 0)::BIGINT AS toxic_lost
+      FROM j GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM r
+"""
+
+SQL = {"op3_exact_dedup": OP3, "op4_substring_dedup": OP4, "op7_line_dedup": OP7, "op8_rule_ledger": OP8,
+       "op12_potential_audit": OP12}

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: each applies its operator to a whole table."""
+"""The registered queries of the operators: each applies its operator to a whole table."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import gru_lm, quality_crf, quality_rules
 from .common import crc_bucket, table
 from .exact_dedup import exact_dedup
+from .filter_audit import audit
 from .golay_simhash import hex_fingerprint, near_duplicates
 from .line_dedup import line_dedup
 from .mixing import Mix
@@ -69,6 +70,10 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op12_potential_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_mix_sources, op2_quality_crf, op3_exact_dedup, op4_substring_dedup, op5_gru_lm, op6_simple8b_tokens,
-    op7_line_dedup, op8_rule_ledger, op9_vector_packing, op10_golay_simhash)}
+    op7_line_dedup, op8_rule_ledger, op9_vector_packing, op10_golay_simhash, op12_potential_audit)}
