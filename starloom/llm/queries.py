@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import gru_lm, quality_crf, quality_rules
+from . import gru_lm, quality_crf, quality_rules, toxicity
 from .common import crc_bucket, table
 from .exact_dedup import exact_dedup
 from .filter_audit import audit
@@ -15,11 +15,14 @@ from .golay_simhash import hex_fingerprint, near_duplicates
 from .line_dedup import line_dedup
 from .mixing import Mix
 from .packing import pack
+from .periodic_runs import periodic_runs, run_digests, with_planted_runs
 from .simple8b import token_files
 from .substring_dedup import substring_dedup
 
 #: A text is kept if its quality score reaches this (fixed by the contract).
 QUALITY = 0.3
+#: A text counts as toxic if its score reaches this (fixed by the contract).
+TOXIC = 0.7
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,10 +73,23 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return periodic_runs(docs, keep=["doc_id"]).select("doc_id", *run_digests(F.col("runs"), F.col("collapsed_text")))
+
+
 def op12_potential_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    rows = docs.select("doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "text")
+    return toxicity.score(rows, model, keep=["doc_id", "held_out"]).withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_mix_sources, op2_quality_crf, op3_exact_dedup, op4_substring_dedup, op5_gru_lm, op6_simple8b_tokens,
-    op7_line_dedup, op8_rule_ledger, op9_vector_packing, op10_golay_simhash, op12_potential_audit)}
+    op7_line_dedup, op8_rule_ledger, op9_vector_packing, op10_golay_simhash, op11_recompression_runs,
+    op12_potential_audit, op13_weak_toxicity)}

@@ -2,6 +2,9 @@
 
 import hashlib
 import re
+import zlib
+from fractions import Fraction
+from itertools import permutations
 
 import numpy as np
 import xxhash
@@ -107,3 +110,68 @@ def targets(sizes, weights, most=3):
         if not new:
             return [most * s if i in full else level * weights[i] for i, s in enumerate(sizes)]
         full |= new
+
+
+def planted(doc_id, text):
+    """The words of a text after the contract of operator 11 changed them."""
+    w, h = words(text), zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not w:
+        return w
+    g, n = h // 10, len(w)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def runs(w, least=24, times=3):
+    """(start, length, period) of all runs, by trying every period at every place."""
+    found = {}
+    for p in range(1, len(w) // times + 1):
+        i = 0
+        while i + p < len(w):
+            j = i
+            while j + p < len(w) and w[j] == w[j + p]:
+                j += 1
+            if j > i and j - i + p >= max(least, times * p):
+                found.setdefault((i, j - i + p), p)
+            i = max(j, i + 1)
+    return sorted((s, n, p) for (s, n), p in found.items())
+
+
+def run_digests(w):
+    """The digest columns of operator 11 for the words of a text."""
+    found = runs(w)
+    best = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=(None,) * 3)
+    gone = {i for s, n, p in found for i in range(s + p, s + n)}
+    milli = 1000 * best[1] // best[2] if found else None
+    return (len(found), *best, milli, sha("".join("%d,%d,%d\n" % r for r in found)),
+            sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
+
+
+def filter_audit(rows, labels):
+    """Rows (part, order, step, ...) of operator 12, counted by applying the filters in every order."""
+    first, flags, out = {}, {}, []
+    for d, t, _ in rows:
+        if d is not None:
+            first[t or ""] = min(d, first.get(t or "", d))
+    for d, good, bad in labels:
+        old = flags.get(d, (0, 0))
+        flags[d] = (max(old[0], int(good == 1)), max(old[1], int(bad == 1)))
+    parts = {}
+    for d, t, part in rows:
+        t, w = t or "", words(t)
+        upper = sum("A" <= c <= "Z" for c in t)
+        fails = {f for f, x in zip("ABCDE", (len(w) < 200, 100 * len(set(w)) < 50 * len(w), 100 * upper > 2 * len(t),
+                                             bool(re.search(r"[#$%&*|]", t)), d is not None and d > first[t])) if x}
+        parts.setdefault(part or "", []).append((fails, flags.get(d, (0, 0)) if d is not None else (0, 0)))
+    for part, docs in parts.items():
+        seen, sums = [], dict.fromkeys("ABCDE", 0)
+        for order in map("".join, permutations("ABCDE")):
+            left = docs
+            for step, f in enumerate(order, 1):
+                removed, left = [x for x in left if f in x[0]], [x for x in left if f not in x[0]]
+                sums[f] += len(removed)
+                seen.append((order, step, f, len(left), len(removed), sum(f in x[0] for x in docs) - len(removed),
+                             sum(x[0] == {f} for x in docs), sum(x[1][0] for x in removed), sum(x[1][1] for x in removed)))
+        out += [(part, order, step, *rest, sums[f]) for order, step, f, *rest in seen]
+    return sorted(out)
