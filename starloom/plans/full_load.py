@@ -19,7 +19,7 @@ from starloom.operators.staging import stage_all
 from starloom.schemas import INDEX_SCHEMAS, PROD_SCHEMAS, STG_SCHEMAS
 from starloom.plans.steps import run_concurrently, step
 from starloom.sources.tables import Manifest, Warehouse, retain
-from starloom.sources.zones import full_extract, read_zone, size_gate, write_zone
+from starloom.sources.zones import full_extract, quarantined, read_zone, size_gate, write_zone
 
 
 @dataclass
@@ -57,13 +57,17 @@ def land_cleansed(spark: SparkSession, raw: DataFrame, zones: Zones, load_id: st
                   valid_date: str | None = None) -> DataFrame:
     """C1-C7, written to ``cleansed/load_id=<id>`` and read back; the ingest
     audit (S10: rows per outcome) is observed by the same job and written
-    to ``audit/load_id=<id>``."""
+    to ``audit/load_id=<id>``.  Input that is no record goes to
+    ``quarantine/load_id=<id>`` with its file (a second pass over the raw batch,
+    only where the audit counts some)."""
     path = f"{zones.root}/cleansed/load_id={load_id}"
     obs = Observation(f"audit-{load_id}")
     write_zone(clean_observed(raw, obs, valid_date), path)
     rows = [(k, int(v)) for k, v in obs.get.items()]
     (spark.createDataFrame(rows, "outcome string, n_rows bigint").coalesce(1)   # a retry replaces its rows
      .write.mode("overwrite").parquet(f"{zones.root}/audit/load_id={load_id}"))
+    if obs.get.get("corrupt"):
+        write_zone(quarantined(raw), f"{zones.root}/quarantine/load_id={load_id}")
     return read_zone(spark, path)
 
 

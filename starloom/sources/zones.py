@@ -11,19 +11,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.sources.json_arrays import CORRUPT, SOURCE, parse_lines, read_json_arrays
+
 
 class SizeGateError(RuntimeError):
     """A batch is larger than the configured limit."""
 
 
-def read_raw(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True, damaged: bool = False) -> DataFrame:
     """JSON records with every listed column read as a string.
 
-    ``multi_line=True`` reads files holding one JSON array of records;
-    ``False`` reads JSON lines (splittable, for large landings).
+    ``multi_line=True`` reads files holding one JSON array of records each (a
+    large file by several tasks), ``False`` reads JSON lines.  What is not a
+    record is left out, or with ``damaged`` comes as a row of its own: its text
+    in ``_corrupt_record``, NULL for records, and the file in ``_source_file``.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    if multi_line:
+        rows = read_json_arrays(spark, path, columns)
+    else:
+        rows = parse_lines(spark.read.text(path).select("value", F.col("_metadata.file_path").alias(SOURCE)), columns)
+    return rows if damaged else sound(rows).select(*columns)
+
+
+def sound(raw: DataFrame) -> DataFrame:
+    """The rows of ``read_raw(damaged=True)`` that are records."""
+    return raw.filter(F.col(CORRUPT).isNull()) if CORRUPT in raw.columns else raw
+
+
+def quarantined(raw: DataFrame) -> DataFrame:
+    """What of a raw batch is no record: file, text, and what could be read of it (as JSON)."""
+    rest = [c for c in raw.columns if c not in (CORRUPT, SOURCE)]
+    return raw.filter(F.col(CORRUPT).isNotNull()).select(
+        F.col(SOURCE).alias("source_file"), F.col(CORRUPT).alias("record_text"), F.to_json(F.struct(*rest)).alias("read_as"))
 
 
 def read_zone(spark: SparkSession, path: str) -> DataFrame:
@@ -89,7 +108,10 @@ def change_window(df: DataFrame, since: str, created: str = "created_at",
                   updated: str = "updated_at") -> DataFrame:
     """Rows created or updated at or after ``since``; no upper bound."""
     ts = F.to_timestamp_ntz(F.lit(since))
-    return df.filter((F.col(created) >= ts) | (F.col(updated) >= ts))
+    inside = (F.col(created) >= ts) | (F.col(updated) >= ts)
+    if CORRUPT in df.columns:               # what could not be read has no dates, and stays visible
+        inside = inside | F.col(CORRUPT).isNotNull()
+    return df.filter(inside)
 
 
 def full_extract(df: DataFrame, from_date: str | None = None, **cols) -> DataFrame:

@@ -14,24 +14,29 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from starloom.operators.clean import RAW_COLUMNS
 from starloom.plans.incremental import run_incremental
+from starloom.sources.json_arrays import SOURCE, parse_lines
 
 RAW_STREAM_COLUMNS = RAW_COLUMNS + ["created_at", "updated_at"]
 
 
 def raw_stream(spark: SparkSession, landing: str, multi_line: bool = False,
                files_per_batch: int | None = None, bytes_per_batch: str | None = None) -> DataFrame:
-    """The landing as a stream; a batch takes every new file unless a limit is given."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in RAW_STREAM_COLUMNS])
-    r = spark.readStream.schema(schema).option("multiLine", multi_line)
+    """The landing as a stream; a batch takes every new file unless a limit is given.
+
+    Lines that are no records stay in the batch (``_corrupt_record``), and the
+    load puts them into quarantine; of array files a damaged one goes as a whole.
+    """
+    r = spark.readStream
     if files_per_batch:
         r = r.option("maxFilesPerTrigger", files_per_batch)
     if bytes_per_batch:
         r = r.option("maxBytesPerTrigger", bytes_per_batch)
-    return r.json(landing)
+    whole = r.option("wholetext", True) if multi_line else r
+    return parse_lines(whole.text(landing).select("value", F.col("_metadata.file_path").alias(SOURCE)), RAW_STREAM_COLUMNS)
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
