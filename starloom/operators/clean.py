@@ -131,8 +131,8 @@ def reject_reason(raw: DataFrame, valid_date: str | None = None) -> Column:
 REJECT_REASONS = ["corrupt", "malformed", "null_value", "excluded_district", "supplement", "before_valid_date"]
 
 
-def clean_observed(raw: DataFrame, observation, valid_date: str | None = None) -> DataFrame:
-    """``clean_incidents`` that also counts every outcome into ``observation``.
+def clean_observed(raw: DataFrame, observation, valid_date: str | None = None, measures: dict[str, Column] | None = None) -> DataFrame:
+    """``clean_incidents`` that also counts every outcome (and takes the named ``measures`` of the raw batch) into ``observation``.
 
     The counts are collected by the job that writes the cleansed rows, so
     the audit costs no second pass over the raw batch.
@@ -140,6 +140,7 @@ def clean_observed(raw: DataFrame, observation, valid_date: str | None = None) -
     tagged = raw.withColumn("_reject", reject_reason(raw, valid_date))
     metrics = [F.count_if(F.col("_reject").isNull()).alias("kept")]
     metrics += [F.count_if(F.col("_reject") == r).alias(r) for r in REJECT_REASONS if r != "corrupt" or CORRUPT in raw.columns]
+    metrics += [m.alias(k) for k, m in (measures or {}).items()]
     kept = tagged.observe(observation, *metrics).filter(F.col("_reject").isNull()).drop("_reject")
     return clean_incidents(kept, valid_date)
 

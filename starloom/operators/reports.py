@@ -21,12 +21,19 @@ def _bc(df: DataFrame, sizes: dict[str, int] | None, name: str) -> DataFrame:
 
 
 def _categories(wh: dict[str, DataFrame], sizes: dict[str, int] | None = None) -> DataFrame:
-    """group id -> category name, through the bridge (one row per member);
-    at most as many rows as the bridge."""
-    cats = _bc(wh["dim_category"].select("category_id", "category"), sizes, "dim_category")
+    """group id -> category name, through the bridge (one row per member).
+
+    It has at most as many rows as the bridge, whose rows are two ids (16 bytes),
+    and no name longer than the longest; beyond the bound that follows it is joined by shuffle.
+    """
+    names = wh["dim_category"].select("category_id", "category")
+    cats = _bc(names, sizes, "dim_category")
     cat_groups = (wh["br_category_group"].select("category_group_id", "category_id")
                   .join(cats, "category_id").select("category_group_id", "category").distinct())
-    return _bc(cat_groups, sizes, "br_category_group")
+    if "br_category_group" not in (sizes or {}):
+        return checked_broadcast(cat_groups)
+    longest = names.agg(F.max(F.octet_length("category"))).first()[0] or 0
+    return checked_broadcast(cat_groups, sizes["br_category_group"] // 16 * (longest + 16))
 
 
 def report_year(wh: dict[str, DataFrame], year: int | None = None,

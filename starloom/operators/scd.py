@@ -1,8 +1,8 @@
 """Versioned dimension maintenance D4-D9 without row-level DML.
 
-``scd_apply`` rewrites a dimension as ``hist ∪ updated current ∪ new
-versions``; the pipeline writes each result as a new snapshot.  Changes are
-detected against *current* rows only (Q1).
+``scd_apply`` joins a dimension once with the staged keys and explodes each pair
+into the rows it becomes; the pipeline writes each result as a new attempt.
+Changes are detected against *current* rows only (Q1).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from starloom.operators.dims import ScdSpec, staged_versions
 from starloom.operators.keys import assign_ids, max_id
 from starloom.schemas import OPEN_END_DATE
+from starloom.session import scratch_root
 
 
 def _date(d: str | _dt.date | Column) -> Column:
@@ -84,19 +85,48 @@ def scd1_overwrite(dim: DataFrame, stg: DataFrame, spec: ScdSpec) -> DataFrame:
     return cur.join(cls.select(spec.key, *spec.overwrite), spec.key).select(*dim.columns)
 
 
+def joined_versions(dim: DataFrame, stg: DataFrame, spec: ScdSpec, as_of) -> DataFrame:
+    """Every row of the next version, from one full outer join of the dimension with the staged keys.
+
+    A staged key meets the open row of its key only.  A changed pair becomes
+    two rows, the closed one (D5) and the new one (D6, still without id); an
+    unchanged pair takes the overwrite columns (D7); a staged key without an
+    open row is a new row, a row of the dimension without a staged key stays.
+    """
+    d, s = dim.alias("d"), staged_versions(stg, spec).withColumn("_staged", F.lit(True)).alias("s")
+    j = d.join(s, (F.col(f"d.{spec.key}") == F.col(f"s.{spec.key}")) & (F.col(f"d.{spec.flag_col}") == 1), "full_outer")
+    old, new = F.col(f"d.{spec.id_col}").isNotNull(), F.col("s._staged").isNotNull()
+    changed = old & new & ~F.col(f"d.{spec.hash_col}").eqNullSafe(F.col(f"s.{spec.hash_col}"))
+    as_of = _date(as_of)
+
+    def kept(c) -> Column:
+        value = F.col(f"d.{c}")
+        if c in spec.overwrite:
+            return F.when(new & ~changed, F.col(f"s.{c}")).otherwise(value)
+        if c in (spec.exp_col, spec.flag_col):
+            return F.when(changed, as_of if c == spec.exp_col else F.lit(0)).otherwise(value)
+        return value
+    fixed = {spec.id_col: F.lit(None), spec.eff_col: as_of, spec.exp_col: F.lit(OPEN_END_DATE), spec.flag_col: F.lit(1)}
+    types = dict(dim.dtypes)
+    row = [F.struct(*[kept(c).cast(types[c]).alias(c) for c in dim.columns]),
+           F.struct(*[fixed.get(c, F.col(f"s.{c}")).cast(types[c]).alias(c) for c in dim.columns])]
+    versions = F.when(changed, F.array(*row)).when(old, F.array(row[0])).otherwise(F.array(row[1]))
+    return j.select(F.explode(versions).alias("v")).select("v.*")
+
+
 def scd_apply(dim: DataFrame, stg: DataFrame, spec: ScdSpec, as_of) -> DataFrame:
     """The next version of the whole dimension.
 
-    history (closed rows) ∪ current rows after D5/D7 ∪ D6 new versions.
-    Keys absent from staging are left open; a rerun with the same staging
-    rows changes nothing.
+    The dimension is read and joined once; the result is checkpointed, and only
+    its new rows, those without an id, are numbered after the maximum.  Keys
+    absent from staging are left open; a rerun with the same staging rows
+    changes nothing.
     """
-    as_of_c = _date(as_of)
-    classified = scd_classify(dim, stg, spec)
-    hist = dim.filter(F.col(spec.flag_col) != 1)
-    cur = _apply_to_current(dim, classified, spec, as_of_c)
-    new = scd2_insert_versions(dim, stg, spec, as_of_c, classified)
-    return hist.unionByName(cur).unionByName(new)
+    scratch_root(dim.sparkSession)
+    rows = joined_versions(dim, stg, spec, as_of).checkpoint()
+    new = rows.filter(F.col(spec.id_col).isNull()).drop(spec.id_col)
+    new = assign_ids(new, spec.id_col, spec.key, start=max_id(rows, spec.id_col))
+    return rows.filter(F.col(spec.id_col).isNotNull()).unionByName(new)
 
 
 def scd_as_of(dim: DataFrame, spec: ScdSpec, when) -> DataFrame:

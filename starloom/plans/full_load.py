@@ -18,52 +18,60 @@ from starloom.operators.fact import build_fact, incident_groups_full
 from starloom.operators.staging import stage_all
 from starloom.schemas import INDEX_SCHEMAS, PROD_SCHEMAS, STG_SCHEMAS
 from starloom.plans.steps import run_concurrently, step
-from starloom.sources.tables import Manifest, Warehouse, retain
-from starloom.sources.zones import full_extract, quarantined, read_zone, size_gate, write_zone
+from starloom.sources.tables import Commits, Warehouse, retain
+from starloom.sources.zones import batch_measures, check_size, full_extract, quarantined, read_zone, write_zone
 
 
 @dataclass
 class Zones:
-    """The stores of one warehouse root (one shared commit manifest)."""
+    """The stores of one warehouse root (with one table of commits)."""
     root: str
     stg: Warehouse
     prod: Warehouse
     idx: Warehouse
-    manifest: Manifest
+    commits: Commits
 
     @classmethod
     def open(cls, spark: SparkSession, root: str, fresh: bool = False) -> "Zones":
-        return cls._with(spark, root.rstrip("/"), Manifest(spark, root.rstrip("/"), fresh))
+        return cls._with(spark, root.rstrip("/"), Commits(spark, root.rstrip("/"), fresh))
 
     @classmethod
-    def _with(cls, spark: SparkSession, root: str, m: Manifest) -> "Zones":
+    def _with(cls, spark: SparkSession, root: str, m: Commits) -> "Zones":
         return cls(root, Warehouse(spark, f"{root}/stg", STG_SCHEMAS, m, "stg"),
                    Warehouse(spark, f"{root}/prod", PROD_SCHEMAS, m, "prod"),
                    Warehouse(spark, f"{root}/idx", INDEX_SCHEMAS, m, "idx"), m)
 
     def commit(self) -> None:
-        self.manifest.commit()
+        self.commits.commit()
 
     def at(self, load_id: str) -> "Zones":
         """The warehouse as it was right after ``load_id`` (read-only use)."""
-        return Zones._with(self.stg.spark, self.root, self.manifest.upto(load_id))
+        return Zones._with(self.stg.spark, self.root, self.commits.upto(load_id))
 
     def retain(self, keep_commits: int = 7) -> list[str]:
-        """Delete table folders that none of the last ``keep_commits`` commits reads (explicit call only)."""
+        """Delete partitions that none of the last ``keep_commits`` commits names (explicit call only)."""
         return retain([self.stg, self.prod, self.idx], keep_commits)
 
 
-def land_cleansed(spark: SparkSession, raw: DataFrame, zones: Zones, load_id: str,
-                  valid_date: str | None = None) -> DataFrame:
+def land_cleansed(spark: SparkSession, raw: DataFrame, zones: Zones, load_id: str, valid_date: str | None = None,
+                  max_bytes: int | None = None, max_rows: int | None = None) -> DataFrame:
     """C1-C7, written to ``cleansed/load_id=<id>`` and read back; the ingest
     audit (S10: rows per outcome) is observed by the same job and written
     to ``audit/load_id=<id>``.  Input that is no record goes to
     ``quarantine/load_id=<id>`` with its file (a second pass over the raw batch,
-    only where the audit counts some)."""
+    only where the audit counts some).
+
+    Where a limit is given (S9) the same job measures the raw batch, and a batch
+    over it stops the load here: no audit, no table, no commit (what was landed is
+    read by nothing, and written over by a retry).
+    """
     path = f"{zones.root}/cleansed/load_id={load_id}"
     obs = Observation(f"audit-{load_id}")
-    write_zone(clean_observed(raw, obs, valid_date), path)
-    rows = [(k, int(v)) for k, v in obs.get.items()]
+    gated = max_bytes is not None or max_rows is not None
+    write_zone(clean_observed(raw, obs, valid_date, batch_measures(raw) if gated else None), path)
+    if gated:
+        check_size(obs.get["n_rows"], obs.get["n_bytes"], max_bytes, max_rows)
+    rows = [(k, int(v)) for k, v in obs.get.items() if k not in ("n_rows", "n_bytes")]
     (spark.createDataFrame(rows, "outcome string, n_rows bigint").coalesce(1)   # a retry replaces its rows
      .write.mode("overwrite").parquet(f"{zones.root}/audit/load_id={load_id}"))
     if obs.get.get("corrupt"):
@@ -96,10 +104,9 @@ def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: st
     where a limit is given (S9), then cleaning, from ``valid_date`` on (C6).
     """
     zones = Zones.open(spark, root, fresh)
-    zones.manifest.start_epoch()
-    raw = size_gate(full_extract(raw, from_date), max_bytes, max_rows)
+    raw = full_extract(raw, from_date)
     with step("clean"):
-        clean = land_cleansed(spark, raw, zones, load_id, valid_date)
+        clean = land_cleansed(spark, raw, zones, load_id, valid_date, max_bytes, max_rows)
     with step("staging"):
         stg = load_staging(clean, zones, load_id)
     prod = zones.prod

@@ -10,7 +10,7 @@ from starloom.operators.fact import build_fact, incident_groups_incremental
 from starloom.operators.scd import scd_apply
 from starloom.plans.full_load import Zones, land_cleansed, load_staging, write_unmatched
 from starloom.plans.steps import run_concurrently, step
-from starloom.sources.zones import change_window, size_gate
+from starloom.sources.zones import change_window
 
 
 def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str, load_id: str,
@@ -27,9 +27,8 @@ def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str,
         return zones
     if since:
         raw = change_window(raw, since)
-    raw = size_gate(raw, max_bytes, max_rows)
     with step("clean"):
-        clean = land_cleansed(spark, raw, zones, load_id)
+        clean = land_cleansed(spark, raw, zones, load_id, None, max_bytes, max_rows)
     with step("staging"):
         stg = load_staging(clean, zones, load_id)
     prod = zones.prod

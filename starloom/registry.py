@@ -178,7 +178,7 @@ def q_truncate_load(spark, sf):
     fact = P.stage_fact_incident(_clean(spark, sf))
     load_table(wh, "fact_incident", fact, "truncate", "l1")
     load_table(wh, "fact_incident", fact, "truncate", "l2")
-    wh.manifest.commit()
+    wh.commits.commit()
     return wh.read("fact_incident")
 
 
@@ -187,7 +187,7 @@ def q_append_load(spark, sf):
     raw = _raw(spark, sf)
     load_table(wh, "fact_incident", P.stage_fact_incident(C.clean_incidents(batch_one(raw))), "truncate", "b1")
     load_table(wh, "fact_incident", P.stage_fact_incident(C.clean_incidents(batch_two(raw, False))), "append", "b2")
-    wh.manifest.commit()
+    wh.commits.commit()
     return wh.read("fact_incident")
 
 
@@ -195,7 +195,7 @@ def q_column_list_load(spark, sf):
     wh = Warehouse(spark, scratch_path(spark, "stg"), STG_SCHEMAS, fresh=True)
     load_table(wh, "fact_incident", P.stage_fact_incident(_clean(spark, sf)), "truncate", "l1",
                col_list=["stg_incident_id", "stg_category_code", "stg_cnn"])
-    wh.manifest.commit()
+    wh.commits.commit()
     return wh.read("fact_incident")
 
 

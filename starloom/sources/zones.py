@@ -7,7 +7,7 @@ step, since the API may quote numbers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,21 +86,15 @@ def as_raw_strings(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_dated(df: DataFrame, root: str, ds_col: str = "ds", rows_per_task: int = 1_000_000) -> None:
+def write_dated(df: DataFrame, root: str, ds_col: str = "ds") -> None:
     """Dated layout ``root/ds=YYYY-MM-DD``; a rerun replaces only its days.
 
-    Rows are range-partitioned on (day, salt) first, so each task writes a
-    few whole days (few files per day, instead of one per task and day); a
-    day has one salt per ``rows_per_task`` of its rows, so a hot day spreads
-    over as many tasks as it needs.
+    ``REBALANCE`` on the day gathers each day's rows into few files; from the
+    sizes of the shuffle the engine splits a hot day over as many tasks as it
+    has target sizes (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and
+    joins small days.  The input is evaluated once.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    days = df.groupBy(F.col(ds_col).alias("_day")).agg(
-        F.ceil(F.count(F.lit(1)) / rows_per_task).cast("bigint").alias("_salts"))
-    salted = df.join(days, F.col(ds_col).eqNullSafe(F.col("_day")))
-    salt = F.pmod(F.xxhash64(*df.columns), F.col("_salts"))
-    clustered = salted.repartitionByRange(n, F.col(ds_col), salt).select(*df.columns)
-    (clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", ds_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(ds_col).parquet(root))
 
 
@@ -126,24 +120,35 @@ def row_cap(df: DataFrame, n: int | None, order_by: list[str]) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def batch_stats(df: DataFrame) -> DataFrame:
-    """Rows and payload bytes of a batch: every column's value as text, in UTF-8."""
+def batch_measures(df: DataFrame) -> dict[str, Column]:
+    """Rows and payload bytes of a batch as aggregates: every column's value as text, in UTF-8 (not the file names)."""
     size = F.lit(0).cast("bigint")
     for c in df.columns:
-        size = size + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("bigint")
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("n_bytes"))
+        if c != SOURCE:
+            size = size + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("bigint")
+    return {"n_rows": F.count(F.lit(1)), "n_bytes": F.coalesce(F.sum(size), F.lit(0)).cast("bigint")}
+
+
+def batch_stats(df: DataFrame) -> DataFrame:
+    """Rows and payload bytes of a batch."""
+    return df.agg(*[m.alias(k) for k, m in batch_measures(df).items()])
+
+
+def check_size(n_rows: int, n_bytes: int, max_bytes: int | None, max_rows: int | None) -> None:
+    """Raise ``SizeGateError`` when a measured batch exceeds a given limit (Q16)."""
+    if (max_rows is not None and n_rows > max_rows) or (max_bytes is not None and n_bytes > max_bytes):
+        raise SizeGateError(f"batch of {n_rows} rows / {n_bytes} bytes exceeds the limit")
 
 
 def size_gate(df: DataFrame, max_bytes: int | None = None, max_rows: int | None = None) -> DataFrame:
     """Raise ``SizeGateError`` when the batch exceeds a given limit (Q16).
 
     One aggregate job measures the payload itself, not a Python object;
-    without a limit nothing is measured.
+    without a limit nothing is measured.  The pipelines measure in the job that
+    lands the batch instead, and withhold the rest of the load.
     """
     if max_bytes is None and max_rows is None:
         return df
     row = batch_stats(df).first()
-    n_rows, n_bytes = row["n_rows"], row["n_bytes"]
-    if (max_rows is not None and n_rows > max_rows) or (max_bytes is not None and n_bytes > max_bytes):
-        raise SizeGateError(f"batch of {n_rows} rows / {n_bytes} bytes exceeds the limit")
+    check_size(row["n_rows"], row["n_bytes"], max_bytes, max_rows)
     return df

@@ -94,3 +94,15 @@ def test_collapse_takes_the_least_row_null_first_in_one_aggregate(spark):
     got = D.collapse_per_key(df, df.columns[0], df.columns[1:])
     assert sorted(map(tuple, got.collect()), key=str) == [(1, None, 9.0, 3.0), (2, "b", 1.0, 7.0)]
     assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_apply_joins_the_dimension_once(spark, scratch):
+    from starloom.operators.scd import joined_versions
+    path = scratch("dim")
+    D.scd_init(stg(spark, [(i, "A", 1.0, 1.0) for i in range(50)]), SPEC).write.parquet(path)
+    dim, batch = spark.read.parquet(path), stg(spark, [(i, "AB"[i % 2], 2.0, 2.0) for i in range(25, 75)])
+    rows = joined_versions(dim, batch, SPEC, "2022-02-01")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FullOuter") == 1 and plan.count("Join") == 1 and plan.count("FileScan") == 1
+    # 12 changed keys become two rows, 25 keys are new
+    assert rows.count() == 50 + 12 + 25 + (1 if 49 % 2 else 0) and rows.filter("intersection_id is null").count() == 12 + 25 + 1

@@ -20,13 +20,13 @@ def test_truncate_append_column_list_and_failed_load(spark, scratch):
     load_table(wh, "dim_resolution", df, "truncate", "l1")
     load_table(wh, "dim_resolution", df, "append", "l2")
     load_table(wh, "dim_resolution", df, "append", "l2")          # rerun of a load replaces it
-    wh.manifest.commit()
+    wh.commits.commit()
     assert wh.read("dim_resolution").count() == 4
     load_table(wh, "dim_resolution", df, "append", "l3")          # never committed: invisible
     fresh = Warehouse(spark, wh.root, STG_SCHEMAS)
     assert fresh.read("dim_resolution").count() == 4
     load_table(wh, "dim_resolution", df.limit(1), "truncate", "l4")
-    wh.manifest.commit()
+    wh.commits.commit()
     assert Warehouse(spark, wh.root, STG_SCHEMAS).read("dim_resolution").count() == 1
     sub = conform(spark.createDataFrame([(7, 1)], "stg_incident_id bigint, x int"), STG_SCHEMAS["fact_incident"],
                   ["stg_incident_id"]).first()
@@ -61,21 +61,24 @@ def test_scans_push_filters_and_prune(spark, scratch):
     df = spark.createDataFrame([("Open",)], "stg_resolution string")
     load_table(wh, "dim_resolution", df, "truncate", "l1")
     load_table(wh, "dim_resolution", df, "append", "l2")
-    wh.manifest.commit()
-    files = wh.read_load("dim_resolution", "l2").select(F.input_file_name().alias("f")).distinct().collect()
-    assert len(files) == 1 and "/load-l2-" in files[0].f               # only the load's own folder is read
+    wh.commits.commit()
+    import re
+    plan = wh.read_load("dim_resolution", "l2")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*load_id#\d+ = l2", plan)   # only the load's own partition is read
+    plan = wh.read("dim_resolution")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan                                    # attempts that do not count are not opened
 
 
 def test_history_does_not_depend_on_file_order(spark, scratch):
-    from starloom.sources.tables import Manifest
     wh = Warehouse(spark, scratch("wh"), STG_SCHEMAS, fresh=True)
     for n, load in ((2, "b1"), (30, "b2"), (5, "b3")):
         for _ in range(3):                                            # several writes of a load: the last counts
             load_table(wh, "dim_resolution", spark.range(n).selectExpr("cast(id as string) stg_resolution"), "append", load)
-        wh.manifest.commit()
-    m = Manifest(spark, wh.root)
-    assert [r.load_id for r in m.committed] == sorted(r.load_id for r in m.committed)
+        wh.commits.commit()
+    m = Warehouse(spark, wh.root, STG_SCHEMAS).commits
     at = {b: Warehouse(spark, wh.root, STG_SCHEMAS, m.upto(b)) for b in ("b1", "b2", "b3")}
+    assert [at[b].load_ids("dim_resolution") for b in at] == [["b1"], ["b1", "b2"], ["b1", "b2", "b3"]]
+    assert m.state().count() == 3                                       # a commit holds the whole state
     assert {b: w.row_count("dim_resolution") for b, w in at.items()} == {"b1": 2, "b2": 32, "b3": 37}
     assert {b: w.read("dim_resolution").count() for b, w in at.items()} == {"b1": 2, "b2": 32, "b3": 37}
 
@@ -85,17 +88,17 @@ def test_failed_attempt_then_empty_retry_leaves_nothing_behind(spark, scratch):
     df = spark.createDataFrame([("Open",), ("Closed",)], "stg_resolution string")
     wh = Warehouse(spark, root, STG_SCHEMAS)
     load_table(wh, "dim_resolution", df, "truncate", "l1")
-    wh.manifest.commit()
+    wh.commits.commit()
     failed = Warehouse(spark, root, STG_SCHEMAS)                      # never commits
     load_table(failed, "dim_resolution", spark.createDataFrame([("BAD",)] * 2, "stg_resolution string"), "append", "l2")
     retry = Warehouse(spark, root, STG_SCHEMAS)
     load_table(retry, "dim_resolution", df.limit(0), "append", "l2")
-    retry.manifest.commit()
+    retry.commits.commit()
     now = Warehouse(spark, root, STG_SCHEMAS)
     assert now.read("dim_resolution").count() == now.row_count("dim_resolution") == 2
     from starloom.sources.tables import retain
     deleted = retain([now], keep_commits=2)
-    assert len(deleted) == 1 and "/load-l2-" in deleted[0]            # the failed attempt's folder
+    assert len(deleted) == 1 and "/load_id=l2/" in deleted[0]         # the failed attempt's partition
     assert Warehouse(spark, root, STG_SCHEMAS).read("dim_resolution").count() == 2
 
 
@@ -103,19 +106,74 @@ def test_damaged_log_is_an_error(spark, scratch):
     import pytest
     wh = Warehouse(spark, scratch("wh"), STG_SCHEMAS, fresh=True)
     load_table(wh, "dim_resolution", spark.createDataFrame([("Open",)], "stg_resolution string"), "truncate", "l1")
-    wh.manifest.commit()
-    spark.createDataFrame([("{broken",)], "value string").coalesce(1).write.mode("append").text(f"{wh.root}/_manifest")
-    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
-        Warehouse(spark, wh.root, STG_SCHEMAS)
-
+    wh.commits.commit()
+    broken = f"{wh.commits.path}/commit=2"
+    spark.createDataFrame([("{broken",)], "value string").coalesce(1).write.text(broken)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(broken).getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in fs.listStatus(hadoop.Path(broken)):
+        if f.getPath().getName().endswith(".txt"):
+            fs.rename(f.getPath(), hadoop.Path(f"{broken}/part-0.parquet"))
+    with pytest.raises(Exception, match="CANNOT_READ|not a Parquet|FAILED_READ"):
+        Warehouse(spark, wh.root, STG_SCHEMAS).read("dim_resolution").count()
+
+
+def test_replace_keys_writes_only_loads_that_hold_one_again(spark, scratch):
+    wh = Warehouse(spark, scratch("wh"), STG_SCHEMAS, fresh=True)
 
-def test_hot_day_is_split_by_its_rows(spark, scratch):
+    def rows(*ids):
+        return spark.createDataFrame([(i, i % 3) for i in ids], "stg_incident_id bigint, stg_category_code int").selectExpr(
+            "*", *[f"cast(null as string) {c}" for c in STG_SCHEMAS["fact_incident"].fieldNames() if c not in ("stg_incident_id", "stg_category_code")])
+    for load, ids in (("a", (1, 2, 3)), ("b", (3, 4)), ("c", (5, 6)), ("odd id/%=é", (7, 3))):
+        wh.append("fact_incident", rows(*ids), load)
+    wh.commits.commit()
+    before = {r.load_id: r.attempt for r in wh.live("fact_incident").collect()}
+    wh.replace_keys("fact_incident", rows(3, 7, 9), "stg_incident_id", "d")
+    for now in (wh, None):
+        now = now or Warehouse(spark, wh.root, STG_SCHEMAS)
+        got = {i: sorted(r.stg_incident_id for r in now.read_load("fact_incident", i).collect()) for i in [*before, "d"]}
+        assert got == {"a": [1, 2], "b": [4], "c": [5, 6], "odd id/%=é": [], "d": [3, 7, 9]}
+        assert now.read("fact_incident").count() == now.row_count("fact_incident") == 8
+        wh.commits.commit()
+    after = {r.load_id: r.attempt for r in Warehouse(spark, wh.root, STG_SCHEMAS).live("fact_incident").collect()}
+    assert after["c"] == before["c"] and after["a"] == after["b"] != before["a"]
+    assert all(wh.has_load("fact_incident", i) for i in (*before, "d")) and not wh.has_load("fact_incident", "e")
+
+
+def test_hot_day_is_split_by_its_size(spark, scratch):
     from starloom.sources.zones import read_zone, write_dated
     root = scratch("hot-day")
-    df = spark.range(9000).selectExpr("if(id < 8000, '2022-01-01', concat('2022-02-0', id % 9 + 1)) ds", "id v")
-    write_dated(df, root, rows_per_task=500)
+    df = spark.range(9000).selectExpr("if(id < 8000, '2022-01-01', concat('2022-02-0', id % 9 + 1)) ds", "id v", "sha2(cast(id as string), 256) x")
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64k")
+    try:
+        write_dated(df.repartition(6), root)
+    finally:
+        spark.conf.set(name, before)
     files = read_zone(spark, root).filter("ds = '2022-01-01'").select("v", "_metadata.file_path")
-    assert files.count() == 8000 and files.select("file_path").distinct().count() >= 3     # of four tasks
+    assert files.count() == 8000 and files.select("file_path").distinct().count() >= 3
+
+
+def test_oversize_batch_leaves_the_warehouse_as_it_was(spark, scratch):
+    import pytest
+    from starloom.plans.full_load import Zones, run_full_load
+    from starloom.plans.incremental import run_incremental
+    from starloom.sources.adapter import batch_one, batch_two, raw_incidents
+    from starloom.sources.zones import SizeGateError, batch_stats
+    raw, root = raw_incidents(spark, SF001), scratch("gate")
+    one, two = batch_one(raw), batch_two(raw)
+    size = batch_stats(one).first()
+    with pytest.raises(SizeGateError):
+        run_full_load(spark, one, root, load_id="b1", max_bytes=size.n_bytes - 1)
+    assert Zones.open(spark, root).commits.number == 0
+    run_full_load(spark, one, root, load_id="b1", max_bytes=size.n_bytes, max_rows=size.n_rows)
+    before = Zones.open(spark, root)
+    with pytest.raises(SizeGateError):
+        run_incremental(spark, two, root, as_of="2000-01-01", load_id="b2", max_rows=10)
+    after = Zones.open(spark, root)
+    assert after.commits.number == before.commits.number and after.prod.sizes() == before.prod.sizes()
+    assert spark.read.parquet(f"{root}/audit").filter("load_id = 'b2'").count() == 0
 
 
 def test_size_gate(spark):
