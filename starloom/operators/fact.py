@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starloom.operators.bridge import group_signature, incoming_signatures
+from starloom.operators.colocate import SALT
 from starloom.operators.keys import checked_broadcast
 
 FACT_COLUMNS = ["category_group_id", "resolution_id", "incident_date", "incident_time", "report_date",
@@ -40,9 +41,10 @@ def _lookups(dims: dict[str, DataFrame], current_only: bool = True,
 
 def resolve_dimension_keys(stg_fact: DataFrame, dims: dict[str, DataFrame],
                            current_only: bool = True, sizes: dict[str, int] | None = None,
-                           how: str = "inner") -> DataFrame:
+                           how: str = "inner", extra: list[str] = []) -> DataFrame:
     """Staged rows with the seven dimension keys (inner joins, Q15;
-    ``how="left"`` keeps rows that do not resolve, with NULL ids)."""
+    ``how="left"`` keeps rows that do not resolve, with NULL ids) and the
+    ``extra`` columns of the staged fact."""
     lk = _lookups(dims, current_only, sizes)
     f = stg_fact.alias("f")
     d1, d2 = lk["date"].alias("d1"), lk["date"].alias("d2")
@@ -58,7 +60,8 @@ def resolve_dimension_keys(stg_fact: DataFrame, dims: dict[str, DataFrame],
         F.col("r.resolution_id"), F.col("d1.date_id").alias("incident_date"),
         F.col("t1.time_id").alias("incident_time"), F.col("d2.date_id").alias("report_date"),
         F.col("t2.time_id").alias("report_time"), F.col("i.intersection_id"),
-        F.col("p.police_district_id"), F.col("f.stg_incident_id").alias("incident_id"))
+        F.col("p.police_district_id"), F.col("f.stg_incident_id").alias("incident_id"),
+        *[F.col(f"f.{c}") for c in extra])
 
 
 def incident_groups_full(stg_fact: DataFrame, groups: DataFrame,
@@ -102,13 +105,17 @@ def build_fact(stg_fact: DataFrame, dims: dict[str, DataFrame], incident_groups:
     rows whose key does not resolve (G3): the lookups are left joins, the
     distinct keeps how many staged rows a row stands for, and the counts are
     observed just before unresolved rows are dropped.
+
+    Where staged fact and incident groups are bucketed by (incident, salt)
+    (``colocate``), neither the distinct nor the join moves a row.
     """
     how = "inner" if unmatched is None else "left"
-    keyed = resolve_dimension_keys(stg_fact, dims, current_only, sizes, how)
+    salt = [SALT] if SALT in stg_fact.columns else []
+    keyed = resolve_dimension_keys(stg_fact, dims, current_only, sizes, how, salt)
     if unmatched is None:
-        return keyed.distinct().join(incident_groups, "incident_id").select(*FACT_COLUMNS)
+        return keyed.distinct().join(incident_groups, ["incident_id", *salt]).select(*FACT_COLUMNS)
     counted = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("_n"))
-    joined = counted.join(incident_groups, "incident_id", "left")
+    joined = counted.join(incident_groups, ["incident_id", *salt], "left")
     lost = [F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("_n")).otherwise(0)), F.lit(0)).alias(d)
             for d, c in KEY_COLUMNS.items()]
     found = F.lit(True)

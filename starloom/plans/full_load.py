@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from starloom.operators import bridge as B
 from starloom.operators import dims as D
 from starloom.operators.clean import clean_observed
+from starloom.operators.colocate import Buckets, buckets, hot_incidents, per_salt, salted
 from starloom.operators.fact import build_fact, incident_groups_full
 from starloom.operators.staging import stage_all
 from starloom.schemas import INDEX_SCHEMAS, PROD_SCHEMAS, STG_SCHEMAS
 from starloom.plans.steps import run_concurrently, step
-from starloom.sources.tables import Commits, Warehouse, retain
+from starloom.session import scratch_path
+from starloom.sources.tables import Commits, Warehouse, conform, retain
 from starloom.sources.zones import batch_measures, check_size, full_extract, quarantined, read_zone, write_zone
 
 
@@ -79,11 +81,32 @@ def land_cleansed(spark: SparkSession, raw: DataFrame, zones: Zones, load_id: st
     return read_zone(spark, path)
 
 
-def load_staging(clean: DataFrame, zones: Zones, load_id: str) -> dict[str, DataFrame]:
-    """P1-P7 truncate-loaded into the staging store."""
-    staged = stage_all(clean)
-    run_concurrently([lambda n=n, df=df: zones.stg.replace(n, df, load_id) for n, df in staged.items()])
-    return zones.stg.tables()
+def load_staging(clean: DataFrame, zones: Zones, load_id: str, laid: Buckets | None = None) -> dict[str, DataFrame]:
+    """P1-P7 truncate-loaded into the staging store.
+
+    With ``laid`` the staged fact is written in buckets (``colocate``) and comes
+    back with its salt; ``hot`` are its hot incidents.
+    """
+    staged, tables = stage_all(clean), {}
+
+    def fact():
+        tables["hot"] = hot_incidents(clean).checkpoint()
+
+        def write(rows, path):
+            tables["fact_incident"] = laid.write(rows, path, "stg_incident_id")
+        fixed = conform(staged["fact_incident"], STG_SCHEMAS["fact_incident"])
+        zones.stg.replace("fact_incident", salted(fixed, tables["hot"]), load_id, write)
+    run_concurrently([fact if laid and n == "fact_incident" else lambda n=n, df=df: zones.stg.replace(n, df, load_id)
+                      for n, df in staged.items()])
+    return {**zones.stg.tables(), **tables}
+
+
+def laid_groups(igroups: DataFrame, stg: dict[str, DataFrame], zones: Zones, load_id: str, laid: Buckets | None) -> DataFrame:
+    """The incidents' groups in the same buckets as the staged fact (as they are without ``laid``)."""
+    if laid is None:
+        return igroups
+    path = scratch_path(zones.prod.spark, f"incident-groups-{load_id}")
+    return laid.write(per_salt(igroups, stg["hot"]), path, "incident_id")
 
 
 def write_unmatched(zones: Zones, counts: Observation, load_id: str) -> None:
@@ -97,18 +120,28 @@ def write_unmatched(zones: Zones, counts: Observation, load_id: str) -> None:
 
 def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: str | None = None,
                   load_id: str = "full", fresh: bool = False, from_date: str | None = None,
-                  max_bytes: int | None = None, max_rows: int | None = None) -> Zones:
+                  max_bytes: int | None = None, max_rows: int | None = None, colocate: bool = False) -> Zones:
     """E1 into ``root`` (``fresh=True`` when the root is known to be new).
 
+    ``colocate`` stages the fact in buckets, so that it is shuffled once, while
+    it is staged, and not again (``operators/colocate.py``).
+
     Ingest: rows created or changed from ``from_date`` on (S7), the size gate
     where a limit is given (S9), then cleaning, from ``valid_date`` on (C6).
     """
+    if colocate:
+        with buckets(spark) as laid:
+            return _full_load(spark, raw, root, valid_date, load_id, fresh, from_date, max_bytes, max_rows, laid)
+    return _full_load(spark, raw, root, valid_date, load_id, fresh, from_date, max_bytes, max_rows, None)
+
+
+def _full_load(spark, raw, root, valid_date, load_id, fresh, from_date, max_bytes, max_rows, laid: Buckets | None) -> Zones:
     zones = Zones.open(spark, root, fresh)
     raw = full_extract(raw, from_date)
     with step("clean"):
         clean = land_cleansed(spark, raw, zones, load_id, valid_date, max_bytes, max_rows)
     with step("staging"):
-        stg = load_staging(clean, zones, load_id)
+        stg = load_staging(clean, zones, load_id, laid)
     prod = zones.prod
 
     def dim(name, spec):                                        # D1
@@ -135,7 +168,7 @@ def run_full_load(spark: SparkSession, raw: DataFrame, root: str, valid_date: st
             lambda: zones.idx.replace("group_signature", B.category_signatures(groups, codes), load_id)])      # B5
 
     with step("fact"):
-        igroups = incident_groups_full(stg["fact_incident"], groups, isig)
+        igroups = laid_groups(incident_groups_full(stg["fact_incident"], groups, isig), stg, zones, load_id, laid)
         unmatched = Observation(f"unmatched-{load_id}")
         prod.replace("fact_incident", build_fact(stg["fact_incident"], prod.tables(), igroups, sizes=prod.sizes(),
                                                  unmatched=unmatched), load_id)                                # G1

@@ -6,22 +6,31 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from starloom.operators import bridge as B
 from starloom.operators import dims as D
+from starloom.operators.colocate import Buckets, buckets
 from starloom.operators.fact import build_fact, incident_groups_incremental
 from starloom.operators.scd import scd_apply
-from starloom.plans.full_load import Zones, land_cleansed, load_staging, write_unmatched
+from starloom.plans.full_load import Zones, laid_groups, land_cleansed, load_staging, write_unmatched
 from starloom.plans.steps import run_concurrently, step
 from starloom.sources.zones import change_window
 
 
 def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str, load_id: str,
                     since: str | None = None, fact_mode: str = "append",
-                    max_bytes: int | None = None, max_rows: int | None = None) -> Zones:
+                    max_bytes: int | None = None, max_rows: int | None = None, colocate: bool = False) -> Zones:
     """S6 -> S9 -> C -> P -> D3/D8 -> B6-B8 -> G2.
 
     ``fact_mode="append"`` keeps earlier rows of re-sent incidents (the
     reference behaviour, Q11); ``"replace"`` drops earlier rows of the
     incoming incident ids, writing only the loads again that hold some.
+    ``colocate`` stages the fact in buckets, as in the full load.
     """
+    if colocate:
+        with buckets(spark) as laid:
+            return _incremental(spark, raw, root, as_of, load_id, since, fact_mode, max_bytes, max_rows, laid)
+    return _incremental(spark, raw, root, as_of, load_id, since, fact_mode, max_bytes, max_rows, None)
+
+
+def _incremental(spark, raw, root, as_of, load_id, since, fact_mode, max_bytes, max_rows, laid: Buckets | None) -> Zones:
     zones = Zones.open(spark, root)
     if zones.prod.has_load("fact_incident", load_id):           # a retried batch is a no-op
         return zones
@@ -30,7 +39,7 @@ def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str,
     with step("clean"):
         clean = land_cleansed(spark, raw, zones, load_id, None, max_bytes, max_rows)
     with step("staging"):
-        stg = load_staging(clean, zones, load_id)
+        stg = load_staging(clean, zones, load_id, laid)
     prod = zones.prod
 
     def dim(name, spec):                                        # D3
@@ -57,6 +66,7 @@ def run_incremental(spark: SparkSession, raw: DataFrame, root: str, as_of: str,
         groups = incident_groups_incremental(stg["fact_incident"], prod.read("dim_category"),
                                              zones.idx.read("group_signature"), zones.idx.byte_size("group_signature"),
                                              incoming)
+        groups = laid_groups(groups, stg, zones, load_id, laid)
         unmatched = Observation(f"unmatched-{load_id}")
         fact = build_fact(stg["fact_incident"], prod.tables(), groups, sizes=prod.sizes(), unmatched=unmatched)  # G2
         if fact_mode == "replace":

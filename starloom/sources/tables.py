@@ -256,12 +256,16 @@ class Warehouse:
         return {t: self.read(t) for t in self.schemas}
 
     # -- writes ----------------------------------------------------------------
-    def _write(self, table: str, df: DataFrame, load_id: str) -> Attempt:
+    def _write(self, table: str, df: DataFrame, load_id: str, write=None) -> Attempt:
+        """One new partition; ``write(rows, path)`` may lay it out in its own way (with more columns)."""
         obs, attempt = Observation(), uuid.uuid4().hex[:12]
-        out = conform(df, self.schemas[table])
+        out = conform(df, self.schemas[table]) if write is None else df
         made = Attempt(self.zone, table, load_id, attempt, 0, 0)
-        (out.observe(obs, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(out)), F.lit(0)).alias("b"))
-         .write.mode("errorifexists").parquet(self._path(made)))
+        out = out.observe(obs, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(out)), F.lit(0)).alias("b"))
+        if write is None:
+            out.write.mode("errorifexists").parquet(self._path(made))
+        else:
+            write(out, self._path(made))
         return Attempt(self.zone, table, load_id, attempt, int(obs.get["n"]), int(obs.get["b"]))
 
     def append(self, table: str, df: DataFrame, load_id: str) -> None:
@@ -273,9 +277,9 @@ class Warehouse:
             with self.commits.lock:
                 self.commits.appended.append(made)
 
-    def replace(self, table: str, df: DataFrame, load_id: str) -> None:
+    def replace(self, table: str, df: DataFrame, load_id: str, write=None) -> None:
         """Truncate the table and load."""
-        made = self._write(table, df, load_id)
+        made = self._write(table, df, load_id, write)
         self._forget(table)
         self.commits.replaced[self.zone, table] = [made]
 
