@@ -11,10 +11,13 @@ the bridge's rows only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import assign_ids, max_id
+from starloom.operators.keys import assign_ids, checked_broadcast, max_id
+
+#: Partitions of the signature index, by a prefix of the signature's hash.
+PREFIXES = 64
 
 
 def group_signature(df: DataFrame, by: str, member: str, out: str = "signature") -> DataFrame:
@@ -97,6 +100,28 @@ def incoming_signatures(stg_fact: DataFrame, dim_category: DataFrame) -> DataFra
                            "incident_id", "category_id", "category_id_group")
 
 
+def signature_prefix(sig="category_id_group") -> Column:
+    return F.pmod(F.xxhash64(sig), F.lit(PREFIXES)).cast("int")
+
+
+def write_by_prefix(rows: DataFrame, path: str) -> None:
+    """Index rows in a folder for each prefix, one file each (a prefix of many rows is split by size)."""
+    out = rows.withColumn("prefix", signature_prefix())
+    out.hint("rebalance", "prefix").write.partitionBy("prefix").parquet(path)
+
+
+def known_groups(index: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The index rows of the batch's signatures.
+
+    ``index`` is partitioned by ``prefix``: only the partitions of the batch's
+    own prefixes (at most ``PREFIXES`` rows, broadcast) are opened.
+    """
+    wanted = incoming.select("category_id_group").distinct()
+    prefixes = wanted.select(signature_prefix().alias("prefix")).filter(F.col("prefix") >= 0).distinct()
+    near = index.join(F.broadcast(prefixes), "prefix", "left_semi")
+    return near.join(checked_broadcast(wanted), "category_id_group", "left_semi").select("category_group_id", "category_id_group")
+
+
 def new_groups(signatures: DataFrame, incoming: DataFrame, start=None) -> DataFrame:
     """Signatures not yet known (Q2), numbered after the current maximum (Q3).
 

@@ -17,7 +17,7 @@ from starloom.operators.clean import clean_observed
 from starloom.operators.colocate import Buckets, buckets, hot_incidents, per_salt, salted
 from starloom.operators.fact import build_fact, incident_groups_full
 from starloom.operators.staging import stage_all
-from starloom.schemas import INDEX_SCHEMAS, PROD_SCHEMAS, STG_SCHEMAS
+from starloom.schemas import INDEX_PARTITIONS, INDEX_SCHEMAS, PROD_SCHEMAS, STG_SCHEMAS
 from starloom.plans.steps import run_concurrently, step
 from starloom.session import scratch_path
 from starloom.sources.tables import Commits, Warehouse, conform, retain
@@ -41,7 +41,7 @@ class Zones:
     def _with(cls, spark: SparkSession, root: str, m: Commits) -> "Zones":
         return cls(root, Warehouse(spark, f"{root}/stg", STG_SCHEMAS, m, "stg"),
                    Warehouse(spark, f"{root}/prod", PROD_SCHEMAS, m, "prod"),
-                   Warehouse(spark, f"{root}/idx", INDEX_SCHEMAS, m, "idx"), m)
+                   Warehouse(spark, f"{root}/idx", INDEX_SCHEMAS, m, "idx", inner=INDEX_PARTITIONS), m)
 
     def commit(self) -> None:
         self.commits.commit()
@@ -165,7 +165,8 @@ def _full_load(spark, raw, root, valid_date, load_id, fresh, from_date, max_byte
         run_concurrently([
             lambda: prod.replace("br_category_group", B.bridge_full_load(groups, codes), load_id),             # B3
             lambda: prod.replace("dim_category_group", groups.select(F.col("group_id").alias("category_group_id")), load_id),  # B4
-            lambda: zones.idx.replace("group_signature", B.category_signatures(groups, codes), load_id)])      # B5
+            lambda: zones.idx.replace("group_signature", B.category_signatures(groups, codes), load_id,
+                                      B.write_by_prefix)])                                                     # B5
 
     with step("fact"):
         igroups = laid_groups(incident_groups_full(stg["fact_incident"], groups, isig), stg, zones, load_id, laid)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.operators import bridge as B
 from starloom.operators import dims as D
@@ -54,18 +55,20 @@ def _incremental(spark, raw, root, as_of, load_id, since, fact_mode, max_bytes,
 
     with step("bridge"):
         incoming = B.incoming_signatures(stg["fact_incident"], prod.read("dim_category")).checkpoint()   # B6
-        numbered = B.new_groups(zones.idx.read("group_signature"), incoming)                             # B7
+        # The batch's groups that exist are looked up in the index's own partitions; ids are dense, so the
+        # largest is the number of rows, which the commits know.
+        known = B.known_groups(zones.idx.read_inner("group_signature"), incoming).checkpoint()
+        numbered = B.new_groups(known, incoming, F.lit(zones.idx.row_count("group_signature")))          # B7
         # The new group ids are exactly the ones numbered here (Q4), so
         # the group dimension needs no pass over the bridge.
         run_concurrently([
             lambda: prod.append("br_category_group", B.bridge_rows(numbered), load_id),
             lambda: prod.append("dim_category_group", numbered.select("category_group_id"), load_id),
-            lambda: zones.idx.append("group_signature", numbered, load_id)])
+            lambda: zones.idx.append("group_signature", numbered, load_id, B.write_by_prefix)])
 
     with step("fact"):
-        groups = incident_groups_incremental(stg["fact_incident"], prod.read("dim_category"),
-                                             zones.idx.read("group_signature"), zones.idx.byte_size("group_signature"),
-                                             incoming)
+        groups = incident_groups_incremental(stg["fact_incident"], prod.read("dim_category"), known.unionByName(numbered),
+                                             incoming=incoming)
         groups = laid_groups(groups, stg, zones, load_id, laid)
         unmatched = Observation(f"unmatched-{load_id}")
         fact = build_fact(stg["fact_incident"], prod.tables(), groups, sizes=prod.sizes(), unmatched=unmatched)  # G2

@@ -64,6 +64,9 @@ INDEX_SCHEMAS: dict[str, T.StructType] = {
     "group_signature": _schema("category_group_id bigint, category_id_group string"),
 }
 
+# Partition column inside the attempts of an index table: a hash prefix of the signature.
+INDEX_PARTITIONS = {"group_signature": "prefix"}
+
 # Column defaults of the versioned dimensions (K2).
 FULL_LOAD_EFF_DATE = "1970-01-01"
 OPEN_END_DATE = "2999-12-31"

@@ -169,7 +169,10 @@ class Warehouse:
     """The tables of one zone."""
 
     def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType],
-                 commits: Commits | None = None, zone: str = "default", fresh: bool = False):
+                 commits: Commits | None = None, zone: str = "default", fresh: bool = False,
+                 inner: dict[str, str] | None = None):
+        """``inner``: tables whose attempts are partitioned further by an integer column that is not part of their schema."""
+        self.inner = inner or {}
         self.spark, self.root, self.schemas, self.zone = spark, root.rstrip("/"), schemas, zone
         self.commits = commits or Commits(spark, root, fresh)
 
@@ -214,12 +217,16 @@ class Warehouse:
         return {t: self.byte_size(t) for t in self.schemas}
 
     # -- reads -----------------------------------------------------------------
+    def _stored_schema(self, table: str) -> T.StructType:
+        inner = [T.StructField(self.inner[table], T.IntegerType())] if table in self.inner else []
+        return T.StructType(self.schemas[table].fields + [T.StructField(c, T.StringType()) for c in PARTITION] + inner)
+
     def _path(self, a: Attempt) -> str:
         return f"{self.root}/{a.table}/load_id={_in_path(a.load_id)}/attempt={a.attempt}"
 
     def _attempts(self, table: str, attempts: list[Attempt], extra: list[str]) -> DataFrame:
         """The rows of attempts that this load wrote itself."""
-        schema = T.StructType(self.schemas[table].fields + [T.StructField(c, T.StringType()) for c in PARTITION])
+        schema = self._stored_schema(table)
         if not attempts:
             return self.spark.createDataFrame([], schema).select(*self.schemas[table].fieldNames(), *extra)
         read = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}")
@@ -237,7 +244,7 @@ class Warehouse:
             live = live.filter(~F.col("load_id").isin([a.load_id for a in self._written(table)]))
         if load_id is not None:
             live = live.filter(F.col("load_id") == load_id)
-        schema = T.StructType(self.schemas[table].fields + [T.StructField(c, T.StringType()) for c in PARTITION])
+        schema = self._stored_schema(table)
         rows = self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
         if load_id is not None:
             rows = rows.filter(F.col("load_id") == load_id)
@@ -248,6 +255,10 @@ class Warehouse:
     def read(self, table: str) -> DataFrame:
         return self._rows(table)
 
+    def read_inner(self, table: str) -> DataFrame:
+        """The table with its inner partition column."""
+        return self._rows(table, extra=[self.inner[table]])
+
     def read_load(self, table: str, load_id: str) -> DataFrame:
         """Only the rows one load added to the table."""
         return self._rows(table, load_id)
@@ -259,7 +270,7 @@ class Warehouse:
     def _write(self, table: str, df: DataFrame, load_id: str, write=None) -> Attempt:
         """One new partition; ``write(rows, path)`` may lay it out in its own way (with more columns)."""
         obs, attempt = Observation(), uuid.uuid4().hex[:12]
-        out = conform(df, self.schemas[table]) if write is None else df
+        out = conform(df, self.schemas[table]) if write is None or table in self.inner else df
         made = Attempt(self.zone, table, load_id, attempt, 0, 0)
         out = out.observe(obs, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(out)), F.lit(0)).alias("b"))
         if write is None:
@@ -268,9 +279,9 @@ class Warehouse:
             write(out, self._path(made))
         return Attempt(self.zone, table, load_id, attempt, int(obs.get["n"]), int(obs.get["b"]))
 
-    def append(self, table: str, df: DataFrame, load_id: str) -> None:
+    def append(self, table: str, df: DataFrame, load_id: str, write=None) -> None:
         """Add a load's rows (rerunning the same ``load_id`` replaces them)."""
-        made, kept = self._write(table, df, load_id), self.commits.replaced.get((self.zone, table))
+        made, kept = self._write(table, df, load_id, write), self.commits.replaced.get((self.zone, table))
         if isinstance(kept, list):
             self.commits.replaced[self.zone, table] = [a for a in kept if a.load_id != load_id] + [made]
         else:

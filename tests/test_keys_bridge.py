@@ -53,3 +53,36 @@ def test_bridge_insert_new_and_group_dim(spark):
     assert added == [(3, 1), (4, 3), (4, 6)]                      # only unseen groups (Q2), after max id
     gdim = spark.createDataFrame([], "category_group_id bigint")   # empty group dim still filled (Q4)
     assert sorted(r.category_group_id for r in B.group_dim_insert_new(gdim, bridge).collect()) == [1, 2]
+
+
+def test_known_groups_open_only_the_prefixes_of_the_batch(spark, scratch):
+    from starloom.operators import bridge as B
+    rows = spark.range(1, 2001).selectExpr("id category_group_id", "concat(id, ',', id + 1) category_id_group")
+    path = scratch("index")
+    B.write_by_prefix(rows, path)
+    index = spark.read.schema("category_group_id bigint, category_id_group string, prefix int").parquet(path)
+    batch = spark.createDataFrame([(1, "5,6"), (2, "5,6"), (3, "9,9"), (4, "1000,1001")], "incident_id bigint, category_id_group string")
+    known = B.known_groups(index, batch)
+    assert "dynamicpruning" in known._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, known.collect())) == [(5, "5,6"), (1000, "1000,1001")]
+    new = B.new_groups(known, batch, F.lit(2000)).collect()
+    assert [tuple(r) for r in new] == [(2001, "9,9")]
+    scanned = spark.read.parquet(path).filter(F.col("prefix").isin([r[0] for r in batch.select(B.signature_prefix()).distinct().collect()]))
+    assert scanned.count() < 400
+
+
+def test_batches_look_up_what_earlier_ones_numbered(spark, scratch):
+    from conftest import SF001
+    from starloom.plans.full_load import run_full_load
+    from starloom.plans.incremental import run_incremental
+    from starloom.sources.adapter import raw_incidents
+    raw, root = raw_incidents(spark, SF001), scratch("idx")
+    third = F.col("incident_id") % 3
+    run_full_load(spark, raw.filter(third == 0), root)
+    for i, day in ((1, "2000-01-01"), (2, "2000-01-02")):
+        z = run_incremental(spark, raw.filter((third == i) | (F.col("incident_id") % 12 == 0)), root, as_of=day, load_id=f"d{i}")
+    idx = z.idx.read("group_signature")
+    n = idx.count()
+    assert idx.select("category_id_group").distinct().count() == n == z.idx.row_count("group_signature")
+    assert sorted(r[0] for r in idx.select("category_group_id").collect()) == list(range(1, n + 1))
+    assert z.prod.read("dim_category_group").count() == n
