@@ -34,35 +34,72 @@ TEXT_BYTES = 2 << 20
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 ESCAPE = 15
 _STEP = np.array([1, *COUNTS, 1], np.uint8)
+#: Bit lengths of numbers of 16 bits; doublings of the steps while coding.
+_SHORT = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
+JUMPS = 4
+
+
+def _bits(ids: np.ndarray) -> np.ndarray:
+    """The bit length of every id."""
+    out = _SHORT[np.minimum(ids, np.uint64(0xFFFF)).astype(np.int64)]
+    wide = np.flatnonzero(ids > np.uint64(0xFFFF))
+    for i in range(1, 4) if len(wide) else ():
+        part = ids[wide] >> np.uint64(16 * i)
+        higher = part > 0
+        out[wide[higher]] = _SHORT[np.minimum(part[higher], np.uint64(0xFFFF)).astype(np.int64)] + 16 * i
+    return out
+
+
+def _followed(step: np.ndarray, n: int) -> np.ndarray:
+    """The places 0, step[0], ... below ``n``, each found from the one before it.
+
+    Steps are doubled a few times, so that only every ``2 ** JUMPS``-th place is
+    found one after another.
+    """
+    jump = np.full(n + 1, n, np.int64)
+    np.minimum(np.arange(n) + step, n, out=jump[:n])
+    jumps = [jump]
+    for _ in range(JUMPS):
+        jumps.append(jumps[-1][jumps[-1]])
+    far, places, i = jumps.pop().item, [], 0
+    while i < n:
+        places.append(i)
+        i = far(i)
+    places = np.array(places, np.int64)
+    for jump in reversed(jumps):
+        both = np.empty(2 * len(places), np.int64)
+        both[::2], both[1::2] = places, jump[places]
+        places = both
+    return places[places < n]
 
 
 def encode(ids: np.ndarray) -> tuple[np.ndarray, int]:
     """The coded words of ``ids`` followed by the escaped values, and the number of these."""
     n = len(ids)
     ids = np.concatenate((ids.astype(np.uint64), np.zeros(60, np.uint64)))      # zeros fill the last word
-    big = np.flatnonzero(ids >> np.uint64(60))
-    choice = np.full(n, len(COUNTS), np.uint8)
-    for selector in range(len(COUNTS) - 1, 0, -1):
-        count = COUNTS[selector - 1]
-        fits = np.flatnonzero(ids < np.uint64(1 << 60 // count))
-        run = fits[:len(fits) - count + 1]
-        run = run[fits[count - 1:] - run == count - 1]
-        choice[run[run < n]] = selector
+    bits = _bits(ids)
+    big = np.flatnonzero(bits > 60)
+    # The widest id among the next ``count``, from windows of half that length.
+    choice, widest = np.full(n, len(COUNTS), np.uint8), {1: bits}
+    for count in COUNTS[::-1]:
+        if count not in widest:
+            half = max(c for c in widest if 2 * c >= count)
+            widest[count] = np.maximum(widest[half][:n + 60 - count + 1], widest[half][count - half:][:n + 60 - count + 1])
+        selector = COUNTS.index(count) + 1
+        np.putmask(choice, widest[count][:n] <= 60 // count, selector)
     escapes = ids[big]
     choice[big] = ESCAPE
     ids[big] = np.arange(len(big))
-    step, starts, i = _STEP[choice].tolist(), [], 0
-    while i < n:
-        starts.append(i)
-        i += step[i]
-    starts = np.array(starts, np.int64)
+    starts = _followed(_STEP[choice], n)
     chosen = choice[starts] if n else choice
     words = chosen.astype(np.uint64) << np.uint64(60)
     for selector in np.unique(chosen).tolist():
         count = int(_STEP[selector])
-        shift = np.arange(count, dtype=np.uint64) * np.uint64(60 // count)
         at = np.flatnonzero(chosen == selector)
-        words[at] |= np.bitwise_or.reduce(ids[starts[at][:, None] + np.arange(count)] << shift, axis=1)
+        first, word = starts[at], words[at]
+        for k in range(count):
+            word |= ids[first + k] << np.uint64(60 // count * k)
+        words[at] = word
     return np.concatenate((words, escapes)), len(escapes)
 
 
