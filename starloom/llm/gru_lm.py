@@ -7,10 +7,10 @@ the group's probability times its smoothed share of the group's count, so every
 Output is a softmax over ``CLASSES`` classes times one within the class.
 
 Training: truncated backpropagation (windows of ``SPAN`` tokens, state carried over) with Adam on all
-training documents.  Their token ids are stored, dealt to tasks by hash; tasks of about ``TASK_TOKENS``
-tokens (beyond ``TASKS`` tasks, more tokens each) train in parallel from common weights, one slice of
-``SLICE_TOKENS`` after another.  Each of ``ROUNDS`` rounds passes over every training document, then an
-aggregate averages the weights and Adam's moments.  Scoring carries the state across windows from a
+training documents.  Their token ids are stored, dealt to files of about ``TASK_TOKENS`` tokens and to ``ROUNDS``
+rounds by hash.  In each round tasks train in parallel from common weights on the round's documents, one slice
+of ``SLICE_TOKENS`` after another, then an aggregate averages the weights and Adam's moments; after the last
+round every training document has been trained on once.  Scoring carries the state across windows from a
 document's first token to its end; documents run side by side in lanes.
 
 Counts of the ``HEAD`` most frequent words at most are broadcast; all other tokens find their counts by a
@@ -40,8 +40,8 @@ CLASSES, PER_CLASS = 64, 64
 TAILS = 256
 MODEL_WORDS = CLASSES * PER_CLASS - TAILS - 1       # and the end token
 HIDDEN, EMBED = 16, 16
-SPAN, LANES = 32, 48
-TASK_TOKENS, TASKS, ROUNDS = 500_000, 64, 2
+SPAN, LANES = 32, 96
+TASK_TOKENS, ROUNDS = 500_000, 6
 SLICE_TOKENS = 1_000_000        # tokens that a training task holds at once
 SCORE_SPAN, SCORE_LANES, SCORE_BYTES = 64, 256, 6 << 20
 END = np.uint64(1)                                  # the end token's place among word hashes
@@ -431,10 +431,11 @@ def fit(texts: DataFrame, words: Vocabulary, weight: np.ndarray) -> np.ndarray:
     if not words.n:
         return flat
     spark = texts.sparkSession
-    tasks = min(TASKS, max(2, round(words.n / TASK_TOKENS)))
+    tasks = max(2, round(words.n / TASK_TOKENS))
     ids = token_ids(texts, spark.sparkContext.broadcast(words))
-    dealt = stored(ids.repartition(tasks, "order").sortWithinPartitions("order").select("tokens"), "gru-tokens")
-    share = words.n / tasks                         # expected tokens of a task
+    turn = F.pmod(F.xxhash64(F.lit(6), "order"), F.lit(ROUNDS)).alias("turn")
+    dealt = stored(ids.repartition(tasks, "order").sortWithinPartitions("order").select("tokens", turn), "gru-tokens")
+    share = words.n / ROUNDS / max(1, dealt.rdd.getNumPartitions())         # expected tokens of a task in a round
     adam = Adam(np.zeros_like(flat), np.zeros_like(flat))
     for k in range(ROUNDS):
         now = spark.sparkContext.broadcast((flat, adam, k))
@@ -453,7 +454,7 @@ def fit(texts: DataFrame, words: Vocabulary, weight: np.ndarray) -> np.ndarray:
                     [pa.array(np.arange(size, dtype=np.int32)), *[pa.array(x.astype(np.float64) * n) for x in (flat, adam.m, adam.v)],
                      pa.array(np.full(size, float(n))), pa.array(np.full(size, adam.step, np.int32))], names=["i", "x", "m", "v", "n", "step"])
 
-        got = dealt.mapInArrow(run, "i int, x double, m double, v double, n double, step int").groupBy("i").agg(
+        got = dealt.filter(F.col("turn") == k).select("tokens").mapInArrow(run, "i int, x double, m double, v double, n double, step int").groupBy("i").agg(
             *[(F.sum(c) / F.sum("n")).alias(c) for c in ("x", "m", "v")], F.max("step").alias("step")).toArrow()    # N_WEIGHTS rows
         at = got.column("i").to_numpy()
         flat, m, v = (np.zeros(N_WEIGHTS, np.float32) for _ in range(3))
