@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from starloom.operators.clean import RAW_COLUMNS
 from starloom.plans.incremental import run_incremental
 from starloom.sources.json_arrays import SOURCE, parse_lines
+from starloom.sources.tables import _folder
 
 RAW_STREAM_COLUMNS = RAW_COLUMNS + ["created_at", "updated_at"]
 
@@ -44,20 +45,29 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
+def batch_date(spark: SparkSession, root: str, load_id: str, today: str) -> str:
+    """The date a batch is versioned with: written under ``batch_dates`` before its first attempt, read by every later one."""
+    path = f"{root.rstrip('/')}/batch_dates/load_id={load_id}"
+    known = spark.read.schema("as_of string").parquet(path).first() if _folder(spark, path) else None
+    if known:
+        return known["as_of"]
+    spark.createDataFrame([(today,)], "as_of string").coalesce(1).write.mode("overwrite").parquet(path)
+    return today
+
+
 def run_micro_batches(spark: SparkSession, landing: str, root: str, checkpoint: str,
                       as_of=None, multi_line: bool = False, files_per_batch: int | None = None,
                       bytes_per_batch: str | None = None) -> None:
     """Process every file present in ``landing`` and stop.
 
     ``as_of`` is a date or a callable of the batch id; by default the date on
-    which the run starts.  A batch that is replayed after midnight must be
-    given its own date to be versioned alike.
+    which the batch was first tried, so a replay after midnight versions alike.
     """
     today = _dt.date.today().isoformat()
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        d = as_of(batch_id) if callable(as_of) else (as_of or today)
         load_id = f"stream-{query_id(spark, checkpoint)}-{batch_id}"
+        d = as_of(batch_id) if callable(as_of) else as_of or batch_date(batch.sparkSession, root, load_id, today)
         run_incremental(batch.sparkSession, batch, root, as_of=str(d), load_id=load_id)
 
     q = (raw_stream(spark, landing, multi_line, files_per_batch, bytes_per_batch).writeStream

@@ -138,3 +138,11 @@ def test_empty_batch_and_replace_mode(spark, scratch):
     # a retry of the earlier load id stays a no-op after the replace started a new fact version
     again = run_incremental(spark, resent, root, as_of="2001-01-02", load_id="empty")
     assert again.prod.read("fact_incident").count() == before["fact_incident"]
+
+
+def test_a_replayed_batch_keeps_its_date(spark, scratch):
+    from starloom.streaming.micro_batch import batch_date
+    root = scratch("dates")
+    assert batch_date(spark, root, "stream-a-0", "2022-01-01") == "2022-01-01"
+    assert batch_date(spark, root, "stream-a-0", "2022-01-02") == "2022-01-01"      # replayed after midnight
+    assert batch_date(spark, root, "stream-a-1", "2022-01-02") == "2022-01-02"
