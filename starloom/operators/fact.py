@@ -14,29 +14,23 @@ from pyspark.sql import functions as F
 
 from starloom.operators.bridge import group_signature, incoming_signatures
 from starloom.operators.colocate import SALT
-from starloom.operators.keys import checked_broadcast
+from starloom.operators.keys import checked_broadcast, dimension_join
 
 FACT_COLUMNS = ["category_group_id", "resolution_id", "incident_date", "incident_time", "report_date",
                 "report_time", "intersection_id", "police_district_id", "incident_id"]
 
 
-def _lookups(dims: dict[str, DataFrame], current_only: bool = True,
-             sizes: dict[str, int] | None = None) -> dict[str, DataFrame]:
-    """Key -> id lookups, broadcast when their (known or counted) size is small."""
-    sizes = sizes or {}
-    inter = dims["dim_intersection"]
-    if current_only:
-        inter = inter.filter(F.col("current_flag") == 1)
-
-    def bc(name, df):
-        return checked_broadcast(df, sizes.get(name))
-    return {
-        "res": bc("dim_resolution", dims["dim_resolution"].select("resolution", "resolution_id")),
-        "date": bc("dim_date", dims["dim_date"].select("full_date", "date_id")),
-        "time": bc("dim_time", dims["dim_time"].select("full_time", "time_id")),
-        "inter": bc("dim_intersection", inter.select("cnn", "intersection_id")),
-        "pd": bc("dim_police_district", dims["dim_police_district"].select("police_district", "police_district_id")),
-    }
+# dimension -> staged key column, lookup table, its key, its id, and the name the id gets in the fact
+LOOKUPS = {
+    "resolution": ("stg_resolution", "dim_resolution", "resolution", "resolution_id", "resolution_id"),
+    "incident_date": ("stg_incident_date", "dim_date", "full_date", "date_id", "incident_date"),
+    "incident_time": ("stg_incident_time", "dim_time", "full_time", "time_id", "incident_time"),
+    "report_date": ("stg_report_date", "dim_date", "full_date", "date_id", "report_date"),
+    "report_time": ("stg_report_time", "dim_time", "full_time", "time_id", "report_time"),
+    "intersection": ("stg_cnn", "dim_intersection", "cnn", "intersection_id", "intersection_id"),
+    "police_district": ("stg_police_district", "dim_police_district", "police_district", "police_district_id",
+                        "police_district_id"),
+}
 
 
 def resolve_dimension_keys(stg_fact: DataFrame, dims: dict[str, DataFrame],
@@ -44,24 +38,20 @@ def resolve_dimension_keys(stg_fact: DataFrame, dims: dict[str, DataFrame],
                            how: str = "inner", extra: list[str] = []) -> DataFrame:
     """Staged rows with the seven dimension keys (inner joins, Q15;
     ``how="left"`` keeps rows that do not resolve, with NULL ids) and the
-    ``extra`` columns of the staged fact."""
-    lk = _lookups(dims, current_only, sizes)
-    f = stg_fact.alias("f")
-    d1, d2 = lk["date"].alias("d1"), lk["date"].alias("d2")
-    t1, t2 = lk["time"].alias("t1"), lk["time"].alias("t2")
-    j = (f.join(lk["res"].alias("r"), F.col("f.stg_resolution") == F.col("r.resolution"), how)
-         .join(d1, F.col("f.stg_incident_date") == F.col("d1.full_date"), how)
-         .join(t1, F.col("f.stg_incident_time") == F.col("t1.full_time"), how)
-         .join(d2, F.col("f.stg_report_date") == F.col("d2.full_date"), how)
-         .join(t2, F.col("f.stg_report_time") == F.col("t2.full_time"), how)
-         .join(lk["inter"].alias("i"), F.col("f.stg_cnn") == F.col("i.cnn"), how)
-         .join(lk["pd"].alias("p"), F.col("f.stg_police_district") == F.col("p.police_district"), how))
-    return j.select(
-        F.col("r.resolution_id"), F.col("d1.date_id").alias("incident_date"),
-        F.col("t1.time_id").alias("incident_time"), F.col("d2.date_id").alias("report_date"),
-        F.col("t2.time_id").alias("report_time"), F.col("i.intersection_id"),
-        F.col("p.police_district_id"), F.col("f.stg_incident_id").alias("incident_id"),
-        *[F.col(f"f.{c}") for c in extra])
+    ``extra`` columns of the staged fact.
+
+    Every lookup is broadcast when its (known or measured) bytes allow it; beyond that
+    only the rows of its rarer keys are shuffled (``dimension_join``).
+    """
+    j = stg_fact
+    for key, table, natural, surrogate, out in LOOKUPS.values():
+        dim = dims[table]
+        if table == "dim_intersection" and current_only:
+            dim = dim.filter(F.col("current_flag") == 1)
+        lookup = dim.select(F.col(natural).alias("_key"), F.col(surrogate).alias(out))
+        j = dimension_join(j, key, lookup, "_key", how, (sizes or {}).get(table), stg_fact)
+    return j.select("resolution_id", "incident_date", "incident_time", "report_date", "report_time", "intersection_id",
+                    "police_district_id", F.col("stg_incident_id").alias("incident_id"), *extra)
 
 
 def incident_groups_full(stg_fact: DataFrame, groups: DataFrame,
@@ -130,25 +120,8 @@ def fact_unmatched(stg_fact: DataFrame, dims: dict[str, DataFrame],
 
     One pass: left joins to every lookup, then conditional counts.
     """
-    lk = _lookups(dims, True, sizes)
-    f = stg_fact.alias("f")
-    checks = {
-        "resolution": (lk["res"].alias("r"), F.col("f.stg_resolution") == F.col("r.resolution"), "r.resolution_id"),
-        "incident_date": (lk["date"].alias("d1"), F.col("f.stg_incident_date") == F.col("d1.full_date"), "d1.date_id"),
-        "incident_time": (lk["time"].alias("t1"), F.col("f.stg_incident_time") == F.col("t1.full_time"), "t1.time_id"),
-        "report_date": (lk["date"].alias("d2"), F.col("f.stg_report_date") == F.col("d2.full_date"), "d2.date_id"),
-        "report_time": (lk["time"].alias("t2"), F.col("f.stg_report_time") == F.col("t2.full_time"), "t2.time_id"),
-        "intersection": (lk["inter"].alias("i"), F.col("f.stg_cnn") == F.col("i.cnn"), "i.intersection_id"),
-        "police_district": (lk["pd"].alias("p"), F.col("f.stg_police_district") == F.col("p.police_district"),
-                            "p.police_district_id"),
-    }
-    j = f
-    for d, cond, _ in checks.values():
-        j = j.join(d, cond, "left")
-    j = j.join(incident_groups.alias("g"), F.col("f.stg_incident_id") == F.col("g.incident_id"), "left")
-    counts = [F.count_if(F.col(idc).isNull()).alias(name) for name, (_, _, idc) in checks.items()]
-    counts.append(F.count_if(F.col("g.category_group_id").isNull()).alias("category_group"))
-    names = list(checks) + ["category_group"]
-    agg = j.agg(*counts)
-    stack = "stack({}, {})".format(len(names), ", ".join(f"'{n}', `{n}`" for n in names))
+    keyed = resolve_dimension_keys(stg_fact, dims, True, sizes, "left").alias("f")
+    j = keyed.join(incident_groups.alias("g"), F.col("f.incident_id") == F.col("g.incident_id"), "left")
+    agg = j.agg(*[F.count_if(F.col(c).isNull()).alias(name) for name, c in KEY_COLUMNS.items()])
+    stack = "stack({}, {})".format(len(KEY_COLUMNS), ", ".join(f"'{n}', `{n}`" for n in KEY_COLUMNS))
     return agg.selectExpr(f"{stack} as (dimension, n_unmatched)")

@@ -1,4 +1,4 @@
-"""Surrogate keys (K1), defaults (K2) and size-checked broadcast (K3)."""
+"""Surrogate keys (K1), defaults (K2), size-checked broadcast and the hybrid join beyond it (K3)."""
 
 from __future__ import annotations
 
@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 # its measured bytes are at most this; otherwise the planner decides.
 BROADCAST_MAX_BYTES = 64 << 20
 
+# A key is hot when it alone holds more than 1 / (HOT_FACTOR * shuffle partitions) of the rows, so there
+# are fewer than HOT_FACTOR * partitions hot keys whatever the data's size.
+HOT_FACTOR = 4
+
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 
 
@@ -84,3 +88,43 @@ def checked_broadcast(df: DataFrame, n_bytes: int | None = None,
     if n_bytes is None:
         n_bytes = df.agg(F.sum(row_bytes(df))).first()[0] or 0
     return F.broadcast(df) if n_bytes <= max_bytes else df
+
+
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """(``key``) of the keys that hold more than their share of the rows; at most ``HOT_FACTOR`` times
+    the shuffle partitions, checkpointed.  Null is never among them."""
+    from starloom.session import scratch_root
+    scratch_root(df.sparkSession)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = df.select(F.count(F.lit(1)).alias("n")).scalar()
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") * (HOT_FACTOR * parts) > total).select(key).checkpoint(eager=True)
+
+
+def dimension_join(fact: DataFrame, key: str, dim: DataFrame, dim_key: str, how: str = "inner",
+                   n_bytes: int | None = None, counted: DataFrame | None = None,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """K3: ``fact`` with the columns of ``dim`` (without ``dim_key``) where ``key`` equals ``dim_key``.
+
+    A dimension within the bound is broadcast.  A larger one is joined in two parts: rows
+    whose key is hot, and (for a left join) rows without a key, stay where they are and
+    meet the broadcast dimension rows of the hot keys; only the other rows are shuffled.
+    ``how`` is "inner" or "left".  ``counted`` (default: ``fact``) is the frame in which keys are
+    counted: the stored table that ``fact`` is derived from, to spare computing ``fact`` for it.
+    """
+    names = [c for c in dim.columns if c != dim_key]
+    side = dim.withColumnRenamed(dim_key, "_dim_key")
+    hinted = checked_broadcast(side, n_bytes, max_bytes)
+
+    def joined(rows: DataFrame, other: DataFrame) -> DataFrame:
+        return rows.join(other, rows[key] == other["_dim_key"], how).select(*[rows[c] for c in rows.columns], *names)
+
+    if hinted is not side:
+        return joined(fact, hinted)
+    hot = hot_keys(fact if counted is None else counted, key).withColumnRenamed(key, "_hot_key")
+    # A duplicated dimension key may make the hot rows many, so their bytes are checked as well.
+    few = checked_broadcast(side.join(F.broadcast(hot), F.col("_dim_key") == F.col("_hot_key"), "left_semi"), None, max_bytes)
+    marked = fact.join(F.broadcast(hot), fact[key] == F.col("_hot_key"), "left")
+    stays = F.col("_hot_key").isNotNull() | F.col(key).isNull()
+    return joined(marked.filter(stays).drop("_hot_key"), few).unionByName(
+        joined(marked.filter(~stays).drop("_hot_key"), side))

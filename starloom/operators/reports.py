@@ -4,6 +4,10 @@ A category breakdown crosses the many-to-many bridge, so incidents are
 counted with ``count(DISTINCT incident_id)`` to avoid double counting.  The
 fact is first reduced to its distinct (incident, group, report keys), so the
 bridge multiplies as few rows as possible.
+
+Subtotals merge bitmaps: distinct counts do not add up over levels, but
+bitmaps of incident numbers do (by OR), so incidents are read once, for
+the finest level, and every level above reads the one below.
 """
 
 from __future__ import annotations
@@ -11,7 +15,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import checked_broadcast
+from starloom.operators.keys import assign_ids, checked_broadcast
+from starloom.session import scratch_path
+
+# A bitmap holds 32,768 numbers in 4 KB: ids are their own numbers when at least one in so many of their
+# span occurs (then a bitmap costs no more than the ids it stands for); sparser ids are numbered densely.
+SPARSEST = 64
 
 
 def _bc(df: DataFrame, sizes: dict[str, int] | None, name: str) -> DataFrame:
@@ -73,12 +82,51 @@ def report_daily(wh: dict[str, DataFrame], day: str | None = None,
             .agg(F.count_distinct("incident_id").alias("n_incidents")))
 
 
-def report_year_rollup(wh: dict[str, DataFrame], sizes: dict[str, int] | None = None) -> DataFrame:
+def incident_numbers(fact: DataFrame, dense: bool | None = None) -> DataFrame:
+    """(incident_date, police_district_id, number): a row's incident as a number for bitmaps.
+
+    ``dense``: number the incidents 1, 2, ... by date, so that neighbours share bitmaps;
+    None: only if the ids are sparse.  The counts are the same either way.
+    """
+    f = fact.select("incident_date", "police_district_id", "incident_id")
+    if dense is None:
+        low, high, n = f.agg(F.min("incident_id"), F.max("incident_id"), F.count("incident_id")).first()
+        dense = bool(n) and (high - low + 1) > n * SPARSEST
+    if not dense:
+        return f.withColumnRenamed("incident_id", "number")
+    firsts = f.filter(F.col("incident_id").isNotNull()).groupBy("incident_id").agg(F.min("incident_date").alias("_first"))
+    ids = assign_ids(firsts, "number", ["_first", "incident_id"]).select("incident_id", "number")
+    return f.join(ids, "incident_id", "left").drop("incident_id")
+
+
+def report_year_rollup(wh: dict[str, DataFrame], sizes: dict[str, int] | None = None,
+                       dense: bool | None = None) -> DataFrame:
     """R1 with subtotals: incidents per (year, month, district), per (year,
-    month), per year and overall (NULL marks a rolled-up level)."""
+    month), per year and overall (NULL marks a rolled-up level).
+
+    The bitmaps of the finest level are stored (one row per group and 32,768 numbers);
+    each level above ORs those of the level below and is stored in turn.
+    """
     dates = wh["dim_date"].select(F.col("date_id").alias("incident_date"), "year", "month")
-    f = (wh["fact_incident"].select("incident_date", "police_district_id", "incident_id")
+    spark = dates.sparkSession
+    f = (incident_numbers(wh["fact_incident"], dense)
          .join(_bc(dates, sizes, "dim_date"), "incident_date")
          .join(_bc(wh["dim_police_district"], sizes, "dim_police_district"), "police_district_id"))
-    return (f.rollup("year", "month", "police_district")
-            .agg(F.count_distinct("incident_id").alias("n_incidents")))
+    keys = ["year", "month", "police_district"]
+    kinds = {k: f.schema[k].dataType for k in keys}
+    maps = f.groupBy(*keys, F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+    out = None
+    for level in range(len(keys), -1, -1):
+        path = scratch_path(spark, f"report-bitmaps-{level}")
+        maps.write.parquet(path)
+        maps = spark.read.schema(maps.schema).parquet(path)
+        own = keys[:level]
+        counts = maps.groupBy(*own).agg(F.sum(F.bitmap_count("bits")).alias("n_incidents"))
+        # As count(DISTINCT): the overall row is there, with 0, even for an empty fact.
+        counts = counts.select(*[F.col(k) if k in own else F.lit(None).cast(kinds[k]).alias(k) for k in keys],
+                               F.coalesce("n_incidents", F.lit(0)).cast("bigint").alias("n_incidents"))
+        out = counts if out is None else out.unionByName(counts)
+        if level:
+            maps = maps.groupBy(*keys[:level - 1], "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return out
