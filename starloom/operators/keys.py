@@ -113,18 +113,17 @@ def dimension_join(fact: DataFrame, key: str, dim: DataFrame, dim_key: str, how:
     counted: the stored table that ``fact`` is derived from, to spare computing ``fact`` for it.
     """
     names = [c for c in dim.columns if c != dim_key]
-    side = dim.withColumnRenamed(dim_key, "_dim_key")
-    hinted = checked_broadcast(side, n_bytes, max_bytes)
+    hinted = checked_broadcast(dim, n_bytes, max_bytes)
 
     def joined(rows: DataFrame, other: DataFrame) -> DataFrame:
-        return rows.join(other, rows[key] == other["_dim_key"], how).select(*[rows[c] for c in rows.columns], *names)
+        return rows.join(other, rows[key] == other[dim_key], how).select(*[rows[c] for c in rows.columns], *[other[c] for c in names])
 
-    if hinted is not side:
+    if hinted is not dim:
         return joined(fact, hinted)
     hot = hot_keys(fact if counted is None else counted, key).withColumnRenamed(key, "_hot_key")
     # A duplicated dimension key may make the hot rows many, so their bytes are checked as well.
-    few = checked_broadcast(side.join(F.broadcast(hot), F.col("_dim_key") == F.col("_hot_key"), "left_semi"), None, max_bytes)
+    few = checked_broadcast(dim.join(F.broadcast(hot), dim[dim_key] == hot["_hot_key"], "left_semi"), None, max_bytes)
     marked = fact.join(F.broadcast(hot), fact[key] == F.col("_hot_key"), "left")
     stays = F.col("_hot_key").isNotNull() | F.col(key).isNull()
     return joined(marked.filter(stays).drop("_hot_key"), few).unionByName(
-        joined(marked.filter(~stays).drop("_hot_key"), side))
+        joined(marked.filter(~stays).drop("_hot_key"), dim))
