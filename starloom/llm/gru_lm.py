@@ -6,8 +6,8 @@ and ``TAILS`` groups that share the last two bytes' hash and hold all other word
 the group's probability times its smoothed share of the group's count, so every text has a probability.
 Output is a softmax over ``CLASSES`` classes times one within the class.
 
-Training: truncated backpropagation (windows of ``SPAN`` tokens, state carried over) with Adam on all
-training documents.  Their token ids are stored, dealt to files of about ``TASK_TOKENS`` tokens and to ``ROUNDS``
+Training: truncated backpropagation (windows of ``SPAN`` tokens, state carried over within stretches of
+``STRETCH``, so that a very long text fills many lanes instead of running alone) with Adam on all training documents.  Their token ids are stored, dealt to files of about ``TASK_TOKENS`` tokens and to ``ROUNDS``
 rounds by hash.  In each round tasks train in parallel from common weights on the round's documents, one slice
 of ``SLICE_TOKENS`` after another, then an aggregate averages the weights and Adam's moments; after the last
 round every training document has been trained on once.  Scoring carries the state across windows from a
@@ -41,6 +41,7 @@ TAILS = 256
 MODEL_WORDS = CLASSES * PER_CLASS - TAILS - 1       # and the end token
 HIDDEN, EMBED = 16, 16
 SPAN, LANES = 32, 96
+STRETCH = 512                   # tokens over which training carries the state (scoring: the whole text)
 TASK_TOKENS, ROUNDS = 500_000, 6
 SLICE_TOKENS = 1_000_000        # tokens that a training task holds at once
 SCORE_SPAN, SCORE_LANES, SCORE_BYTES = 64, 256, 6 << 20
@@ -140,13 +141,15 @@ def _sigmoid(x):
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _softmax_at(logits: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-probability at ``at`` and all probabilities (in place)."""
-    logits -= logits.max(axis=1, keepdims=True)
+def _softmax_at(logits: np.ndarray, at: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability at ``at`` and, if ``whole``, all probabilities (in place)."""
+    if logits.size and (logits.max() > 80 or logits.min() < -80):       # else exp can neither overflow nor vanish
+        logits -= logits.max(axis=1, keepdims=True)
     own = logits[np.arange(len(at)), at]
     np.exp(logits, out=logits)
-    total = logits.sum(axis=1)
-    logits /= total[:, None]
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
+    if whole:
+        logits *= (1 / total)[:, None]
     return own - np.log(total), logits
 
 
@@ -154,21 +157,24 @@ def log_probability(w: dict[str, np.ndarray], states: np.ndarray, tokens: np.nda
     """Natural log-probability of each token given the state before it; with ``grad``, also adds the
     gradient of their negative sum to it and returns the gradient with respect to the states."""
     cls, word = tokens // PER_CLASS, tokens % PER_CLASS
-    got, p = _softmax_at(states @ w["cls"] + w["cls_bias"], cls)
+    logits = states @ w["cls"]
+    logits += w["cls_bias"]
+    got, p = _softmax_at(logits, cls, grad is not None)
     back = None
     if grad is not None:
         p[np.arange(len(cls)), cls] -= 1
         grad["cls"] += states.T @ p
         grad["cls_bias"] += p.sum(axis=0)
         back = p @ w["cls"].T
-    order = np.argsort(cls, kind="stable")
+    order = np.argsort(cls.astype(np.int8), kind="stable")          # one byte: a radix sort
     cls, word, h = cls[order], word[order], states[order]
     cuts = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
     some = [(c, slice(i, j)) for c, (i, j) in enumerate(zip(cuts, cuts[1:])) if i < j]
-    logits = w["out_bias"][cls]
+    logits = np.empty((len(cls), PER_CLASS), np.result_type(h, w["out"]))
     for c, rows in some:
-        logits[rows] += h[rows] @ w["out"][c]
-    own, p = _softmax_at(logits, word)
+        part = np.matmul(h[rows], w["out"][c], out=logits[rows])
+        part += w["out_bias"][c]
+    own, p = _softmax_at(logits, word, grad is not None)
     got[order] += own
     if grad is not None:
         p[np.arange(len(cls)), word] -= 1
@@ -182,6 +188,14 @@ def log_probability(w: dict[str, np.ndarray], states: np.ndarray, tokens: np.nda
     return got, back
 
 
+def stretches(bounds: np.ndarray, most: int) -> np.ndarray:
+    """The bounds of texts cut into stretches of at most ``most`` tokens."""
+    size = np.diff(bounds)
+    k = np.maximum(1, -(-size // most))
+    inner = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
+    return np.append(np.repeat(bounds[:-1], k) + inner * most, bounds[-1:])
+
+
 def lanes_of(bounds: np.ndarray, lanes: int) -> list[list[int]]:
     """Texts dealt to lanes, longest first to the shortest lane; longest lane first."""
     size = np.diff(bounds)
@@ -211,11 +225,12 @@ def _laid_out(tokens: np.ndarray, bounds: np.ndarray, lanes: int):
 def score_texts(flat: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Natural log-probability of each text (its state carried over windows from first token to end)."""
     w = unpack(flat)
-    table = (w["embed"] @ w["inp"] + w["bias"]).astype(np.float32)
+    two = 2 * HIDDEN
+    half = np.where(np.arange(3 * HIDDEN) < two, 0.5, 1).astype(np.float32)       # sigmoid(x) = (tanh(x / 2) + 1) / 2
+    table, rec = ((w["embed"] @ w["inp"] + w["bias"]) * half).astype(np.float32), w["rec"] * half
     seq, start, length, fresh, owner = _laid_out(tokens, bounds, SCORE_LANES)
     out = np.zeros(len(bounds) - 1)
     h = np.zeros((len(start), HIDDEN), np.float32)
-    two = 2 * HIDDEN
     for t0 in range(0, int(length.max(initial=0)), SCORE_SPAN):
         live = int(np.searchsorted(-length, -t0, side="left"))
         steps = int(min(SCORE_SPAN, length[0] - t0))
@@ -224,16 +239,23 @@ def score_texts(flat: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> np.
         valid = np.arange(t0, t0 + steps)[:, None] < length[:live]
         place = np.where(valid, place, 0)
         tok, new = seq[place], fresh[place] & valid
+        x, any_new = table[tok], new.any(axis=1).tolist()
         hh = h[:live]
         for t in range(steps):
-            if new[t].any():
+            if any_new[t]:
                 hh = hh * ~new[t][:, None]
             states[t] = hh
-            x = table[tok[t]]
-            r = hh @ w["rec"]
-            zr = _sigmoid(x[:, :two] + r[:, :two])
-            n = np.tanh(x[:, two:] + zr[:, HIDDEN:] * r[:, two:])
-            hh = n + zr[:, :HIDDEN] * (hh - n)
+            r, xt = hh @ rec, x[t]
+            zr = r[:, :two] + xt[:, :two]
+            np.tanh(zr, out=zr)
+            zr += 1
+            zr *= 0.5
+            n = zr[:, HIDDEN:] * r[:, two:]
+            n += xt[:, two:]
+            np.tanh(n, out=n)
+            hh = hh - n
+            hh *= zr[:, :HIDDEN]
+            hh += n
         h[:live] = hh
         got, _ = log_probability(w, states[valid], tok[valid])
         out += np.bincount(owner[place[valid]], weights=got, minlength=len(out))
@@ -266,7 +288,7 @@ def train(flat: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, rate: float
     g = unpack(g_flat)
     adam = adam or Adam(np.zeros_like(flat), np.zeros_like(flat))
     m, v, a, b = adam.m, adam.v, np.empty_like(flat), np.empty_like(flat)
-    seq, start, length, fresh, _ = _laid_out(tokens, bounds, LANES)
+    seq, start, length, fresh, _ = _laid_out(tokens, stretches(bounds, STRETCH), LANES)
     h = np.zeros((len(start), HIDDEN), np.float32)
     two = 2 * HIDDEN
     total = int(length.max(initial=0))
