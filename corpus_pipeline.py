@@ -15,7 +15,7 @@ from starloom.llm.common import free_name, on_workers, stored, table
 from starloom.llm.exact_dedup import exact_dedup
 from starloom.llm.golay_simhash import keep_one
 from starloom.llm.mixing import Mix
-from starloom.llm.packing import pack
+from starloom.llm.packing import MAX_TOKENS, pack
 from starloom.llm.queries import QUALITY
 
 
@@ -44,7 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all sequences."""
-    return pack(docs)
+    return pack(docs, max_segments=MAX_TOKENS)
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mix), ("packing", packing)]
