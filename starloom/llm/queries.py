@@ -14,7 +14,7 @@ from .filter_audit import audit
 from .golay_simhash import hex_fingerprint, near_duplicates
 from .line_dedup import line_dedup
 from .mixing import Mix
-from .packing import pack
+from .packing import MAX_TOKENS, pack
 from .periodic_runs import periodic_runs, run_digests, with_planted_runs
 from .simple8b import token_files
 from .substring_dedup import substring_dedup
@@ -65,7 +65,7 @@ def op8_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    return pack(table(spark, sf_dir, "documents"), max_segments=MAX_TOKENS)       # a piece has a token at least
 
 
 def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

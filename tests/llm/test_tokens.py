@@ -94,6 +94,14 @@ def test_packing_covers_every_id_without_padding(spark):
     assert pack(samples.odd(spark)).select("doc_id").distinct().count() == len({d for d, _ in samples.ODD})
 
 
+def test_very_short_texts_pack_without_padding(spark):
+    rows = [(i, "a b" if i % 3 else None) for i in range(9000)] + [(20_000, samples.long_text(3000))]
+    got = pack(samples.frame(spark, rows), max_segments=4096).collect()
+    full = dict(zip([d for d, _ in rows], whole([t for _, t in rows], 2)))
+    assert check_pieces(got, full, (4096, 4096, 4096)) == 0
+    assert len({r.sequence_id for r in got}) < 60
+
+
 def test_packing_holds_all_three_limits(spark):
     rows = [(i, f"question {i} " * (i % 5), "answer word " * (1 + i % 9)) for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id bigint, prompt string, text string").repartition(2)
