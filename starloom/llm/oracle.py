@@ -30,13 +30,21 @@ FROM d LEFT JOIN kept USING (doc_id)
 OP7 = r"""
 WITH all_lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
-real AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM all_lines
-         WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-runs AS (SELECT doc_id, k, line AS a, lead(line) OVER w AS b, lead(line, 2) OVER w AS c
-         FROM real WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
-later AS (SELECT doc_id, k FROM (SELECT *, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, k) AS r
-                                 FROM runs WHERE c IS NOT NULL) WHERE r > 1),
-gone AS (SELECT DISTINCT doc_id, k + o AS k FROM later, (SELECT unnest([0, 1, 2]) AS o)),
+real AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
+         FROM all_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+near AS (SELECT doc_id, k, w, line, lead(line) OVER o AS line_1, lead(line, 2) OVER o AS line_2, lead(w) OVER o AS w_1,
+                lag(w) OVER o AS w_0, lag(w, 2) OVER o AS w_00, count(*) OVER d AS n_lines, sum(w) OVER d AS n_words
+         FROM real WINDOW o AS (PARTITION BY doc_id ORDER BY k), d AS (PARTITION BY doc_id)),
+onward AS (SELECT doc_id, k, CASE WHEN w >= 8 THEN 1 WHEN w + w_1 >= 8 THEN 2 WHEN line_2 IS NOT NULL THEN 3 END AS n FROM near),
+back AS (SELECT doc_id, k, CASE WHEN w >= 8 THEN 1 WHEN w + w_0 >= 8 THEN 2 WHEN w_00 IS NOT NULL THEN 3 END AS n FROM near),
+runs AS (SELECT doc_id, k, n, false AS short FROM onward WHERE n IS NOT NULL
+         UNION SELECT doc_id, k - n + 1, n, false FROM back WHERE n IS NOT NULL
+         UNION SELECT doc_id, 1, n_lines, true FROM near WHERE n_lines < 3 AND n_words < 8),
+texts AS (SELECT r.*, concat_ws(chr(10), line, CASE WHEN n > 1 THEN line_1 END, CASE WHEN n > 2 THEN line_2 END) AS t
+          FROM runs r JOIN near USING (doc_id, k)),
+later AS (SELECT doc_id, k, n FROM (SELECT *, row_number() OVER (PARTITION BY short, t ORDER BY doc_id, k) AS r FROM texts)
+          WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, k + o AS k FROM later, (SELECT unnest([0, 1, 2]) AS o) WHERE o < n),
 marked AS (SELECT l.doc_id, l.i, l.line, r.k, g.k IS NOT NULL AS cut
            FROM all_lines l LEFT JOIN real r ON l.doc_id = r.doc_id AND l.i = r.i
            LEFT JOIN gone g ON r.doc_id = g.doc_id AND r.k = g.k)
