@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_BYTES = 1 << 20
 #: Rows of an Arrow batch: texts are long, and a task holds two batches on either side.
 BATCH_ROWS = 2000
+#: Byte ranges from this length on are hashed by XXH3.
+LONG = 128
 #: A side is broadcast only when its measured size stays below this.
 BROADCAST_BYTES = 32 << 20
 
@@ -62,6 +65,11 @@ def small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= max_bytes else df
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored with a key ``row`` of its own for each row, whatever ids and texts repeat."""
+    return stored(df.select(F.monotonically_increasing_id().alias("row"), "*"), name)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, underscored until no column of ``df`` has it (case ignored, as Spark does)."""
     taken = {c.lower() for c in df.columns}
@@ -174,6 +182,16 @@ def byte_values(data: np.ndarray, lower: bool = False) -> np.ndarray:
     return _BYTE[LOWER[data] if lower else data]
 
 
+def text_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of byte ranges.  Ranges of ``LONG`` bytes and more take XXH3: a polynomial modulo 2**64
+    is the same for strings that are easily made from some hundred bytes on (Thue-Morse), whatever its base."""
+    h = range_hash(byte_values(data, lower), starts, ends)
+    for i in np.flatnonzero(ends - starts >= LONG):
+        part = data[starts[i]:ends[i]]
+        h[i] = xxhash.xxh3_64_intdigest((LOWER[part] if lower else part).tobytes())
+    return h
+
+
 def gram_starts(bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts of all windows of ``k`` consecutive words inside one text, and each one's text."""
     n = np.maximum(np.diff(bounds) - k + 1, 0)

@@ -32,7 +32,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (LOWER, buffers, byte_values, crc_bucket, mix64, on_workers, range_hash, slices, spans, stored)
+from .common import LOWER, buffers, crc_bucket, mix64, on_workers, slices, spans, stored, text_hash
 
 HEAD = 1 << 18
 COUNT_WORDS = 2_000_000         # entries that a counting task gathers before it merges and sends them on
@@ -53,7 +53,7 @@ END = np.uint64(1)                                  # the end token's place amon
 def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and tail group of every token (each text's words, then its end); n+1 bounds of the texts."""
     s, e, first = spans(data, offsets)
-    h = range_hash(byte_values(data, lower=True), s, e)
+    h = text_hash(data, s, e, lower=True)
     a = LOWER[data[e - 1]].astype(np.uint64) if len(e) else np.zeros(0, np.uint64)
     b = np.where(e - s > 1, LOWER[data[np.maximum(e - 2, 0)]], 0).astype(np.uint64) if len(e) else a
     tail = (mix64(a + b * np.uint64(256) + np.uint64(7)) % np.uint64(TAILS)).astype(np.int16)

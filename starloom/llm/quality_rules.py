@@ -1,7 +1,7 @@
 """Operator 8, quality rules: a rule bitmask ledger.
 
 ``ledger`` evaluates every rule once per document and stores the measurements and one failure bit per
-rule; ``apply_policy`` (a named, versioned mask) and ``ablations`` (what each rule of a policy does, alone
+rule as a table of the shared folder (no texts); ``apply_policy`` (a named, versioned mask) and ``ablations`` (what each rule of a policy does, alone
 and beyond the others) read only the stored bits.
 
 Defined results: a null or empty text has zero words and fails ``few_words`` only; repeated rows are
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import (buffers, byte_values, covered, gram_starts, mix64, on_workers, per_text, range_hash, slices, spans)
+from .common import (buffers, covered, gram_starts, mix64, on_workers, per_text, range_hash, slices, spans, stored, text_hash)
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -62,7 +62,6 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     out = {"n_words": np.diff(first), "word_chars": _ranges(chars[e] - chars[s], first),
            "n_symbols": per_text(_SYMBOL[data], offsets), "n_upper": per_text(_UPPER[data], offsets),
            "n_letters": per_text(_ALPHA[data], offsets)}
-    values = byte_values(data)
     # Lines: between newlines and text ends; those with a word are compared within their text.
     breaks = np.flatnonzero(data == 0x0A)
     full = offsets[:-1] < offsets[1:]
@@ -72,12 +71,12 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     has_word = np.searchsorted(s, ls) < np.searchsorted(s, le)
     ls, le = ls[has_word], le[has_word]
     doc = np.searchsorted(offsets, ls, side="right") - 1
-    _, keep = np.unique(_in_text(range_hash(values, ls, le), doc), return_index=True)
+    _, keep = np.unique(_in_text(text_hash(data, ls, le), doc), return_index=True)
     out["n_lines"] = np.bincount(doc, minlength=n)
     out["n_dup_lines"] = out["n_lines"] - np.bincount(doc[keep], minlength=n)
     # Windows of eight words found twice or more in their text.
     p, doc = gram_starts(first, WINDOW)
-    _, inverse, count = np.unique(_in_text(range_hash(range_hash(values, s, e), p, p + WINDOW), doc),
+    _, inverse, count = np.unique(_in_text(range_hash(text_hash(data, s, e), p, p + WINDOW), doc),
                                   return_inverse=True, return_counts=True)
     out["n_repeat_words"] = per_text(covered(p[count[inverse] > 1], WINDOW, len(s)), first)
     return out
@@ -104,13 +103,13 @@ def _measure_batches(batches):
 
 
 def ledger(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, the measurements, ``failed``): ``failed`` has one bit per rule of ``RULES``."""
+    """(id, the measurements, ``failed``), a stored table: ``failed`` has one bit per rule of ``RULES``."""
     on_workers(df.sparkSession)
     schema = f"id {df.schema[id_col].dataType.simpleString()}, " + ", ".join(f"{m} long" for m in MEASURES)
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_measure_batches, schema)
     bits = sum((F.when(F.expr(cond), F.lit(1 << bit)).otherwise(F.lit(0)) for bit, cond in RULES.values()),
                F.lit(0)).cast("long")
-    return rows.withColumn("failed", bits).withColumnRenamed("id", id_col)
+    return stored(rows.withColumn("failed", bits), "rule-ledger").withColumnRenamed("id", id_col)
 
 
 def apply_policy(book: DataFrame, policy: Policy, out: str = "kept") -> DataFrame:

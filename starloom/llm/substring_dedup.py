@@ -16,8 +16,10 @@ are consecutive and form one path of up to 28 edges.  Equal windows have equal a
 An edge is known by two 64-bit hashes (anchor and window).  Counts are map-side combined aggregates, so
 a passage in a third of all documents is one row per task and path.
 
+Rows are numbered once in a stored table, and spans are told apart by that number, not by id or text.
+
 Defined results: null, empty and shorter texts have no window and lose nothing; rows with the same id
-and text repeat each other; windows are judged on the input, not on what is left; an empty table gives
+(or none) and text repeat each other; windows are judged on the input, not on what is left; an empty table gives
 an empty result.
 """
 
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, byte_values, gram_starts, on_workers, range_hash, slices, spans, stored
+from .common import buffers, gram_starts, numbered, on_workers, range_hash, slices, spans, stored, text_hash
 
 WINDOW, ANCHOR = 35, 8
 
@@ -56,7 +58,7 @@ def paths(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, anchor: i
     """The paths of the texts in one buffer: text, first window (as a word of the text), number of
     windows, anchor hash, and the index of the first window among all windows; and the word hashes."""
     s, e, first = spans(data, offsets)
-    words = range_hash(byte_values(data), s, e)
+    words = text_hash(data, s, e)
     starts, doc = gram_starts(first, window)
     if not len(starts):
         z = np.zeros(0, np.int64)
@@ -77,14 +79,14 @@ def _anchor_batches(batches):
         for i, j in slices(offsets):
             got = paths(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(got["doc"] + i)),
-                                              pa.array(got["anchor"].view(np.int64))], names=["id", "anchor"])
+                                              pa.array(got["anchor"].view(np.int64))], names=["row", "anchor"])
 
 
 def _path_batches(batches):
     """Of documents with their repeated anchors: the paths at those, and the hashes of their windows."""
     for b in batches:
         data, offsets = buffers(b.column(1))
-        want = b.column(3)
+        want = b.column(2)
         flat, bounds = np.asarray(want.flatten()), np.concatenate(([0], np.cumsum([len(x) if x.is_valid else 0 for x in want])))
         for i, j in slices(offsets):
             got = paths(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
@@ -97,60 +99,55 @@ def _path_batches(batches):
                 np.concatenate(([0], np.cumsum(n) * 8)).astype(np.int32)), pa.py_buffer(edge)])
             rows = pa.array(got["doc"][keep] + i)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(rows), b.column(2).take(rows), pa.array(anchors[keep]),
+                [b.column(0).take(rows), pa.array(anchors[keep]),
                  pa.array(range_hash(got["words"], lo, lo + n + WINDOW - 1).view(np.int64)),
                  pa.array(got["lo"][keep].astype(np.int32)), pa.array(n.astype(np.int32)), binary],
-                names=["id", "th", "anchor", "path", "lo", "n", "edges"])
+                names=["row", "anchor", "path", "lo", "n", "edges"])
 
 
 def _edge_batches(batches):
     """Opened paths: a row for each edge, with the coordinates of its (single) source."""
     for b in batches:
-        n = b.column(5).to_numpy()
+        n = b.column(4).to_numpy()
         row = np.repeat(np.arange(len(n)), n)
         inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        edge = np.frombuffer(b"".join(b.column(6).to_pylist()), np.int64) if len(n) else np.zeros(0, np.int64)
+        edge = np.frombuffer(b"".join(b.column(5).to_pylist()), np.int64) if len(n) else np.zeros(0, np.int64)
         rows = pa.array(row)
         yield pa.RecordBatch.from_arrays(
-            [b.column(0).take(rows), b.column(1).take(rows), b.column(2).take(rows), pa.array(edge),
-             pa.array((b.column(4).to_numpy()[row] + inner).astype(np.int32)), b.column(7).take(rows)],
-            names=["id", "th", "anchor", "edge", "lo", "times"])
+            [b.column(0).take(rows), b.column(1).take(rows), pa.array(edge),
+             pa.array((b.column(3).to_numpy()[row] + inner).astype(np.int32)), b.column(6).take(rows)],
+            names=["row", "anchor", "edge", "lo", "times"])
 
 
-def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, th, lo, n): runs of ``n`` repeated windows from word ``lo`` on, in the document with that id
-    and text hash ``th`` (which tells rows apart that share an id).  Runs may touch."""
-    on_workers(df.sparkSession)
-    kind = df.schema[id_col].dataType.simpleString()
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    seen = stored(docs.mapInArrow(_anchor_batches, f"id {kind}, anchor long"), "debruijn-anchors")
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """(row, lo, n): runs of ``n`` repeated windows from word ``lo`` on, in the row with that key of the stored
+    table ``docs`` (row, text).  Runs may touch."""
+    seen = stored(docs.select("row", "text").mapInArrow(_anchor_batches, "row long, anchor long"), "debruijn-anchors")
     # Sets of keys are stored before they are joined: both sides of the join are then shuffles of their own,
     # and a hot anchor's rows can be split over tasks.
     often = stored(seen.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("anchor"), "debruijn-often")
-    mine = seen.join(often, "anchor", "left_semi").groupBy(F.col("id").alias("want_id")).agg(F.collect_set("anchor").alias("want"))
-    found = (docs.withColumn("th", F.hash("text")).join(mine, F.col("id").eqNullSafe(F.col("want_id")))
-             .select("id", "text", "th", "want"))
-    path = stored(found.mapInArrow(_path_batches, f"id {kind}, th int, anchor long, path long, lo int, n int, edges binary"),
+    mine = seen.join(often, "anchor", "left_semi").groupBy("row").agg(F.collect_set("anchor").alias("want"))
+    found = docs.join(mine, "row").select("row", "text", "want")
+    path = stored(found.mapInArrow(_path_batches, "row long, anchor long, path long, lo int, n int, edges binary"),
                   "debruijn-paths")
     kinds = stored(path.groupBy("anchor", "path").agg(F.count(F.lit(1)).cast("int").alias("times")), "debruijn-kinds")
-    whole = path.select("id", "th", "anchor", "path", "lo", "n").join(
+    whole = path.select("row", "anchor", "path", "lo", "n").join(
         kinds.filter("times > 1").select("anchor", "path"), ["anchor", "path"], "left_semi")
     branching = stored(kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("anchor"),
                        "debruijn-branching")
     at_branch = stored(kinds.join(branching, "anchor", "left_semi"), "debruijn-branches")
-    names = ["id", "th", "anchor", "path", "lo", "n", "edges"]
+    names = ["row", "anchor", "path", "lo", "n", "edges"]
     once = path.join(at_branch.filter("times = 1"), ["anchor", "path"]).select(*names, "times")
     # Of paths that occur often one source is enough: their edges are settled, they only answer for others.
     often = (path.select("anchor", "path", "n", "edges").join(at_branch.filter("times > 1"), ["anchor", "path"])
              .groupBy("anchor", "path").agg(F.first("n").alias("n"), F.first("edges").alias("edges"), F.first("times").alias("times"))
-             .select(F.lit(None).cast(kind).alias("id"), F.lit(None).cast("int").alias("th"), "anchor", "path",
-                     F.lit(-1).alias("lo"), "n", "edges", "times"))
+             .select(F.lit(None).cast("long").alias("row"), "anchor", "path", F.lit(-1).alias("lo"), "n", "edges", "times"))
     edges = stored(once.unionByName(often).mapInArrow(
-        _edge_batches, f"id {kind}, th int, anchor long, edge long, lo int, times int"), "debruijn-edges")
+        _edge_batches, "row long, anchor long, edge long, lo int, times int"), "debruijn-edges")
     shared = stored(edges.groupBy("anchor", "edge").agg(F.sum("times").alias("k")).filter("k > 1").select("anchor", "edge"),
                     "debruijn-shared")
     single = edges.filter("times = 1").join(shared, ["anchor", "edge"], "left_semi")
-    return whole.select("id", "th", "lo", "n").unionByName(single.select("id", "th", "lo", F.lit(1).alias("n")))
+    return whole.select("row", "lo", "n").unionByName(single.select("row", "lo", F.lit(1).alias("n")))
 
 
 def _cut_batches(batches):
@@ -181,12 +178,11 @@ def _cut_batches(batches):
 def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_removed, kept_sha256, kept_text): each document without the words covered by a
     window of ``WINDOW`` words whose sequence also starts anywhere else; kept words joined by one space."""
+    on_workers(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
-    runs = stored(repeated_spans(df, id_col, text_col), "debruijn-spans")
-    of_doc = runs.groupBy(F.col("id").alias("rid"), F.col("th").alias("rth")).agg(
-        F.collect_list(F.struct("lo", "n")).alias("r"))
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("th", F.hash("text"))
-    joined = docs.join(of_doc, docs.id.eqNullSafe(F.col("rid")) & (docs.th == F.col("rth")), "left")
-    out = joined.select("id", "text", F.col("r.lo").alias("lo"), F.col("r.n").alias("n")).mapInArrow(
+    docs = numbered(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "debruijn-documents")
+    runs = stored(repeated_spans(docs), "debruijn-spans")
+    of_row = runs.groupBy("row").agg(F.collect_list(F.struct("lo", "n")).alias("r"))
+    out = docs.join(of_row, "row", "left").select("id", "text", F.col("r.lo").alias("lo"), F.col("r.n").alias("n")).mapInArrow(
         _cut_batches, f"id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string")
     return out.withColumnRenamed("id", id_col)

@@ -67,25 +67,35 @@ def substring(rows, k=35):
     return out
 
 
-def lines(rows, run=3):
-    """(id, n_lines, n_removed, sha): rows in order of id; runs of lines seen at an earlier position go."""
-    first, marks = {}, []
-    for d, t in rows:
+def lines(rows, run=3, least=8):
+    """(id, n_lines, n_removed, sha): rows in order of id and text hash; runs of ``run`` lines or ``least`` words, and
+    whole texts shorter than these, that stand at an earlier position go."""
+    def order(i):
+        d, t = rows[i]
+        h = xxhash.xxh64_intdigest((t or "").encode(), 42)
+        return d is not None, d or 0, h - (1 << 64) * (h >> 63), i
+
+    seen, out = set(), {}
+    for i in sorted(range(len(rows)), key=order):
+        d, t = rows[i]
         parts = (t or "").split("\n")
-        real = [i for i, x in enumerate(parts) if words(x)]
-        keys = [tuple(parts[i] for i in real[p:p + run]) for p in range(len(real) - run + 1)]
-        marks.append((d, parts, real, keys))
-        for p, key in enumerate(keys):
-            place = (d is not None, d or 0, p, t)
-            first[key] = min(first.get(key, place), place)
-    out = []
-    for (d, parts, real, keys), (_, t) in zip(marks, rows):
+        real = [k for k, x in enumerate(parts) if words(x)]
+        size = [len(words(parts[k])) for k in real]
         gone = set()
-        for p, key in enumerate(keys):
-            if (d is not None, d or 0, p, t) > first[key]:
-                gone.update(real[p:p + run])
-        out.append((d, len(real), len(gone), sha("\n".join(x for i, x in enumerate(parts) if i not in gone))))
-    return out
+        for p in range(len(real)):
+            for n in range(1, 6):
+                if p + n <= len(real) and (n >= run or sum(size[p:p + n]) >= least):
+                    key = tuple(parts[k] for k in real[p:p + n])
+                    if key in seen:
+                        gone.update(real[p:p + n])
+                    seen.add(key)
+        if real and len(real) < run and sum(size) < least:
+            key = ("whole", *(parts[k] for k in real))
+            if key in seen:
+                gone.update(real)
+            seen.add(key)
+        out[i] = (d, len(real), len(gone), sha("\n".join(x for k, x in enumerate(parts) if k not in gone)))
+    return [out[i] for i in range(len(rows))]
 
 
 def rules(text):

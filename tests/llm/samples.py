@@ -29,6 +29,12 @@ def long_text(n=120_000, seed=5):
     return " ".join("w%d" % rng.randrange(3000) for _ in range(n))
 
 
+def thue_morse(n):
+    """Two different words of ``n`` bytes that a polynomial modulo 2**64 cannot tell apart."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
 def prose(n_docs=120, seed=3, lines=True):
     """(id, text): made-up documents with exact copies, edited copies and shared passages."""
     rng = random.Random(seed)

@@ -5,10 +5,11 @@ import numpy as np
 import samples
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from starloom.llm import golay_simhash as G
 from starloom.llm.exact_dedup import exact_dedup
-from starloom.llm.line_dedup import line_dedup
+from starloom.llm.line_dedup import fingerprints, line_dedup, shortest_runs
 from starloom.llm.substring_dedup import substring_dedup
 
 DECIDED = ("_keep_id", "group_size", "_kept", "text_sha256")
@@ -77,6 +78,77 @@ def test_line_dedup(spark):
     assert line_dedup(samples.empty(spark)).count() == 0
 
 
+def test_short_repeats_of_lines(spark):
+    one, two = "a line of eight words or a few more", "four words are here\nand four are there"
+    rows = [(1, f"x\n{one}\ny"), (2, f"z\n{one}"), (3, two), (4, f"p\n{two}\nq"), (5, "too short"), (6, "too short"), (7, "too short\nto go"),
+            (8, "one two\nthree four five six seven eight nine\nten"), (9, "h\none two\nthree four five six seven eight nine\nten\nt"),
+            (10, "four words are here"), (11, f"{one}\n{one}"), (None, one), (None, one)]
+    got = line_dedup(samples.frame(spark, rows)).drop("kept_text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute.lines(rows), key=str)
+    removed = {r.doc_id: r.n_removed for r in got if r.doc_id is not None}
+    assert [removed[d] for d in range(1, 12)] == [1, 1, 0, 2, 0, 1, 0, 0, 3, 0, 2]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 9), max_size=9), min_size=1, max_size=4))
+def test_shortest_runs_hold_a_selected_line(sizes):
+    words = np.array([x for s in sizes for x in s], np.int64)
+    bounds = np.concatenate(([0], np.cumsum([len(s) for s in sizes])))
+    end, start = shortest_runs(words, bounds)
+    h = np.random.default_rng(len(words)).integers(0, 50, len(words)).astype(np.uint64)
+    chosen, short = fingerprints(h, end, bounds)
+    for t, s in enumerate(sizes):
+        def enough(a, b):
+            return a >= 0 and b <= len(s) and (b - a >= 3 or sum(s[a:b]) >= 8)
+        for i in range(len(s)):
+            own = bounds[t]
+            onward = next((b for b in range(i + 1, len(s) + 1) if enough(i, b)), None)
+            back = next((a for a in range(i, -1, -1) if enough(a, i + 1)), None)
+            assert end[own + i] == (0 if onward is None else own + onward) and start[own + i] == (-1 if back is None else own + back)
+            if onward is not None:
+                assert h[chosen[own + i]] == h[own + i:own + onward].min() and own + i <= chosen[own + i] < own + onward
+        assert short[t] == (bool(s) and not enough(0, len(s)))
+
+
+def many_alike(n=1500):
+    """Rows that share ids or have none: equal texts, different texts, and one passage in all of them."""
+    passage = " ".join(f"v{i}" for i in range(40))
+    rows = [(None, passage + "\nnine words of a line that all rows have")] * n
+    rows += [(None if i % 2 else 7, f"{passage}\nrow {i} has words of its own to keep {i}") for i in range(n // 2)]
+    return rows + [(8, None), (None, ""), (7, passage), (9, samples.long_text(300))]
+
+
+def test_rows_without_or_with_equal_ids_are_told_apart(spark):
+    rows = many_alike()
+    df = samples.frame(spark, rows)
+    got = substring_dedup(df).drop("kept_text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute.substring(rows), key=str)
+    got = line_dedup(df).drop("kept_text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute.lines(rows), key=str)
+
+
+def test_texts_with_equal_32_bit_hashes_keep_their_own_spans(spark):
+    """Rows without id whose texts Spark's 32-bit hash cannot tell apart."""
+    passage = " ".join(f"v{i}" for i in range(40))
+    numbers = spark.range(160_000).select(F.concat(F.lit(passage + " "), F.repeat(F.lit("pad "), (F.col("id") % 40).cast("int")),
+                                                   F.col("id").cast("string")).alias("text"))
+    pair = numbers.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("t")).filter("size(t) > 1").first()
+    rows = [(None, t) for t in pair["t"]]
+    got = substring_dedup(samples.frame(spark, rows)).drop("kept_text").collect()
+    assert len(rows) > 1 and sorted(map(tuple, got), key=str) == sorted(brute.substring(rows), key=str)
+
+
+def test_strings_that_collide_in_a_polynomial_hash_are_told_apart(spark):
+    rows = []
+    for n in (512, 1024, 2048):
+        a, b = samples.thue_morse(n)
+        filler = [f"u{n}x{i}" for i in range(34)]
+        rows += [(n, " ".join([a, *filler])), (n + 1, " ".join([b, *filler])), (n + 2, f"{a} {n}\n{a}\n{a}"), (n + 3, f"{b} {n}\n{b}\n{b}")]
+    df = samples.frame(spark, rows)
+    assert sorted(map(tuple, substring_dedup(df).drop("kept_text").collect())) == sorted(brute.substring(rows))
+    assert sorted(map(tuple, line_dedup(df).drop("kept_text").collect())) == sorted(brute.lines(rows))
+
+
 def test_golay_code_is_perfect_and_words_within_two_bits_share_a_key():
     rng = np.random.default_rng(1)
     words = rng.integers(0, 1 << 23, 400)
@@ -117,7 +189,6 @@ def test_near_duplicates(spark):
     fps = [brute.fingerprint(t) for _, t in rows]
     named = brute.components(fps, [d for d, _ in rows])
     expected = sorted([(d, f"{f:016x}", c) for (d, _), f, c in zip(rows, fps, named)], key=str)
-    from pyspark.sql import functions as F
     have = got.select("doc_id", G.hex_fingerprint(F.col("fp")), "component_id").collect()
     assert sorted(map(tuple, have), key=str) == expected
     assert G.near_duplicates(samples.empty(spark)).count() == 0
