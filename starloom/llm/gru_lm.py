@@ -40,11 +40,12 @@ CLASSES, PER_CLASS = 64, 64
 TAILS = 256
 MODEL_WORDS = CLASSES * PER_CLASS - TAILS - 1       # and the end token
 HIDDEN, EMBED = 16, 16
-SPAN, LANES = 32, 96
-STRETCH = 512                   # tokens over which training carries the state (scoring: the whole text)
-TASK_TOKENS, ROUNDS = 500_000, 6
+SPAN, LANES = 32, 192
+STRETCH = 256                   # tokens over which training carries the state (scoring: the whole text)
+TASK_TOKENS, ROUNDS = 1_000_000, 4
 SLICE_TOKENS = 1_000_000        # tokens that a training task holds at once
 SCORE_SPAN, SCORE_LANES, SCORE_BYTES = 64, 256, 6 << 20
+HASH_BYTES = 1 << 17
 END = np.uint64(1)                                  # the end token's place among word hashes
 
 
@@ -64,8 +65,8 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def hashed_batch(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``hashed_words`` of many texts, in slices, so that the bytes' hashing arrays stay small."""
-    parts = [hashed_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in slices(offsets)]
+    """``hashed_words`` of many texts, in slices, so that the bytes' hashing arrays stay in a core's cache."""
+    parts = [hashed_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in slices(offsets, HASH_BYTES)]
     sizes = np.concatenate([np.diff(x[2]) for x in parts])
     return (np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts]), np.concatenate(([0], np.cumsum(sizes))))
 
@@ -85,7 +86,7 @@ def _count_batches(batches):
     for b in batches:
         data, offsets = buffers(b.column(0))
         for i, j in slices(offsets):
-            h, t, _ = hashed_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            h, t, _ = hashed_batch(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             u, at, c = np.unique(h, return_index=True, return_counts=True)
             parts.append((u, t[at], c))
             held += len(u)
@@ -137,8 +138,9 @@ def start_weights(counts: np.ndarray, seed: int = 1) -> np.ndarray:
     return flat
 
 
-def _sigmoid(x):
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def _half() -> np.ndarray:
+    """Factors of the three gates' inputs: sigmoid(x) = (tanh(x / 2) + 1) / 2."""
+    return np.where(np.arange(3 * HIDDEN) < 2 * HIDDEN, 0.5, 1).astype(np.float32)
 
 
 def _softmax_at(logits: np.ndarray, at: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -179,11 +181,12 @@ def log_probability(w: dict[str, np.ndarray], states: np.ndarray, tokens: np.nda
     if grad is not None:
         p[np.arange(len(cls)), word] -= 1
         more = np.empty_like(h)
+        with_one = np.concatenate((h, np.ones((len(h), 1), h.dtype)), axis=1).T
         for c, rows in some:
-            grad["out"][c] += h[rows].T @ p[rows]
+            both = with_one[:, rows] @ p[rows]
+            grad["out"][c] += both[:-1]
+            grad["out_bias"][c] += both[-1]
             np.matmul(p[rows], w["out"][c].T, out=more[rows])
-        if some:
-            grad["out_bias"][[c for c, _ in some]] += np.add.reduceat(p, [rows.start for _, rows in some], axis=0)
         back[order] += more
     return got, back
 
@@ -226,7 +229,7 @@ def score_texts(flat: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> np.
     """Natural log-probability of each text (its state carried over windows from first token to end)."""
     w = unpack(flat)
     two = 2 * HIDDEN
-    half = np.where(np.arange(3 * HIDDEN) < two, 0.5, 1).astype(np.float32)       # sigmoid(x) = (tanh(x / 2) + 1) / 2
+    half = _half()
     table, rec = ((w["embed"] @ w["inp"] + w["bias"]) * half).astype(np.float32), w["rec"] * half
     seq, start, length, fresh, owner = _laid_out(tokens, bounds, SCORE_LANES)
     out = np.zeros(len(bounds) - 1)
@@ -290,7 +293,7 @@ def train(flat: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, rate: float
     m, v, a, b = adam.m, adam.v, np.empty_like(flat), np.empty_like(flat)
     seq, start, length, fresh, _ = _laid_out(tokens, stretches(bounds, STRETCH), LANES)
     h = np.zeros((len(start), HIDDEN), np.float32)
-    two = 2 * HIDDEN
+    two, half = 2 * HIDDEN, _half()
     total = int(length.max(initial=0))
     for t0 in range(0, total, SPAN):
         live = int(np.searchsorted(-length, -t0, side="left"))
@@ -301,17 +304,24 @@ def train(flat: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, rate: float
         tok, old = seq[place], ~(fresh[place] & valid)[:, :, None]
         g_flat[:] = 0
         emb = w["embed"][tok.ravel()]
-        x = (emb @ w["inp"] + w["bias"]).reshape(steps, live, -1)
+        x = ((emb @ w["inp"] + w["bias"]) * half).reshape(steps, live, -1)
+        rec = w["rec"] * half
         hh = h[:live]
         states, zrs, ns, rns = (np.empty((steps, live, k), np.float32) for k in (HIDDEN, two, HIDDEN, HIDDEN))
         for t in range(steps):
-            hh = hh * old[t]
-            states[t] = hh
-            r = hh @ w["rec"]
-            zr = _sigmoid(x[t, :, :two] + r[:, :two])
-            n = np.tanh(x[t, :, two:] + zr[:, HIDDEN:] * r[:, two:])
-            zrs[t], ns[t], rns[t] = zr, n, r[:, two:]
-            hh = n + zr[:, :HIDDEN] * (hh - n)
+            state, zr, n = np.multiply(hh, old[t], out=states[t]), zrs[t], ns[t]
+            r = state @ rec
+            np.add(x[t, :, :two], r[:, :two], out=zr)
+            np.tanh(zr, out=zr)
+            zr += 1
+            zr *= 0.5
+            rns[t] = r[:, two:]
+            np.multiply(zr[:, HIDDEN:], rns[t], out=n)
+            n += x[t, :, two:]
+            np.tanh(n, out=n)
+            hh = state - n
+            hh *= zr[:, :HIDDEN]
+            hh += n
         h = hh
         _, back = log_probability(w, states[valid], tok[valid], g)
         d_states = np.zeros_like(states)
@@ -416,7 +426,7 @@ def token_ids(texts: DataFrame, words: Broadcast[Vocabulary]) -> DataFrame:
         for b in batches:
             data, offsets = buffers(b.column(1))
             for i, j in slices(offsets):
-                h, t, first = hashed_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                h, t, first = hashed_batch(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 tokens = pa.array(words.value.look_up(h, t)[1].astype(np.int16))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), tokens)],
                                                  names=["order", "tokens"])
@@ -503,7 +513,7 @@ def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches):
         words, flat = shared.value, net.value
-        log_mass = np.log10(words.tail_mass)
+        log_mass, log_count = np.log10(words.tail_mass), np.log10(words.counts + 1.0)
         part, row = TaskContext.get().partitionId() << 33, 0
         for b in batches:
             data, offsets = buffers(b.column(1))
@@ -516,7 +526,7 @@ def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 score = score_texts(flat, token, first) / np.log(10)
                 grouped = token > MODEL_WORDS
                 score -= np.bincount(doc[grouped], weights=log_mass[token[grouped] - MODEL_WORDS - 1], minlength=n)
-                log_c = np.log10(words.counts[at[frequent]] + 1.0) if frequent.any() else np.zeros(0)
+                log_c = log_count[at[frequent]] if frequent.any() else np.zeros(0)
                 base = np.bincount(doc[frequent], weights=log_c, minlength=n)
                 here = grouped[frequent]
                 score += np.bincount(doc[frequent][here], weights=log_c[here], minlength=n)
