@@ -37,58 +37,56 @@ from .common import LOWER, buffers, crc_bucket, mix64, on_workers, slices, spans
 HEAD = 1 << 18
 COUNT_WORDS = 2_000_000         # entries that a counting task gathers before it merges and sends them on
 CLASSES, PER_CLASS = 64, 64
-TAILS = 256
+TAILS = 256                     # the last byte of a word's hash
 MODEL_WORDS = CLASSES * PER_CLASS - TAILS - 1       # and the end token
 HIDDEN, EMBED = 16, 16
-SPAN, LANES = 32, 192
-STRETCH = 256                   # tokens over which training carries the state (scoring: the whole text)
+SPAN, LANES = 16, 192
+STRETCH = 512                   # tokens over which training carries the state (scoring: the whole text)
 TASK_TOKENS, ROUNDS = 1_000_000, 4
 SLICE_TOKENS = 1_000_000        # tokens that a training task holds at once
 SCORE_SPAN, SCORE_LANES, SCORE_BYTES = 64, 256, 6 << 20
-HASH_BYTES = 1 << 17
+HASH_BYTES, COUNT_BYTES = 1 << 17, 4 << 20
+LAST = np.uint64(TAILS - 1)
 END = np.uint64(1)                                  # the end token's place among word hashes
 
 
 # -- Words --------------------------------------------------------------------------------------------
 
-def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and tail group of every token (each text's words, then its end); n+1 bounds of the texts."""
+def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every token (each text's words, then its end); n+1 bounds of the texts.  The last eight bits
+    of a word's hash are its tail group, from the word's last two bytes."""
     s, e, first = spans(data, offsets)
     h = text_hash(data, s, e, lower=True)
-    a = LOWER[data[e - 1]].astype(np.uint64) if len(e) else np.zeros(0, np.uint64)
-    b = np.where(e - s > 1, LOWER[data[np.maximum(e - 2, 0)]], 0).astype(np.uint64) if len(e) else a
-    tail = (mix64(a + b * np.uint64(256) + np.uint64(7)) % np.uint64(TAILS)).astype(np.int16)
-    n = len(offsets) - 1
-    hashes = np.insert(h, first[1:], END)
-    tails = np.insert(tail, first[1:], 0)
-    return hashes, tails, first + np.arange(n + 1)
+    if len(e):
+        a = LOWER[data[e - 1]].astype(np.uint64)
+        b = np.where(e - s > 1, LOWER[data[np.maximum(e - 2, 0)]], 0).astype(np.uint64)
+        h = h & ~LAST | mix64(a + b * np.uint64(256) + np.uint64(7)) & LAST
+    return np.insert(h, first[1:], END), first + np.arange(len(offsets))
 
 
-def hashed_batch(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def hashed_batch(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``hashed_words`` of many texts, in slices, so that the bytes' hashing arrays stay in a core's cache."""
     parts = [hashed_words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in slices(offsets, HASH_BYTES)]
-    sizes = np.concatenate([np.diff(x[2]) for x in parts])
-    return (np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts]), np.concatenate(([0], np.cumsum(sizes))))
+    sizes = np.concatenate([np.diff(x[1]) for x in parts])
+    return np.concatenate([x[0] for x in parts]), np.concatenate(([0], np.cumsum(sizes)))
 
 
 def _count_batches(batches):
     def merged(parts):
-        h, t, c = (np.concatenate(x) for x in zip(*parts))
+        h, c = (np.concatenate(x) for x in zip(*parts))
         order = np.argsort(h, kind="stable")
-        h, t, c = h[order], t[order], c[order]
+        h, c = h[order], c[order]
         new = np.ones(len(h), bool)
         new[1:] = h[1:] != h[:-1]
         at = np.flatnonzero(new)
-        return pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array(t[at]), pa.array(np.add.reduceat(c, at))],
-                                          names=["word", "tail", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), pa.array(np.add.reduceat(c, at))], names=["word", "n"])
 
     parts, held = [], 0
     for b in batches:
         data, offsets = buffers(b.column(0))
-        for i, j in slices(offsets):
-            h, t, _ = hashed_batch(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            u, at, c = np.unique(h, return_index=True, return_counts=True)
-            parts.append((u, t[at], c))
+        for i, j in slices(offsets, COUNT_BYTES):
+            u, c = np.unique(hashed_batch(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])[0], return_counts=True)
+            parts.append((u, c))
             held += len(u)
             if held > COUNT_WORDS:
                 yield merged(parts)
@@ -98,9 +96,8 @@ def _count_batches(batches):
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """(word hash, tail group, n) over a one-column frame of texts."""
-    counted = texts.mapInArrow(_count_batches, "word long, tail short, n long")
-    return counted.groupBy("word").agg(F.min("tail").alias("tail"), F.sum("n").alias("n"))
+    """(word hash, n) over a one-column frame of texts."""
+    return texts.mapInArrow(_count_batches, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 # -- The network --------------------------------------------------------------------------------------
@@ -166,7 +163,7 @@ def log_probability(w: dict[str, np.ndarray], states: np.ndarray, tokens: np.nda
     if grad is not None:
         p[np.arange(len(cls)), cls] -= 1
         grad["cls"] += states.T @ p
-        grad["cls_bias"] += p.sum(axis=0)
+        grad["cls_bias"] += np.ones(len(p), p.dtype) @ p
         back = p @ w["cls"].T
     order = np.argsort(cls.astype(np.int8), kind="stable")          # one byte: a radix sort
     cls, word, h = cls[order], word[order], states[order]
@@ -275,7 +272,7 @@ class Adam:
 
 def add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     """``out[at] += rows``, with repeats."""
-    order = np.argsort(at, kind="stable")
+    order = np.argsort(at.astype(np.int16), kind="stable")         # two bytes hold a token: a radix sort
     at = at[order]
     first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
     out[at[first]] += np.add.reduceat(rows[order], first, axis=0)
@@ -323,9 +320,11 @@ def train(flat: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, rate: float
             hh *= zr[:, :HIDDEN]
             hh += n
         h = hh
-        _, back = log_probability(w, states[valid], tok[valid], g)
-        d_states = np.zeros_like(states)
-        d_states[valid] = back
+        if valid.all():
+            d_states = log_probability(w, states.reshape(-1, HIDDEN), tok.ravel(), g)[1].reshape(states.shape)
+        else:
+            d_states = np.zeros_like(states)
+            d_states[valid] = log_probability(w, states[valid], tok[valid], g)[1]
         carry = np.zeros((live, HIDDEN), np.float32)
         # What of the backward steps doesn't depend on the carried gradient, for the window at once.
         z, r = zrs[:, :, :HIDDEN], zrs[:, :, HIDDEN:]
@@ -377,14 +376,26 @@ class Vocabulary:
     n: int
     v: int
 
-    def look_up(self, hashes: np.ndarray, tails: np.ndarray):
+    def __post_init__(self):
+        """Where the words of each slot (the first 20 bits of a hash) begin among the sorted hashes."""
+        self.slot = np.searchsorted(self.hashes, np.arange((1 << 20) + 1, dtype=np.uint64) << np.uint64(44)).astype(np.int32)
+        self.slot[-1] = len(self.hashes)
+
+    def look_up(self, hashes: np.ndarray):
         """(place in the head or -1, the network's token) of each word."""
+        tails = MODEL_WORDS + 1 + (hashes & LAST).astype(np.int64)
         if not len(self.hashes):
-            return np.full(len(hashes), -1), MODEL_WORDS + 1 + tails.astype(np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            return np.full(len(hashes), -1), tails
+        slot = (hashes >> np.uint64(44)).astype(np.int32)
+        at = np.minimum(self.slot[slot], len(self.hashes) - 1)
         known = self.hashes[at] == hashes
+        # A slot's other words: most slots hold one at most.
+        more = np.flatnonzero(~known)
+        more = more[self.slot[slot[more] + 1] - at[more] > 1]
+        at[more] = np.minimum(np.searchsorted(self.hashes, hashes[more]), len(self.hashes) - 1)
+        known[more] = self.hashes[at[more]] == hashes[more]
         token = np.where(known, self.token[at], -1)
-        return np.where(known, at, -1), np.where(token >= 0, token, MODEL_WORDS + 1 + tails)
+        return np.where(known, at, -1), np.where(token >= 0, token, tails)
 
 
 def vocabulary(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
@@ -408,7 +419,7 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
     token[hashes == END] = 0
     # Tail groups: all words that are not tokens of their own.
     own = counts.sparkSession.createDataFrame(pa.table({"word": pa.array(hashes[token >= 0].view(np.int64), pa.int64())}))
-    groups = counts.join(F.broadcast(own), "word", "left_anti").groupBy("tail").agg(     # MODEL_WORDS + 1 rows at most
+    groups = counts.join(F.broadcast(own), "word", "left_anti").groupBy(F.col("word").bitwiseAND(TAILS - 1).alias("tail")).agg(     # MODEL_WORDS + 1 rows at most
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect()
     tail_n, tail_k = np.zeros(TAILS), np.zeros(TAILS)
     for r in groups:
@@ -426,8 +437,8 @@ def token_ids(texts: DataFrame, words: Broadcast[Vocabulary]) -> DataFrame:
         for b in batches:
             data, offsets = buffers(b.column(1))
             for i, j in slices(offsets):
-                h, t, first = hashed_batch(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                tokens = pa.array(words.value.look_up(h, t)[1].astype(np.int16))
+                h, first = hashed_batch(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                tokens = pa.array(words.value.look_up(h)[1].astype(np.int16))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), tokens)],
                                                  names=["order", "tokens"])
 
@@ -518,8 +529,8 @@ def language_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for b in batches:
             data, offsets = buffers(b.column(1))
             for i, j in slices(offsets, SCORE_BYTES):
-                h, t, first = hashed_batch(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                at, token = words.look_up(h, t)
+                h, first = hashed_batch(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                at, token = words.look_up(h)
                 n = j - i
                 doc = np.repeat(np.arange(n), np.diff(first))
                 frequent = at >= 0
