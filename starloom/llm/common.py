@@ -48,12 +48,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared scratch folder and read it back: lineage is
     cut, and a lost executor costs a re-read instead of a recomputation."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -66,8 +66,9 @@ def small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
 
 
 def numbered(df: DataFrame, name: str) -> DataFrame:
-    """``df`` stored with a key ``row`` of its own for each row, whatever ids and texts repeat."""
-    return stored(df.select(F.monotonically_increasing_id().alias("row"), "*"), name)
+    """``df`` stored with a key ``row`` of its own for each row, whatever ids and texts repeat; in small row
+    groups, as a writer holds one in memory."""
+    return stored(df.select(F.monotonically_increasing_id().alias("row"), "*"), name, **{"parquet.block.size": 16 << 20})
 
 
 def free_name(df: DataFrame, name: str) -> str:
