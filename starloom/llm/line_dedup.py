@@ -38,8 +38,14 @@ RUN, MIN_WORDS = 3, 8
 WHOLE = np.uint64(0x5851F42D4C957F2D)       # sets whole short texts apart from runs of longer ones
 
 
-def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and word counts of the lines with a word, and each text's first line (n+1 bounds)."""
+def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the lines with a word, and each text's first line (n+1 bounds)."""
+    s, e, _, first = counted_lines(data, offsets)
+    return s, e, first
+
+
+def counted_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``lines`` with the number of words in each as third."""
     word = spans(data, offsets)[0]
     breaks = np.flatnonzero(data == 0x0A)
     full = offsets[:-1] < offsets[1:]
@@ -81,7 +87,7 @@ def _line_batches(batches):
         data, offsets = buffers(b.column(2))
         for i, j in slices(offsets):
             d, o = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
-            s, e, n, bounds = lines(d, o)
+            s, e, n, bounds = counted_lines(d, o)
             h = text_hash(d, s, e)
             chosen, short = fingerprints(h, shortest_runs(n, bounds)[0], bounds)
             # A selected line is one fingerprint, however many runs select it.
