@@ -216,19 +216,22 @@ def q_micro_batch(spark, sf):
 # --- table definition / keys -------------------------------------------------
 
 def _contents(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table, column, rows, filled, different, least, most): the content of tables column by column."""
+    """(table, column, rows, filled, different, least, most): the content of tables column by column.
+
+    Every column is counted by itself, from a scan of that column: its values are combined to one row each
+    before they are shuffled, and never travel with those of other columns.
+    """
     out = None
     for t, df in tables.items():
-        cols = df.columns
-        aggs = [F.count(F.lit(1)).alias("n_rows")]
-        for i, c in enumerate(cols):
-            text = F.col(c).cast("double").cast("string") if dict(df.dtypes)[c] == "double" else F.col(c).cast("string")
-            aggs.append(F.struct(F.lit(c).alias("column_name"), F.count(c).alias("n_filled"), F.count_distinct(c).alias("n_different"),
-                                 (F.lit(None).cast("string") if dict(df.dtypes)[c] == "double" else F.min(text)).alias("least"),
-                                 (F.lit(None).cast("string") if dict(df.dtypes)[c] == "double" else F.max(text)).alias("most")).alias(f"c{i}"))
-        one = df.agg(*aggs).select(F.lit(t).alias("table_name"), "n_rows", F.explode(F.array(*[f"c{i}" for i in range(len(cols))])).alias("c"))
-        one = one.select("table_name", "n_rows", "c.*")
-        out = one if out is None else out.unionByName(one)
+        for c, kind in df.dtypes:
+            values = df.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+            # Text order is not that of a number, so the extremes are taken of the text.
+            text = F.lit(None).cast("string") if kind == "double" else F.col("value").cast("string")
+            one = values.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_rows"),
+                             F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("n_filled"),
+                             F.count("value").alias("n_different"), F.min(text).alias("least"), F.max(text).alias("most"))
+            one = one.select(F.lit(t).alias("table_name"), "n_rows", F.lit(c).alias("column_name"), "n_filled", "n_different", "least", "most")
+            out = one if out is None else out.unionByName(one)
     return out
 
 
