@@ -118,10 +118,16 @@ def fact_unmatched(stg_fact: DataFrame, dims: dict[str, DataFrame],
                    incident_groups: DataFrame, sizes: dict[str, int] | None = None) -> DataFrame:
     """Staged rows whose key does not resolve, per dimension (ours; Q15).
 
-    One pass: left joins to every lookup, then conditional counts.
+    One pass: left joins to every lookup, then conditional counts.  Rows are counted per incident before they
+    meet its group, so that one small row of each incident is shuffled.
     """
-    keyed = resolve_dimension_keys(stg_fact, dims, True, sizes, "left").alias("f")
-    j = keyed.join(incident_groups.alias("g"), F.col("f.incident_id") == F.col("g.incident_id"), "left")
-    agg = j.agg(*[F.count_if(F.col(c).isNull()).alias(name) for name, c in KEY_COLUMNS.items()])
+    keyed = resolve_dimension_keys(stg_fact, dims, True, sizes, "left")
+    found = [c for c in KEY_COLUMNS.values() if c in keyed.columns]
+    lost = keyed.groupBy("incident_id").agg(F.count(F.lit(1)).alias("_n"),
+                                            *[F.count_if(F.col(c).isNull()).alias(c) for c in found]).alias("f")
+    j = lost.join(incident_groups.alias("g"), F.col("f.incident_id") == F.col("g.incident_id"), "left")
+    counts = {c: F.col(f"f.{c}") if c in found else F.when(F.col(f"g.{c}").isNull(), F.col("f._n"))
+              for c in KEY_COLUMNS.values()}
+    agg = j.agg(*[F.coalesce(F.sum(counts[c]), F.lit(0)).alias(name) for name, c in KEY_COLUMNS.items()])
     stack = "stack({}, {})".format(len(KEY_COLUMNS), ", ".join(f"'{n}', `{n}`" for n in KEY_COLUMNS))
     return agg.selectExpr(f"{stack} as (dimension, n_unmatched)")
